@@ -125,12 +125,11 @@ def clear_source_above(tree: DataFrame, study: str, top_node: str, path: str = "
 def move(tree: DataFrame, old: str, new: str, path: str = "path") -> DataFrame:
     """Move a subtree: rewrite the prefix and recompute the level."""
     inside = P.under(path, old)
-    moved = F.when(inside, F.concat(F.lit(new), F.substring(F.col(path), len(old) + 1, 1 << 30))).otherwise(F.col(path))
-    out = tree.withColumn(path, moved)
+    changes = {path: F.when(inside, F.concat(F.lit(new), F.substring(F.col(path), len(old) + 1, 1 << 30))).otherwise(F.col(path))}
     if "level" in tree.columns:
         shift = new.count(P.SEP) - old.count(P.SEP)
-        out = tree.withColumn("level", F.when(inside, F.col("level") + shift).otherwise(F.col("level"))).withColumn(path, moved)
-    return out
+        changes["level"] = F.when(inside, F.col("level") + shift).otherwise(F.col("level"))
+    return tree.withColumns(changes)
 
 
 def rename(tree: DataFrame, old: str, new: str, scope: Column, columns: list[str], name: str | None = "name") -> DataFrame:
