@@ -211,7 +211,9 @@ def sample_categories(cells: DataFrame, mapping: DataFrame, record: str, subject
         record, F.upper("category").alias("category"), F.trim("value").alias("category_value")
     )
     if study_level is not None:
-        wide = study_level.select(F.upper("category").alias("category"), "category_value")
-        records = cells.select(record).distinct()
-        rows = rows.unionByName(records.join(wide, F.lit(True)).select(record, "category", "category_value"))
+        # one constants row: its few categories are attached as a scalar list
+        held = study_level.agg(
+            F.collect_list(F.struct(F.upper("category").alias("category"), "category_value")).alias("l")
+        ).select("l").scalar()
+        rows = rows.unionByName(cells.select(record).distinct().select(record, F.inline(held)))
     return rows if subject is None else rows.withColumn("subject_id", subject)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from studyflow.session import shared_dir
-from studyflow.sources.tables import load_history
+from studyflow.sources.tables import load_history, replace_partitions
 
 
 def start(
@@ -24,8 +25,13 @@ def start(
     schema = ", ".join(f"`{c}` string" for c in columns)
     files = spark.readStream.schema(schema).option("sep", sep).option("header", True).csv(landing)
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        load_history(transform(batch) if transform else batch, history, study, incremental)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = transform(batch) if transform else batch
+        if incremental:
+            # a repeated batch replaces its own partition, so nothing is appended twice
+            replace_partitions(rows.withColumn("load_batch", F.lit(batch_id)), history, [study, "load_batch"])
+        else:
+            load_history(rows, history, study)
 
     return (
         files.writeStream.foreachBatch(write)
