@@ -48,4 +48,4 @@ def zscore(x: Column, median: Column, sd: Column, limit: float = Z_CLAMP) -> Col
 
 
 def log_base(x: Column, base: float) -> Column:
-    return F.log(F.lit(float(base)), x)
+    return F.log(float(base), x)

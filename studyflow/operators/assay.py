@@ -156,7 +156,7 @@ def collapse_replicates(
     exact = values.withColumn("__v", F.col(value).try_cast("decimal(18,4)"))
     if data_type == "R":
         exact = exact.where("__v > 0")
-    return exact.groupBy(*keys).agg(F.avg("__v").cast("double").alias(out))
+    return exact.groupBy(*keys).agg((F.sum("__v").cast("double") / F.count("__v")).alias(out))
 
 
 def log_transform(df: DataFrame, value: str, data_type: str = "R", base: float = 2) -> DataFrame:

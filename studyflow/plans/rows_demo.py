@@ -410,7 +410,7 @@ def e11_case_insensitive(spark, sf):
     return J.no_case(customer, t(spark, sf, "nation"), "site", "n_name").select("c_custkey", "n_regionkey")
 
 
-STAR_SQL = """SELECT r_name, n_name, s_suppkey % 10 AS supplier_group, p_type, p_brand, o_orderpriority, c_mktsegment, count(*) AS n_rows, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+STAR_SQL = """SELECT r_name, n_name, s_suppkey % 10 AS supplier_group, p_type, p_brand, o_orderpriority, c_mktsegment, count(*) AS n_rows, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL"""
 
@@ -429,4 +429,4 @@ def e12_star(spark, sf):
         lines = lines.join(dim, F.col(left) == F.col(right))
     return lines.groupBy(
         "r_name", "n_name", (F.col("s_suppkey") % 10).alias("supplier_group"), "p_type", "p_brand", "o_orderpriority", "c_mktsegment"
-    ).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+    ).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("revenue"))
