@@ -60,7 +60,7 @@ def level(path: Column | str, root_level: int = 0, sep: str = SEP) -> Column:
 
 
 def leaf_name(path: Column | str, sep: str = SEP) -> Column:
-    return F.element_at(parts(path, sep), -1)
+    return F.try_element_at(parts(path, sep), F.lit(-1))
 
 
 def join_parts(items: Column, sep: str = SEP) -> Column:

@@ -45,7 +45,7 @@ def drop_single_visits(rows: DataFrame) -> DataFrame:
 def trim_repeated_label(rows: DataFrame) -> DataFrame:
     """Drop the last path part where it repeats the label (case-insensitive)."""
     repeats = F.coalesce(
-        F.upper(F.element_at(P.split_list("category_path", "\\"), -1)) == F.upper("data_label"), F.lit(False)
+        F.upper(F.try_element_at(P.split_list("category_path", "\\"), F.lit(-1))) == F.upper("data_label"), F.lit(False)
     )
 
     def without_last(c: str, sep: str) -> Column:
@@ -154,7 +154,7 @@ def demographics(rows: DataFrame, subject: str = "usubjid") -> DataFrame:
     sex = label.isin("SEX", "GENDER") | F.endswith(label, F.lit("(SEX)"))
     race = (label == "RACE") | F.endswith(label, F.lit("(RACE)"))
     return rows.groupBy(subject).agg(
-        F.coalesce(F.max(F.when(age, F.coalesce(T.to_number(value), F.lit(0.0)))), F.lit(0.0)).cast("int").alias("age"),
+        F.coalesce(F.max(F.when(age, F.coalesce(T.to_number(value), F.lit(0.0)))), F.lit(0.0)).try_cast("int").alias("age"),
         F.coalesce(F.max(F.when(sex, value)), F.lit("Unknown")).alias("sex"),
         F.max(F.when(race, value)).alias("race"),
     )

@@ -84,7 +84,7 @@ def by_mapping(
     (``\\`` with source ``nA`` / ``nB``), word mapping and record exclusion.
     """
     mapping = mapping.select(
-        "category_cd", F.col("column_number").cast("int").alias("column_number"), "data_label", "label_source"
+        "category_cd", F.col("column_number").try_cast("int").alias("column_number"), "data_label", "label_source"
     )
     cells = to_cells(raw, record, columns)
     if exclusions is not None:
@@ -96,7 +96,7 @@ def by_mapping(
     if words is not None:
         cells = word_map(cells, words)
     wanted = mapping.where(~F.col("data_label").isin(T.RESERVED_LABELS)).withColumns({
-        "source_column": F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).cast("int"),
+        "source_column": F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).try_cast("int"),
         "source_side": F.coalesce(F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 2), F.lit("")), F.lit("A")),
     })
     data = drop_missing(cells.join(wanted, "column_number"), preserve_nulls=preserve_nulls)
@@ -122,13 +122,13 @@ def joined_parts(cells: DataFrame, sources: DataFrame, record: str, sep: str = "
 
 def unmapped_columns(headers: DataFrame, mapping: DataFrame) -> DataFrame:
     """File columns the mapping says nothing about."""
-    return headers.join(mapping.select(F.col("column_number").cast("int")), "column_number", "left_anti")
+    return headers.join(mapping.select(F.col("column_number").try_cast("int")), "column_number", "left_anti")
 
 
 def unresolved_labels(mapping: DataFrame, headers: DataFrame) -> DataFrame:
     """Mapped columns whose label column is not in the file."""
     source = mapping.where(F.col("data_label") == "\\").withColumn(
-        "source_column", F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).cast("int")
+        "source_column", F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).try_cast("int")
     )
     known = headers.select(F.col("column_number").alias("source_column"))
     return source.join(known, "source_column", "left_anti").select("column_number", "label_source")

@@ -14,8 +14,9 @@ def unpivot_matrix(
 ) -> DataFrame:
     """Matrix of one column per sample to long rows, without empty cells."""
     columns = columns or [c for c in df.columns if c not in ids]
-    typed = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in columns])
-    long = typed.unpivot(ids, columns, name, value)
+    # names may hold dots, as sample file names do
+    cells = [F.struct(F.lit(c).alias(name), F.col(f"`{c}`").cast("string").alias(value)) for c in columns]
+    long = df.select(*ids, F.inline(F.array(*cells)))
     return long.where(F.trim(F.col(value)) != "") if drop_empty else long
 
 

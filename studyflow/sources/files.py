@@ -62,8 +62,8 @@ def folder_route(files: DataFrame, path: str = "file_path", kind_level: int = -2
     """Kind of a file from its folder, and its tree node from the folders between root and kind."""
     pieces = split_list(path, "/")
     return files.withColumns({
-        "kind": F.element_at(pieces, kind_level),
-        "node": F.concat(F.lit("\\"), F.element_at(pieces, kind_level - 2), F.lit("\\"), F.element_at(pieces, kind_level - 1), F.lit("\\")),
+        "kind": F.try_element_at(pieces, F.lit(kind_level)),
+        "node": F.concat(F.lit("\\"), F.try_element_at(pieces, F.lit(kind_level - 2)), F.lit("\\"), F.try_element_at(pieces, F.lit(kind_level - 1)), F.lit("\\")),
     })
 
 
