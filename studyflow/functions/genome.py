@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from studyflow.functions.paths import split_list
+from studyflow.functions.text import strip
 
 # Numeric codes of the non-autosomal chromosomes.
 CHROMOSOME_CODES = {"X": "23", "Y": "24", "XY": "25", "MT": "26"}
@@ -24,7 +25,7 @@ def chromosome_code(c: Column, pairs: dict[str, str] | None = None) -> Column:
 def info_attribute(info: Column, name: str) -> Column:
     """Value of ``name=`` in a ``k=v;k=v`` list, '' when absent."""
     found = F.filter(split_list(info, ";"), lambda kv: F.startswith(kv, F.lit(name + "=")))
-    return F.coalesce(F.trim(F.substring(F.try_element_at(found, F.lit(-1)), len(name) + 2, 1 << 30)), F.lit(""))
+    return F.coalesce(strip(F.substring(F.try_element_at(found, F.lit(-1)), len(name) + 2, 1 << 30)), F.lit(""))
 
 
 def genotype(call: Column, calls: dict[str, str]) -> Column:

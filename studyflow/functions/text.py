@@ -27,6 +27,11 @@ def has(c: Column | str, token: str) -> Column:
     return F.contains(_col(c), F.lit(token))
 
 
+def strip(c: Column | str) -> Column:
+    """Trim any leading and trailing white space, tabs and line ends included."""
+    return F.btrim(_col(c), F.lit(" \t\r\n\f"))
+
+
 def is_numeric(c: Column | str) -> Column:
     """True / false; null stays null."""
     return F.rlike(_col(c), F.lit(NUMBER_PATTERN))
@@ -35,7 +40,7 @@ def is_numeric(c: Column | str) -> Column:
 def to_number(c: Column | str) -> Column:
     """The number, or null where the text is none."""
     c = _col(c)
-    return F.when(is_numeric(c), F.trim(c).try_cast("double"))
+    return F.when(is_numeric(c), strip(c).try_cast("double"))
 
 
 def is_date(c: Column | str, fmt: str = "yyyyMMdd") -> Column:
@@ -44,18 +49,18 @@ def is_date(c: Column | str, fmt: str = "yyyyMMdd") -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
-    return F.nullif(F.trim(_col(c)), F.lit(""))
+    return F.nullif(strip(c), F.lit(""))
 
 
 def missing_to_null(c: Column | str, markers: tuple[str, ...] = (".", "NaN")) -> Column:
     """Null out the markers a vendor file uses for missing values."""
-    c = F.trim(_col(c))
+    c = strip(c)
     return F.when(~c.isin("", *markers), c)
 
 
 def clean_column(c: Column | str) -> Column:
     """Trim, strip one pair of quotes, drop ``\\`` and ``*``, spell out ``%`` and ``&``."""
-    bare = F.regexp_replace(F.trim(_col(c)), r'^"(.+)"$', "$1")
+    bare = F.regexp_replace(strip(c), r'^"(.+)"$', "$1")
     plain = F.translate(bare, "\\*", "")
     return F.coalesce(swap(swap(plain, "%", "PCT"), "&", " and "), F.lit(""))
 
@@ -81,14 +86,16 @@ def clean_label_pipes(c: Column | str) -> Column:
     return swap(c, "|", ",")
 
 
-def clean_parens(c: Column | str) -> Column:
-    """Drop every ``(`` when pairs are empty or it has no partner, then likewise every ``)``."""
+def drop_broken(c: Column | str, mine: str, other: str) -> Column:
+    """Drop every ``mine`` where pairs are empty or ``mine`` has no ``other``."""
+    c = _col(c)
+    broken = has(c, "()") | has(c, "( )") | (has(c, mine) & ~has(c, other))
+    return F.when(broken, swap(c, mine, "")).otherwise(c)
 
-    def drop(v: Column, mine: str, other: str) -> Column:
-        broken = has(v, "()") | has(v, "( )") | (has(v, mine) & ~has(v, other))
-        return F.when(broken, swap(v, mine, "")).otherwise(v)
 
-    return drop(drop(_col(c), "(", ")"), ")", "(")
+def clean_parens(c: Column | str) -> Column:
+    """Both parentheses; the closing one sees the text left by the opening one."""
+    return drop_broken(drop_broken(c, "(", ")"), ")", "(")
 
 
 def words_for_symbols(c: Column | str, plus: bool = False, underscore: bool = False) -> Column:

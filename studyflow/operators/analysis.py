@@ -118,26 +118,25 @@ def heat_map(
 ) -> DataFrame:
     """Sample intensities of every analysis cohort next to the analysis result of their probe.
 
-    Small dimensions are joined to each other first, so the intensities are
-    joined once per key: assays (with their analyses), then results.
+    Both sides take their cohort from the small link tables first; one join on
+    (study, cohort, probe) then gives exactly the rows of the map, with no
+    intermediate of all analyses times all samples.
     """
-    assays = (
-        analysis_cohorts.join(cohort_samples, ["study_id", "cohort_id"])
-        .join(samples.select("assay_id", "study_id", "subject_id"), ["study_id", "assay_id"])
-    )
+    assays = cohort_samples.join(samples.select("assay_id", "study_id", "subject_id"), ["study_id", "assay_id"])
+    measured = intensities.join(probes.select("probeset_id", "probeset"), "probeset_id").join(assays, "assay_id")
     named = (
         feature_marker.join(markers.select("marker_id", "marker_name", "gene_id"), "marker_id")
-        .join(keywords.select("marker_id", "keyword_id"), "marker_id")
+        .join(keywords.select("marker_id", "keyword_id"), "marker_id").withColumnRenamed("feature", "probeset")
     )
-    scored = results.join(analyses.select("analysis_id", "fc_cutoff", "p_cutoff", "mean_cutoff"), "analysis_id").withColumn(
+    cutoffs = analyses.select("analysis_id", "fc_cutoff", "p_cutoff", "mean_cutoff").join(analysis_cohorts, "analysis_id")
+    scored = results.join(cutoffs, "analysis_id").join(named, "probeset").withColumn(
         "significant",
         significance(
             F.col("fold_change"), F.col("pvalue"), F.col("npv"), F.col("min_lsmean"), F.col("max_lsmean"),
             F.col("fc_cutoff"), F.col("p_cutoff"), F.col("mean_cutoff"),
         ),
-    ).join(named, F.col("probeset") == F.col("feature"))
-    rows = intensities.join(probes.select("probeset_id", "probeset"), "probeset_id").join(assays, "assay_id")
-    return rows.join(scored, ["analysis_id", "probeset"]).select(
+    )
+    return measured.join(scored, ["study_id", "cohort_id", "probeset"]).select(
         "study_id", "analysis_id", "cohort_id", "subject_id", "assay_id", "probeset", "log_intensity", "fold_change", "pvalue",
         "npv", "marker_id", "marker_name", "gene_id", "keyword_id", "significant",
     )
@@ -152,7 +151,7 @@ def cross_trial(heat: DataFrame, keywords: DataFrame) -> DataFrame:
 
 def cohort_links(analyses: DataFrame, column: str = "cohorts", keys: tuple[str, ...] = ("study_id", "analysis_id")) -> DataFrame:
     """Analysis <-> cohort rows from ``;`` lists."""
-    items = analyses.select(*keys, F.explode(split_list(column, ";")).alias("cohort_id")).withColumn("cohort_id", F.trim("cohort_id"))
+    items = analyses.select(*keys, F.explode(split_list(column, ";")).alias("cohort_id")).withColumn("cohort_id", T.strip("cohort_id"))
     return items.where("cohort_id <> ''").withColumn("study_id", F.upper("study_id")).distinct()
 
 
@@ -163,7 +162,7 @@ def melt_terms(records: DataFrame, ids: list[str], columns: dict[str, str | None
         for c, sep in columns.items()
     ]
     rows = records.select(*ids, F.explode(F.array(*cells)).alias("__c")).select(*ids, "__c.category", F.explode("__c.terms").alias("term"))
-    return rows.withColumn("term", F.trim("term")).where("term <> ''")
+    return rows.withColumn("term", T.strip("term")).where("term <> ''")
 
 
 def tag_terms(
@@ -205,7 +204,7 @@ def refresh_entries(old: DataFrame, new: DataFrame, keys: list[str], values: lis
 def project_rows(lines: DataFrame, names: list[str], study: str = "file_name", line: str = "line") -> DataFrame:
     """``key=value`` project lines to one row per study; ``.`` is missing."""
     pairs = lines.where(F.contains(line, F.lit("="))).select(
-        study, F.trim(F.substring_index(line, "=", 1)).alias("key"),
+        study, T.strip(F.substring_index(line, "=", 1)).alias("key"),
         T.missing_to_null(F.expr(f"substring({line}, locate('=', {line}) + 1)"), (".",)).alias("value"),
     )
     return pairs.groupBy(study).agg(*[F.max(F.when(F.col("key") == n, F.col("value"))).alias(n) for n in names])
@@ -215,5 +214,5 @@ def platform_rows(rows: DataFrame, lists: dict[str, str], ids: list[str]) -> Dat
     """Parallel ``;`` lists of a project (platform names, vendors, organisms …) to distinct rows."""
     zipped = F.arrays_zip(*[split_list(c, ";").alias(n) for c, n in lists.items()])
     return rows.select(*ids, F.explode(zipped).alias("__z")).select(
-        *ids, *[F.trim(F.col("__z").getField(n)).alias(n) for n in lists.values()]
+        *ids, *[T.strip(F.col("__z").getField(n)).alias(n) for n in lists.values()]
     ).distinct()

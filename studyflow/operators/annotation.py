@@ -114,7 +114,7 @@ def platform_probes(rows: DataFrame, layout: dict[str, int], line: str = "line",
     picked = rows.where(~F.rlike(line, F.lit("^[#!^]"))).select(*[nth(line, i, "\t").alias(n) for n, i in layout.items()])
     probes = picked.where(~is_control(F.col("probe")))
     genes = probes.select("rs_id", F.explode(split_list("genes", gene_sep)).alias("gene")).select(
-        "rs_id", F.trim("gene").alias("gene")
+        "rs_id", T.strip("gene").alias("gene")
     ).where("gene <> ''").distinct()
     mapped = probes.select("chrom", "rs_id", F.lit(0).alias("distance"), "position")
     return probes.select("probe", "rs_id", "chrom", "position"), genes, mapped

@@ -9,7 +9,7 @@ from studyflow.functions import paths as P
 from studyflow.functions import stats as S
 from studyflow.functions import text as T
 from studyflow.operators.grouping import exact_median
-from studyflow.operators.joins import null_safe
+from studyflow.operators.joins import null_safe, small_side
 from studyflow.operators.numbering import surrogate_ids
 
 # Template tokens of a sample category, in node-role order, the
@@ -104,17 +104,20 @@ def sample_mapping(
 ) -> DataFrame:
     """Samples with patient and the concept of every node role.
 
-    The five role lookups are one join on the node path and one conditional
-    aggregate back to the sample.
+    Role nodes depend on the template inputs only: they are expanded and looked
+    up once per distinct input, and the samples meet that table in one join.
     """
-    key = ["site_id", "subject_id", "sample_cd"]
-    found = node_roles(samples, top_node).join(
+    inputs = ["category_cd", *ROLE_TOKENS.values()]
+    found = node_roles(samples.select(*inputs).distinct(), top_node).join(
         concepts.select(F.col("concept_path").alias("node_path"), "concept_cd"), "node_path"
     )
-    codes = found.groupBy(*key, "platform", "tissue_type", "attribute_1", "attribute_2", "category_cd").agg(
+    codes = found.groupBy(*inputs).agg(
         *[F.max(F.when(F.col("role") == r, F.col("concept_cd"))).alias(f"{r.lower()}_cd") for r in ("LEAF", *ROLE_TOKENS)]
     ).where("leaf_cd is not null and platform_cd is not null")
-    keyed = codes.withColumn("subject_key", T.subject_key(F.lit(study), "site_id", "subject_id"))
+    kept = samples.select("site_id", "subject_id", "sample_cd", "platform", *inputs).distinct()
+    keyed = null_safe(kept, small_side(codes), inputs).drop("title").withColumn(
+        "subject_key", T.subject_key(F.lit(study), "site_id", "subject_id")
+    )
     return keyed.join(patients.select("subject_key", "patient_num"), "subject_key").withColumn(
         "data_uid", F.concat_ws("-", F.col("leaf_cd").cast("string"), F.col("patient_num").cast("string"))
     )

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from studyflow.functions import paths as P
 from studyflow.functions import text as T
-from studyflow.operators.joins import null_safe
+from studyflow.operators.joins import null_safe, small_side
 from studyflow.operators.merge import upsert
 from studyflow.operators.numbering import surrogate_ids
+from studyflow.session import staged
 
 TYPE_KEYS = ["category_cd", "data_label", "visit_name"]
 
@@ -27,10 +28,10 @@ def add_keys(rows: DataFrame, study: str = "study_id") -> DataFrame:
 
 
 def clean_marks(rows: DataFrame) -> DataFrame:
-    """Pipes and parentheses in values, pipes in labels."""
-    return rows.withColumns({
-        "data_value": T.clean_parens(T.clean_pipes("data_value")), "data_label": T.clean_label_pipes("data_label"),
-    })
+    """Pipes and parentheses in values, pipes in labels (as separate projections: each reads the last one's result)."""
+    piped = rows.withColumns({"data_value": T.clean_pipes("data_value"), "data_label": T.clean_label_pipes("data_label")})
+    opened = piped.withColumn("data_value", T.drop_broken("data_value", "(", ")"))
+    return opened.withColumn("data_value", T.drop_broken("data_value", ")", "("))
 
 
 def drop_single_visits(rows: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def drop_single_visits(rows: DataFrame) -> DataFrame:
     visit = F.upper("visit_name")
     single = rows.groupBy("category_cd").agg(F.min(visit).alias("__a"), F.max(visit).alias("__b"))
     single = single.where(F.col("__a") == F.col("__b")).select("category_cd", F.lit(True).alias("__single"))
-    joined = rows.join(single, "category_cd", "left")
+    joined = rows.join(small_side(single), "category_cd", "left")
     return joined.withColumn("visit_name", F.when(F.col("__single").isNull(), F.col("visit_name"))).select(*rows.columns)
 
 
@@ -99,7 +100,7 @@ def numeric_variables(rows: DataFrame) -> DataFrame:
 
 def infer_types(rows: DataFrame) -> DataFrame:
     """``data_type`` N where the whole variable is numeric, else T."""
-    numeric = numeric_variables(rows).withColumn("__n", F.lit("N"))
+    numeric = small_side(numeric_variables(rows)).withColumn("__n", F.lit("N"))
     return null_safe(rows, numeric, TYPE_KEYS, "left").withColumn("data_type", F.coalesce("__n", F.lit("T"))).drop("__n")
 
 
@@ -126,8 +127,8 @@ def visit_date_report(rows: DataFrame, keys: list[str], date: str, fmt: str = "y
     ).where("n_rows <> n_dates or n_bad_dates > 0")
 
 
-def leaf_nodes(typed: DataFrame, top_node: str) -> DataFrame:
-    """Distinct leaf nodes from the category templates; text values become nodes of their own."""
+def leaf_path(top_node: str) -> Column:
+    """Leaf node of a working row by its category template; text values become nodes of their own."""
     def text(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(""))
 
@@ -139,10 +140,16 @@ def leaf_nodes(typed: DataFrame, top_node: str) -> DataFrame:
     templated = F.concat_ws("\\", with_visit, value)
     plain = F.concat_ws("\\", path, text("data_label"), value, text("visit_name"))
     body = F.when(T.has(path, T.DATALABEL), templated).otherwise(plain)
-    node = P.collapse(F.concat(F.lit(top_node), body, F.lit("\\")))
-    return typed.select(
-        node.alias("leaf_node"), "category_cd", "visit_name", "data_label",
-        F.when(F.col("data_type") == "T", F.col("data_value")).alias("data_value"), "data_type",
+    return P.collapse(F.concat(F.lit(top_node), body, F.lit("\\")))
+
+
+def leaf_nodes(typed: DataFrame, top_node: str) -> DataFrame:
+    """Distinct leaf nodes: distinct template inputs first, then the path of each."""
+    inputs = typed.select(
+        "category_cd", "category_path", "visit_name", "data_label", F.when(F.col("data_type") == "T", F.col("data_value")).alias("data_value"), "data_type"
+    ).distinct()
+    return inputs.select(
+        leaf_path(top_node).alias("leaf_node"), "category_cd", "visit_name", "data_label", "data_value", "data_type"
     ).distinct().withColumn("node_name", P.leaf_name("leaf_node"))
 
 
@@ -187,7 +194,7 @@ def pedigree_patients(ped: DataFrame, prefix: str, existing: DataFrame | None =
     """Patients of a pedigree file: coded sex to text, one row per new subject key."""
     # Fragments removed from pedigree individual ids.
     fragments = ["G", "T", "_2", "NA"]
-    clean = F.trim(F.col("individual_id"))
+    clean = T.strip(F.col("individual_id"))
     for piece in fragments:
         clean = F.replace(clean, F.lit(piece), F.lit(""))
     out = ped.select(
@@ -209,22 +216,23 @@ def parent_leaf_conflicts(nodes: DataFrame, path: str = "leaf_node") -> DataFram
     return nodes.select(path).distinct().join(above, path, "left_semi")
 
 
-def facts(typed: DataFrame, patients: DataFrame, nodes: DataFrame, concepts: DataFrame) -> DataFrame:
+def facts(typed: DataFrame, patients: DataFrame, nodes: DataFrame, concepts: DataFrame, top_node: str) -> DataFrame:
     """Observation facts: one distinct row per patient, concept and value.
 
-    The node of a row is found by its null-safe template keys; the join with
-    the nodes carries the concept along, so the rows are shuffled once for it.
+    A row's node path follows from the row itself, so repeated readings are
+    reduced before any join and each of the two lookups has one key.
     """
-    leaves = without_lower_nodes(nodes).join(
+    readings = typed.select(
+        "usubjid", "study_id", leaf_path(top_node).alias("leaf_node"), F.col("data_type").alias("value_type"), "data_value"
+    ).distinct()
+    leaves = without_lower_nodes(nodes.select("leaf_node").distinct()).join(
         concepts.select(F.col("concept_path").alias("leaf_node"), "concept_cd"), "leaf_node"
     )
-    keyed = typed.withColumn("node_value", F.when(F.col("data_type") == "T", F.col("data_value")))
-    side = leaves.select(*TYPE_KEYS, F.col("data_value").alias("node_value"), "concept_cd")
-    placed = null_safe(keyed, side, [*TYPE_KEYS, "node_value"])
-    text = F.col("data_type") == "T"
-    return placed.join(patients.select("patient_num", F.col("subject_key").alias("usubjid")), "usubjid").select(
-        "patient_num", "concept_cd", "study_id", F.col("data_type").alias("value_type"),
-        F.when(text, F.col("data_value")).otherwise("E").alias("text_value"),
+    text = F.col("value_type") == "T"
+    return readings.join(leaves, "leaf_node").join(
+        patients.select("patient_num", F.col("subject_key").alias("usubjid")), "usubjid"
+    ).select(
+        "patient_num", "concept_cd", "study_id", "value_type", F.when(text, F.col("data_value")).otherwise("E").alias("text_value"),
         F.when(~text, T.to_number("data_value")).alias("number_value"),
     ).distinct()
 
@@ -232,8 +240,11 @@ def facts(typed: DataFrame, patients: DataFrame, nodes: DataFrame, concepts: Dat
 def load(
     landing: DataFrame, top_node: str, patients: DataFrame, concepts: DataFrame, study: str
 ) -> dict[str, DataFrame]:
-    """The whole clinical load as lazy frames: working rows, nodes, patients, concepts, facts, reports."""
-    typed = infer_types(standardise(landing))
+    """The whole clinical load: working rows, nodes, patients, concepts, facts and reports.
+
+    The cleaned rows feed six results, so they are written once to the shared folder.
+    """
+    typed = staged(infer_types(staged(standardise(landing), "clean-rows")), "working-rows")
     nodes = leaf_nodes(typed, top_node)
     people = merge_patients(patients, demographics(typed).withColumnRenamed("usubjid", "subject_key"), study)
     fresh = nodes.select(F.col("leaf_node").alias("concept_path"), F.col("node_name").alias("name")).distinct().join(
@@ -245,6 +256,6 @@ def load(
     )
     return {
         "rows": typed, "nodes": nodes, "patients": people, "concepts": all_concepts,
-        "facts": facts(typed, people, nodes, all_concepts),
+        "facts": facts(typed, people, nodes, all_concepts, top_node),
         "duplicate_keys": duplicate_numeric_keys(typed), "mixed_visits": mixed_visits(landing),
     }

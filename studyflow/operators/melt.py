@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from studyflow.functions import text as T
 from studyflow.operators.grouping import record_concat
+from studyflow.operators.joins import small_side
 
 LABEL_SOURCE = r"^([0-9]+)([AB]?)$"
+MAX_FILE_COLUMNS = 50_000
+MAX_LISTED = 10_000
 
 
 def to_cells(raw: DataFrame, record: str, columns: list[str]) -> DataFrame:
@@ -32,7 +35,7 @@ def header_labels(columns: list[str], spark) -> DataFrame:
 
 def record_columns(cells: DataFrame, mapping: DataFrame, record: str, names: dict[str, str]) -> DataFrame:
     """Flatten the reserved columns (subject, site, visit …) to one row per record."""
-    reserved = cells.join(mapping.where(F.col("data_label").isin(list(names))), "column_number")
+    reserved = cells.join(small_side(mapping.where(F.col("data_label").isin(list(names))).select("column_number", "data_label")), "column_number")
     return reserved.groupBy(record).agg(
         *[F.max(F.when(F.col("data_label") == k, T.clean_column("value"))).alias(v) for k, v in names.items()]
     )
@@ -41,14 +44,14 @@ def record_columns(cells: DataFrame, mapping: DataFrame, record: str, names: dic
 def word_map(cells: DataFrame, words: DataFrame) -> DataFrame:
     """Replace listed values per column; unlisted ones pass through."""
     side = words.select("column_number", F.col("from_value").alias("value"), F.col("to_value").alias("__to"))
-    return cells.join(side, ["column_number", "value"], "left").select(
+    return cells.join(small_side(side), ["column_number", "value"], "left").select(
         *[c for c in cells.columns if c != "value"], F.coalesce("__to", "value").alias("value")
     ).select(*cells.columns)
 
 
 def drop_missing(cells: DataFrame, value: str = "value", preserve_nulls: bool = False) -> DataFrame:
     """Drop null, blank and ``.`` values."""
-    return cells if preserve_nulls else cells.where(~F.coalesce(F.trim(F.col(value)), F.lit("")).isin("", "."))
+    return cells if preserve_nulls else cells.where(~F.coalesce(T.strip(F.col(value)), F.lit("")).isin("", "."))
 
 
 def merge_visits(first: Column, second: Column) -> Column:
@@ -74,49 +77,78 @@ def reformat(c: Column, source_mask: str, target_mask: str) -> Column:
     return F.concat(*pieces)
 
 
+def mapping_rules(mapping: DataFrame) -> list:
+    """The mapping rows of a file. They are metadata, like a schema, and bounded by the file's column count."""
+    rows = mapping.select(
+        "category_cd", F.col("column_number").try_cast("int").alias("column_number"), "data_label",
+        F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).try_cast("int").alias("source"),
+        F.coalesce(F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 2), F.lit("")), F.lit("A")).alias("side"),
+    ).limit(MAX_FILE_COLUMNS + 1).collect()
+    if len(rows) > MAX_FILE_COLUMNS:
+        raise ValueError("a mapping cannot have more rows than a file has columns")
+    return rows
+
+
+def without_listed(raw: DataFrame, record: str, columns: list[str], listed: DataFrame) -> DataFrame:
+    """Drop every record that holds a listed (column number, value) pair."""
+    pairs = listed.select(F.col("column_number").try_cast("int").alias("column_number"), "value").distinct()
+    head = pairs.limit(MAX_LISTED + 1).collect()
+    if len(head) > MAX_LISTED:
+        bad = to_cells(raw, record, columns).join(pairs, ["column_number", "value"], "left_semi").select(record).distinct()
+        return raw.join(bad, record, "left_anti")
+    hit = F.lit(False)
+    for number in {r.column_number for r in head}:
+        values = [r.value for r in head if r.column_number == number]
+        hit = hit | F.coalesce(F.col(columns[number - 1]).cast("string").isin(values), F.lit(False))
+    return raw.where(~hit)
+
+
 def by_mapping(
     raw: DataFrame, mapping: DataFrame, record: str, columns: list[str], words: DataFrame | None = None,
     exclusions: DataFrame | None = None, preserve_nulls: bool = False,
 ) -> DataFrame:
     """Wide file to (record, site, subject, visit, label, value, category) rows.
 
-    Handles reserved labels, labels taken from another column of the record
-    (``\\`` with source ``nA`` / ``nB``), word mapping and record exclusion.
+    The mapping becomes column expressions, so the melt is one map-side
+    projection and explode without any shuffle. Handles reserved labels, labels
+    taken from another column of the record (``\\`` with source ``nA`` /
+    ``nB``), word mapping (a checked lookup join) and record exclusion.
     """
-    mapping = mapping.select(
-        "category_cd", F.col("column_number").try_cast("int").alias("column_number"), "data_label", "label_source"
-    )
-    cells = to_cells(raw, record, columns)
-    if exclusions is not None:
-        bad = cells.join(exclusions.select("column_number", "value"), ["column_number", "value"], "left_semi")
-        cells = cells.join(bad.select(record).distinct(), record, "left_anti")
-    who = record_columns(
-        cells, mapping, record, {"SITE_ID": "site_id", "SUBJ_ID": "subject_id", "VISIT_NAME": "visit_name"}
+    rules = mapping_rules(mapping)
+    rows = raw if exclusions is None else without_listed(raw, record, columns, exclusions)
+    reserved = {r.data_label: columns[r.column_number - 1] for r in rules if r.data_label in T.RESERVED_LABELS}
+
+    def special(label: str) -> Column:
+        return T.clean_column(F.col(reserved[label]).cast("string")) if label in reserved else F.lit(None).cast("string")
+
+    cells = []
+    for r in rules:
+        if r.data_label in T.RESERVED_LABELS or not r.column_number:
+            continue
+        if r.data_label == "\\":
+            label = F.col(columns[r.source - 1]).cast("string") if r.source else F.lit("")
+            category = T.insert_label_token(F.lit(r.category_cd), F.lit(r.side))
+        else:
+            label, category = F.lit(r.data_label), F.lit(r.category_cd)
+        cells.append(F.struct(
+            F.lit(r.column_number).alias("column_number"), T.clean_column(label).alias("data_label"),
+            F.col(columns[r.column_number - 1]).cast("string").alias("value"), T.clean_column(category).alias("category_cd"),
+        ))
+    long = rows.select(
+        record, F.nullif(special("SITE_ID"), F.lit("")).alias("site_id"), special("SUBJ_ID").alias("subject_id"),
+        F.nullif(special("VISIT_NAME"), F.lit("")).alias("visit_name"), F.inline(F.array(*cells)),
     )
     if words is not None:
-        cells = word_map(cells, words)
-    wanted = mapping.where(~F.col("data_label").isin(T.RESERVED_LABELS)).withColumns({
-        "source_column": F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).try_cast("int"),
-        "source_side": F.coalesce(F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 2), F.lit("")), F.lit("A")),
-    })
-    data = drop_missing(cells.join(wanted, "column_number"), preserve_nulls=preserve_nulls)
-    labels = cells.select(record, F.col("column_number").alias("source_column"), F.col("value").alias("other_label"))
-    named = data.join(labels, [record, "source_column"], "left")
-    dynamic = F.col("data_label") == "\\"
-    return named.join(who, record, "left").select(
-        record, "column_number", F.nullif("site_id", F.lit("")).alias("site_id"), "subject_id",
-        F.nullif("visit_name", F.lit("")).alias("visit_name"),
-        F.when(dynamic, T.clean_column("other_label")).otherwise(T.clean_column("data_label")).alias("data_label"),
-        T.clean_column("value").alias("data_value"),
-        T.clean_column(
-            F.when(dynamic, T.insert_label_token("category_cd", "source_side")).otherwise(F.col("category_cd"))
-        ).alias("category_cd"),
+        long = word_map(long, words)
+    kept = drop_missing(long, preserve_nulls=preserve_nulls)
+    return kept.select(
+        record, "column_number", "site_id", "subject_id", "visit_name", "data_label", T.clean_column("value").alias("data_value"), "category_cd"
     )
 
 
 def joined_parts(cells: DataFrame, sources: DataFrame, record: str, sep: str = " ", out: str = "label") -> DataFrame:
     """Labels or values made of several columns of a record, in the mapped order."""
-    picked = cells.join(sources.select("column_number", "target", "seq"), "column_number")
+    picked = cells.join(small_side(sources.select("column_number", "target", "seq")), "column_number")
     return record_concat(picked, [record, "target"], F.col("value"), F.col("seq"), sep, out)
 
 
@@ -163,4 +195,4 @@ def label_files_report(rows: DataFrame, label: str, file: str, subject: str) ->
 def display_mapping(rows: DataFrame, display: DataFrame, category: str = "category_cd") -> DataFrame:
     """Attach display value, label and unit to the categories that have one."""
     side = display.select(category, "display_value", "display_label", "display_unit")
-    return rows.join(side, category, "left")
+    return rows.join(small_side(side), category, "left")

@@ -30,9 +30,9 @@ def mesh_headings(records: DataFrame, trees: list[str] | None = None) -> DataFra
     """Descriptors (ui, mh, mn); with ``trees`` only those under one of the tree numbers."""
     numbers = F.regexp_extract_all("record", F.lit(MESH_FIELD.format(name="MN")), F.lit(1))
     rows = records.select(
-        F.trim(F.regexp_extract("record", MESH_FIELD.format(name="UI"), 1)).alias("ui"),
-        F.trim(F.regexp_extract("record", MESH_FIELD.format(name="MH"), 1)).alias("mh"),
-        F.trim(F.coalesce(F.try_element_at(numbers, F.lit(-1)), F.lit(""))).alias("mn"), numbers.alias("__all"),
+        T.strip(F.regexp_extract("record", MESH_FIELD.format(name="UI"), 1)).alias("ui"),
+        T.strip(F.regexp_extract("record", MESH_FIELD.format(name="MH"), 1)).alias("mh"),
+        T.strip(F.coalesce(F.try_element_at(numbers, F.lit(-1)), F.lit(""))).alias("mn"), numbers.alias("__all"),
     ).where("ui <> '' and mh <> ''")
     if trees:
         def wanted(n: Column) -> Column:
@@ -48,23 +48,23 @@ def mesh_headings(records: DataFrame, trees: list[str] | None = None) -> DataFra
 def mesh_synonyms(records: DataFrame) -> DataFrame:
     """(mh, entry) rows; an entry ends at its first bar."""
     return records.select(
-        F.trim(F.regexp_extract("record", MESH_FIELD.format(name="MH"), 1)).alias("mh"),
+        T.strip(F.regexp_extract("record", MESH_FIELD.format(name="MH"), 1)).alias("mh"),
         F.explode(F.regexp_extract_all("record", F.lit(MESH_ENTRY), F.lit(1))).alias("entry"),
-    ).select("mh", F.trim("entry").alias("entry"))
+    ).select("mh", T.strip("entry").alias("entry"))
 
 
 def ontology_terms(records: DataFrame) -> DataFrame:
     """Ids and names of term blocks."""
     return records.select(
-        F.trim(F.regexp_extract("record", r"(?m)^id: ([^\r\n]*)", 1)).alias("term_id"),
-        F.trim(F.regexp_extract("record", r"(?m)^name: ([^\r\n]*)", 1)).alias("term_name"),
+        T.strip(F.regexp_extract("record", r"(?m)^id: ([^\r\n]*)", 1)).alias("term_id"),
+        T.strip(F.regexp_extract("record", r"(?m)^name: ([^\r\n]*)", 1)).alias("term_name"),
     ).where("term_id <> '' and term_name <> ''")
 
 
 def gene_associations(lines: DataFrame, genes: DataFrame, organism: str, line: str = "line") -> tuple[DataFrame, DataFrame]:
     """(term, gene) associations of known genes, and the rejects."""
     pairs = lines.where(~F.contains(line, F.lit("!"))).select(
-        F.trim(nth(line, 5, "\t")).alias("term_id"), F.trim(nth(line, 3, "\t")).alias("symbol")
+        T.strip(nth(line, 5, "\t")).alias("term_id"), T.strip(nth(line, 3, "\t")).alias("symbol")
     ).distinct()
     known = genes.select("symbol", "gene_id")
     result = pairs.join(known, "symbol").select("term_id", "gene_id", "symbol", F.lit(organism).alias("organism"))
@@ -78,15 +78,15 @@ def gene_info(lines: DataFrame, taxa: list[str], line: str = "line") -> tuple[Da
     mine = body.where(F.col("tax_id").isin(taxa))
     synonyms = mine.where("synonyms <> '-'").select(
         "tax_id", "gene_id", "symbol", F.explode(split_list("synonyms", "|")).alias("synonym")
-    ).where(F.trim("synonym") != "")
+    ).where(T.strip("synonym") != "")
     return mine.drop("synonyms"), synonyms
 
 
-def taxonomy_names(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Scientific names of a taxonomy dump (``|`` fields)."""
-    return lines.where(F.trim(nth(line, 4, "|")) == "scientific name").select(
-        F.trim(nth(line, 1, "|")).alias("tax_id"), F.trim(nth(line, 2, "|")).alias("name")
-    )
+def taxonomy_names(lines: DataFrame, name_class: str | None = None, line: str = "line") -> DataFrame:
+    """Names of a taxonomy dump (``|`` fields), of one name class or all."""
+    fields = ["tax_id", "name", "unique_name", "name_class"]
+    rows = lines.select(*[T.strip(nth(line, i, "|")).alias(n) for i, n in enumerate(fields, 1)])
+    return rows if name_class is None else rows.where(F.col("name_class") == name_class)
 
 
 def pathway_genes(lines: DataFrame, prefix: str = "hsa:", line: str = "line") -> DataFrame:
@@ -112,13 +112,13 @@ def pathway_definitions(lines: DataFrame, extra: dict[str, str] | None = None, l
 def gene_list_pathways(records: DataFrame, genes: DataFrame, record: str = "record") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pathway rows whose gene list may span lines: (definitions, members, rejects)."""
     joined = F.regexp_replace(record, r"[\r\n]+", "")
-    rows = records.where(F.trim(record) != "").select(
+    rows = records.where(T.strip(record) != "").select(
         F.concat(F.lit(PATHWAY_RECORD), nth(joined, 1, "\t")).alias("pathway"),
-        F.trim(F.replace(nth(joined, 2, "\t"), F.lit(","), F.lit(""))).alias("title"),
+        T.strip(F.replace(nth(joined, 2, "\t"), F.lit(","), F.lit(""))).alias("title"),
         F.replace(nth(joined, 5, "\t"), F.lit('"'), F.lit("")).alias("genes"),
     )
     members = rows.select("pathway", F.explode(F.split("genes", " +")).alias("gene_id")).withColumn(
-        "gene_id", F.trim(F.replace("gene_id", F.lit(","), F.lit("")))
+        "gene_id", T.strip(F.replace("gene_id", F.lit(","), F.lit("")))
     ).where("gene_id <> ''")
     known = genes.select("gene_id", "symbol")
     return rows.select("pathway", "title"), members.join(known, "gene_id"), members.join(known, "gene_id", "left_anti")
@@ -176,7 +176,7 @@ def typed_metadata(landing: DataFrame, dates: list[str], numbers: list[str]) ->
 
 def dictionary_links(studies: DataFrame, column: str, known: DataFrame, sep: str = ";") -> tuple[DataFrame, DataFrame]:
     """(new dictionary names, study -> upper-case name links) of a list column, without case."""
-    items = studies.select("study_id", F.explode(split_list(column, sep)).alias("name")).withColumn("name", F.trim("name")).where("name <> ''")
+    items = studies.select("study_id", F.explode(split_list(column, sep)).alias("name")).withColumn("name", T.strip("name")).where("name <> ''")
     keyed = items.withColumn("key", F.upper("name"))
     fresh = keyed.groupBy("key").agg(F.min("name").alias("name")).join(known.select(F.upper("name").alias("key")), "key", "left_anti")
     return fresh, keyed.select("study_id", "key").distinct()
@@ -187,9 +187,9 @@ def external_links(studies: DataFrame, study: str = "study_id", publications: st
     series = studies.where(F.startswith(study, F.lit("GSE"))).select(
         study, F.lit("GEO").alias("kind"), F.col(study).alias("target"), F.lit(None).cast("string").alias("title")
     )
-    papers = studies.select(study, F.explode(split_list(publications, ";")).alias("p")).where(F.trim("p") != "")
+    papers = studies.select(study, F.explode(split_list(publications, ";")).alias("p")).where(T.strip("p") != "")
     return series.unionByName(papers.select(
-        study, F.lit("PUBMED").alias("kind"), F.trim(nth("p", 1, ":")).alias("target"), F.trim(nth("p", 2, ":")).alias("title")
+        study, F.lit("PUBMED").alias("kind"), T.strip(nth("p", 1, ":")).alias("target"), T.strip(nth("p", 2, ":")).alias("title")
     ))
 
 
@@ -207,8 +207,8 @@ def header_metadata(rows: DataFrame, study: str = "study_id", title: str = "titl
 
 def sample_categories(cells: DataFrame, mapping: DataFrame, record: str, subject: Column | None = None, study_level: DataFrame | None = None) -> DataFrame:
     """Sample categories (upper-case category, value) per record, with subject or study-level values."""
-    rows = cells.join(mapping.select("column_number", "category"), "column_number").where(F.trim("value") != "").select(
-        record, F.upper("category").alias("category"), F.trim("value").alias("category_value")
+    rows = cells.join(mapping.select("column_number", "category"), "column_number").where(T.strip("value") != "").select(
+        record, F.upper("category").alias("category"), T.strip("value").alias("category_value")
     )
     if study_level is not None:
         # one constants row: its few categories are attached as a scalar list

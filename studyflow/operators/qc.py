@@ -29,7 +29,7 @@ def compare(
     Blank and ``.`` source values are ignored; ``state`` is equal, different or missing.
     """
     def ranked(df: DataFrame, out: str) -> DataFrame:
-        held = df.where(~F.coalesce(F.trim(F.col(value)), F.lit("")).isin("", ".")).select(*keys, F.col(value).alias(out), T.to_number(value).alias("__num"))
+        held = df.where(~F.coalesce(T.strip(F.col(value)), F.lit("")).isin("", ".")).select(*keys, F.col(value).alias(out), T.to_number(value).alias("__num"))
         return number_rows(held, ["__num", out], keys, slice_by, "__i").drop("__num")
 
     both = ranked(source, "source_value").join(ranked(target, "target_value"), [*keys, "__i"], "left")
@@ -39,7 +39,7 @@ def compare(
 
 def reconcile(source: DataFrame, target: DataFrame, keys: list[str], value: str, tolerance: float = TOLERANCE) -> DataFrame:
     """The same for values unique per key: one join, no ranking."""
-    held = source.where(~F.coalesce(F.trim(F.col(value)), F.lit("")).isin("", ".")).select(*keys, F.col(value).alias("source_value"))
+    held = source.where(~F.coalesce(T.strip(F.col(value)), F.lit("")).isin("", ".")).select(*keys, F.col(value).alias("source_value"))
     both = held.join(target.select(*keys, F.col(value).alias("target_value")), keys, "left")
     state = F.when(F.col("target_value").isNull(), "missing").when(agree(F.col("source_value"), F.col("target_value"), tolerance), "equal").otherwise("different")
     return both.withColumn("state", state)

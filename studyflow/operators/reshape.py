@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studyflow.functions.paths import split_list
+from studyflow.functions.text import strip
 
 
 def unpivot_matrix(
@@ -17,7 +18,7 @@ def unpivot_matrix(
     # names may hold dots, as sample file names do
     cells = [F.struct(F.lit(c).alias(name), F.col(f"`{c}`").cast("string").alias(value)) for c in columns]
     long = df.select(*ids, F.inline(F.array(*cells)))
-    return long.where(F.trim(F.col(value)) != "") if drop_empty else long
+    return long.where(strip(F.col(value)) != "") if drop_empty else long
 
 
 def unpivot_lines(lines: DataFrame, header: list[str], n_ids: int, line: str = "line", sep: str = "\t") -> DataFrame:
@@ -30,7 +31,7 @@ def unpivot_lines(lines: DataFrame, header: list[str], n_ids: int, line: str = "
     zipped = F.arrays_zip(samples.alias("sample"), F.slice(cells, n_ids + 1, max(len(header) - n_ids, 1)).alias("intensity"))
     ids = [F.get(cells, F.lit(i)).alias(h) for i, h in enumerate(header[:n_ids])]
     exploded = lines.select(*ids, F.explode(zipped).alias("__c"))
-    out = exploded.select(*header[:n_ids], F.col("__c").getField("sample").alias("sample"), F.trim(F.col("__c").getField("intensity")).alias("intensity"))
+    out = exploded.select(*header[:n_ids], F.col("__c").getField("sample").alias("sample"), strip(F.col("__c").getField("intensity")).alias("intensity"))
     return out.where(F.col("intensity") != "")
 
 
@@ -42,7 +43,7 @@ def split_rows(df: DataFrame, column: str, sep: str, out: str | None = None, pos
         rows = df.select("*", F.posexplode(items).alias("__p", "__item")).withColumn(position, F.col("__p") + 1)
     else:
         rows = df.select("*", F.explode(items).alias("__item"))
-    rows = rows.withColumn(out, F.trim("__item")).drop("__item", "__p")
+    rows = rows.withColumn(out, strip("__item")).drop("__item", "__p")
     return rows.where(F.col(out) != "")
 
 
@@ -68,6 +69,6 @@ def zip_lists(
     zipped = F.arrays_zip(*[split_list(c, sep).alias(n) for c, n in lists.items()])
     rest = [c for c in df.columns if c not in lists]
     result = good.select(*rest, F.explode(zipped).alias("__z")).select(
-        *rest, *[F.trim(F.col("__z").getField(n)).alias(n) for n in lists.values()]
+        *rest, *[strip(F.col("__z").getField(n)).alias(n) for n in lists.values()]
     )
     return result, df.where(~control & uneven), df.where(control)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studyflow.functions.text import is_numeric, to_number
+from studyflow.functions.text import is_numeric, strip, to_number
 
 
 def retype(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
@@ -47,7 +47,7 @@ def map_values(df: DataFrame, column: str, pairs: dict[str, str], default: str |
 
 def check_required(df: DataFrame, required: list[str], out: str = "missing_fields") -> DataFrame:
     """Name the required fields that are null or blank; '' marks a valid row."""
-    tests = [F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", c) for c in required]
+    tests = [F.when(F.coalesce(strip(F.col(c).cast("string")), F.lit("")) == "", c) for c in required]
     return df.withColumn(out, F.concat_ws(",", *tests))
 
 

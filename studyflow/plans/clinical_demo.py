@@ -280,7 +280,7 @@ def c27_facts(spark, sf):
     nodes = C.leaf_nodes(typed, TOP_NODE)
     patients = surrogate_ids(typed.select(F.col("usubjid").alias("subject_key")).distinct(), ["subject_key"], "patient_num")
     concepts = surrogate_ids(nodes.select(F.col("leaf_node").alias("concept_path")).distinct(), ["concept_path"], "concept_cd")
-    return C.facts(typed, patients, nodes, concepts)
+    return C.facts(typed, patients, nodes, concepts, TOP_NODE)
 
 
 @query("""SELECT o_orderkey, o_orderpriority AS category_cd, CASE o_orderpriority WHEN '1-URGENT' THEN 'U' WHEN '2-HIGH' THEN 'H' END AS display_value,

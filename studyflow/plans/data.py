@@ -14,7 +14,7 @@ def t(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 
 def money(c):
     """Two-decimal text of an amount."""
-    return F.format_string("%.2f", c)
+    return c.cast("decimal(18,2)").cast("string")
 
 
 def customer_paths(spark: SparkSession, sf: str) -> DataFrame:

@@ -136,10 +136,11 @@ def i07_gene_synonyms(spark, sf):
     return O.gene_info(gene_lines(spark, sf), ["9606", "10090"])[1]
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS tax_id, c_name AS name FROM customer WHERE c_custkey % 3 <> 0")
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS tax_id, c_name AS name, '' AS unique_name, CASE WHEN c_custkey % 3 = 0 THEN 'synonym' ELSE 'scientific name' END AS name_class FROM customer""")
 def i08_taxonomy_names(spark, sf):
     kind = F.when(F.col("c_custkey") % 3 == 0, "synonym").otherwise("scientific name")
-    return O.taxonomy_names(t(spark, sf, "customer", "c_custkey", "c_name").select(F.concat_ws("\t|\t", text("c_custkey"), "c_name", F.lit(""), F.concat(kind, F.lit("\t|"))).alias("line")))
+    lines = t(spark, sf, "customer", "c_custkey", "c_name").select(F.concat_ws("\t|\t", text("c_custkey"), "c_name", F.lit(""), F.concat(kind, F.lit("\t|"))).alias("line"))
+    return O.taxonomy_names(lines)
 
 
 @query("SELECT 'GO:' || p_partkey AS term_id, p_name AS term_name FROM part")

@@ -55,3 +55,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several results share and read it back (column-pruned by each of them)."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
