@@ -62,7 +62,8 @@ def add_npv(
     fc = F.col(fold_change)
     scored = results if skip is None else results.where(~skip)
     stats = scored.where(fc.isNotNull()).groupBy(*group).agg(F.avg(fc).alias("__mu"), F.stddev_samp(fc).alias("__sd"))
-    return results.join(stats, group, "left").withColumn(out, S.tea_npv(fc, F.col("__mu"), F.col("__sd"))).drop("__mu", "__sd")
+    joined = results.join(stats, group, "left")
+    return S.with_npv(joined, fc, F.col("__mu"), F.col("__sd"), out).drop("__mu", "__sd")
 
 
 def vendor_npv(results: DataFrame, group: list[str], fold_change: str = "fold_change", digits: int = 4) -> DataFrame:
@@ -71,7 +72,8 @@ def vendor_npv(results: DataFrame, group: list[str], fold_change: str = "fold_ch
     stats = results.groupBy(*group).agg(
         F.round(F.avg(fc), digits).alias("fc_mean"), F.round(F.stddev_samp(fc), digits).alias("fc_stddev"), F.count(F.lit(1)).alias("data_ct")
     ).where("fc_stddev > 0")
-    return results.join(stats, group).withColumn("npv", F.round(S.tea_npv(fc, F.col("fc_mean"), F.col("fc_stddev")), digits))
+    scored = S.with_npv(results.join(stats, group), fc, F.col("fc_mean"), F.col("fc_stddev"))
+    return scored.withColumn("npv", F.round("npv", digits))
 
 
 def significant_results(results: DataFrame) -> DataFrame:

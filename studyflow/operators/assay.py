@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from studyflow.functions import paths as P
 from studyflow.functions import stats as S
 from studyflow.functions import text as T
-from studyflow.operators.grouping import exact_median
+from studyflow.operators.grouping import HOT_GROUP_ROWS, exact_median
 from studyflow.operators.joins import null_safe, small_side
 from studyflow.operators.numbering import surrogate_ids
 
@@ -203,7 +203,9 @@ def process(
             F.col("intensity").alias("log_intensity"), S.clamp(F.col("intensity"), clamp).alias("zscore"),
         )
     logged = log_transform(flat, "intensity", data_type, log_base).drop("intensity")
-    return zscore(logged, ["probeset_id"], clamp=clamp)
+    # a probe has one value per assay, so the sample map bounds its group
+    bound = samples.select("assay_id").distinct().limit(HOT_GROUP_ROWS + 1).count()
+    return zscore(logged, ["probeset_id"], clamp=clamp, group_bound=bound)
 
 
 def append_samples(existing: DataFrame, incoming: DataFrame, keys: list[str], group: list[str], **options) -> DataFrame:

@@ -91,8 +91,8 @@ def standardise(rows: DataFrame) -> DataFrame:
 
 
 def numeric_variables(rows: DataFrame) -> DataFrame:
-    """Variables all of whose values are numbers."""
-    checked = rows.where(F.col("data_value").isNotNull()).groupBy(*TYPE_KEYS).agg(
+    """Variables all of whose values are numbers (nulls do not count)."""
+    checked = rows.groupBy(*TYPE_KEYS).agg(
         F.bool_and(T.is_numeric("data_value")).alias("__all")
     )
     return checked.where("__all").select(*TYPE_KEYS)

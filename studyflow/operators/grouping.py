@@ -43,15 +43,18 @@ def record_concat(df: DataFrame, keys: list[str], value: Column, order: Column,
 
 def exact_median(
     df: DataFrame, keys: list[str], value: str, out: str = "median", extra: dict[str, Column] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int = HOT_GROUP_ROWS, group_bound: int | None = None,
 ) -> DataFrame:
     """Exact median per group (mean of the middle two), with further aggregates in the same pass.
 
     Groups up to ``hot_rows`` use the built-in aggregate. Larger ones are
-    ranked over many tasks and only their middle rows are kept.
+    ranked over many tasks and only their middle rows are kept. A caller that
+    knows a bound of the group size passes it and saves the size check.
     """
     more = [c.alias(n) for n, c in (extra or {}).items()]
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
+    if group_bound is not None and group_bound <= hot_rows:
+        return known.groupBy(*keys).agg(F.median(value).alias(out), *more)
     sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = sizes.where(F.col("__n") > hot_rows)
     if hot.isEmpty():

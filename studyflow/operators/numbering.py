@@ -15,7 +15,7 @@ from studyflow.operators.joins import null_safe
 from studyflow.session import cut
 
 # Leading hex digits of the key digest that slice surrogate ids.
-ID_SLICE_DIGITS = 2
+ID_SLICE_DIGITS = 3
 
 
 def number_rows(
@@ -28,9 +28,10 @@ def number_rows(
     """``row_number`` over ``order``, restarting per ``keys``.
 
     ``slice_by`` is any coarse expression that never decreases along ``order``
-    (a month of a date, ``id div 1e6``). Without it the rows are range
-    partitioned on (keys, order) and pinned by a checkpoint, so that the
-    counts and the ranks see the same ranges.
+    (the day of a time, ``id div 1e6``); it must be fine enough that one key's
+    rows in one slice fit a task. Without it the rows are range partitioned on
+    (keys, order) and pinned by a checkpoint, so that the counts and the ranks
+    see the same ranges.
     """
     keys = keys or []
     order = [F.col(c) if isinstance(c, str) else c for c in order]

@@ -14,6 +14,7 @@ from studyflow.operators.numbering import surrogate_ids
 from studyflow.operators.routing import numeric_only, strip_and_map_samples
 from studyflow.plans.data import t
 from studyflow.plans.registry import query
+from studyflow.sources.tables import spread
 
 TOP = "\\Public Studies\\Ord\\"
 
@@ -29,7 +30,7 @@ samples AS (
 
 
 def samples(spark, sf):
-    o = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = spread(t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), "o_orderkey")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
 
     def tag(prefix, c):
@@ -68,7 +69,7 @@ SUBJECT_SQL = "regexp_replace('ORD:' || coalesce(site_id, '') || ':' || subject_
 
 
 @query(f"""WITH {SAMPLES_SQL}, have AS (SELECT DISTINCT {SUBJECT_SQL} AS subject_key FROM samples WHERE tissue_type = '1-URGENT')
-SELECT row_number() OVER (ORDER BY substr(md5(subject_key), 1, 2), subject_key) + (SELECT count(*) FROM have) AS patient_num, subject_key, 'Unknown' AS sex, 0 AS age, CAST(NULL AS VARCHAR) AS race
+SELECT row_number() OVER (ORDER BY substr(md5(subject_key), 1, 3), subject_key) + (SELECT count(*) FROM have) AS patient_num, subject_key, 'Unknown' AS sex, 0 AS age, CAST(NULL AS VARCHAR) AS race
 FROM (SELECT DISTINCT {SUBJECT_SQL} AS subject_key FROM samples) WHERE subject_key NOT IN (SELECT subject_key FROM have)""")
 def h02_missing_subjects(spark, sf):
     rows = samples(spark, sf)
@@ -99,8 +100,8 @@ def h03_sample_nodes(spark, sf):
 
 
 MAPPING_SQL = ROLES_SQL + f""",
-patients AS (SELECT subject_key, row_number() OVER (ORDER BY substr(md5(subject_key), 1, 2), subject_key) AS patient_num FROM (SELECT DISTINCT {SUBJECT_SQL} AS subject_key FROM samples)),
-concepts AS (SELECT node_path, row_number() OVER (ORDER BY substr(md5(node_path), 1, 2), node_path) AS concept_cd FROM (SELECT DISTINCT node_path FROM roles)),
+patients AS (SELECT subject_key, row_number() OVER (ORDER BY substr(md5(subject_key), 1, 3), subject_key) AS patient_num FROM (SELECT DISTINCT {SUBJECT_SQL} AS subject_key FROM samples)),
+concepts AS (SELECT node_path, row_number() OVER (ORDER BY substr(md5(node_path), 1, 3), node_path) AS concept_cd FROM (SELECT DISTINCT node_path FROM roles)),
 mapping AS (
   SELECT site_id, subject_id, sample_cd, platform, tissue_type, attribute_1, attribute_2, category_cd, any_value({SUBJECT_SQL}) AS subject_key,
     max(concept_cd) FILTER (role = 'LEAF') AS leaf_cd, max(concept_cd) FILTER (role = 'PLATFORM') AS platform_cd, max(concept_cd) FILTER (role = 'ATTR1') AS attr1_cd,
@@ -187,7 +188,7 @@ def h09_log_transform_logged(spark, sf):
 @query(f"WITH {SCORED_SQL} SELECT * FROM scored")
 def h10_zscore(spark, sf):
     logged = A.log_transform(collapsed(spark, sf), "intensity").drop("intensity")
-    return rounded(A.zscore(logged, ["l_partkey"]))
+    return rounded(A.zscore(logged, ["l_partkey"], group_bound=t(spark, sf, "supplier").count()))
 
 
 @query(f"""WITH vals AS (SELECT l_partkey, l_suppkey, l_discount * 100 - 5 AS v FROM lineitem)
@@ -262,9 +263,9 @@ def h45_incremental_matrix(spark, sf):
 LAND_SQL = """
 land AS (SELECT 'GPL' || (p_size % 3) AS platform, 'P' || p_partkey AS probeset, p_name AS gene_symbol, CASE WHEN p_partkey % 4 <> 0 THEN p_size END AS gene_id,
   CASE WHEN p_size % 5 <> 0 THEN p_type END AS organism FROM part),
-old AS (SELECT CAST(row_number() OVER (ORDER BY substr(md5(platform || chr(1) || probeset), 1, 2), platform, probeset) AS BIGINT) AS probeset_id, platform, probeset, 'old' AS organism FROM land WHERE platform = 'GPL1'),
+old AS (SELECT CAST(row_number() OVER (ORDER BY substr(md5(platform || chr(1) || probeset), 1, 3), platform, probeset) AS BIGINT) AS probeset_id, platform, probeset, 'old' AS organism FROM land WHERE platform = 'GPL1'),
 probes AS (SELECT o.probeset_id, o.platform, o.probeset, coalesce(l.organism, o.organism) AS organism FROM old o JOIN land l USING (platform, probeset)
-  UNION ALL SELECT (SELECT max(probeset_id) FROM old) + row_number() OVER (ORDER BY substr(md5(platform || chr(1) || probeset), 1, 2), platform, probeset), platform, probeset, coalesce(organism, 'Homo sapiens') FROM land WHERE platform <> 'GPL1')"""
+  UNION ALL SELECT (SELECT max(probeset_id) FROM old) + row_number() OVER (ORDER BY substr(md5(platform || chr(1) || probeset), 1, 3), platform, probeset), platform, probeset, coalesce(organism, 'Homo sapiens') FROM land WHERE platform <> 'GPL1')"""
 
 
 def landing(spark, sf):

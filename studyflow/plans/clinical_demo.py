@@ -15,6 +15,8 @@ from studyflow.plans.data import (
     CLEAN_SQL, KEYED_SQL, LANDING_SQL, MARKS_SQL, NODES_SQL, SINGLE_SQL, TOP_NODE, TRIM_SQL, TYPED_SQL, VISITS_SQL, landing, money, t,
 )
 from studyflow.plans.registry import query
+from studyflow.session import staged
+from studyflow.sources.tables import spread
 
 # --- wide files: orders as a curated file of six columns -------------------
 
@@ -29,7 +31,7 @@ wide AS (
 
 
 def wide(spark, sf):
-    orders = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    orders = spread(t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"), "o_orderkey")
     customer = t(spark, sf, "customer", "c_custkey", "c_mktsegment")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("rec"), F.concat(F.lit("S"), (F.col("o_custkey") % 9).cast("string")).alias("site"),
@@ -266,8 +268,8 @@ def c26_demographics(spark, sf):
 
 @query(f"""WITH {NODES_SQL},
 people AS (SELECT DISTINCT usubjid AS subject_key FROM typed),
-patients AS (SELECT subject_key, row_number() OVER (ORDER BY substr(md5(subject_key), 1, 2), subject_key) AS patient_num FROM people),
-concepts AS (SELECT leaf_node, row_number() OVER (ORDER BY substr(md5(leaf_node), 1, 2), leaf_node) AS concept_cd FROM (SELECT DISTINCT leaf_node FROM nodes)),
+patients AS (SELECT subject_key, row_number() OVER (ORDER BY substr(md5(subject_key), 1, 3), subject_key) AS patient_num FROM people),
+concepts AS (SELECT leaf_node, row_number() OVER (ORDER BY substr(md5(leaf_node), 1, 3), leaf_node) AS concept_cd FROM (SELECT DISTINCT leaf_node FROM nodes)),
 leaves AS (SELECT * FROM nodes a WHERE NOT EXISTS (SELECT 1 FROM nodes b WHERE starts_with(b.leaf_node, a.leaf_node) AND b.leaf_node <> a.leaf_node))
 SELECT DISTINCT p.patient_num, c.concept_cd, r.study_id, r.data_type AS value_type, CASE WHEN r.data_type = 'T' THEN r.data_value ELSE 'E' END AS text_value,
   CASE WHEN r.data_type = 'N' THEN CAST(r.data_value AS DOUBLE) END AS number_value
@@ -276,7 +278,7 @@ JOIN leaves n ON r.category_cd = n.category_cd AND r.data_label IS NOT DISTINCT
   AND CASE WHEN r.data_type = 'T' THEN r.data_value END IS NOT DISTINCT FROM n.data_value
 JOIN concepts c ON n.leaf_node = c.leaf_node""")
 def c27_facts(spark, sf):
-    typed = C.infer_types(C.standardise(landing(spark, sf)))
+    typed = staged(C.infer_types(C.standardise(landing(spark, sf))), "working-rows")
     nodes = C.leaf_nodes(typed, TOP_NODE)
     patients = surrogate_ids(typed.select(F.col("usubjid").alias("subject_key")).distinct(), ["subject_key"], "patient_num")
     concepts = surrogate_ids(nodes.select(F.col("leaf_node").alias("concept_path")).distinct(), ["concept_path"], "concept_cd")
@@ -300,7 +302,7 @@ SELECT l_suppkey, l_orderkey, 'Shipment ' || CASE WHEN l_returnflag = 'N' THEN '
 def c30_sequence_columns(spark, sf):
     keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
     rows = t(spark, sf, "lineitem", "l_suppkey", "l_returnflag", *keys)
-    numbered = number_rows(rows, keys, ["l_suppkey", "l_returnflag"], F.year("l_shipdate"), "seq")
+    numbered = number_rows(rows, keys, ["l_suppkey", "l_returnflag"], F.to_date("l_shipdate"), "seq")
     number = F.when(F.col("l_returnflag") != "N", F.col("seq"))
     return numbered.select(
         "l_suppkey", "l_orderkey", F.concat(F.lit("Shipment "), ML.mask_sequence(number, 5)).alias("label"),
@@ -330,7 +332,7 @@ kept AS (SELECT * FROM old WHERE subject_key IN (SELECT subject_key FROM incomin
 @query(f"""WITH {PATIENTS_SQL}
 SELECT k.patient_num, k.subject_key, CASE WHEN i.subject_key IS NULL THEN k.age ELSE i.age END AS age, coalesce(i.sex, k.sex) AS sex, coalesce(i.race, k.race) AS race
 FROM kept k LEFT JOIN incoming i ON k.subject_key = i.subject_key
-UNION ALL SELECT row_number() OVER (ORDER BY substr(md5(subject_key), 1, 2), subject_key) + (SELECT max(patient_num) FROM old), subject_key, age, sex, race
+UNION ALL SELECT row_number() OVER (ORDER BY substr(md5(subject_key), 1, 3), subject_key) + (SELECT max(patient_num) FROM old), subject_key, age, sex, race
 FROM incoming WHERE subject_key NOT IN (SELECT subject_key FROM kept)""")
 def c32_merge_patients(spark, sf):
     customer = t(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyflow.sources.tables import read_table
+from studyflow.sources.tables import read_table, spread
 
 
 def t(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
@@ -62,7 +62,7 @@ full_tree AS (
 
 def landing(spark: SparkSession, sf: str) -> DataFrame:
     """Clinical landing rows: five readings per order of a customer."""
-    orders = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    orders = spread(t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"), "o_orderkey")
     customer = t(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     nation = t(spark, sf, "nation", "n_nationkey", "n_name")
     base = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))

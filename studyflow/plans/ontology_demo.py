@@ -178,18 +178,17 @@ def i10_pathway_definitions(spark, sf):
     return O.pathway_definitions(part.select(F.when(F.col("p_size") % 2 == 0, good).otherwise("rect\thsa:1\tx").alias("line")))
 
 
-@query("""WITH g AS (SELECT s_nationkey, s_suppkey FROM supplier)
-SELECT 'member' AS outcome, 'ING:' || s_nationkey AS pathway, CAST(s_suppkey AS VARCHAR) AS gene_id, 'S' || s_suppkey AS symbol FROM g WHERE s_suppkey % 3 <> 0
-UNION ALL SELECT 'reject', 'ING:' || s_nationkey, CAST(s_suppkey AS VARCHAR), NULL FROM g WHERE s_suppkey % 3 = 0
-UNION ALL SELECT 'definition', 'ING:' || s_nationkey, NULL, 'Pathway ' || s_nationkey FROM (SELECT DISTINCT s_nationkey FROM g)""")
+@query("""WITH g AS (SELECT p_partkey, p_name, unnest([p_size, p_size + 1]) AS gene FROM part), d AS (SELECT DISTINCT p_size AS gene FROM part WHERE p_size % 3 <> 0)
+SELECT 'member' AS outcome, 'ING:' || p_partkey AS pathway, CAST(gene AS VARCHAR) AS gene_id, 'S' || gene AS symbol FROM g WHERE gene IN (SELECT gene FROM d)
+UNION ALL SELECT 'reject', 'ING:' || p_partkey, CAST(gene AS VARCHAR), NULL FROM g WHERE gene NOT IN (SELECT gene FROM d)
+UNION ALL SELECT 'definition', 'ING:' || p_partkey, NULL, p_name FROM part""")
 def i10_gene_list_pathways(spark, sf):
     path = work_path(spark, "gene-lists")
-    supplier = t(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    lists = supplier.groupBy("s_nationkey").agg(F.array_join(F.collect_list(text("s_suppkey")), ",\n ").alias("genes"))
-    lists.select(F.concat(
-        F.lit("ING:"), text("s_nationkey"), F.lit("\tPathway "), text("s_nationkey"), F.lit(",\tx\ty\t\""), "genes", F.lit('"')
+    part = t(spark, sf, "part", "p_partkey", "p_name", "p_size")
+    part.select(F.concat(
+        F.lit("ING:"), text("p_partkey"), F.lit("\t"), "p_name", F.lit(',\tx\ty\t"'), text("p_size"), F.lit(",\n "), (F.col("p_size") + 1).cast("string"), F.lit('"')
     ).alias("value")).write.text(path)
-    genes = supplier.where("s_suppkey % 3 <> 0").select(text("s_suppkey").alias("gene_id"), F.concat(F.lit("S"), text("s_suppkey")).alias("symbol"))
+    genes = part.where("p_size % 3 <> 0").select(text("p_size").alias("gene_id"), F.concat(F.lit("S"), text("p_size")).alias("symbol")).distinct()
     definitions, members, rejects = O.gene_list_pathways(O.read_records(spark, path, O.PATHWAY_RECORD), genes)
     parts = [
         members.withColumn("outcome", F.lit("member")), rejects.withColumn("outcome", F.lit("reject")),
@@ -241,7 +240,7 @@ def i13_external_codes(spark, sf):
 
 KEYWORD_SQL = """
 old AS (SELECT c_custkey + 1 AS keyword_id, lower(c_name) AS keyword, 'SUBJECT' AS category FROM customer WHERE c_custkey % 2 = 0),
-kw AS (SELECT * FROM old UNION ALL SELECT (SELECT max(keyword_id) FROM old) + row_number() OVER (ORDER BY substr(md5(c_name), 1, 2), c_name), c_name, 'SUBJECT' FROM customer WHERE c_custkey % 2 = 1)"""
+kw AS (SELECT * FROM old UNION ALL SELECT (SELECT max(keyword_id) FROM old) + row_number() OVER (ORDER BY substr(md5(c_name), 1, 3), c_name), c_name, 'SUBJECT' FROM customer WHERE c_custkey % 2 = 1)"""
 
 
 def keywords(spark, sf):
@@ -264,7 +263,7 @@ def i14_keyword_terms(spark, sf):
 
 TAXONOMY_SQL = """
 tax AS (SELECT CAST(n_nationkey + 1 AS BIGINT) AS term_id, n_name AS term_name FROM nation),
-fresh AS (SELECT c_name AS term_name, (SELECT max(term_id) FROM tax) + row_number() OVER (ORDER BY substr(md5(c_name), 1, 2), c_name) AS term_id FROM customer)"""
+fresh AS (SELECT c_name AS term_name, (SELECT max(term_id) FROM tax) + row_number() OVER (ORDER BY substr(md5(c_name), 1, 3), c_name) AS term_id FROM customer)"""
 
 
 def taxonomy(spark, sf):

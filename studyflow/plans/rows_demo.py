@@ -184,7 +184,7 @@ def b06_value_mapping(spark, sf):
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_num FROM orders")
 def b07_row_number(spark, sf):
     rows = t(spark, sf, "orders", "o_orderkey", "o_orderdate")
-    return number_rows(rows, ["o_orderdate", "o_orderkey"], slice_by=F.date_trunc("month", "o_orderdate")).select("o_orderkey", "row_num")
+    return number_rows(rows, ["o_orderdate", "o_orderkey"], slice_by=F.to_date("o_orderdate")).select("o_orderkey", "row_num")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS row_num FROM orders")
@@ -197,7 +197,7 @@ def b07_row_number_by_range(spark, sf):
 def b08_sequence_per_key(spark, sf):
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     rows = t(spark, sf, "lineitem", "l_suppkey", *order)
-    return number_rows(rows, order, ["l_suppkey"], F.year("l_shipdate"), "seq").select("l_suppkey", "l_orderkey", "seq")
+    return number_rows(rows, order, ["l_suppkey"], F.to_date("l_shipdate"), "seq").select("l_suppkey", "l_orderkey", "seq")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice + l_tax, 2) AS a_plus_b, round(l_extendedprice + l_tax + l_discount, 2) AS a_plus_b_plus_c,

@@ -12,6 +12,7 @@ from studyflow.operators.joins import first_by
 from studyflow.operators.numbering import surrogate_ids
 from studyflow.plans.data import money, t
 from studyflow.plans.registry import query
+from studyflow.sources.tables import spread
 
 # --- F: aggregation, sets, merge ---------------------------------------------
 
@@ -34,7 +35,7 @@ def f02_count_distinct(spark, sf):
 SELECT o_custkey, (n - 1) // 8 + 1 AS part, count(*) AS n_items, string_agg(o_orderpriority, ';' ORDER BY n) AS items FROM n GROUP BY ALL""")
 def f03_ordered_concat(spark, sf):
     rows = t(spark, sf, "orders", "o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
-    return G.list_by_key(rows, ["o_custkey"], F.col("o_orderpriority"), ["o_orderdate", "o_orderkey"], ";", 8, F.year("o_orderdate"))
+    return G.list_by_key(rows, ["o_custkey"], F.col("o_orderpriority"), ["o_orderdate", "o_orderkey"], ";", 8, F.to_date("o_orderdate"))
 
 
 @query("SELECT o_custkey, arg_min(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority, min(o_orderdate)::DATE AS o_orderdate FROM orders GROUP BY o_custkey")
@@ -136,7 +137,7 @@ def f17_upsert(spark, sf):
     return M.upsert(*old_and_new(spark, sf), ["k"], ["status", "price"], ["status"])
 
 
-@query("""SELECT c_custkey, c_name, row_number() OVER (ORDER BY substr(md5(c_name), 1, 2), c_name) + 1000 AS patient_num FROM customer""")
+@query("""SELECT c_custkey, c_name, row_number() OVER (ORDER BY substr(md5(c_name), 1, 3), c_name) + 1000 AS patient_num FROM customer""")
 def f18_surrogate_ids(spark, sf):
     return surrogate_ids(t(spark, sf, "customer", "c_custkey", "c_name"), ["c_name"], "patient_num", 1000)
 
@@ -178,7 +179,7 @@ def g04_split_to_rows(spark, sf):
 
 @query("""SELECT doc_id, count(*) AS n_words, count(DISTINCT word) AS n_distinct FROM (SELECT doc_id, trim(unnest(string_split(text, ' '))) AS word FROM documents) WHERE word <> '' GROUP BY doc_id""")
 def g04_split_documents(spark, sf):
-    words = RS.split_rows(t(spark, sf, "documents", "doc_id", "text"), "text", " ", "word")
+    words = RS.split_rows(spread(t(spark, sf, "documents", "doc_id", "text"), "doc_id"), "text", " ", "word")
     sized = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
     return sized.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.count(F.lit(1)).alias("n_distinct"))
 

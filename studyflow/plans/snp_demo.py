@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from studyflow.functions import genome as GN
 from studyflow.operators import snp as SN
 from studyflow.operators import vcf as V
+from studyflow.operators.joins import small_side
 from studyflow.plans.data import t
 from studyflow.plans.registry import query
 from studyflow.session import work_path
@@ -30,8 +31,8 @@ def placed_calls(spark, sf):
     supplier = t(spark, sf, "supplier", F.col("s_suppkey").alias("patient_id"), "s_name")
     part = t(spark, sf, "part", F.col("p_partkey").alias("snp_id")).withColumn("c", F.col("snp_id") % 25)
     patients = SN.ordered_definition(supplier, ["s_name"], slice_by=F.substring("s_name", 1, 14), out="patient_pos").drop("s_name")
-    snps = SN.ordered_definition(part, ["snp_id"], ["c"], F.floor(F.col("snp_id") / 100000), "snp_pos").drop("c")
-    return calls.join(patients, "patient_id").join(snps, "snp_id")
+    snps = SN.ordered_definition(part, ["snp_id"], ["c"], F.floor(F.col("snp_id") / 1000000), "snp_pos").drop("c")
+    return calls.join(small_side(patients), "patient_id").join(small_side(snps), "snp_id")
 
 
 def copy_numbers(spark, sf):
@@ -147,7 +148,7 @@ def h27_genotypes_with_copy_number(spark, sf):
 @query("SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS position FROM orders")
 def h28_ordered_definition(spark, sf):
     rows = t(spark, sf, "orders", "o_custkey", "o_orderkey", "o_orderdate")
-    return SN.ordered_definition(rows, ["o_orderdate", "o_orderkey"], ["o_custkey"], F.year("o_orderdate")).drop("o_orderdate")
+    return SN.ordered_definition(rows, ["o_orderdate", "o_orderkey"], ["o_custkey"], F.to_date("o_orderdate")).drop("o_orderdate")
 
 
 @query("SELECT l_partkey AS sample, count(DISTINCT l_suppkey) AS n_patients FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")

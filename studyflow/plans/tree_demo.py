@@ -69,7 +69,7 @@ def d05_add_nodes(spark, sf):
 new AS (SELECT DISTINCT '\' || n_name || '\' AS concept_path, n_name AS name FROM paths),
 fresh AS (SELECT * FROM new WHERE concept_path NOT IN (SELECT concept_path FROM old))
 SELECT o.concept_cd, o.concept_path, coalesce(n.name, o.name) AS name FROM old o LEFT JOIN new n USING (concept_path)
-UNION ALL SELECT row_number() OVER (ORDER BY substr(md5(concept_path), 1, 2), concept_path) + (SELECT max(concept_cd) FROM old), concept_path, name FROM fresh""")
+UNION ALL SELECT row_number() OVER (ORDER BY substr(md5(concept_path), 1, 3), concept_path) + (SELECT max(concept_cd) FROM old), concept_path, name FROM fresh""")
 def d06_upsert_concepts(spark, sf):
     nation = t(spark, sf, "nation")
     old = nation.where("n_regionkey <> 2").select(

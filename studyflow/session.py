@@ -16,6 +16,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -10,6 +10,15 @@ def read_table(spark: SparkSession, base: str, name: str, *columns: str) -> Data
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of few, small files over the cores before per-row work.
+
+    A scan that already has a split per core (any large table) is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
