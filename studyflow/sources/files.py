@@ -81,7 +81,11 @@ def column_count_report(lines: DataFrame, header: Column | str, line: str = "lin
 
 
 def write_text(df: DataFrame, path: str, sep: str = "\t", header: bool = True) -> None:
-    df.write.mode("overwrite").option("sep", sep).option("header", header).csv(path)
+    writer = df.write.mode("overwrite").option("sep", sep).option("header", header)
+    if len(df.columns) == 1:
+        # an unquoted null alone would be a blank line, which scans skip
+        writer = writer.option("nullValue", '""')
+    writer.csv(path)
 
 
 def write_with_rejects(df: DataFrame, valid: Column, path: str, rejects_path: str) -> None:
