@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +14,16 @@ from studyflow.sources.tables import load_history, replace_partitions
 
 
 def start(
-    spark: SparkSession, landing: str, history: str, columns: list[str], study: str = "study_id", name: str = "landing",
+    spark: SparkSession, landing: str, history: str, columns: list[str], study: str = "study_id", name: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None, incremental: bool = True, sep: str = "\t",
 ) -> StreamingQuery:
     """Process the files that arrived since the last run, then stop.
 
-    File progress is kept under the shared folder, so a run lost with its
-    driver or executors continues where it was. ``incremental=False``
+    File progress is kept under the shared folder (by ``name``, else by the two
+    paths), so a run lost with its driver or executors continues where it was. ``incremental=False``
     replaces the studies that a batch delivers.
     """
+    name = name or hashlib.md5(f"{landing}|{history}".encode()).hexdigest()
     schema = ", ".join(f"`{c}` string" for c in columns)
     files = spark.readStream.schema(schema).option("sep", sep).option("header", True).csv(landing)
 

@@ -1,3 +1,5 @@
+import uuid
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -41,11 +43,11 @@ def test_rejects_go_to_the_side(spark, tmp_path):
 
 
 def test_folder_load_takes_new_files_once(spark, tmp_path):
-    landing, history = tmp_path / "in", str(tmp_path / "out")
+    landing, history, name = tmp_path / "in", str(tmp_path / "out"), uuid.uuid4().hex
     landing.mkdir()
 
     def run():
-        folder_load.start(spark, str(landing), history, ["study_id", "v"], name=tmp_path.name, transform=lambda b: b.where("v <> 'drop'")).awaitTermination()
+        folder_load.start(spark, str(landing), history, ["study_id", "v"], name=name, transform=lambda b: b.where("v <> 'drop'")).awaitTermination()
         return rows(spark.read.parquet(history).select("study_id", "v"))
 
     (landing / "1.txt").write_text("study_id\tv\nA\t1\nA\tdrop\n")
