@@ -78,6 +78,11 @@ def most_frequent(df: DataFrame, keys: list[str], value: str, out: str) -> DataF
 
 
 def reduce_duplicates(df: DataFrame, keys: list[str], value: str, rule: str, record: str) -> DataFrame:
-    """MIN / MAX / MEAN of duplicated readings, keeping the lowest record number."""
-    reducers = {"MIN": F.min, "MAX": F.max, "MEAN": F.avg}
-    return df.groupBy(*keys).agg(reducers[rule](value).alias(value), F.min(record).alias(record))
+    """MIN / MAX / MEAN of duplicated readings, keeping the lowest record number.
+
+    The mean of a decimal column is its exact sum over its count.
+    """
+    exact = df.schema[value].dataType.typeName() == "decimal"
+    mean = F.sum(value).cast("double") / F.count(value) if exact else F.avg(value)
+    reduced = {"MIN": F.min(value), "MAX": F.max(value), "MEAN": mean}[rule]
+    return df.groupBy(*keys).agg(reduced.alias(value), F.min(record).alias(record))

@@ -130,10 +130,10 @@ def h37_marker_counts(spark, sf):
     return AL.marker_counts(AL.add_npv(results(spark, sf), ["analysis_id"]), links)
 
 
-@query("SELECT DISTINCT p_name AS feature FROM part EXCEPT SELECT p_name FROM part WHERE p_size < 5")
+@query("SELECT DISTINCT p_name || ' ' || p_size AS feature FROM part WHERE p_size >= 5")
 def h38_feature_groups(spark, sf):
-    part = t(spark, sf, "part", "p_name", "p_size")
-    return AL.feature_groups(part.select(F.col("p_name").alias("probeset")), part.where("p_size < 5").select(F.col("p_name").alias("feature")))
+    part = t(spark, sf, "part", "p_name", "p_size").withColumn("probeset", F.concat_ws(" ", "p_name", F.col("p_size").cast("string")))
+    return AL.feature_groups(part, part.where("p_size < 5").select(F.col("probeset").alias("feature")))
 
 
 @query("""SELECT DISTINCT p_name AS feature, n_nationkey AS marker_id FROM part JOIN (SELECT n_nationkey, 'Brand#' || (n_nationkey + 1) AS symbol FROM nation) ON p_brand = symbol WHERE p_type = 'PROMO'""")

@@ -109,17 +109,19 @@ def c06_word_map(spark, sf):
 
 def _reduced(rule):
     def run(spark, sf):
-        rows = t(spark, sf, "lineitem", "l_suppkey", "l_returnflag", "l_extendedprice", "l_orderkey")
+        rows = t(spark, sf, "lineitem", "l_suppkey", "l_returnflag", F.col("l_extendedprice").cast("decimal(18,2)").alias("l_extendedprice"), "l_orderkey")
         out = G.reduce_duplicates(rows, ["l_suppkey", "l_returnflag"], "l_extendedprice", rule, "l_orderkey")
-        return out.withColumn("l_extendedprice", F.round("l_extendedprice", 4))
+        return out.withColumn("l_extendedprice", F.col("l_extendedprice").cast("double"))
 
     return run
 
 
-for _rule, _agg in {"MIN": "min", "MAX": "max", "MEAN": "avg"}.items():
+for _rule, _agg in {
+    "MIN": "min(l_extendedprice)", "MAX": "max(l_extendedprice)", "MEAN": "CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*)",
+}.items():
     query(
-        f"SELECT l_suppkey, l_returnflag, round({_agg}(l_extendedprice), 4) AS l_extendedprice, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY l_suppkey, l_returnflag",
-        name=f"c07_duplicates_{_agg}",
+        f"SELECT l_suppkey, l_returnflag, {_agg} AS l_extendedprice, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY l_suppkey, l_returnflag",
+        name=f"c07_duplicates_{_rule.lower()}",
     )(_reduced(_rule))
 
 

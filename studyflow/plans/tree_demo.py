@@ -129,11 +129,11 @@ def d09_cascade(spark, sf):
 
 
 @query(rf"""WITH {FULL_TREE_SQL} SELECT path FROM full_tree WHERE attributes LIKE 'L%' AND path LIKE '\ASIA\%'
-  AND path NOT IN (SELECT path FROM paths WHERE patient_num % 7 = 0) AND path NOT IN (SELECT path FROM paths WHERE patient_num % 11 = 0)""")
+  AND path NOT IN (SELECT path FROM paths WHERE n_name LIKE '%2') AND path NOT IN (SELECT path FROM paths WHERE path LIKE '%MACHINERY%')""")
 def d10_unused_leaves(spark, sf):
     paths = customer_paths(spark, sf)
     return TR.unused_leaves(
-        region_tree(spark, sf), "\\ASIA\\", paths.where("patient_num % 7 = 0"), paths.where("patient_num % 11 = 0")
+        region_tree(spark, sf), "\\ASIA\\", paths.where("n_name like '%2'"), paths.where(F.contains("path", F.lit("MACHINERY")))
     )
 
 
