@@ -1,4 +1,9 @@
-"""Column expressions over delimiter-encoded paths such as ``\\A\\B\\C\\``."""
+"""Column expressions over delimiter-encoded paths such as ``\\A\\B\\C\\``.
+
+A path starts and ends with the separator and has no empty parts (``collapse``
+makes it so); the expressions below then only count and cut, inside generated
+code.
+"""
 
 from __future__ import annotations
 
@@ -44,27 +49,28 @@ def instr(c: Column | str, sub: str, start: int = 1, occurrence: int = 1) -> Col
     return F.when(c.isNotNull(), F.coalesce(F.get(hits, F.lit(occurrence - 1)), F.lit(0)))
 
 
-def parts(path: Column | str, sep: str = SEP) -> Column:
-    """The non-empty parts of a path."""
-    return F.filter(split_list(path, sep), lambda p: p != "")
+def separators(path: Column | str, sep: str = SEP) -> Column:
+    """How often the separator occurs."""
+    path = _col(path)
+    return F.floor((F.length(path) - F.length(F.replace(path, F.lit(sep), F.lit("")))) / len(sep)).cast("int")
+
+
+def first_parts(path: Column, n: Column, sep: str = SEP) -> Column:
+    """The path of the first ``n`` parts."""
+    return F.concat(F.call_function("substring_index", path, F.lit(sep), (n + 1).cast("int")), F.lit(sep))
 
 
 def depth(path: Column | str, sep: str = SEP) -> Column:
-    return F.size(parts(path, sep))
+    return separators(path, sep) - 1
 
 
 def level(path: Column | str, root_level: int = 0, sep: str = SEP) -> Column:
     """Tree level: separators - 2 + the level of the root node."""
-    path = _col(path)
-    return F.length(path) - F.length(F.replace(path, F.lit(sep), F.lit(""))) - 2 + root_level
+    return separators(path, sep) - 2 + root_level
 
 
 def leaf_name(path: Column | str, sep: str = SEP) -> Column:
-    return F.try_element_at(parts(path, sep), F.lit(-1))
-
-
-def join_parts(items: Column, sep: str = SEP) -> Column:
-    return F.concat(F.lit(sep), F.array_join(items, sep), F.lit(sep))
+    return F.substring_index(F.substring_index(_col(path), sep, -2), sep, 1)
 
 
 def build(*columns: Column | str, sep: str = SEP) -> Column:
@@ -74,17 +80,16 @@ def build(*columns: Column | str, sep: str = SEP) -> Column:
 
 def parent(path: Column | str, sep: str = SEP) -> Column:
     """The path one level up; null for a root node."""
-    p = parts(path, sep)
-    return F.when(F.size(p) > 1, join_parts(F.slice(p, F.lit(1), F.size(p) - 1), sep))
+    path = _col(path)
+    n = depth(path, sep)
+    return F.when(n > 1, first_parts(path, n - 1, sep))
 
 
 def ancestors(path: Column | str, sep: str = SEP, with_self: bool = True) -> Column:
     """Array of every prefix path from the root down."""
-    p = parts(path, sep)
-    last = F.size(p) if with_self else F.size(p) - 1
-    prefixes = F.transform(
-        F.sequence(F.lit(1), last), lambda i: join_parts(F.slice(p, F.lit(1), i), sep)
-    )
+    path = _col(path)
+    last = depth(path, sep) if with_self else depth(path, sep) - 1
+    prefixes = F.transform(F.sequence(F.lit(1), last), lambda i: first_parts(path, i, sep))
     return F.when(last >= 1, prefixes).otherwise(F.array().cast("array<string>"))
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from studyflow.operators.joins import null_safe
 from studyflow.session import cut
 
 # Leading hex digits of the key digest that slice surrogate ids.
@@ -40,16 +39,18 @@ def number_rows(
         rows = cut(ranged.withColumn("__slice", F.spark_partition_id()))
     else:
         rows = df.withColumn("__slice", slice_by)
-    unit = [*keys, "__slice"]
-    earlier = W.partitionBy(*keys).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = rows.groupBy(*unit).agg(F.count(F.lit(1)).alias("__n")).select(
-        *unit, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    # one struct names the slice: never null itself, so ranking, counting and
+    # the join back share a single shuffle of the rows
+    rows = rows.withColumn("__unit", F.struct(*keys, "__slice"))
+    earlier = W.partitionBy(*[F.col(f"__unit.{k}") for k in keys]).orderBy("__unit.__slice").rowsBetween(W.unboundedPreceding, -1)
+    offsets = rows.groupBy("__unit").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__unit", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
     )
-    ranked = rows.withColumn("__rank", F.row_number().over(W.partitionBy(*unit).orderBy(*order)))
+    ranked = rows.withColumn("__rank", F.row_number().over(W.partitionBy("__unit").orderBy(*order)))
     return (
-        null_safe(ranked, offsets, unit)
+        ranked.join(offsets, "__unit")
         .withColumn(out, (F.col("__before") + F.col("__rank")).cast("long"))
-        .drop("__slice", "__rank", "__before")
+        .drop("__unit", "__slice", "__rank", "__before")
     )
 
 
