@@ -15,6 +15,14 @@ DEFAULT_ORGANISM = "Homo sapiens"
 GENE_SEP, FIELD_SEP = "///", "//"
 CONTROL_PREFIX = "AFFX"
 NO_VALUE = "---"
+PLATFORM_LAYOUTS = {
+    "GPL2004": {"probe": 1, "rs_id": 2, "chrom": 3, "position": 6, "genes": 13},
+    "GPL2005": {"probe": 1, "rs_id": 2, "chrom": 3, "position": 6, "genes": 13},
+    "GPL3718": {"probe": 1, "rs_id": 3, "chrom": 4, "position": 7, "genes": 14},
+    "GPL3720": {"probe": 1, "rs_id": 3, "chrom": 4, "position": 7, "genes": 14},
+}
+PLATFORM_COLUMNS = 15
+PLATFORM_GENE_FIELDS = ["accession", "relation", "distance", "transcript", "symbol", "gene_id", "title"]
 HEADER_PATTERNS = {"gene_id": r"(?i)entrez", "gene_symbol": r"(?i)symbol", "organism": r"(?i)species"}
 ASSAY_LANDING = {
     "proteomics": ["peptide", "uniprot_id", "organism"],
@@ -109,15 +117,23 @@ def snp_annotation(rows: DataFrame, probe: str, rs: str, chrom: str, pos: str, g
     return snps, links.select(F.col(probe).alias("snp_id"), "symbol").distinct()
 
 
-def platform_probes(rows: DataFrame, layout: dict[str, int], line: str = "line", gene_sep: str = GENE_SEP) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Platform file lines by a column-index layout: (probe info, SNP -> gene, map rows); controls dropped."""
-    picked = rows.where(~F.rlike(line, F.lit("^[#!^]"))).select(*[nth(line, i, "\t").alias(n) for n, i in layout.items()])
-    probes = picked.where(~is_control(F.col("probe")))
-    genes = probes.select("rs_id", F.explode(split_list("genes", gene_sep)).alias("gene")).select(
-        "rs_id", T.strip("gene").alias("gene")
-    ).where("gene <> ''").distinct()
-    mapped = probes.select("chrom", "rs_id", F.lit(0).alias("distance"), "position")
-    return probes.select("probe", "rs_id", "chrom", "position"), genes, mapped
+def platform_probes(
+    lines: DataFrame, layout: dict[str, int], line: str = "line", min_columns: int = PLATFORM_COLUMNS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Platform file lines by a column layout: (probe -> rs, probe -> gene, map rows).
+
+    Controls and unplaced probes give neither probe nor map rows; probes
+    without an rs id only give map rows.
+    """
+    body = lines.where(~F.rlike(line, F.lit("^([#!^]|ID)")) & (F.size(split_list(line, "\t")) >= min_columns))
+    picked = body.select(*[T.strip(nth(line, i, "\t")).alias(n) for n, i in layout.items()])
+    placed = picked.where((F.col("chrom") != "") & (F.col("position") != "") & ~F.contains("probe", F.lit(CONTROL_PREFIX)))
+    probes = placed.where(~T.has("rs_id", NO_VALUE)).select("probe", "rs_id", "chrom", "position")
+    genes = nested_genes(picked, "genes", ["probe"], PLATFORM_GENE_FIELDS).where(
+        F.col("gene_id").isNotNull() & ~T.has("gene_id", NO_VALUE)
+    ).select("probe", "gene_id", "symbol").distinct()
+    mapped = placed.select("chrom", "probe", F.lit(0).alias("distance"), "position")
+    return probes, genes, mapped
 
 
 def platform_catalogue(platforms: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -371,14 +371,39 @@ def h20_snp_annotation(spark, sf):
     return snps.join(links, "snp_id")
 
 
-@query(f"""WITH {SNP_ROWS_SQL} SELECT probe, rs AS rs_id, chrom, CAST(pos AS VARCHAR) AS position, gene FROM s JOIN (SELECT rs AS r, unnest([p_brand, p_name]) AS gene FROM s) ON rs = r WHERE probe NOT LIKE 'AFFX%'""")
-def h21_platform_file(spark, sf):
-    rows = snp_rows(spark, sf)
-    part = t(spark, sf, "part", F.concat(F.lit("rs"), F.col("p_partkey").cast("string")).alias("rs"), "p_brand", "p_name")
-    lines = rows.drop("genes").join(part, "rs").select(F.concat_ws("\t", "probe", "chrom", "pos", "rs", F.concat_ws("///", "p_brand", "p_name")).alias("line"))
-    layout = {"probe": 1, "chrom": 2, "position": 3, "rs_id": 4, "genes": 5}
-    probes, genes, _ = AN.platform_probes(lines, layout)
-    return probes.join(genes, "rs_id")
+PLATFORM_SQL = """
+f AS (SELECT CASE WHEN p_size % 8 = 0 THEN 'AFFX-' || p_partkey ELSE 'SNP_A-' || p_partkey END AS probe, CASE WHEN p_size % 7 = 0 THEN '---' ELSE 'rs' || p_partkey END AS rs_id,
+  CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS chrom, CAST(p_partkey * 10 AS VARCHAR) AS position, p_brand, p_name, p_size FROM part)"""
+
+
+def platform_lines(spark, sf):
+    part = t(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_size")
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+
+    def gene(symbol, gene_id):
+        return F.concat_ws(" // ", F.lit("NM"), F.lit("intron"), F.lit("0"), F.lit("x"), symbol, gene_id, F.lit("title"))
+
+    genes = F.concat_ws(" /// ", gene(F.col("p_brand"), size.cast("string")), gene(F.col("p_name"), F.when(size % 3 == 0, "---").otherwise("77")))
+    blank = F.lit("")
+    return part.select(F.concat_ws(
+        "\t", F.concat(F.when(size % 8 == 0, "AFFX-").otherwise("SNP_A-"), key), F.when(size % 7 == 0, "---").otherwise(F.concat(F.lit("rs"), key)),
+        F.when(size % 5 == 0, "").otherwise(size.cast("string")), blank, blank, (F.col("p_partkey") * 10).cast("string"), *[blank] * 6, genes, blank, blank
+    ).alias("line"))
+
+
+@query(f"WITH {PLATFORM_SQL} SELECT probe, rs_id, chrom, position FROM f WHERE probe NOT LIKE 'AFFX%' AND chrom <> '' AND rs_id <> '---'")
+def h21_platform_probes(spark, sf):
+    return AN.platform_probes(platform_lines(spark, sf), AN.PLATFORM_LAYOUTS["GPL2004"])[0]
+
+
+@query(f"WITH {PLATFORM_SQL} SELECT probe, CAST(p_size AS VARCHAR) AS gene_id, p_brand AS symbol FROM f UNION SELECT probe, '77', p_name FROM f WHERE p_size % 3 <> 0")
+def h21_platform_genes(spark, sf):
+    return AN.platform_probes(platform_lines(spark, sf), AN.PLATFORM_LAYOUTS["GPL2004"])[1]
+
+
+@query(f"WITH {PLATFORM_SQL} SELECT chrom, probe, 0 AS distance, position FROM f WHERE probe NOT LIKE 'AFFX%' AND chrom <> ''")
+def h21_platform_map(spark, sf):
+    return AN.platform_probes(platform_lines(spark, sf), AN.PLATFORM_LAYOUTS["GPL2004"])[2]
 
 
 @query("""SELECT 'loaded' AS outcome, 'GPL7' AS platform, p_name AS peptide, p_brand AS uniprot_id, CASE WHEN p_size % 2 = 0 THEN 'Homo sapiens' ELSE p_type END AS organism FROM part WHERE p_size % 9 <> 0

@@ -98,9 +98,17 @@ def test_gene_assignments_and_controls(spark):
 
 
 def test_platform_file(spark):
-    lines = spark.createDataFrame([("#comment",), ("AFFX-1\t1\t5\trs9\tG",), ("S1\t2\t7\trs1\tA /// B",)], "line string")
-    probes, genes, mapped = AN.platform_probes(lines, {"probe": 1, "chrom": 2, "position": 3, "rs_id": 4, "genes": 5})
-    assert rows(probes) == [("S1", "rs1", "2", "7")] and rows(genes) == [("rs1", "A"), ("rs1", "B")] and mapped.count() == 1
+    def line(probe, rs, chrom, pos, genes):
+        return ("\t".join([probe, rs, chrom, "", "", pos, *[""] * 6, genes, "", ""]),)
+
+    gene = "NM // intron // 0 // x // TP53 // 7157 // tumor"
+    lines = spark.createDataFrame([
+        ("#comment",), line("ID", "rs", "chr", "pos", ""), line("AFFX-1", "rs9", "1", "5", "---"), line("S1", "rs1", "2", "7", f"{gene} /// a // b // c // d // B // --- // t"),
+        line("S2", "---", "X", "8", gene), line("S3", "rs3", "", "9", "---"), ("S4\trs4",),
+    ], "line string")
+    probes, genes, mapped = AN.platform_probes(lines, AN.PLATFORM_LAYOUTS["GPL2005"])
+    assert rows(probes) == [("S1", "rs1", "2", "7")] and rows(genes) == [("S1", "7157", "TP53"), ("S2", "7157", "TP53")]
+    assert rows(mapped) == [("2", "S1", 0, "7"), ("X", "S2", 0, "8")]
 
 
 def test_gap_fill_uses_the_smallest_id(spark):
