@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import importlib.util
 
-from studyflow.llm import exact_dedup, minhash
+from studyflow.llm import exact_dedup, minhash, packing
 
 QUERIES = {
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
