@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import importlib.util
 
-from studyflow.llm import exact_dedup, minhash, packing
+from studyflow.llm import exact_dedup, minhash, packing, pii, quality
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
+    "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
