@@ -7,12 +7,10 @@ must be the same; should two texts share a digest, their rows are grouped by the
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyflow.llm.shared import documents
+from studyflow.llm.shared import documents, settings
 from studyflow.session import staged, work_path
 
 # Bytes of new files that one micro-batch takes.
@@ -34,18 +32,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"), F.input_file_name().alias("locator"))
 
 
-@contextmanager
-def _settings(spark: SparkSession, conf: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def remember(stream: DataFrame, work: str | None = None) -> DataFrame:
     """Run a stream of fingerprints over what there is now and return the state: one row for each digest.
 
@@ -61,7 +47,7 @@ def remember(stream: DataFrame, work: str | None = None) -> DataFrame:
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{updates}/batch-{number:09d}")
 
-    with _settings(spark, STATE_CONF):
+    with settings(spark, STATE_CONF):
         query = state.writeStream.outputMode("update").option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).foreachBatch(save).start()
         query.awaitTermination()
     rows = spark.read.schema(state.schema).option("recursiveFileLookup", "true").parquet(updates)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyflow.llm.shared import components, documents, mix64, window_hashes, word_hashes
+from studyflow.llm.shared import components, documents, mix64, settings, window_hashes, word_hashes
 from studyflow.session import staged
 
 ROWS_PER_BAND = 5
@@ -28,6 +28,12 @@ MISS = 1e-8
 # Members of a candidate cluster that meet in one task; a larger cluster is compared in pairs of such blocks.
 BLOCK = 256
 COLUMNS = 4096
+# Texts of documents outside all clusters stay out of the shuffle: a Bloom filter of the members' ids goes to the scan.
+FILTER_CONF = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+}
 
 
 def bands_for(percent: int, rows: int = ROWS_PER_BAND, miss: float = MISS) -> int:
@@ -146,6 +152,7 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     A document without words is a component of its own. Repeated rows give the same answer each. Rows without an id link with nothing but rows
     of the same set, have the component of those, and are kept only if none of them has an id. No rows give none.
     """
+    spark = docs.sparkSession
     marks = staged(signed(docs, words, percent, id_col, text_col), "signatures")
     full = marks.where("n_shingles > 0")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -155,9 +162,10 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     stars = keys.join(centres, "key").where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
     clusters = components(stars)
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    where = clusters.join(sizes, "component").select("id", F.col("component").alias("cluster"), "size")
+    where = staged(clusters.join(sizes, "component").select("id", F.col("component").alias("cluster"), "size"), "clusters").where("size > 1")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    edges = links(texts.join(where, "id"), words, percent)
+    with settings(spark, FILTER_CONF):
+        edges = staged(links(texts.join(where, "id"), words, percent), "links")
     groups = components(edges).withColumnRenamed("id", "rep")
     answer = classes.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     thin = marks.select("doc_id", "n_shingles", "digest")

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import importlib.util
 
-from studyflow.llm import exact_dedup, minhash, packing, pii, quality
+from studyflow.llm import exact_dedup, html_main, importance, licences, minhash, packing, pieces, pii, quality
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_html_extraction": html_main.op2_html_extraction,
+    "op3_license_scan": licences.op3_license_scan,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_sentencepiece": pieces.op6_sentencepiece,
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
+    "op9_quality_rules": importance.op9_quality_rules,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
-ORACLES = {"op10_exact_dedup": exact_dedup.OP10_SQL}
+ORACLES = {"op3_license_scan": licences.OP3_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
 
