@@ -80,6 +80,18 @@ class DoubleArray:
         return np.where((node >= 0) & (self.check[at] == node) & (at > 0), at, -1)
 
 
+def log_scores(given: np.ndarray) -> np.ndarray:
+    """Log scores of pieces. Scores that are negated ranks (0, -1, -2, ...) become log frequencies by Zipf's law, in steps of 1/1024.
+
+    A score beyond all ranks marks a piece for want of another and gets the last rank. Other scores are logs already.
+    """
+    ranks = -given
+    if (given != np.round(given)).any() or (ranks < 0).any():
+        return given
+    ranks = np.minimum(ranks, len(given))
+    return -np.round(np.log((ranks + 1) * (1 / np.arange(1, len(given) + 1)).sum()) * 1024) / 1024
+
+
 class Pieces:
     """The pieces of a model file: texts, scores and the ids of the 256 byte pieces."""
 
@@ -95,7 +107,7 @@ class Pieces:
         self.control = {k for k in range(n) if model.is_control(k)}
         self.unknown = model.unk_id()
         score = np.zeros(n)
-        score[plain] = [model.get_score(k) for k in plain]
+        score[plain] = log_scores(np.array([model.get_score(k) for k in plain]))
         self.score = score
         self.beyond = float(score[plain].min()) - UNKNOWN
         self.code = {c: k + 1 for k, c in enumerate(sorted({c for k in plain for c in self.text[k]}))}
