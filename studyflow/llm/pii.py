@@ -207,7 +207,7 @@ def report(docs: DataFrame, selector: Selector) -> DataFrame:
 
 
 def redacted(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets; spans that overlap become one, of the first one's kind. Null texts stay null."""
+    """``docs`` with every span replaced by its kind in brackets; spans that overlap become one, of the first one's kind. Null texts stay null. n_chars, if there, follows."""
     text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -217,7 +217,9 @@ def redacted(docs: DataFrame, selector: Selector, text_col: str = "text") -> Dat
 
     whole = F.aggregate("__spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))))
     df = with_spans(docs, selector, text_col)
-    return df.withColumn(text_col, F.when(text.isNull() | (F.size("__spans") == 0), text).otherwise(whole)).select(*docs.columns)
+    df = df.withColumn("__text", F.when(text.isNull() | (F.size("__spans") == 0), text).otherwise(whole))
+    new = {text_col: F.col("__text")} | ({"n_chars": F.char_length("__text").cast("long")} if "n_chars" in docs.columns else {})
+    return df.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import importlib.util
-
-from studyflow.llm import exact_dedup, html_main, importance, licences, minhash, packing, pieces, pii, quality
+import corpus_pipeline
+from studyflow.llm import exact_dedup, html_main, importance, licences, minhash, packing, pieces, pii, quality, suffix_dedup
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -13,9 +12,10 @@ QUERIES = {
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_sentencepiece": pieces.op6_sentencepiece,
+    "op7_suffix_array_dedup": suffix_dedup.op7_suffix_array_dedup,
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
     "op9_quality_rules": importance.op9_quality_rules,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op3_license_scan": licences.OP3_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
-
