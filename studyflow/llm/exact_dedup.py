@@ -67,7 +67,7 @@ def decide(docs: DataFrame, state: DataFrame, id_col: str = "doc_id", text_col:
     prints = fingerprints(docs, id_col, text_col)
     # A digest's rows are dealt over SALTS tasks, which each pass on one row.
     whole = docs.select(F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"), text, F.pmod(F.xxhash64(id_col), F.lit(SALTS)).alias("salt"))
-    hits = state.where("group_size > 1").select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"))
+    hits = state.where("group_size > 1").select("digest", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     clash = staged(whole.join(hits, ["digest", "salt"], "left_semi").groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("digest"), "dedup-clash")
     thin = prints.groupBy("doc_id", "digest", "n_bytes").agg(F.count(F.lit(1)).alias("n")).drop("n")
     shown = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")]
