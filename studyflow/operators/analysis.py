@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from studyflow.functions import stats as S
 from studyflow.functions import text as T
 from studyflow.functions.paths import split_list
 from studyflow.operators.joins import no_case
+from studyflow.session import staged
 
 # Filters of the stored result tables, the assay kind without
 # normalised p-values and the correlation types of the heat map.
@@ -180,15 +179,22 @@ def tag_terms(
     return tags, invalid
 
 
-def lineage(taxonomy: DataFrame, relations: DataFrame, tags: DataFrame, depth: int = 4) -> DataFrame:
-    """Tags of the terms and of their parents up to ``depth`` levels."""
-    edges = relations.select(F.col("child_id").alias("term_id"), F.col("parent_id").alias("__up"))
-    current = tags
-    levels = [tags]
-    for _ in range(depth):
-        current = current.join(edges, "term_id").withColumn("term_id", F.col("__up")).drop("__up")
-        levels.append(current)
-    return reduce(DataFrame.unionByName, levels).distinct().join(taxonomy.select("term_id", "term_name"), "term_id")
+def lineage(taxonomy: DataFrame, relations: DataFrame, tags: DataFrame) -> DataFrame:
+    """Tags of the terms and of all their ancestors.
+
+    Levels of the taxonomy are added until none brings a new (term, ancestor)
+    pair, so a cycle ends too; each round runs as a job of its own. The tags
+    then meet the closed pairs in one join.
+    """
+    edges = relations.select(F.col("child_id").alias("__at"), F.col("parent_id").alias("__up")).distinct()
+    fresh = staged(tags.select("term_id").distinct().select("term_id", F.col("term_id").alias("up")), "lineage")
+    pairs = fresh
+    while not fresh.isEmpty():
+        above = fresh.join(edges, F.col("up") == F.col("__at")).select("term_id", F.col("__up").alias("up")).distinct()
+        fresh = staged(above.join(pairs, ["term_id", "up"], "left_anti"), "lineage")
+        pairs = pairs.unionByName(fresh)
+    found = tags.join(pairs, "term_id").drop("term_id").withColumnRenamed("up", "term_id").select(*tags.columns).distinct()
+    return found.join(taxonomy.select("term_id", "term_name"), "term_id")
 
 
 def refresh_entries(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> tuple[DataFrame, DataFrame]:

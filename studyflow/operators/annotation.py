@@ -136,6 +136,11 @@ def platform_probes(
     return probes, genes, mapped
 
 
+def short_platform_lines(lines: DataFrame, line: str = "line", min_columns: int = PLATFORM_COLUMNS) -> DataFrame:
+    """Platform lines with too few columns: rejects of ``platform_probes``."""
+    return lines.where(~F.rlike(line, F.lit("^([#!^]|ID)")) & (F.size(split_list(line, "\t")) < min_columns))
+
+
 def platform_catalogue(platforms: DataFrame, incoming: DataFrame) -> DataFrame:
     """Insert-or-update of platforms (title, marker type, organism)."""
     from studyflow.operators.merge import upsert

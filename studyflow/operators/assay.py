@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from studyflow.functions import paths as P
 from studyflow.functions import stats as S
 from studyflow.functions import text as T
-from studyflow.operators.grouping import HOT_GROUP_ROWS, exact_median
-from studyflow.operators.joins import null_safe, small_side
+from studyflow.operators.grouping import exact_median
+from studyflow.operators.joins import null_safe
 from studyflow.operators.numbering import surrogate_ids
 
 # Template tokens of a sample category, in node-role order, the
@@ -45,15 +45,24 @@ def sample_map_report(samples: DataFrame, platforms: DataFrame, probes: DataFram
     )
 
 
-def load_sample_map(landing: DataFrame, source: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Sample map rows of one source and the rejects without a required field."""
-    ready = landing.where(F.col("source_cd") == source).withColumns({
+def load_sample_map(landing: DataFrame, source: str, required: list[str], platforms: DataFrame | None = None, marker_type: str = GENE_EXPRESSION) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sample map rows of one source (or of none), the rejects without a required field, and the rows that another load takes.
+
+    With ``platforms`` (platform, marker_type), rows of platforms with another marker type (without case) are skipped too.
+    """
+    mine = F.coalesce(F.col("source_cd") == source, F.lit(True))
+    if platforms is not None:
+        kinds = platforms.select("platform", F.upper("marker_type").alias("__kind")).distinct()
+        landing = landing.join(kinds, "platform", "left")
+        mine = mine & F.coalesce(F.col("__kind") == marker_type.upper(), F.lit(False))
+    skipped = landing.where(~mine)
+    ready = landing.where(mine).withColumns({
         "study_id": F.upper("study_id"), "tissue_type": F.coalesce("tissue_type", F.lit(DEFAULT_TISSUE)),
     })
     blank = F.lit(False)
     for c in required:
         blank = blank | T.blank_to_null(F.col(c).cast("string")).isNull()
-    return ready.where(~blank), ready.where(blank)
+    return tuple(df.drop("__kind") for df in (ready.where(~blank), ready.where(blank), skipped))
 
 
 def missing_subjects(samples: DataFrame, patients: DataFrame, study: str) -> DataFrame:
@@ -115,7 +124,7 @@ def sample_mapping(
         *[F.max(F.when(F.col("role") == r, F.col("concept_cd"))).alias(f"{r.lower()}_cd") for r in ("LEAF", *ROLE_TOKENS)]
     ).where("leaf_cd is not null and platform_cd is not null")
     kept = samples.select("site_id", "subject_id", "sample_cd", "platform", *inputs).distinct()
-    keyed = null_safe(kept, small_side(codes), inputs).drop("title").withColumn(
+    keyed = null_safe(kept, codes, inputs).drop("title").withColumn(
         "subject_key", T.subject_key(F.lit(study), "site_id", "subject_id")
     )
     return keyed.join(patients.select("subject_key", "patient_num"), "subject_key").withColumn(
@@ -175,11 +184,10 @@ def log_transform(df: DataFrame, value: str, data_type: str = "R", base: float =
 
 def zscore(
     df: DataFrame, group: list[str], value: str = "log_intensity", clamp: float = S.Z_CLAMP, out: str = "zscore",
-    **median_options,
 ) -> DataFrame:
     """Median-centred z-score per group, clamped."""
     spread = {"__sd": F.stddev_samp(value)}
-    stats = exact_median(df, group, value, "__median", spread, **median_options)
+    stats = exact_median(df, group, value, "__median", spread)
     joined = df.join(stats, group)
     return joined.withColumn(out, S.zscore(F.col(value), F.col("__median"), F.col("__sd"), clamp)).drop("__median", "__sd")
 
@@ -203,9 +211,7 @@ def process(
             F.col("intensity").alias("log_intensity"), S.clamp(F.col("intensity"), clamp).alias("zscore"),
         )
     logged = log_transform(flat, "intensity", data_type, log_base).drop("intensity")
-    # a probe has one value per assay, so the sample map bounds its group
-    bound = samples.select("assay_id").distinct().limit(HOT_GROUP_ROWS + 1).count()
-    return zscore(logged, ["probeset_id"], clamp=clamp, group_bound=bound)
+    return zscore(logged, ["probeset_id"], clamp=clamp)
 
 
 def append_samples(existing: DataFrame, incoming: DataFrame, keys: list[str], group: list[str], **options) -> DataFrame:

@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studyflow.operators.joins import null_safe
 from studyflow.operators.numbering import number_rows
 
-# A group above this many rows is not held by one median buffer.
-HOT_GROUP_ROWS = 5_000_000
-
 
 def list_by_key(
     df: DataFrame,
@@ -41,31 +37,14 @@ def record_concat(df: DataFrame, keys: list[str], value: Column, order: Column,
     return df.groupBy(*keys).agg(F.array_join(F.transform(items, lambda s: s["v"]), sep).alias(out))
 
 
-def exact_median(
-    df: DataFrame, keys: list[str], value: str, out: str = "median", extra: dict[str, Column] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS, group_bound: int | None = None,
-) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", extra: dict[str, Column] | None = None) -> DataFrame:
     """Exact median per group (mean of the middle two), with further aggregates in the same pass.
 
-    Groups up to ``hot_rows`` use the built-in aggregate. Larger ones are
-    ranked over many tasks and only their middle rows are kept. A caller that
-    knows a bound of the group size passes it and saves the size check.
+    The built-in aggregate keeps the count of each distinct value and is
+    combined map-side, so equal values of a hot group cost one entry.
     """
     more = [c.alias(n) for n, c in (extra or {}).items()]
-    known = df.where(F.col(value).isNotNull()).select(*keys, value)
-    if group_bound is not None and group_bound <= hot_rows:
-        return known.groupBy(*keys).agg(F.median(value).alias(out), *more)
-    sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > hot_rows)
-    if hot.isEmpty():
-        return known.groupBy(*keys).agg(F.median(value).alias(out), *more)
-    cold = null_safe(known, hot, keys, "left_anti").groupBy(*keys).agg(F.median(value).alias(out))
-    ranked = number_rows(null_safe(known, hot, keys, "left_semi"), [value], keys, None, "__pos")
-    middle = null_safe(ranked, hot, keys).where(
-        (F.col("__pos") == F.floor((F.col("__n") + 1) / 2)) | (F.col("__pos") == F.floor((F.col("__n") + 2) / 2))
-    )
-    medians = cold.unionByName(middle.groupBy(*keys).agg(F.avg(value).alias(out)))
-    return null_safe(medians, known.groupBy(*keys).agg(*more), keys) if more else medians
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(out), *more)
 
 
 def most_frequent(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Join helpers.
 
-Large joins are left to run-time statistics (sort-merge with skew split);
-only sides that pass ``small_side`` are broadcast.
+The kind of a join is left to run-time statistics: a side that turns out
+small is broadcast, a skewed key is split. Nothing runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -12,22 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# A side is broadcast only when it is known to hold no more than this.
-SMALL_ROWS, SMALL_BYTES = 50_000, 16 << 20
-
-
-def small_side(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> DataFrame:
-    """A checked lookup side: held as local rows and broadcast when it is small, else left as it is.
-
-    At most ``rows + 1`` rows are fetched for the check; a larger side goes
-    through the ordinary shuffled join.
-    """
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows <= rows and head.nbytes <= size:
-        return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
-    return df
-
-
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi join in which null keys match each other; the left keys are kept once."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -3,7 +3,7 @@
 A *raw* frame has one row per record (``rec_num`` plus the file's columns).
 A *mapping* frame has one row per mapped column: ``category_cd``,
 ``column_number`` (1-based), ``data_label``, ``label_source``. It is read from
-a curated mapping file and is bounded by the file's column count.
+a curated mapping file; a column may be mapped more than once.
 """
 
 from __future__ import annotations
@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from studyflow.functions import text as T
 from studyflow.operators.grouping import record_concat
-from studyflow.operators.joins import small_side
 
+# Reserved labels that give a value of the whole record.
+RECORD_LABELS = {"SITE_ID": "site_id", "SUBJ_ID": "subject_id", "VISIT_NAME": "visit_name", "VISIT_NAME_2": "visit_name_2", "VISIT_DATE": "visit_date", "SAMPLE_CD": "sample_cd"}
 LABEL_SOURCE = r"^([0-9]+)([AB]?)$"
-MAX_FILE_COLUMNS = 50_000
-MAX_LISTED = 10_000
 
 
 def to_cells(raw: DataFrame, record: str, columns: list[str]) -> DataFrame:
@@ -35,7 +34,7 @@ def header_labels(columns: list[str], spark) -> DataFrame:
 
 def record_columns(cells: DataFrame, mapping: DataFrame, record: str, names: dict[str, str]) -> DataFrame:
     """Flatten the reserved columns (subject, site, visit …) to one row per record."""
-    reserved = cells.join(small_side(mapping.where(F.col("data_label").isin(list(names))).select("column_number", "data_label")), "column_number")
+    reserved = cells.join(mapping.where(F.col("data_label").isin(list(names))).select("column_number", "data_label"), "column_number")
     return reserved.groupBy(record).agg(
         *[F.max(F.when(F.col("data_label") == k, T.clean_column("value"))).alias(v) for k, v in names.items()]
     )
@@ -44,7 +43,7 @@ def record_columns(cells: DataFrame, mapping: DataFrame, record: str, names: dic
 def word_map(cells: DataFrame, words: DataFrame) -> DataFrame:
     """Replace listed values per column; unlisted ones pass through."""
     side = words.select("column_number", F.col("from_value").alias("value"), F.col("to_value").alias("__to"))
-    return cells.join(small_side(side), ["column_number", "value"], "left").select(
+    return cells.join(side, ["column_number", "value"], "left").select(
         *[c for c in cells.columns if c != "value"], F.coalesce("__to", "value").alias("value")
     ).select(*cells.columns)
 
@@ -64,8 +63,9 @@ def append_unit(value: Column, unit: Column) -> Column:
 
 
 def mask_sequence(number: Column, width: int = 3, missing: int = -1) -> Column:
-    """Zero-padded sequence text; ``-1`` where there is none."""
-    return F.when(number.isNull(), F.lit(str(missing))).otherwise(F.lpad(number.cast("string"), width, "0"))
+    """Sequence text padded to at least ``width`` digits; ``-1`` where there is none."""
+    text = number.cast("string")
+    return F.when(number.isNull(), F.lit(str(missing))).when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def reformat(c: Column, source_mask: str, target_mask: str) -> Column:
@@ -77,78 +77,92 @@ def reformat(c: Column, source_mask: str, target_mask: str) -> Column:
     return F.concat(*pieces)
 
 
-def mapping_rules(mapping: DataFrame) -> list:
-    """The mapping rows of a file. They are metadata, like a schema, and bounded by the file's column count."""
-    rows = mapping.select(
+def mapping_rules(mapping: DataFrame, n_columns: int) -> DataFrame:
+    """The mapping rows with their numbers parsed and the reason to reject a row, null for a good one.
+
+    A row needs a category (unless its label is reserved) and a column of the
+    file; a label taken from another column needs a readable source column.
+    """
+    rules = mapping.select(
         "category_cd", F.col("column_number").try_cast("int").alias("column_number"), "data_label",
         F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 1), F.lit("")).try_cast("int").alias("source"),
         F.coalesce(F.nullif(F.regexp_extract("label_source", LABEL_SOURCE, 2), F.lit("")), F.lit("A")).alias("side"),
-    ).limit(MAX_FILE_COLUMNS + 1).collect()
-    if len(rows) > MAX_FILE_COLUMNS:
-        raise ValueError("a mapping cannot have more rows than a file has columns")
-    return rows
+    )
+    reserved = F.coalesce(F.col("data_label").isin([*T.RESERVED_LABELS, *RECORD_LABELS]), F.lit(False))
+    in_file = lambda c: F.coalesce(F.col(c).between(1, n_columns), F.lit(False))
+    reason = (
+        F.when(~in_file("column_number"), "COLUMN").when(T.blank_to_null("data_label").isNull(), "LABEL")
+        .when(~reserved & T.blank_to_null("category_cd").isNull(), "CATEGORY")
+        .when((F.col("data_label") == "\\") & ~in_file("source"), "LABEL_SOURCE")
+    )
+    return rules.withColumns({"reserved": reserved, "reason": reason})
+
+
+def mapping_rejects(mapping: DataFrame, n_columns: int) -> DataFrame:
+    """Mapping rows that ``by_mapping`` cannot use, with the reason."""
+    return mapping_rules(mapping, n_columns).where("reason is not null").select("category_cd", "column_number", "data_label", "reason")
 
 
 def without_listed(raw: DataFrame, record: str, columns: list[str], listed: DataFrame) -> DataFrame:
-    """Drop every record that holds a listed (column number, value) pair."""
+    """Drop every record that holds a listed (column number, value) pair; pairs of columns that the file has not match nothing."""
     pairs = listed.select(F.col("column_number").try_cast("int").alias("column_number"), "value").distinct()
-    head = pairs.limit(MAX_LISTED + 1).collect()
-    if len(head) > MAX_LISTED:
-        bad = to_cells(raw, record, columns).join(pairs, ["column_number", "value"], "left_semi").select(record).distinct()
-        return raw.join(bad, record, "left_anti")
-    hit = F.lit(False)
-    for number in {r.column_number for r in head}:
-        values = [r.value for r in head if r.column_number == number]
-        hit = hit | F.coalesce(F.col(columns[number - 1]).cast("string").isin(values), F.lit(False))
-    return raw.where(~hit)
+    bad = to_cells(raw, record, columns).join(pairs, ["column_number", "value"], "left_semi").select(record).distinct()
+    return raw.join(bad, record, "left_anti")
 
 
 def by_mapping(
     raw: DataFrame, mapping: DataFrame, record: str, columns: list[str], words: DataFrame | None = None,
-    exclusions: DataFrame | None = None, preserve_nulls: bool = False,
+    exclusions: DataFrame | None = None, preserve_nulls: bool = False, details: bool = False,
 ) -> DataFrame:
     """Wide file to (record, site, subject, visit, label, value, category) rows.
 
-    The mapping becomes column expressions, so the melt is one map-side
-    projection and explode without any shuffle. Handles reserved labels, labels
-    taken from another column of the record (``\\`` with source ``nA`` /
-    ``nB``), word mapping (a checked lookup join) and record exclusion.
+    A record is one array of its values; its cells meet the mapping in one
+    join, so the plan does not grow with the mapped columns. Handles reserved
+    labels, labels taken from another column of the record (``\\`` with source
+    ``nA`` / ``nB``), word mapping and record exclusion. Rows of the mapping
+    that cannot be used are in ``mapping_rejects``; a label column without a
+    value gives no row. A mapping without a subject column, and a record
+    without a subject, fail the load. With ``details`` the visit date, the sample code and whether
+    the visit is named before the subject (``visit_first``) follow.
     """
-    rules = mapping_rules(mapping)
     rows = raw if exclusions is None else without_listed(raw, record, columns, exclusions)
-    reserved = {r.data_label: columns[r.column_number - 1] for r in rules if r.data_label in T.RESERVED_LABELS}
-
-    def special(label: str) -> Column:
-        return T.clean_column(F.col(reserved[label]).cast("string")) if label in reserved else F.lit(None).cast("string")
-
-    cells = []
-    for r in rules:
-        if r.data_label in T.RESERVED_LABELS or not r.column_number:
-            continue
-        if r.data_label == "\\":
-            label = F.col(columns[r.source - 1]).cast("string") if r.source else F.lit("")
-            category = T.insert_label_token(F.lit(r.category_cd), F.lit(r.side))
-        else:
-            label, category = F.lit(r.data_label), F.lit(r.category_cd)
-        cells.append(F.struct(
-            F.lit(r.column_number).alias("column_number"), T.clean_column(label).alias("data_label"),
-            F.col(columns[r.column_number - 1]).cast("string").alias("value"), T.clean_column(category).alias("category_cd"),
-        ))
-    long = rows.select(
-        record, F.nullif(special("SITE_ID"), F.lit("")).alias("site_id"), special("SUBJ_ID").alias("subject_id"),
-        F.nullif(special("VISIT_NAME"), F.lit("")).alias("visit_name"), F.inline(F.array(*cells)),
+    rules = mapping_rules(mapping, len(columns)).where("reason is null")
+    values = F.array(*[F.col(c).cast("string") for c in columns])
+    held = rules.where("reserved")
+    # One row of places: the columns of the reserved labels, read as scalars.
+    places = held.agg(*[F.min(F.when(F.col("data_label") == k, F.col("column_number"))).alias(v) for k, v in RECORD_LABELS.items()])
+    at = {v: places.select(v).scalar() for v in RECORD_LABELS.values()}
+    subject_at = places.select(F.coalesce("subject_id", F.raise_error(F.lit("the mapping names no subject column")).cast("int")).alias("n")).scalar()
+
+    def special(name: str) -> Column:
+        return T.clean_column(F.get("__values", (subject_at if name == "subject_id" else at[name]) - 1))
+
+    subject = T.blank_to_null(special("subject_id"))
+    known = F.coalesce(subject, F.raise_error(F.concat(F.lit("record without subject: "), F.col(record).cast("string"))).cast("string"))
+    visit = merge_visits(special("visit_name"), special("visit_name_2"))
+    whole = rows.select(record, values.alias("__values")).select(
+        record, "__values", F.nullif(special("site_id"), F.lit("")).alias("site_id"), known.alias("subject_id"), visit.alias("visit_name"),
+        T.blank_to_null(special("visit_date")).alias("visit_date"), T.blank_to_null(special("sample_cd")).alias("sample_cd"),
+        F.coalesce(at["visit_name"] < at["subject_id"], F.lit(False)).alias("visit_first"),
     )
+    cells = whole.select("*", F.posexplode("__values").alias("__p", "value")).withColumn("column_number", F.col("__p") + 1)
+    mapped = cells.join(rules.where("not reserved").select("column_number", "category_cd", "data_label", "source", "side"), "column_number")
+    from_column = F.col("data_label") == "\\"
+    label = F.when(from_column, T.blank_to_null(F.get("__values", F.col("source") - 1))).otherwise(F.col("data_label"))
+    category = F.when(from_column, T.insert_label_token(F.col("category_cd"), F.col("side"))).otherwise(F.col("category_cd"))
+    long = mapped.withColumns({"data_label": T.clean_column(label), "category_cd": T.clean_column(category)}).where("data_label is not null")
     if words is not None:
         long = word_map(long, words)
     kept = drop_missing(long, preserve_nulls=preserve_nulls)
+    more = ["visit_date", "sample_cd", "visit_first"] if details else []
     return kept.select(
-        record, "column_number", "site_id", "subject_id", "visit_name", "data_label", T.clean_column("value").alias("data_value"), "category_cd"
+        record, "column_number", "site_id", "subject_id", "visit_name", "data_label", T.clean_column("value").alias("data_value"), "category_cd", *more
     )
 
 
 def joined_parts(cells: DataFrame, sources: DataFrame, record: str, sep: str = " ", out: str = "label") -> DataFrame:
     """Labels or values made of several columns of a record, in the mapped order."""
-    picked = cells.join(small_side(sources.select("column_number", "target", "seq")), "column_number")
+    picked = cells.join(sources.select("column_number", "target", "seq"), "column_number")
     return record_concat(picked, [record, "target"], F.col("value"), F.col("seq"), sep, out)
 
 
@@ -195,4 +209,4 @@ def label_files_report(rows: DataFrame, label: str, file: str, subject: str) ->
 def display_mapping(rows: DataFrame, display: DataFrame, category: str = "category_cd") -> DataFrame:
     """Attach display value, label and unit to the categories that have one."""
     side = display.select(category, "display_value", "display_label", "display_unit")
-    return rows.join(small_side(side), category, "left")
+    return rows.join(side, category, "left")

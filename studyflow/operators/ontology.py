@@ -17,7 +17,6 @@ MESH_ENTRY = r"(?m)^ENTRY = ([^|\r\n]*)"
 EXTRA_PATHWAYS = {
     "hsa01100": "Metabolic pathways", "hsa05131": "Shigellosis", "hsa05200": "Pathways in cancer",
 }
-OVERALL_DESIGN_LENGTH = 2000
 # end of fixed values
 
 
@@ -109,6 +108,13 @@ def pathway_definitions(lines: DataFrame, extra: dict[str, str] | None = None, l
     return named.unionByName(lines.sparkSession.createDataFrame(list(extra.items()), "pathway string, title string"))
 
 
+def pathway_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of a pathway file. Only a marker at the start of a line begins one; the file's first needs no line end before it."""
+    records = read_records(spark, path, f"\n{PATHWAY_RECORD}")
+    first = F.startswith("record", F.lit(PATHWAY_RECORD))
+    return records.select(F.when(first, F.substring("record", len(PATHWAY_RECORD) + 1, 2**30)).otherwise(F.col("record")).alias("record"))
+
+
 def gene_list_pathways(records: DataFrame, genes: DataFrame, record: str = "record") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pathway rows whose gene list may span lines: (definitions, members, rejects)."""
     joined = F.regexp_replace(record, r"[\r\n]+", "")
@@ -154,8 +160,8 @@ def metadata_row(pairs: DataFrame, names: list[str], required: list[str], ids: l
     return wide, report
 
 
-def overall_design(end_points: Column, inclusion: Column, exclusion: Column, fallback: Column) -> Column:
-    """Concatenated design text without ``N/A`` parts, cut at the column length."""
+def overall_design(end_points: Column, inclusion: Column, exclusion: Column, fallback: Column, length: int | None = None) -> Column:
+    """Concatenated design text without ``N/A`` parts, whole unless a length is given."""
     def part(c: Column, prefix: str) -> Column:
         return F.when(c != "N/A", F.concat(F.lit(prefix), c)).otherwise("")
 
@@ -163,7 +169,7 @@ def overall_design(end_points: Column, inclusion: Column, exclusion: Column, fal
         F.coalesce(part(end_points, ""), F.lit("")), F.coalesce(part(inclusion, " Inclusion Criteria: "), F.lit("")),
         F.coalesce(part(exclusion, " Exclusion Criteria: "), F.lit("")),
     )
-    return F.coalesce(F.nullif(F.substring(text, 1, OVERALL_DESIGN_LENGTH), F.lit("")), fallback)
+    return F.coalesce(F.nullif(text if length is None else F.substring(text, 1, length), F.lit("")), fallback)
 
 
 def typed_metadata(landing: DataFrame, dates: list[str], numbers: list[str]) -> DataFrame:
@@ -205,15 +211,17 @@ def header_metadata(rows: DataFrame, study: str = "study_id", title: str = "titl
     return rows.where(ok), rows.where(~ok)
 
 
-def sample_categories(cells: DataFrame, mapping: DataFrame, record: str, subject: Column | None = None, study_level: DataFrame | None = None) -> DataFrame:
-    """Sample categories (upper-case category, value) per record, with subject or study-level values."""
+def sample_categories(
+    cells: DataFrame, mapping: DataFrame, record: str, subject: Column | None = None, study_level: DataFrame | None = None, studies: DataFrame | None = None, study: str = "study_id",
+) -> DataFrame:
+    """Sample categories (upper-case category, value) per record, with subject or study-level values.
+
+    ``study_level`` has a value for each study and category; ``studies`` names the study of each record.
+    """
     rows = cells.join(mapping.select("column_number", "category"), "column_number").where(T.strip("value") != "").select(
         record, F.upper("category").alias("category"), T.strip("value").alias("category_value")
     )
     if study_level is not None:
-        # one constants row: its few categories are attached as a scalar list
-        held = study_level.agg(
-            F.collect_list(F.struct(F.upper("category").alias("category"), "category_value")).alias("l")
-        ).select("l").scalar()
-        rows = rows.unionByName(cells.select(record).distinct().select(record, F.inline(held)))
+        held = study_level.select(study, F.upper("category").alias("category"), "category_value").distinct()
+        rows = rows.unionByName(studies.select(record, study).distinct().join(held, study).select(record, "category", "category_value"))
     return rows if subject is None else rows.withColumn("subject_id", subject)

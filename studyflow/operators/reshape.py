@@ -24,7 +24,8 @@ def unpivot_matrix(
 def unpivot_lines(lines: DataFrame, header: list[str], n_ids: int, line: str = "line", sep: str = "\t") -> DataFrame:
     """Unpivot delimited matrix lines of any width without declaring a column per sample.
 
-    ``header`` is the split header line (its width is one file line).
+    ``header`` is the split header line (its width is one file line). Lines with
+    more cells than that are in ``uneven_lines``.
     """
     cells = split_list(line, sep)
     samples = F.array(*[F.lit(h) for h in header[n_ids:]])
@@ -35,6 +36,12 @@ def unpivot_lines(lines: DataFrame, header: list[str], n_ids: int, line: str = "
     return out.where(F.col("intensity") != "")
 
 
+def uneven_lines(lines: DataFrame, header: list[str], line: str = "line", sep: str = "\t") -> DataFrame:
+    """Lines whose cells the header does not name, or that end before it: rejects of ``unpivot_lines``."""
+    n = F.size(split_list(line, sep))
+    return lines.withColumn("n_cells", n).where(F.col("n_cells") != len(header))
+
+
 def split_rows(df: DataFrame, column: str, sep: str, out: str | None = None, position: str | None = None) -> DataFrame:
     """One row per non-blank item of a delimited list."""
     out = out or column

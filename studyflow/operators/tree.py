@@ -73,10 +73,24 @@ def without_sample_subjects(patients: DataFrame, key: str = "subject_key") -> Da
     return patients.where(~F.contains(F.col(key), F.lit(":S:")))
 
 
-def hide_uncounted(tree: DataFrame, counted: DataFrame, path: str = "path") -> DataFrame:
-    """Mark nodes without patients as hidden, but never the security node."""
+def scoped_counts(tree: DataFrame, facts: DataFrame, patients: DataFrame, scope: str, path: str = "path", member: str = "patient_num") -> DataFrame:
+    """Distinct known patients under every visible node at or below ``scope``.
+
+    Facts count where their own node is a visible leaf; subjects that only stand for a sample, and members that are no patients, do not.
+    """
+    shown = tree.where(P.under(path, scope) & (F.substring("attributes", 2, 1) != "H")).select(path, "attributes")
+    leaves = shown.where(F.startswith("attributes", F.lit("L"))).select(path)
+    known = without_sample_subjects(patients) if "subject_key" in patients.columns else patients
+    pairs = facts.select(path, member).distinct().join(leaves, path, "left_semi").join(known.select(member).distinct(), member, "left_semi")
+    return counts(pairs, path, member).join(shown.select(path), path, "left_semi")
+
+
+def hide_uncounted(tree: DataFrame, counted: DataFrame, path: str = "path", scope: str | None = None) -> DataFrame:
+    """Mark nodes without patients as hidden, but never the security node; with ``scope`` only nodes at or below that path."""
     positive = counted.where("patient_count > 0").select(path, F.lit(True).alias("__ok"))
     hide = F.col("__ok").isNull() & (F.col("name") != SECURITY_NODE)
+    if scope is not None:
+        hide = hide & P.under(path, scope)
     return tree.join(positive, path, "left").withColumn(
         "attributes", F.when(hide, P.overlay_char("attributes", 2, "H")).otherwise(F.col("attributes"))
     ).select(*tree.columns)
@@ -148,6 +162,12 @@ def set_visible(tree: DataFrame, prefix: str, visible: bool, path: str = "path")
     return tree.withColumn("attributes", F.when(P.under(path, prefix), flag).otherwise(F.col("attributes")))
 
 
+def show_again(tree: DataFrame, prefix: str, facts: DataFrame, patients: DataFrame, path: str = "path", member: str = "patient_num") -> tuple[DataFrame, DataFrame]:
+    """Unhide a subtree and count it anew: (tree, counts under the prefix)."""
+    shown = set_visible(tree, prefix, True, path)
+    return shown, scoped_counts(shown, facts, patients, prefix, path, member)
+
+
 def security_rows(patients: DataFrame, study: Column, secured: Column) -> DataFrame:
     """One token row per patient of a study."""
     return patients.select(
@@ -173,15 +193,18 @@ def secure_objects(tree: DataFrame, registered: DataFrame, source: str = "source
 
 
 def counts_by_level(subjects: DataFrame, base: str, levels: list[str], member: str) -> DataFrame:
-    """Counts of a base / platform / tissue template: one rollup instead of a loop."""
-    rolled = subjects.rollup(*levels).agg(F.count(member).alias("patient_count"), F.grouping_id(*levels).alias("__g"))
+    """Counts of a base / platform / tissue template: one rollup instead of a loop. A level without a name has no node of its own."""
+    rolled = subjects.rollup(*levels).agg(F.count(member).alias("patient_count"), *[F.grouping(c).alias(f"__g_{i}") for i, c in enumerate(levels)])
+    for i, c in enumerate(levels):
+        rolled = rolled.where((F.col(f"__g_{i}") == 1) | F.col(c).isNotNull())
     pieces = [F.when(F.col(c).isNotNull(), F.concat(F.col(c), F.lit(P.SEP))).otherwise("") for c in levels]
     return rolled.select(F.concat(F.lit(base), *pieces).alias("path"), "patient_count")
 
 
 def tags(links: DataFrame, tree: DataFrame, kind: str, key: str, source: str = "source", path: str = "path") -> DataFrame:
     """Shortest-sorting path per tagged key."""
-    return links.join(tree.where(F.col(source).isNotNull()), source).groupBy(key).agg(F.min(path).alias("path")).select(
+    tops = tree.where(F.col(source).isNotNull()).groupBy(source).agg(F.min(path).alias(path))
+    return links.join(tops, source).groupBy(key).agg(F.min(path).alias("path")).select(
         "path", F.lit(kind).alias("tag_type"), F.col(key).alias("tag")
     )
 

@@ -243,7 +243,7 @@ def h41_term_lineage(spark, sf):
     taxonomy = nation.select((F.col("n_nationkey") + 100).alias("term_id"), F.col("n_name").alias("term_name")).union(region.select("r_regionkey", "r_name"))
     relations = nation.select((F.col("n_nationkey") + 100).alias("child_id"), F.col("n_regionkey").alias("parent_id"))
     tags = t(spark, sf, "customer", "c_custkey", (F.col("c_nationkey") + 100).alias("term_id"))
-    return AL.lineage(taxonomy, relations, tags, 2)
+    return AL.lineage(taxonomy, relations, tags)
 
 
 @query("""SELECT n AS n_entries, n AS n_delivered, true AS complete FROM (SELECT count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0)""")

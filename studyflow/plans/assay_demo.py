@@ -188,7 +188,7 @@ def h09_log_transform_logged(spark, sf):
 @query(f"WITH {SCORED_SQL} SELECT * FROM scored")
 def h10_zscore(spark, sf):
     logged = A.log_transform(collapsed(spark, sf), "intensity").drop("intensity")
-    return rounded(A.zscore(logged, ["l_partkey"], group_bound=t(spark, sf, "supplier").count()))
+    return rounded(A.zscore(logged, ["l_partkey"]))
 
 
 @query(f"""WITH vals AS (SELECT l_partkey, l_suppkey, l_discount * 100 - 5 AS v FROM lineitem)
@@ -243,12 +243,13 @@ def h12_panel_load(spark, sf):
     return numeric_only(strip_and_map_samples(landing, "p_name", " .*$", names, "name", "code"), "intensity").select("sample_cd", "probeset", "intensity", "uniprot_id")
 
 
-@query(f"""WITH {SAMPLES_SQL} SELECT 'loaded' AS outcome, 'ORD' AS study_id, sample_cd, coalesce(attribute_1, 'Unknown') AS tissue_type FROM samples WHERE source_cd = 'STD' AND attribute_2 IS NOT NULL
-UNION ALL SELECT 'reject', 'ORD', sample_cd, coalesce(attribute_1, 'Unknown') FROM samples WHERE source_cd = 'STD' AND attribute_2 IS NULL""")
+@query(f"""WITH {SAMPLES_SQL} SELECT 'loaded' AS outcome, 'ORD' AS study_id, sample_cd, coalesce(attribute_1, 'Unknown') AS tissue_type FROM samples WHERE coalesce(source_cd, 'STD') = 'STD' AND attribute_2 IS NOT NULL
+UNION ALL SELECT 'reject', 'ORD', sample_cd, coalesce(attribute_1, 'Unknown') FROM samples WHERE coalesce(source_cd, 'STD') = 'STD' AND attribute_2 IS NULL
+UNION ALL SELECT 'skipped', study_id, sample_cd, attribute_1 FROM samples WHERE source_cd <> 'STD'""")
 def h13_load_sample_map(spark, sf):
     rows = samples(spark, sf).withColumn("tissue_type", F.col("attribute_1"))
-    good, bad = A.load_sample_map(rows, "STD", ["subject_id", "sample_cd", "attribute_2"])
-    return good.withColumn("outcome", F.lit("loaded")).unionByName(bad.withColumn("outcome", F.lit("reject"))).select("outcome", "study_id", "sample_cd", "tissue_type")
+    good, bad, skipped = A.load_sample_map(rows, "STD", ["subject_id", "sample_cd", "attribute_2"])
+    return good.withColumn("outcome", F.lit("loaded")).unionByName(bad.withColumn("outcome", F.lit("reject"))).unionByName(skipped.withColumn("outcome", F.lit("skipped"))).select("outcome", "study_id", "sample_cd", "tissue_type")
 
 
 @query(f"WITH {SCORED_SQL} SELECT * EXCLUDE (raw_intensity) FROM scored")

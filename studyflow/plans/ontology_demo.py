@@ -181,15 +181,15 @@ def i10_pathway_definitions(spark, sf):
 @query("""WITH g AS (SELECT p_partkey, p_name, unnest([p_size, p_size + 1]) AS gene FROM part), d AS (SELECT DISTINCT p_size AS gene FROM part WHERE p_size % 3 <> 0)
 SELECT 'member' AS outcome, 'ING:' || p_partkey AS pathway, CAST(gene AS VARCHAR) AS gene_id, 'S' || gene AS symbol FROM g WHERE gene IN (SELECT gene FROM d)
 UNION ALL SELECT 'reject', 'ING:' || p_partkey, CAST(gene AS VARCHAR), NULL FROM g WHERE gene NOT IN (SELECT gene FROM d)
-UNION ALL SELECT 'definition', 'ING:' || p_partkey, NULL, p_name FROM part""")
+UNION ALL SELECT 'definition', 'ING:' || p_partkey, NULL, 'SIGNALING: ' || p_name FROM part""")
 def i10_gene_list_pathways(spark, sf):
     path = work_path(spark, "gene-lists")
     part = t(spark, sf, "part", "p_partkey", "p_name", "p_size")
     part.select(F.concat(
-        F.lit("ING:"), text("p_partkey"), F.lit("\t"), "p_name", F.lit(',\tx\ty\t"'), text("p_size"), F.lit(",\n "), (F.col("p_size") + 1).cast("string"), F.lit('"')
+        F.lit("ING:"), text("p_partkey"), F.lit("\tSIGNALING: "), "p_name", F.lit(',\tx\ty\t"'), text("p_size"), F.lit(",\n "), (F.col("p_size") + 1).cast("string"), F.lit('"')
     ).alias("value")).write.text(path)
     genes = part.where("p_size % 3 <> 0").select(text("p_size").alias("gene_id"), F.concat(F.lit("S"), text("p_size")).alias("symbol")).distinct()
-    definitions, members, rejects = O.gene_list_pathways(O.read_records(spark, path, O.PATHWAY_RECORD), genes)
+    definitions, members, rejects = O.gene_list_pathways(O.pathway_records(spark, path), genes)
     parts = [
         members.withColumn("outcome", F.lit("member")), rejects.withColumn("outcome", F.lit("reject")),
         definitions.select("pathway", F.col("title").alias("symbol"), F.lit("definition").alias("outcome")),
@@ -284,12 +284,13 @@ def i15_taxonomy_relations(spark, sf):
 
 
 @query("""SELECT rec, 'TISSUE' AS category, kind AS category_value FROM (SELECT o_orderkey AS rec, o_orderpriority AS kind FROM orders)
-UNION ALL SELECT o_orderkey, 'STATE', o_orderstatus FROM orders UNION ALL SELECT o_orderkey, 'ORIGIN', 'bank' FROM orders""")
+UNION ALL SELECT o_orderkey, 'STATE', o_orderstatus FROM orders UNION ALL SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'ORIGIN' ELSE 'SITE' END, CASE WHEN o_custkey % 2 = 0 THEN 'bank' ELSE 'clinic' END FROM orders""")
 def i16_sample_categories(spark, sf):
     rows = t(spark, sf, "orders", F.col("o_orderkey").alias("rec"), "o_orderpriority", "o_orderstatus")
     mapping = spark.createDataFrame([(1, "Tissue"), (2, "State")], "column_number int, category string")
-    whole = spark.createDataFrame([("Origin", "bank")], "category string, category_value string")
-    return O.sample_categories(ML.to_cells(rows, "rec", ["o_orderpriority", "o_orderstatus"]), mapping, "rec", study_level=whole)
+    whole = spark.createDataFrame([(0, "Origin", "bank"), (1, "Site", "clinic")], "study_id long, category string, category_value string")
+    studies = t(spark, sf, "orders", F.col("o_orderkey").alias("rec"), (F.col("o_custkey") % 2).alias("study_id"))
+    return O.sample_categories(ML.to_cells(rows, "rec", ["o_orderpriority", "o_orderstatus"]), mapping, "rec", study_level=whole, studies=studies)
 
 
 @query("""SELECT flag, count(*) AS n_rows FROM (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'new' WHEN o_orderkey % 6 = 1 THEN 'deleted' WHEN o_orderkey % 10 = 3 THEN 'changed' ELSE 'identical' END AS flag FROM orders) GROUP BY 1""")

@@ -61,7 +61,7 @@ def f06_median(spark, sf):
 def f06_median_of_hot_groups(spark, sf):
     rows = t(spark, sf, "lineitem", "l_returnflag", "l_extendedprice")
     tops = t(spark, sf, "lineitem", "l_returnflag", "l_quantity").groupBy("l_returnflag").agg(F.round(F.max("l_quantity"), 2).alias("top"))
-    return G.exact_median(rows, ["l_returnflag"], "l_extendedprice", hot_rows=100).withColumn("median", F.round("median", 4)).join(tops, "l_returnflag")
+    return G.exact_median(rows, ["l_returnflag"], "l_extendedprice").withColumn("median", F.round("median", 4)).join(tops, "l_returnflag")
 
 
 @query("SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 5")

@@ -85,13 +85,14 @@ def d07_patient_counts(spark, sf):
 
 
 @query(rf"""WITH {PATHS_SQL}, src AS (SELECT path, n_name || CASE WHEN patient_num % 3 = 0 THEN ':S:' ELSE ':' END || patient_num AS subject_key FROM paths)
-SELECT path, count(DISTINCT subject_key) AS patient_count FROM src WHERE subject_key NOT LIKE '%:S:%' GROUP BY path""")
+SELECT p AS path, count(DISTINCT subject_key) AS patient_count FROM (SELECT subject_key, unnest(['\' || split_part(path, '\', 2) || '\', '\' || split_part(path, '\', 2) || '\' || split_part(path, '\', 3) || '\', path]) AS p FROM src)
+WHERE subject_key NOT LIKE '%:S:%' GROUP BY p""")
 def d07_counts_without_samples(spark, sf):
     rows = customer_paths(spark, sf).withColumn(
         "subject_key", F.concat("n_name", F.when(F.col("patient_num") % 3 == 0, ":S:").otherwise(":"), F.col("patient_num").cast("string"))
     )
     counted = TR.counts(TR.without_sample_subjects(rows), "path", "subject_key")
-    return counted.where(P.depth("path") == 3).select("path", "patient_count")
+    return counted.select("path", "patient_count")
 
 
 @query(rf"""WITH {FULL_TREE_SQL},

@@ -7,11 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Run-time re-planning does the partition sizing: many small shuffle
-# partitions are declared and merged (or split, when skewed) at run time.
+# Run-time re-planning does the partition sizing: shuffles begin with many
+# small partitions, which are merged (or split, when skewed) at run time.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "4096",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -32,7 +33,8 @@ def build_session(app: str = "studyflow", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A temporary folder is made only where the session names none (tests).
+    A temporary folder is made only where the session names none and the driver
+    is the only machine (tests); on a cluster the setting must be there.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="studyflow-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, base: str, name: str, *columns: str) -> DataFrame:
@@ -24,14 +25,14 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("append")
+    writer = (df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str], rows_per_file: int = 5_000_000) -> None:
     """Replace only the partitions present in ``df`` (delete-and-insert by study)."""
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(path)
     )
 

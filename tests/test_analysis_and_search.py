@@ -75,13 +75,26 @@ def test_gene_info(spark):
 def test_gene_lists_over_lines(spark, tmp_path):
     (tmp_path / "l.txt").write_text('ING:1\tPath, one\tx\ty\t"207, 5\n 9"\nING:2\tTwo\tx\ty\t207\n')
     genes = spark.createDataFrame([("207", "AKT1")], "gene_id string, symbol string")
-    definitions, members, rejects = O.gene_list_pathways(O.read_records(spark, str(tmp_path), O.PATHWAY_RECORD), genes)
+    definitions, members, rejects = O.gene_list_pathways(O.pathway_records(spark, str(tmp_path)), genes)
     assert rows(definitions) == [("ING:1", "Path one"), ("ING:2", "Two")] and members.count() == 2 and rows(rejects.select("gene_id")) == [("5",), ("9",)]
 
 
+def test_marker_inside_a_title_starts_no_record(spark, tmp_path):
+    (tmp_path / "l.txt").write_text("ING:1\tWNT SIGNALING: beta\tx\ty\t207\nING:2\tTwo\tx\ty\t207\n")
+    definitions = O.gene_list_pathways(O.pathway_records(spark, str(tmp_path)), spark.createDataFrame([("207", "AKT1")], "gene_id string, symbol string"))[0]
+    assert rows(definitions) == [("ING:1", "WNT SIGNALING: beta"), ("ING:2", "Two")]
+
+
+def test_lineage_of_six_levels_and_a_cycle(spark):
+    taxonomy = spark.createDataFrame([(i, f"t{i}") for i in range(1, 8)], "term_id int, term_name string")
+    relations = spark.createDataFrame([(i, i + 1) for i in range(1, 7)] + [(7, 6)], "child_id int, parent_id int")
+    assert rows(AL.lineage(taxonomy, relations, spark.createDataFrame([(9, 1)], "rec int, term_id int")).select("term_id")) == [(i,) for i in range(1, 8)]
+
+
 def test_overall_design(spark):
     df = spark.createDataFrame([("e", "i", "N/A", "f"), ("N/A", None, None, "f"), (None, None, "x", None)], "a string, b string, c string, d string")
     out = df.select(O.overall_design(*[F.col(c) for c in "abcd"]))
+    assert len(spark.createDataFrame([("x" * 3000, "N/A", "N/A", "f")], "a string, b string, c string, d string").select(O.overall_design(*[F.col(c) for c in "abcd"])).first()[0]) == 3000
     assert [r[0] for r in out.collect()] == ["e Inclusion Criteria: i", "f", " Exclusion Criteria: x"]
 
 
@@ -114,6 +127,11 @@ def test_audit_trail_counts_without_a_second_pass(spark, tmp_path):
     assert [(r["step_name"], r["records"], r["status"]) for r in trail.report().orderBy("step").collect()] == [("a", 5, "Done"), ("b", None, "FAIL")]
 
 
+def test_levels_without_a_name_have_no_node(spark):
+    df = spark.createDataFrame([(1, "p1", "t"), (2, "p1", None), (3, None, None)], "sample int, platform string, tissue string")
+    assert rows(TR.counts_by_level(df, "\\b\\", ["platform", "tissue"], "sample")) == [("\\b\\", 3), ("\\b\\p1\\", 2), ("\\b\\p1\\t\\", 1)]
+
+
 def test_counts_by_level(spark):
     df = spark.createDataFrame([("G1", "Blood", 1), ("G1", "Liver", 2), ("G1", "Blood", 3)], "platform string, tissue string, sample int")
     assert rows(TR.counts_by_level(df, "/b/".replace("/", "\\"), ["platform", "tissue"], "sample")) == [("\\b\\", 3), ("\\b\\G1\\", 3), ("\\b\\G1\\Blood\\", 2), ("\\b\\G1\\Liver\\", 1)]

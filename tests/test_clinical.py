@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -31,9 +32,22 @@ def test_melt_with_dynamic_labels(spark):
     assert ML.by_mapping(raw(spark), mapping(spark), "rec", COLUMNS, preserve_nulls=True).count() == 6
 
 
-def test_melt_is_one_map_side_stage(spark):
-    plan = ML.by_mapping(raw(spark), mapping(spark), "rec", COLUMNS)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan
+def test_melt_plan_does_not_grow_with_the_mapping(spark):
+    def lines(rules):
+        return len(ML.by_mapping(raw(spark), rules, "rec", COLUMNS)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    assert lines(mapping(spark)) == lines(spark.createDataFrame(mapping(spark).collect() * 9, MAPPING))
+
+
+def test_mapping_rejects_and_details(spark):
+    rules = spark.createDataFrame([
+        ("", 2, "SUBJ_ID", None), ("", 3, "VISIT_DATE", None), ("", 1, "SAMPLE_CD", None), (None, 5, "Height", None), ("A", 99, "x", None), ("A", 0, "y", None), ("A+B", 5, "\\", "77"), ("A+B", 5, "\\", None), ("A", 6, "Sex", None),
+    ], MAPPING)
+    assert sorted(r["reason"] for r in ML.mapping_rejects(rules, len(COLUMNS)).collect()) == ["CATEGORY", "COLUMN", "COLUMN", "LABEL_SOURCE", "LABEL_SOURCE"]
+    out = ML.by_mapping(raw(spark), rules, "rec", COLUMNS, details=True)
+    assert {r["data_label"] for r in out.collect()} == {"Sex"} and {r["visit_date"] for r in out.where("rec = 1").collect()} == {"V1"}
+    with pytest.raises(Exception, match="no subject column"):
+        ML.by_mapping(raw(spark), rules.where("data_label <> 'SUBJ_ID'"), "rec", COLUMNS).collect()
 
 
 def test_word_map_and_exclusions(spark):
@@ -43,11 +57,14 @@ def test_word_map_and_exclusions(spark):
     assert sorted((r["rec"], r["data_value"]) for r in out.where("column_number = 6").collect()) == [(1, "Male"), (2, "F")]
 
 
-def test_exclusion_by_join_gives_the_same(spark, monkeypatch):
-    listed = spark.createDataFrame([(5, "bad"), (6, "M")], "column_number int, value string")
-    few = rows(ML.without_listed(raw(spark), "rec", COLUMNS, listed).select("rec"))
-    monkeypatch.setattr(ML, "MAX_LISTED", 1)
-    assert rows(ML.without_listed(raw(spark), "rec", COLUMNS, listed).select("rec")) == few == [(2,)]
+def test_exclusions_of_columns_beyond_the_file_match_nothing(spark):
+    listed = spark.createDataFrame([(5, "bad"), (6, "M"), (0, "F"), (99, "F"), (None, "F")], "column_number int, value string")
+    assert rows(ML.without_listed(raw(spark), "rec", COLUMNS, listed).select("rec")) == [(2,)]
+
+
+def test_sequences_wider_than_the_mask_stay_whole(spark):
+    df = spark.createDataFrame([(7,), (1000,), (100001,), (None,)], "n long")
+    assert [r[0] for r in df.select(ML.mask_sequence(F.col("n"), 3)).collect()] == ["007", "1000", "100001", "-1"]
 
 
 def test_date_parsing_statuses(spark):

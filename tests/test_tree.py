@@ -69,3 +69,14 @@ def test_hide_delete_and_security(spark):
 def test_leaf_flags(spark):
     tree = spark.createDataFrame([("\\S\\", "LA", "N"), ("\\S\\a\\", "FA", "N"), ("\\O\\", "FA", "N")], "path string, attributes string, data_type string")
     assert rows(TR.set_leaf_flags(tree, "\\S\\", highlight=True)) == [("\\O\\", "FA", "N"), ("\\S\\", "FAJ", "T"), ("\\S\\a\\", "LA", "N")]
+
+
+def test_counts_and_hiding_keep_to_their_scope(spark):
+    tree = spark.createDataFrame([("\\A\\", "A", "FA"), ("\\A\\x\\", "x", "LA"), ("\\A\\y\\", "y", "LH"), ("\\A\\z\\", "z", "LA"), ("\\B\\", "B", "FA"), ("\\B\\x\\", "x", "LA")], "path string, name string, attributes string")
+    facts = spark.createDataFrame([("\\A\\x\\", 1), ("\\A\\x\\", 2), ("\\A\\x\\", 9), ("\\A\\y\\", 3), ("\\B\\x\\", 4)], "path string, patient_num long")
+    patients = spark.createDataFrame([(1, "a:1"), (2, "a:S:2"), (3, "a:3"), (4, "b:4")], "patient_num long, subject_key string")
+    counted = TR.scoped_counts(tree, facts, patients, "\\A\\")
+    assert rows(counted.select("path", "patient_count")) == [("\\A\\", 1), ("\\A\\x\\", 1)]
+    assert rows(TR.hidden(TR.hide_uncounted(tree, counted, scope="\\A\\")).select("path")) == [("\\A\\y\\",), ("\\A\\z\\",)]
+    again, fresh = TR.show_again(tree, "\\A\\", facts, patients)
+    assert TR.hidden(again).count() == 0 and rows(fresh.select("path", "patient_count")) == [("\\A\\", 2), ("\\A\\x\\", 1), ("\\A\\y\\", 1)]
