@@ -27,7 +27,7 @@ from studyflow.session import staged
 LENGTH = 200
 GRAM = 32
 # Bytes of segments that a task sorts at a time, and the segments of one anchor that a shard takes.
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 SHARD_SEGMENTS = 8_000
 # Window starts of a document that are worked on at a time.
 PART = 2**21
