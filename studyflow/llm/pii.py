@@ -157,7 +157,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     share = min(1.0, sample / max(1, docs.count()))
     hashed = F.xxhash64(F.col(id_col))
     chosen = docs.where(F.pmod(hashed, F.lit(2**20)) < round(share * 2**20)).select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"), (F.pmod(F.shiftright(hashed, 20), F.lit(4)) == 0).alias("kept_out"))
-    found = candidates(chosen).select("kept_out", F.explode("__candidates").alias("c")).groupBy("kept_out", F.col("c.features").alias("x"), F.col("c.label").alias("y")).count().collect()
+    # An outer explode: for an inner one the optimizer would compute all candidates once more to test that there are some.
+    found = candidates(chosen).select("kept_out", F.explode_outer("__candidates").alias("c")).where("c is not null").groupBy("kept_out", F.col("c.features").alias("x"), F.col("c.label").alias("y")).count().collect()
     x = np.array([r["x"] for r in found], float).reshape(-1, len(FEATURES))
     y, n, out = np.array([bool(r["y"]) for r in found], float), np.array([r["count"] for r in found], int), np.array([r["kept_out"] for r in found], bool)
     times = np.minimum(n, 200)
