@@ -12,7 +12,7 @@ from studyflow.llm.shared import components
 def test_components_of_chains_and_cycles(spark):
     edges = [(i, i + 1) for i in range(10, 40)] + [(41, 50), (50, 60), (60, 41), (7, 7)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 10 for i in range(10, 42)}, 50: 10, 60: 10}
+    assert got == {**{i: 10 for i in range(10, 41)}, 41: 41, 50: 41, 60: 41}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
