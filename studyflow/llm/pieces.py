@@ -148,9 +148,9 @@ class Pieces:
         out: list[int] = []
         end = size
         while end:
-            out[:0] = [piece[end]] if piece[end] >= 0 else self.as_bytes(chunk[back[end]])
+            out += [piece[end]] if piece[end] >= 0 else self.as_bytes(chunk[back[end]])[::-1]
             end = back[end]
-        return out
+        return out[::-1]
 
     def best_paths(self, chunks: list[str]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit) of the best path of each chunk of at most ``LONG`` characters."""
