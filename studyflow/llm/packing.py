@@ -25,7 +25,7 @@ from studyflow.session import staged
 
 SEQUENCE = 2048
 # Chunks of text whose ids a worker remembers; it starts anew when full.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 # Characters of text that are split at a time.
 SLICE = 2_000_000
 # Nodes of one search for a filling and of the last branch and bound; beyond, the best found so far is taken.
