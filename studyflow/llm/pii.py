@@ -40,19 +40,29 @@ FEATURES = ["kind", "length", "digits", "letters", "separators", "dots", "plus",
 SAMPLE = 8_000
 RIGHT = 0.99
 LEAST_RIGHT = 8
+CHUNK = 256
 
 
-def located(hits: Column, gaps: Column) -> Column:
-    """Array of (start, end, found) from the matches and the texts around them; positions count code points."""
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)").alias("out"))
-    steps = F.transform(hits, lambda h, i: F.struct(F.char_length(F.get(gaps, i)).alias("gap"), h.alias("hit")))
+def located(steps: Column) -> Column:
+    """Array of (start, end, found, left, right) from (gap, size, found, left, right); positions count code points.
+
+    Prefix sums over CHUNK steps at a time: an array that grows by one is copied each time, so long ones are put together from short ones.
+    """
+    chunks = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / CHUNK).cast("int"))
+    part = lambda c: F.slice(steps, c * CHUNK + 1, F.lit(CHUNK))
+    sums = F.transform(chunks, lambda c: F.aggregate(part(c), F.lit(0), lambda acc, x: acc + x["gap"] + x["size"]))
+    first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+    begins = F.aggregate(sums, first, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
 
     def step(acc: Column, x: Column) -> Column:
-        first = acc["at"] + x["gap"]
-        last = first + F.char_length(x["hit"])
-        return F.struct(last.alias("at"), F.concat(acc["out"], F.array(F.struct(first.alias("start"), last.alias("end"), x["hit"].alias("found")))).alias("out"))
+        start = acc["at"] + x["gap"]
+        end = start + x["size"]
+        row = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"), x["left"].alias("left"), x["right"].alias("right"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    empty = F.expr("cast(array() as array<struct<start:int,end:int,found:string,left:string,right:string>>)")
+    parts = F.transform(begins, lambda at, c: F.aggregate(part(c), F.struct(at.alias("at"), empty.alias("out")), step, lambda acc: acc["out"]))
+    return F.when(F.size(steps) > 0, F.flatten(parts)).otherwise(empty)
 
 
 def digits(found: Column) -> Column:
@@ -74,7 +84,7 @@ def holds(kind: str, found: Column) -> Column:
 
 
 def with_matches(df: DataFrame, patterns: dict[str, str], prefix: str) -> DataFrame:
-    """Array columns ``prefix`` + kind of (start, end, found) in the column __text."""
+    """Array columns ``prefix`` + kind of (start, end, found, left, right) in the column __text; left and right are what stands between this match and its neighbours, 24 and 1 characters at most."""
     text, none = F.col("__text"), F.array().cast("array<string>")
     cols = {}
     for kind, pattern in patterns.items():
@@ -83,22 +93,29 @@ def with_matches(df: DataFrame, patterns: dict[str, str], prefix: str) -> DataFr
     df = df.withColumns(cols)
     gaps = {f"__gaps_{k}": F.when(F.size(f"__hits_{k}") > 0, F.split(text, p, -1)).otherwise(none) for k, p in patterns.items()}
     df = df.withColumns(gaps)
-    return df.withColumns({f"{prefix}{k}": located(F.col(f"__hits_{k}"), F.col(f"__gaps_{k}")) for k in patterns}).drop(*cols, *gaps)
+
+    def described(kind: str):
+        gap = lambda i: F.get(f"__gaps_{kind}", i)
+        return lambda hit, i: F.struct(F.char_length(gap(i)).alias("gap"), F.char_length(hit).alias("size"), hit.alias("found"), F.substring(gap(i), -24, 24).alias("left"), F.substring(gap(i + 1), 1, 1).alias("right"))
+
+    steps = {f"__steps_{k}": F.transform(f"__hits_{k}", described(k)) for k in patterns}
+    df = df.withColumns(steps).drop(*cols, *gaps)
+    return df.withColumns({f"{prefix}{k}": located(F.col(f"__steps_{k}")) for k in patterns}).drop(*steps)
 
 
 def kind_of(char: Column) -> Column:
     return F.when(char.rlike("[0-9]"), 3).when(char.rlike("[A-Za-z]"), 2).when(char.rlike(r"\S"), 1).otherwise(0)
 
 
-def format_and_context(kind: str, x: Column, text: Column) -> Column:
-    """Array of the features of one candidate (start, end, found)."""
+def format_and_context(kind: str, x: Column) -> Column:
+    """Array of the features of one candidate."""
     found = x["found"]
     d = F.length(digits(found))
     values = {
         "kind": F.lit(KINDS.index(kind)), "length": F.char_length(found), "digits": d, "letters": F.length(F.regexp_replace(found, "[^A-Za-z]", "")), "separators": F.length(F.regexp_replace(found, "[^ ,:/_-]", "")),
         "dots": F.length(F.regexp_replace(found, "[^.]", "")), "plus": found.startswith("+"), "at": found.contains("@"), "luhn": luhn(found), "octets": octets(found), "ending": found.rlike(r"\.[A-Za-z]{2,12}[.]?$"),
-        "left": kind_of(F.when(x["start"] > 0, F.substring(text, x["start"], F.lit(1))).otherwise("")), "right": kind_of(F.substring(text, x["end"] + 1, F.lit(1))),
-        "cue": F.substring(text, F.greatest(x["start"] - 23, F.lit(1)), F.least(x["start"], F.lit(24))).rlike(CUES) if kind != "secret" else F.lit(True),
+        "left": kind_of(F.substring(x["left"], -1, 1)), "right": kind_of(x["right"]),
+        "cue": x["left"].rlike(CUES) if kind != "secret" else F.lit(True),
         "mixed": found.rlike("[:=].*[0-9]") & found.rlike("[:=].*[A-Za-z]"),
     }
     return F.array(*[values[f].cast("int") for f in FEATURES])
@@ -118,7 +135,7 @@ def candidates(df: DataFrame) -> DataFrame:
     df = with_matches(df, WIDE, "__wide_")
 
     def described(kind: str):
-        return lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), format_and_context(kind, x, F.col("__text")).alias("features"), checked(kind, x).alias("label"))
+        return lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), format_and_context(kind, x).alias("features"), checked(kind, x).alias("label"))
 
     return df.withColumn("__candidates", F.concat(*[F.transform(f"__wide_{k}", described(k)) for k in WIDE])).drop(*[f"__wide_{k}" for k in WIDE])
 
@@ -175,21 +192,31 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
 
 
 def with_spans(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataFrame:
-    """``docs`` with __base and __spans: sorted arrays of (start, rank, end, kind); a null text has none."""
+    """``docs`` with __base and __spans: sorted arrays of (start, end, kind), each span once; a null text has none."""
     df = with_matches(docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))), BASE, "__base_")
 
-    def shown(kind: str):
-        return lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind"))
-
     def right(kind: str):
         return lambda x: holds(kind, x["found"])
 
+    # Spans are sorted and made distinct as texts of fixed width, start, kind and end.
+    width = 12
+
+    def key(start: Column, rank: Column, end: Column) -> Column:
+        return F.concat(F.lpad(start.cast("string"), width, "0"), rank.cast("string"), F.lpad(end.cast("string"), width, "0"))
+
+    def shown(kind: str):
+        return lambda x: key(x["start"], F.lit(KINDS.index(kind)), x["end"])
+
     base = [F.transform(F.filter(f"__base_{k}", right(k)), shown(k)) for k in BASE]
-    df = candidates(df.withColumn("__base", F.array_sort(F.concat(*base))).drop(*[f"__base_{k}" for k in BASE]))
-    covered = lambda c: F.exists("__base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
-    rank = lambda c: F.array_position(F.array(*[F.lit(k) for k in KINDS]), c["kind"]).cast("int") - 1
-    added = F.transform(F.filter("__candidates", lambda c: ~covered(c) & selector.selects(c)), lambda c: F.struct(c["start"].alias("start"), rank(c).alias("rank"), c["end"].alias("end"), c["kind"].alias("kind")))
-    return df.withColumn("__spans", F.array_sort(F.concat("__base", added))).drop("__candidates", "__text")
+    df = candidates(df.withColumn("__base", F.concat(*base)).drop(*[f"__base_{k}" for k in BASE]))
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    added = F.transform(F.filter("__candidates", selector.selects), lambda c: key(c["start"], F.array_position(kinds, c["kind"]) - 1, c["end"]))
+
+    def read(keys: Column) -> Column:
+        return F.transform(F.array_sort(F.array_distinct(keys)), lambda k: F.struct(
+            F.substring(k, 1, width).cast("int").alias("start"), F.substring(k, width + 2, width).cast("int").alias("end"), F.get(kinds, F.substring(k, width + 1, 1).cast("int")).alias("kind")))
+
+    return df.withColumns({"__base": read(F.col("__base")), "__spans": read(F.concat("__base", added))}).drop("__candidates", "__text")
 
 
 def joined(spans: str) -> Column:
