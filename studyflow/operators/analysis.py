@@ -115,18 +115,21 @@ def significance(fc: Column, pvalue: Column, npv: Column, mean_1: Column, mean_2
 
 def heat_map(
     intensities: DataFrame, cohort_samples: DataFrame, analysis_cohorts: DataFrame, analyses: DataFrame, results: DataFrame,
-    probes: DataFrame, samples: DataFrame, feature_marker: DataFrame, markers: DataFrame, keywords: DataFrame,
+    probes: DataFrame, samples: DataFrame, feature_marker: DataFrame, markers: DataFrame, keywords: DataFrame, correlations: DataFrame,
 ) -> DataFrame:
     """Sample intensities of every analysis cohort next to the analysis result of their probe.
 
+    Only markers with a correlation (marker_id, kind) of one of ``GENE_CORRELATIONS`` are on the map.
+
     Both sides take their cohort from the small link tables first; one join on
     (study, cohort, probe) then gives exactly the rows of the map, with no
     intermediate of all analyses times all samples.
     """
     assays = cohort_samples.join(samples.select("assay_id", "study_id", "subject_id"), ["study_id", "assay_id"])
     measured = intensities.join(probes.select("probeset_id", "probeset"), "probeset_id").join(assays, "assay_id")
+    related = correlations.where(F.col("kind").isin(GENE_CORRELATIONS)).select("marker_id")
     named = (
-        feature_marker.join(markers.select("marker_id", "marker_name", "gene_id"), "marker_id")
+        feature_marker.join(related, "marker_id", "left_semi").join(markers.select("marker_id", "marker_name", "gene_id"), "marker_id")
         .join(keywords.select("marker_id", "keyword_id"), "marker_id").withColumnRenamed("feature", "probeset")
     )
     cutoffs = analyses.select("analysis_id", "fc_cutoff", "p_cutoff", "mean_cutoff").join(analysis_cohorts, "analysis_id")
@@ -143,10 +146,11 @@ def heat_map(
     )
 
 
-def cross_trial(heat: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Distinct cross-study summary without the sample level."""
-    return heat.join(keywords.select("keyword_id", F.upper("keyword").alias("keyword")), "keyword_id").select(
-        "analysis_id", "keyword_id", "keyword", "marker_id", "marker_name", "gene_id", "probeset", "fold_change", "pvalue"
+def cross_trial(heat: DataFrame, keywords: DataFrame, markers: DataFrame) -> DataFrame:
+    """Distinct cross-study summary without the sample level, with the organism of the marker."""
+    kinds = markers.select("marker_id", "organism")
+    return heat.join(kinds, "marker_id").join(keywords.select("keyword_id", F.upper("keyword").alias("keyword")), "keyword_id").select(
+        "analysis_id", "keyword_id", "keyword", "marker_id", "marker_name", "gene_id", "probeset", "fold_change", "pvalue", "organism"
     ).distinct()
 
 

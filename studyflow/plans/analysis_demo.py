@@ -153,7 +153,7 @@ assays AS (SELECT s_suppkey AS assay_id, s_nationkey % 5 AS cohort, 'Sub' || s_n
 heat AS (SELECT 'ORD' AS study_id, o.analysis_id, 'C' || c.cohort AS cohort_id, subject_id, assay_id, o.probeset, round(v / 1000, 6) AS log_intensity, round(fold_change, 4) AS fold_change, pvalue, round(npv, 6) AS npv,
   p_size AS marker_id, 'M' || p_size AS marker_name, p_size * 10 AS gene_id, p_size + 500 AS keyword_id,
   CASE WHEN (fold_change IS NULL OR abs(fold_change) > fc_cutoff) AND coalesce(pvalue, npv) < p_cutoff AND ((min_lsmean IS NULL AND max_lsmean IS NULL) OR min_lsmean > mean_cutoff OR max_lsmean > mean_cutoff) THEN 1 ELSE 0 END AS significant
-  FROM one o JOIN cuts c USING (analysis_id) JOIN assays a ON a.cohort = c.cohort JOIN expr USING (assay_id, probeset) JOIN part ON p_partkey = o.probeset)"""
+  FROM one o JOIN cuts c USING (analysis_id) JOIN assays a ON a.cohort = c.cohort JOIN expr USING (assay_id, probeset) JOIN part ON p_partkey = o.probeset WHERE p_size % 7 <> 0)"""
 
 
 def heat(spark, sf):
@@ -176,6 +176,7 @@ def heat(spark, sf):
         part.select((F.col("p_partkey") + 7).alias("probeset_id"), F.col("p_partkey").alias("probeset")),
         supplier.select(F.col("s_suppkey").alias("assay_id"), study, F.concat(F.lit("Sub"), F.col("s_nationkey").cast("string")).alias("subject_id")),
         part.select(F.col("p_partkey").alias("feature"), size.alias("marker_id")), markers, markers.select("marker_id", (F.col("marker_id") + 500).alias("keyword_id")),
+        markers.select("marker_id", F.when(F.col("marker_id") % 7 == 0, "PATHWAY").when(F.col("marker_id") % 2 == 0, "GENE").otherwise("HOMOLOGENE_GENE").alias("kind")),
     )
     return out.withColumns({"fold_change": F.round("fold_change", 4), "npv": F.round("npv", 6)})
 
@@ -185,10 +186,11 @@ def h39_heat_map(spark, sf):
     return heat(spark, sf)
 
 
-@query(f"WITH {HEAT_SQL} SELECT DISTINCT analysis_id, keyword_id, 'GENE ' || marker_id AS keyword, marker_id, marker_name, gene_id, probeset, fold_change, pvalue FROM heat")
+@query(f"WITH {HEAT_SQL} SELECT DISTINCT analysis_id, keyword_id, 'GENE ' || marker_id AS keyword, marker_id, marker_name, gene_id, probeset, fold_change, pvalue, 'ORG' || (marker_id % 3) AS organism FROM heat")
 def h39_cross_trial(spark, sf):
     keywords = t(spark, sf, "part", (F.col("p_size") + 500).alias("keyword_id"), F.concat(F.lit("gene "), F.col("p_size").cast("string")).alias("keyword")).distinct()
-    return AL.cross_trial(heat(spark, sf), keywords)
+    markers = t(spark, sf, "part", F.col("p_size").alias("marker_id"), F.concat(F.lit("ORG"), (F.col("p_size") % 3).cast("string")).alias("organism")).distinct()
+    return AL.cross_trial(heat(spark, sf), keywords, markers)
 
 
 # --- links, tags, entries ------------------------------------------------------------
