@@ -1,9 +1,10 @@
 """Personal data by boosted candidates, in DataFrame functions only.
 
 Four base rules give spans that always stay. Wider generators propose further, overlapping spans (addresses without a domain ending, numbers with
-other separators, secrets); boosted trees score each by its format and context, and a threshold for each kind selects those to add. The trees are
-fitted on the driver to counts of equal feature rows from a bounded sample of documents, with the checked rules as labels, and are applied as one
-SQL expression; thresholds are set on documents kept from the fit, so that the selected spans are right in 99 of 100 cases.
+other separators, secrets); boosted trees score each by its format and context, and a threshold for each kind selects those to add. The candidates of all
+documents are counted by equal feature rows, with the checked rules as labels. The trees are fitted on the driver to a bounded number of these rows
+for each kind (all rows of a rare kind) and are applied as one SQL expression. Thresholds are set on the counts of every fourth document, which are
+kept from the fit, so that the selected spans are right in 99 of 100 cases. A kind without such a threshold adds the candidates that pass its own check.
 
 Java's patterns below find what the plain rules find, without retries: a possessive run starts only where its class starts or the last match ended.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from studyflow.llm.boosting import Trees, fit
 from studyflow.llm.shared import documents
+from studyflow.session import staged
 
 BASE = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -36,10 +38,12 @@ KINDS = [*BASE, "secret"]
 CUES = r"(?i)(?:mail|phone|tel|call|mobile|fax|card|visa|credit|account|host|server|address|pass|token|key|secret)[^A-Za-z]{0,4}[A-Za-z]{0,8}[^A-Za-z]{0,4}$"
 FEATURES = ["kind", "length", "digits", "letters", "separators", "dots", "plus", "at", "luhn", "octets", "ending", "left", "right", "cue", "mixed"]
 
-# Documents of the fit, on average; every candidate of theirs counts.
-SAMPLE = 8_000
+# Distinct feature rows of a kind that the trees are fitted to, on average; a kind with fewer gives all.
+SAMPLE = 2_000
 RIGHT = 0.99
 LEAST_RIGHT = 8
+# Thresholds lie on a grid of the log-odds: GRID steps to one, up to FAR on both sides.
+GRID, FAR = 64, 30
 CHUNK = 256
 
 
@@ -141,7 +145,7 @@ def candidates(df: DataFrame) -> DataFrame:
 
 
 class Selector:
-    """Trees and, for each kind, the least log-odds of a span to add (none: the kind adds nothing)."""
+    """Trees and, for each kind, the least log-odds of a span to add (none: the kind adds what passes its own check)."""
 
     def __init__(self, trees: Trees, least: dict[str, float]):
         self.trees, self.least = trees, least
@@ -161,34 +165,54 @@ class Selector:
         return total
 
     def selects(self, candidate: Column) -> Column:
-        if not self.least:
-            return F.lit(False)
+        """By the trees for a kind with a threshold, else by the kind's own check."""
         limit = F.lit(None).cast("double")
         for kind, least in self.least.items():
             limit = F.when(candidate["kind"] == kind, least).otherwise(limit)
-        return F.coalesce(self.margin(candidate["features"]) >= limit, F.lit(False))
+        if not self.least:
+            return candidate["label"]
+        return F.coalesce(self.margin(candidate["features"]) >= limit, candidate["label"])
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Selector:
-    """Fit on a bounded sample of documents; every fourth of them sets the thresholds."""
-    share = min(1.0, sample / max(1, docs.count()))
-    hashed = F.xxhash64(F.col(id_col))
-    chosen = docs.where(F.pmod(hashed, F.lit(2**20)) < round(share * 2**20)).select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"), (F.pmod(F.shiftright(hashed, 20), F.lit(4)) == 0).alias("kept_out"))
+def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """kept_out, x, y and n: how many candidates of all documents have the features x and the label y, apart for every fourth document."""
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("__text"), (F.pmod(F.shiftright(F.xxhash64(F.col(id_col)), 20), F.lit(4)) == 0).alias("kept_out"))
     # An outer explode: for an inner one the optimizer would compute all candidates once more to test that there are some.
-    found = candidates(chosen).select("kept_out", F.explode_outer("__candidates").alias("c")).where("c is not null").groupBy("kept_out", F.col("c.features").alias("x"), F.col("c.label").alias("y")).count().collect()
+    found = candidates(texts).select("kept_out", F.explode_outer("__candidates").alias("c")).where("c is not null")
+    return found.groupBy("kept_out", F.col("c.features").alias("x"), F.col("c.label").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Selector:
+    """Count the candidates of all documents once, fit on a bounded number of feature rows and set the thresholds on all counts kept from the fit."""
+    rows = staged(counted(docs, id_col, text_col), "candidates")
+    fitted, kind = rows.where("not kept_out"), F.get("x", 0)
+    share = {r["kind"]: min(1.0, sample / r["n"]) for r in fitted.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    limit = F.lit(0)
+    for k, part in share.items():
+        limit = F.when(kind == k, round(part * 2**20)).otherwise(limit)
+    found = fitted.where(F.pmod(F.xxhash64("x"), F.lit(2**20)) < limit).select("x", "y", "n").collect()
+    found.sort(key=lambda r: (r["x"], r["y"]))
     x = np.array([r["x"] for r in found], float).reshape(-1, len(FEATURES))
-    y, n, out = np.array([bool(r["y"]) for r in found], float), np.array([r["count"] for r in found], int), np.array([r["kept_out"] for r in found], bool)
-    times = np.minimum(n, 200)
-    trees = fit(np.repeat(x[~out], times[~out], axis=0), np.repeat(y[~out], times[~out]), trees=24, depth=3, rate=0.3, least=4)
-    margins, least = trees.margin(x), {}
+    y, times = np.array([bool(r["y"]) for r in found], float), np.minimum(np.array([r["n"] for r in found], int), 200)
+    trees = fit(np.repeat(x, times, axis=0), np.repeat(y, times), trees=24, depth=3, rate=0.3, least=4)
+    return Selector(trees, thresholds(rows.where("kept_out"), Selector(trees, {})))
+
+
+def thresholds(rows: DataFrame, selector: Selector) -> dict[str, float]:
+    """For each kind the least log-odds above which RIGHT of the candidates counted in ``rows`` (x, y, n) are right, and LEAST_RIGHT of them at least.
+
+    Counts for each step of the grid reach the driver, a bounded number whatever the number of rows.
+    """
+    step = F.floor(F.greatest(F.lit(-float(FAR)), F.least(F.lit(float(FAR)), selector.margin(F.col("x")))) * GRID)
+    counts = rows.select(F.get("x", 0).alias("kind"), step.alias("step"), "y", "n").groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("y"), F.col("n")).otherwise(0)).alias("right")).collect()
+    least = {}
     for k, kind in enumerate(KINDS):
-        mine = out & (x[:, 0] == k)
-        order = np.argsort(-margins[mine], kind="stable")
-        m, right, rows = margins[mine][order], np.cumsum((y * n)[mine][order]), np.cumsum(n[mine][order])
-        good = np.flatnonzero((right >= RIGHT * rows) & (right >= LEAST_RIGHT) & np.append(np.diff(m) != 0, True)) if len(m) else []
-        if len(good):
-            least[kind] = float(m[good[-1]]) - 1e-9
-    return Selector(trees, least)
+        right = total = 0
+        for r in sorted((r for r in counts if r["kind"] == k), key=lambda r: -r["step"]):
+            right, total = right + r["right"], total + r["n"]
+            if right >= RIGHT * total and right >= LEAST_RIGHT:
+                least[kind] = r["step"] / GRID if r["step"] > -FAR * GRID else float("-inf")
+    return least
 
 
 def with_spans(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataFrame:

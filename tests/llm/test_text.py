@@ -74,6 +74,24 @@ def test_spans_of_a_learned_kind_are_added(spark):
     assert all(got[i].startswith("secret:11:") for i in range(1, 400, 2)) and not any(got[i] for i in range(0, 400, 2))
 
 
+def test_spans_of_a_rare_kind_are_added(spark):
+    rows = [(i, f"words then password=a{i}b9c8d7e6 end" if i in (5, 700, 1203) else f"ratio: words {i}, mail x{i}@y.org") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    selector = pii.train(df)
+    assert "secret" not in selector.least
+    got = {r["doc_id"]: r["spans"] for r in pii.report(df, selector).collect()}
+    assert [i for i in got if "secret:11:" in got[i]] == [5, 700, 1203]
+    clean = {r["doc_id"]: r["text"] for r in pii.redacted(df, selector).collect()}
+    assert all(clean[i] == "words then [SECRET] end" for i in (5, 700, 1203))
+
+
+def test_thresholds_count_every_row(spark):
+    trees = boosting.Trees(np.array([[1]]).repeat(3, 1), np.array([[9.0, np.inf, np.inf]]), np.array([[0.0, -2.0, 2.0]]), 0.0, 1)
+    row = lambda kind, length, y, n: ([kind, length] + [0] * (len(pii.FEATURES) - 2), y, n)
+    df = spark.createDataFrame([row(0, 20, True, 10**9), row(0, 5, False, 10**9), row(4, 20, True, 8), row(3, 20, True, 7), row(1, 20, True, 98), row(1, 30, False, 2), row(2, 5, True, 9)], "x array<int>, y boolean, n long")
+    assert pii.thresholds(df, pii.Selector(trees, {})) == {"email": 2.0, "card": -2.0, "secret": 2.0}
+
+
 def test_personal_data_of_no_rows(none):
     assert pii.report(none, pii.train(none)).count() == 0
 
