@@ -30,7 +30,7 @@ WIDE = {
     "ip": r"(?<![0-9])[0-9]{1,3}(?:[.,:-][0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ ./_-]?[0-9]{3,6}){2,4}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])\+?\(?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
-    "secret": r"(?i)(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[:=][ ]?[\"']?[A-Za-z0-9+/_.-]{6,200}",
+    "secret": r"(?i)(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[:=][ ]?[\"']?[A-Za-z0-9+/_.-]{6,}+",
 }
 # What a text must hold for a pattern to be tried at all.
 NEEDED = {"email": "[@\\[]", "ip": "[0-9]", "card": "[0-9]{2}", "phone": "[0-9]{2}", "secret": "[:=]"}

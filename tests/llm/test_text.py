@@ -85,6 +85,14 @@ def test_spans_of_a_rare_kind_are_added(spark):
     assert all(clean[i] == "words then [SECRET] end" for i in (5, 700, 1203))
 
 
+def test_long_secrets_go_whole(spark):
+    key = "eyJhbGciOi.J9-_/+" * 300
+    df = spark.createDataFrame([(1, f"say token = \"{key}\" end"), (2, f"api_key={key}")], "doc_id long, text string")
+    selector = pii.train(df)
+    assert {r["doc_id"]: r["spans"] for r in pii.report(df, selector).collect()} == {1: f"secret:4:{13 + len(key)}", 2: f"secret:0:{8 + len(key)}"}
+    assert {r["doc_id"]: r["text"] for r in pii.redacted(df, selector).collect()} == {1: "say [SECRET]\" end", 2: "[SECRET]"}
+
+
 def test_thresholds_count_every_row(spark):
     trees = boosting.Trees(np.array([[1]]).repeat(3, 1), np.array([[9.0, np.inf, np.inf]]), np.array([[0.0, -2.0, 2.0]]), 0.0, 1)
     row = lambda kind, length, y, n: ([kind, length] + [0] * (len(pii.FEATURES) - 2), y, n)
