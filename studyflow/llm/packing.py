@@ -61,8 +61,6 @@ class ChunkIds:
     def learn(self, chunks: set[str]) -> None:
         from unicodedata import is_normalized
 
-        if len(self.chunks) + len(chunks) > REMEMBERED:
-            self.chunks = {"": b""}
         if len(self.letters) > REMEMBERED:
             self.letters = {}
         parts, asked = [], set()
@@ -83,12 +81,14 @@ class ChunkIds:
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.chunks
-        new = set().union(*split).difference(known)
+        distinct = set().union(*split)
+        new = distinct.difference(self.chunks)
+        # Texts with more chunks than are remembered are learned whole; the cache starts anew with the next ones.
+        if len(self.chunks) + len(new) > REMEMBERED:
+            self.chunks = {"": b""}
+            new = distinct.difference(self.chunks)
         if new:
             self.learn(new)
-            if self.chunks is not known:
-                self.learn(set().union(*split).difference(self.chunks))
         look = self.chunks.__getitem__
         for words in split:
             yield b"".join(map(look, words))

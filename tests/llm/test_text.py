@@ -211,6 +211,14 @@ def test_merges_give_the_tokenizers_ids(texts):
     assert len(merges.byte_letters()) == len(set(merges.byte_letters())) == 256
 
 
+def test_texts_of_more_chunks_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    coder = packing.ChunkIds(packing.public_tokenizer())
+    one, few = " ".join(f"w{i} word{chr(97 + i % 26)}x, {i}" for i in range(200)), "a few words. 7"
+    for every in ([one], [few, one], [few], [one, one + " more"], [few]):
+        assert list(coder.ids(every)) == [coder.whole(t) for t in every]
+
+
 def test_packing(docs, texts):
     coder = packing.ChunkIds(packing.public_tokenizer())
     got = packing.pack(docs, packing.public_tokenizer()).collect()
