@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studyflow.llm.minhash import FILTER_CONF
@@ -33,7 +33,6 @@ SHARD_SEGMENTS = 8_000
 PART = 2**21
 PLACE_BITS = 23
 BASE = 0x9E3779B97F4A7C15 | 1
-NO_ID = -(2**63)
 
 
 class Powers:
@@ -83,11 +82,12 @@ def anchors(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def segments(docs: DataFrame) -> DataFrame:
-    """id, first window, number of windows, anchor and digest of the segments of every document (id, text)."""
+    """key, first window, number of windows, anchor and digest of the segments of every document (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, columns = [], ([], [], [])
+            columns = ([], [], [])
+            keys: list[bytes] = []
             digests: list[bytes] = []
             for k, text in enumerate(batch.column(1)):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
@@ -96,14 +96,14 @@ def segments(docs: DataFrame) -> DataFrame:
                 found = anchors(np.frombuffer(raw, np.uint8))
                 for column, part in zip(columns, found):
                     column.append(part)
-                ids.append(np.full(len(found[0]), batch.column(0)[k].as_py(), np.int64))
+                keys += [batch.column(0)[k].as_py()] * len(found[0])
                 ends = (found[0] + found[1] + LENGTH - 1).tolist()
                 digests += [hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(found[0].tolist(), ends)]
-            if ids:
+            if keys:
                 first, count, gram = (np.concatenate(c) for c in columns)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(ids), first, count.astype(np.int32), gram, np.frombuffer(b"".join(digests), np.int64))], ["id", "first", "windows", "gram", "digest"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, first, count.astype(np.int32), gram, np.frombuffer(b"".join(digests), np.int64))], ["key", "first", "windows", "gram", "digest"])
 
-    return docs.mapInArrow(run, "id long, first long, windows int, gram long, digest long")
+    return docs.mapInArrow(run, "key binary, first long, windows int, gram long, digest long")
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -232,8 +232,13 @@ def merged(edges: DataFrame) -> DataFrame:
     return windows.join(common, "window").select("gram", "digest", F.col("at").alias("low"), F.col("at").alias("high"))
 
 
+def key_of(id_col: str, text_col: str) -> Column:
+    """Key of a row: 16 bytes of a digest of its id and text. Rows that share an id, or have none, are told apart by their texts."""
+    return F.substring(F.unhex(F.sha2(F.concat_ws(":", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))), 256)), 1, 16)
+
+
 def removed(texts: DataFrame) -> DataFrame:
-    """id, n_removed, n_spans and kept_sha256 of documents (id, text, spans of (start, end))."""
+    """key, n_removed, n_spans and kept_sha256 of documents (key, text, spans of (start, end))."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,51 +258,52 @@ def removed(texts: DataFrame) -> DataFrame:
                 kept.update(raw[at:])
                 rows.append((batch.column(0)[k].as_py(), gone, count, kept.hexdigest()))
             columns = list(zip(*rows)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["id", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.string()))], ["key", "n_removed", "n_spans", "kept_sha256"])
 
-    return texts.mapInArrow(run, "id long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.mapInArrow(run, "key binary, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and spans (start, end in bytes, overlapping ones apart) of the repeats of every document that has some."""
+    """key and spans (start, end in bytes, overlapping ones apart, each once) of the repeats of every document that has some."""
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(key_of(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     every = staged(segments(texts), "segments")
     seen = staged(every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "grams").where("n > 1").select("gram")
     with settings(spark, FILTER_CONF):
         found = staged(every.join(seen, "gram"), "occurrences")
-        kinds = found.groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "first", "windows")).alias("rep"))
+        kinds = found.groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "windows")).alias("rep"))
         kinds = staged(kinds.select("gram", "digest", "n", "rep.*"), "kinds")
         shared = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
         mixed = staged(kinds.join(shared, "gram"), "mixed").where("kinds > 1")
         body = F.substring(F.col("text").cast("binary"), F.col("first").cast("int") + 1, F.col("windows") + LENGTH - 1)
         shard = F.pmod(F.xxhash64("digest"), F.ceil(F.col("kinds") / SHARD_SEGMENTS))
-        edges = staged(texts.join(mixed.select("gram", "digest", "kinds", "id", "first", "windows"), "id").select("gram", "digest", "kinds", shard.alias("shard"), body.alias("body")).dropDuplicates(["gram", "digest"]), "edges")
+        edges = staged(texts.join(mixed.select("gram", "digest", "kinds", "key", "first", "windows"), "key").select("gram", "digest", "kinds", shard.alias("shard"), body.alias("body")).dropDuplicates(["gram", "digest"]), "edges")
     single = sharded(edges.where(F.col("kinds") <= SHARD_SEGMENTS))
     wide = edges.where(F.col("kinds") > SHARD_SEGMENTS)
     spread = sharded(wide).unionByName(merged(wide)) if not wide.isEmpty() else None
     whole = kinds.where("n > 1").select("gram", "digest", F.lit(0).alias("low"), (F.col("windows") - 1).alias("high"))
     runs = single if spread is None else single.unionByName(spread)
     runs = staged(whole.unionByName(runs), "runs")
-    spans = found.join(runs, ["gram", "digest"]).select("id", F.struct((F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("high") + LENGTH).alias("end")).alias("span"))
-    return staged(spans.groupBy("id").agg(F.collect_list("span").alias("spans")), "spans")
+    spans = found.join(runs, ["gram", "digest"]).select("key", F.struct((F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("high") + LENGTH).alias("end")).alias("span"))
+    return staged(spans.groupBy("key").agg(F.collect_set("span").alias("spans")), "spans")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
 
-    A null text counts as empty; what is shorter than LENGTH bytes keeps all. An id names one text: rows that repeat it lose their whole text, if it
-    is long enough, as each is a copy of the other. No rows give none.
+    A null text counts as empty; what is shorter than LENGTH bytes keeps all. Every row counts as a text of its own, whatever its id: rows of equal
+    texts lose them whole, if long enough, as each is a copy of the other; rows that share an id, or have none, and differ are compared like any
+    others. No rows give none.
     """
     spark = docs.sparkSession
     spans = repeats(docs, id_col, text_col)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    key = key_of(id_col, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     with settings(spark, FILTER_CONF):
-        cleaned = staged(removed(docs.select(key.alias("id"), F.col(text_col).alias("text")).join(spans.where(F.size("spans") > 0), "id").select("id", "text", "spans")), "cleaned").dropDuplicates(["id"])
-    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
+        cleaned = staged(removed(docs.select(key.alias("key"), F.col(text_col).alias("text")).join(spans.where(F.size("spans") > 0), "key").select("key", "text", "spans")), "cleaned").dropDuplicates(["key"])
+    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
     zero = F.lit(0).cast("long")
-    return rows.join(cleaned, "id", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+    return rows.join(cleaned, "key", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,6 +133,19 @@ def test_long_repeats(docs, texts, shard, monkeypatch):
     assert Counter(got) == Counter(brute_repeats(texts))
 
 
+@pytest.mark.parametrize("shard", [8000, 1])
+def test_repeats_of_rows_that_share_an_id_or_have_none(spark, shard, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_SEGMENTS", shard)
+    rng = np.random.default_rng(5)
+    new = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    parts = [new(600) for _ in range(4)]
+    mixed = lambda *own: new(own[0]) + "".join(p[own[1] :] + new(50) for p in parts) + new(own[0])
+    rows = [(None, mixed(300, 0)), (None, mixed(500, 90)), (None, new(900)), (7, mixed(250, 0)), (7, mixed(450, 150)), (7, parts[1] + new(300)), (8, mixed(310, 200)), (9, new(100) + parts[0][:350]), (None, None), (None, "short")]
+    rows += [(3, new(700))] * 2 + [(None, new(800))] * 3
+    got = [tuple(r) for r in suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert Counter(got) == Counter(brute_repeats(rows))
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(2)
     for _ in range(20):
