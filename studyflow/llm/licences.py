@@ -1,11 +1,14 @@
 """Licence scan: canonical digests of entire texts, joined to the digests of known licences.
 
 A text is brought to one form (lower case, no copyright lines, no punctuation, one spelling of words that have several) and hashed. What is looked
-up is the whole document and each of its lines, so that a licence kept as a document and a notice kept as a line are both found.
+up is the whole document and each of its lines, so that a licence kept as a document and a notice kept as a line are both found. A document is also
+looked up as a licence file: without a title line and without the lines that name a copyright holder, so that published layouts are found.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +52,29 @@ SPELLINGS = {
     "practise": "practice", "programme": "program", "realise": "realize", "recognise": "recognize", "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
 }
 COPYRIGHT_LINE = r"(?m)^[^\S\n]*[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$"
+# Of a licence file, in lower case: lines that name a holder or a year (not "copyright notice …", as wrapped texts begin lines with), and a title line with text below it.
+HOLDER_LINE = (
+    r"(?m)^[^a-z0-9\n]*(?:copyright(?!\s+(?:notice|holder|owner|licen[sc]e|law|statement|interest|disclaimer))(?:[^\n]*(?:\(c\)|©|[0-9]{4}|<year>|\[yyyy\])|[^\n]*\b(?:authors|contributors|foundation|university|inc|ltd|llc|gmbh)\b)[^\n]*"
+    r"|\(c\)[^\S\n]*(?:copyright|[0-9]{4})[^\n]*|©[^\n]*)$"
+)
+TITLE = r"\A\s*[^\n]{0,60}?\blicen[sc]e\b[^\n]{0,30}(?<![.:;,\s])[^\S\n]*\n(?=\s*\S)"
+# Words of which every licence file has one.
+FILE_WORDS = "licen|permission|copyright"
 PHRASES = (("and/or", "and or"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("all rights reserved", " "))
 
 
 def canonical(text: Column) -> Column:
     """One form of all texts that count as the same licence text; empty for null."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
+    return normal(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " "))
+
+
+def file_form(text: Column) -> Column:
+    """One form of all layouts of a licence file; empty for null."""
+    return normal(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), HOLDER_LINE, " "), TITLE, ""))
+
+
+def normal(out: Column) -> Column:
+    """Words between single blanks, one spelling of each."""
     for a, b in PHRASES:
         out = F.replace(out, F.lit(a), F.lit(b))
     out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
@@ -73,6 +93,18 @@ def known_digests(spark: SparkSession, known: dict[str, str]) -> DataFrame:
     return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("licence").alias("licence"))
 
 
+def published() -> list[tuple[str, str]]:
+    """(licence, text) of the licence files: the whole texts among KNOWN and the published ones of ``licence_texts`` (name, or name@variant)."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    return [(k, KNOWN[k]) for k in ("MIT", "ISC", "Apache-2.0-notice")] + [(f.stem.split("@")[0], f.read_text("utf-8")) for f in files]
+
+
+def file_digests(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    """(digest, licence) of licence files, each digest once."""
+    rows = spark.createDataFrame(files, "licence string, text string")
+    return rows.groupBy(F.sha2(file_form(F.col("text")), 256).alias("digest")).agg(F.min("licence").alias("licence"))
+
+
 def scan(docs: DataFrame, known: dict[str, str] = KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_sha256 of the canonical whole text, whole_licence (null if the text is none), n_lines that are licences and licences (sorted, comma-joined).
 
@@ -84,7 +116,8 @@ def scan(docs: DataFrame, known: dict[str, str] = KNOWN, id_col: str = "doc_id",
     whole = rows.select("doc_id", digest(F.col("text")).alias("text_sha256"))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).select("doc_id", digest(F.col("line")).alias("digest")).join(table, "digest")
     entire = whole.withColumnRenamed("text_sha256", "digest").join(table, "digest").select("doc_id", "licence", F.lit(0).alias("is_line"))
-    found = lines.select("doc_id", "licence", F.lit(1).alias("is_line")).unionByName(entire)
+    files = rows.where(F.lower("text").rlike(FILE_WORDS)).select("doc_id", F.sha2(file_form(F.col("text")), 256).alias("digest")).join(F.broadcast(file_digests(spark, published())), "digest")
+    found = lines.select("doc_id", "licence", F.lit(1).alias("is_line")).unionByName(entire).unionByName(files.select("doc_id", "licence", F.lit(0).alias("is_line")))
     found = found.groupBy(F.col("doc_id").alias("found_id")).agg(
         F.min(F.when(F.col("is_line") == 0, F.col("licence"))).alias("whole_licence"), F.sum("is_line").cast("long").alias("n_lines"), F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences")
     )

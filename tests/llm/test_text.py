@@ -198,6 +198,24 @@ def test_licences(spark, docs):
     assert licences.scan(docs).count() == docs.count()
 
 
+def test_licence_files_in_published_layouts(spark):
+    import textwrap
+
+    wrap = lambda text, width: "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+    owner, mit, isc = "Copyright (c) 2021, A. Person\n\n", licences.KNOWN["MIT"], licences.KNOWN["ISC"]
+    texts = [("MIT", f"{title}{owner}{wrap(mit, width)}\n") for title in ("", "MIT License\n\n", "The MIT License (MIT)\n\n", "# MIT Licence\n") for width in (60, 78)]
+    texts += [("ISC", f"ISC License\n\n{owner}{wrap(isc, width)}\n") for width in (60, 70, 76, 79)]
+    texts += [("ISC", owner + isc.replace("above copyright", "above\ncopyright"))]
+    texts += [(name, f"{text}\n") for name, text in licences.published()]
+    three = dict(licences.published())["BSD-3-Clause"]
+    texts += [(dict((b, a) for a, b in licences.published())[three], three.replace("<year>, <copyright holder>", "2019, The Project Authors. All rights reserved.").replace("BSD 3-Clause License\n", "The BSD 3-Clause License\n"))]
+    texts += [(None, "MIT License\n"), (None, "MIT License\n\n" + owner), (None, mit[:-40]), (None, "other words\n\n" + mit), (None, "Copyright notice\n")]
+    df = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["whole_licence"] for r in licences.scan(df).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(texts)}
+    assert all(re.search(licences.FILE_WORDS, text.lower()) for _, text in licences.published())
+
+
 def test_licences_of_no_rows(none):
     assert licences.scan(none).count() == 0
 
