@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from studyflow.operators.numbering import number_rows
+from studyflow.session import cut
 
 
 def list_by_key(
@@ -38,13 +40,32 @@ def record_concat(df: DataFrame, keys: list[str], value: Column, order: Column,
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", extra: dict[str, Column] | None = None) -> DataFrame:
-    """Exact median per group (mean of the middle two), with further aggregates in the same pass.
+    """Exact median per group (mean of the middle two), with further aggregates of the same rows.
 
-    The built-in aggregate keeps the count of each distinct value and is
-    combined map-side, so equal values of a hot group cost one entry.
+    The counts of each distinct value are range partitioned on (keys, value) and
+    pinned by a checkpoint. A running count is the total of earlier slices plus
+    a window inside the slice, so a group of any size is spread over as many
+    tasks as its distinct values need, and only its middle values are kept.
     """
-    more = [c.alias(n) for n, c in (extra or {}).items()]
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(out), *more)
+    # one struct names the group: never null itself
+    rows = df.where(F.col(value).isNotNull()).withColumn("__key", F.struct(F.lit(0).alias("__0"), *keys))
+    counts = rows.groupBy("__key", F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    slices = cut(counts.repartitionByRange("__key", "__v").withColumn("__slice", F.spark_partition_id()))
+    group = W.partitionBy("__key")
+    totals = slices.groupBy("__key", "__slice").agg(F.sum("__n").alias("__in")).select(
+        "__key", "__slice", "__in", F.sum("__in").over(group).alias("__all"),
+        F.coalesce(F.sum("__in").over(group.orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+    )
+    low, high = F.expr("(__all + 1) div 2"), F.expr("__all div 2 + 1")
+    wanted = totals.where((F.col("__before") < high) & (F.col("__before") + F.col("__in") >= low)).drop("__in")
+    inside = W.partitionBy("__key", "__slice").orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
+    running = slices.join(wanted, ["__key", "__slice"]).withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
+    middle = running.where((F.col("__upto") >= low) & (F.col("__upto") - F.col("__n") < high))
+    ends = middle.groupBy("__key").agg(F.min("__v").cast("double").alias("__low"), F.max("__v").cast("double").alias("__high"))
+    result = ends.withColumn(out, F.when(F.col("__low") == F.col("__high"), F.col("__low")).otherwise(F.col("__low") * 0.5 + F.col("__high") * 0.5))
+    if extra:
+        result = result.join(rows.groupBy("__key").agg(*[c.alias(n) for n, c in extra.items()]), "__key")
+    return result.select(*[F.col("__key").getField(k).alias(k) for k in keys], out, *(extra or {}))
 
 
 def most_frequent(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:

@@ -55,6 +55,17 @@ def test_exact_median_with_hot_and_null_groups(spark):
         assert got[key][0] == pytest.approx(statistics.median(values)) and got[key][1] == max(values)
 
 
+def test_exact_median_spreads_the_distinct_values_of_a_group(spark):
+    hot = [((i * 7919) % 5001) / 8 for i in range(5000)]
+    groups = {"hot": hot, None: hot[:7], "two": [1.5, float("inf")], "ties": [2.0] * 6 + [3.0] * 6, "one": [4.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("none", None)], "k string, v double")
+    out = G.exact_median(df, ["k"], "v")
+    assert {r["k"]: r["median"] for r in out.collect()} == {k: statistics.median(vs) for k, vs in groups.items()}
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "median(" not in plan and "percentile" not in plan
+    assert [r["median"] for r in G.exact_median(df.where("k = 'hot'"), [], "v").collect()] == [statistics.median(hot)]
+
+
 def test_list_by_key_parts_make_the_whole_list(spark):
     data, df = skewed(spark, 900)
     out = G.list_by_key(df, ["k"], F.col("id").cast("string"), ["id"], ";", 20, F.floor(F.col("id") / 50)).collect()
