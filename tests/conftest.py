@@ -16,8 +16,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frame_rows import rows
 from studyflow.operators import analysis as AL
 from studyflow.operators import ontology as O
 from studyflow.operators import qc as Q

@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frame_rows import rows
 from studyflow.operators import annotation as AN
 from studyflow.operators import assay as A
 

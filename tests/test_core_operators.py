@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frame_rows import rows
 from studyflow.operators import grouping as G
 from studyflow.operators import joins as J
 from studyflow.operators import merge as M

@@ -1,4 +1,4 @@
-from conftest import rows
+from frame_rows import rows
 from studyflow.operators import snp as SN
 from studyflow.operators import vcf as V
 

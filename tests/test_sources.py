@@ -2,7 +2,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frame_rows import rows
 from studyflow.sources import files as FI
 from studyflow.sources import tables as TB
 from studyflow.streaming import folder_load

@@ -2,7 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frame_rows import rows
 from studyflow.operators import tree as TR
 
 PATHS = st.lists(st.lists(st.sampled_from("ABC"), min_size=1, max_size=4), min_size=1, max_size=8)
