@@ -67,3 +67,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a work path made here, once nothing reads it any more."""
+    if not path.startswith(shared_dir(spark)):
+        raise ValueError(f"{path} is not in the work folder")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
