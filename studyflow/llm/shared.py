@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -92,3 +93,22 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
         before = state
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+# A-Z become a-z; digits, a-z and all bytes of letters beyond ASCII stay; every other byte parts words.
+_WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """The lower-cased (A-Z only) words of a whole text: runs of ASCII letters and digits and of characters beyond ASCII."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
+
+
+def text_slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, list[str | None]]]:
+    """(place of the first, texts) of runs of whole texts that end with the one that reaches ``chars`` characters."""
+    first, held = 0, 0
+    for n, text in enumerate(texts):
+        held += len(text or "")
+        if held >= chars or n == len(texts) - 1:
+            yield first, texts[first : n + 1]
+            first, held = n + 1, 0
