@@ -36,17 +36,12 @@ def instr(c: Column | str, sub: str, start: int = 1, occurrence: int = 1) -> Col
     Occurrences may overlap; 0 when there is none.
     """
     c = _col(c)
-    size = len(sub)
-    found = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))),
-        lambda i: c.substr(i, F.lit(size)) == sub,
-    )
-    if start > 0:
-        hits = F.filter(found, lambda i: i >= start)
-    else:
-        last = F.length(c) + (start - size + 2)
-        hits = F.reverse(F.filter(found, lambda i: i <= last))
-    return F.when(c.isNotNull(), F.coalesce(F.get(hits, F.lit(occurrence - 1)), F.lit(0)))
+    text, piece, at = (c, sub, F.lit(start)) if start > 0 else (F.reverse(c), sub[::-1], F.lit(-start))
+    for k in range(occurrence):
+        # a missing occurrence is a null start, for which locate gives 0
+        at = F.call_function("locate", F.lit(piece), text, at if k == 0 else F.nullif(at, F.lit(0)) + 1)
+    place = at if start > 0 else F.when(at > 0, F.length(c) - at - len(sub) + 2).otherwise(0)
+    return F.when(c.isNotNull(), place)
 
 
 def separators(path: Column | str, sep: str = SEP) -> Column:

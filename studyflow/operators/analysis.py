@@ -9,6 +9,7 @@ from studyflow.functions import stats as S
 from studyflow.functions import text as T
 from studyflow.functions.paths import split_list
 from studyflow.operators.joins import no_case
+from studyflow.operators.numbering import surrogate_ids
 from studyflow.session import staged
 
 # Filters of the stored result tables, the assay kind without
@@ -228,3 +229,46 @@ def platform_rows(rows: DataFrame, lists: dict[str, str], ids: list[str]) -> Dat
     return rows.select(*ids, F.explode(zipped).alias("__z")).select(
         *ids, *[T.strip(F.col("__z").getField(n)).alias(n) for n in lists.values()]
     ).distinct()
+
+
+def _added(known: DataFrame, rows: DataFrame, key: list[str], out: str, more: list[str]) -> DataFrame:
+    """``known`` and the rows with new keys, numbered after the greatest id; written once, as later steps resolve their keys in it."""
+    values = [F.max(c).alias(c) for c in more]
+    distinct = rows.groupBy(*key).agg(*values) if values else rows.select(*key).distinct()
+    fresh = distinct.join(known.select(*key), key, "left_anti")
+    top = known.agg(F.coalesce(F.max(out), F.lit(0)).alias("m")).select("m").scalar()
+    columns = [out, *key, *more]
+    return staged(known.select(*columns).unionByName(surrogate_ids(fresh, key, out, top).select(*columns)), out)
+
+
+def load_project(rows: DataFrame, known: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The dependent entities of a project file, in the order in which they need each other's ids.
+
+    ``rows`` (one for each analysis of a project): accession, title, analysis, dataset, and ``;`` lists compounds and diseases. ``known`` holds the
+    tables so far: experiment (experiment_id, accession, title), analysis (analysis_id, experiment_id, analysis), dataset (dataset_id, analysis_id,
+    dataset), compound (compound_id, name) and disease (disease_id, name); a compound may have several names. Gives the first three with the new
+    rows, the links experiment_compound and experiment_disease, and ``rejects`` (step, accession, value): rows without an accession or an analysis
+    and names that no vocabulary knows. Loaded again, nothing is added.
+    """
+    clean = rows.select(F.upper(T.blank_to_null("accession")).alias("accession"), *[T.blank_to_null(c).alias(c) for c in ("title", "analysis", "dataset", "compounds", "diseases")])
+    there = clean.where("accession is not null")
+    experiment = _added(known["experiment"], there, ["accession"], "experiment_id", ["title"])
+    resolved = there.join(experiment.select("accession", "experiment_id"), "accession")
+    analysis = _added(known["analysis"], resolved.where("analysis is not null"), ["experiment_id", "analysis"], "analysis_id", [])
+    of_analysis = resolved.where("dataset is not null").join(analysis, ["experiment_id", "analysis"], "left")
+    dataset = _added(known["dataset"], of_analysis.where("analysis_id is not null"), ["analysis_id", "dataset"], "dataset_id", [])
+    rejects = [
+        clean.where("accession is null").select(F.lit("experiment").alias("step"), "accession", F.coalesce("analysis", "title").alias("value")),
+        of_analysis.where("analysis_id is null").select(F.lit("dataset").alias("step"), "accession", F.col("dataset").alias("value")),
+    ]
+    links = {}
+    for kind in ("compound", "disease"):
+        named = resolved.select("accession", "experiment_id", F.explode(split_list(f"{kind}s", ";")).alias("value")).withColumn("value", T.strip("value")).where("value <> ''").distinct()
+        vocabulary = known[kind].select(F.lower(T.strip("name")).alias("__name"), f"{kind}_id").distinct()
+        met = named.join(vocabulary, F.lower("value") == F.col("__name"), "left")
+        links[f"experiment_{kind}"] = met.where(f"{kind}_id is not null").select("experiment_id", f"{kind}_id").distinct()
+        rejects.append(met.where(f"{kind}_id is null").select(F.lit(kind).alias("step"), "accession", "value"))
+    refused = rejects[0]
+    for more in rejects[1:]:
+        refused = refused.unionByName(more)
+    return {"experiment": experiment, "analysis": analysis, "dataset": dataset, **links, "rejects": refused.distinct()}

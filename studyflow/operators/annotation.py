@@ -15,6 +15,7 @@ DEFAULT_ORGANISM = "Homo sapiens"
 GENE_SEP, FIELD_SEP = "///", "//"
 CONTROL_PREFIX = "AFFX"
 NO_VALUE = "---"
+COMMENT_MARKS = ["#", "!", "^"]
 PLATFORM_LAYOUTS = {
     "GPL2004": {"probe": 1, "rs_id": 2, "chrom": 3, "position": 6, "genes": 13},
     "GPL2005": {"probe": 1, "rs_id": 2, "chrom": 3, "position": 6, "genes": 13},
@@ -73,6 +74,18 @@ def nested_genes(rows: DataFrame, table: str, ids: list[str], names: list[str])
     return genes.select(*ids, (F.col("pos") + 1).alias("pos"), *fields)
 
 
+def by_number(lines: DataFrame, places: DataFrame, fields: list[str], platform: str = "platform", line: str = "line", sep: str = "\t") -> DataFrame:
+    """Fields of annotation lines, each platform's columns picked by its own numbers (``platform, field, column_number``, from 1 on).
+
+    Comment lines are skipped; a field that a platform does not place, or whose column a line does not have, is null. Lines of a platform
+    without places are left out.
+    """
+    numbers = places.groupBy(F.col(platform).alias("__platform")).agg(*[F.min(F.when(F.col("field") == f, F.col("column_number").try_cast("int"))).alias(f"__{f}") for f in fields])
+    data = lines.where(~F.substring(line, 1, 1).isin(*COMMENT_MARKS) & (F.trim(line) != "")).withColumn("__cells", split_list(line, sep))
+    picked = data.join(numbers, F.col(platform) == F.col("__platform"))
+    return picked.select(platform, *[T.blank_to_null(F.get("__cells", F.col(f"__{f}") - 1)).alias(f) for f in fields])
+
+
 def zip_by_position(ids: DataFrame, symbols: DataFrame, key: list[str]) -> DataFrame:
     """Pair ids and symbols of the same list position, keeping the unpaired."""
     return ids.join(symbols, [*key, "pos"], "full")

@@ -116,8 +116,8 @@ def by_mapping(
 ) -> DataFrame:
     """Wide file to (record, site, subject, visit, label, value, category) rows.
 
-    A record is one array of its values; its cells meet the mapping in one
-    join, so the plan does not grow with the mapped columns. Handles reserved
+    A record is one array of its values, the mapping one array of its rules; the
+    plan does not grow with the mapped columns, and nothing is joined. Handles reserved
     labels, labels taken from another column of the record (``\\`` with source
     ``nA`` / ``nB``), word mapping and record exclusion. Rows of the mapping
     that cannot be used are in ``mapping_rejects``; a label column without a
@@ -145,12 +145,21 @@ def by_mapping(
         T.blank_to_null(special("visit_date")).alias("visit_date"), T.blank_to_null(special("sample_cd")).alias("sample_cd"),
         F.coalesce(at["visit_name"] < at["subject_id"], F.lit(False)).alias("visit_first"),
     )
-    cells = whole.select("*", F.posexplode("__values").alias("__p", "value")).withColumn("column_number", F.col("__p") + 1)
-    mapped = cells.join(rules.where("not reserved").select("column_number", "category_cd", "data_label", "source", "side"), "column_number")
-    from_column = F.col("data_label") == "\\"
-    label = F.when(from_column, T.blank_to_null(F.get("__values", F.col("source") - 1))).otherwise(F.col("data_label"))
-    category = F.when(from_column, T.insert_label_token(F.col("category_cd"), F.col("side"))).otherwise(F.col("category_cd"))
-    long = mapped.withColumns({"data_label": T.clean_column(label), "category_cd": T.clean_column(category)}).where("data_label is not null")
+    applied = rules.where("not reserved").agg(F.collect_list(F.struct("column_number", "category_cd", "data_label", "source", "side"))).scalar()
+
+    def cell(rule: Column) -> Column:
+        from_column = rule["data_label"] == "\\"
+        label = F.when(from_column, T.blank_to_null(F.get("__values", rule["source"] - 1))).otherwise(rule["data_label"])
+        return F.struct(
+            rule["column_number"].alias("column_number"), F.get("__values", rule["column_number"] - 1).alias("value"), label.alias("data_label"),
+            rule["category_cd"].alias("category_cd"), F.when(from_column, rule["side"]).alias("__side"),
+        )
+
+    # The cells are picked inside the record, so none of them carries the record on.
+    picked = whole.withColumn("__rules", applied).withColumn("__cells", F.transform("__rules", cell)).drop("__values", "__rules")
+    mapped = picked.select(*[c for c in picked.columns if c != "__cells"], F.inline("__cells"))
+    category = F.when(F.col("__side").isNotNull(), T.insert_label_token(F.col("category_cd"), F.col("__side"))).otherwise(F.col("category_cd"))
+    long = mapped.withColumns({"data_label": T.clean_column("data_label"), "category_cd": T.clean_column(category)}).where("data_label is not null").drop("__side")
     if words is not None:
         long = word_map(long, words)
     kept = drop_missing(long, preserve_nulls=preserve_nulls)
@@ -199,6 +208,37 @@ def parse_dates(df: DataFrame, date: str, formats: list[str], time: str | None =
     return df.withColumns({out: parsed, f"{out}_status": status})
 
 
+def dates_by_mapping(raw: DataFrame, mapping: DataFrame, record: str, subject: str, columns: list[str], time_format: str = "HH:mm") -> DataFrame:
+    """record, subject, data_label, column_number, the parsed date and its status for every cell whose mapping row has a ``date_format``.
+
+    The format is the mapping row's own; a column mapped twice is parsed twice. Where the text has no time, that of the row's ``time_column``
+    is added. Status: OK, MISSING, BAD_DATE or TIME_WITHOUT_DATE.
+    """
+    number = lambda c: F.col(c).try_cast("int").alias(c)
+    rules = mapping.where(T.blank_to_null("date_format").isNotNull()).select(number("column_number"), "data_label", T.strip("date_format").alias("date_format"), number("time_column"))
+    applied = rules.agg(F.collect_list(F.struct(*rules.columns))).scalar()
+    values = F.array(*[F.col(c).cast("string") for c in columns])
+    value = lambda n: T.blank_to_null(F.get("__values", n - 1))
+    cells = F.transform("__rules", lambda r: F.struct(r["data_label"].alias("data_label"), r["column_number"].alias("column_number"), r["date_format"].alias("__format"), value(r["column_number"]).alias("__date"), value(r["time_column"]).alias("__time")))
+    rows = raw.select(record, F.col(subject).alias("subject_id"), values.alias("__values"), applied.alias("__rules")).select(record, "subject_id", F.inline(cells))
+    timed = T.has("__date", ":")
+    text = F.when(~timed & F.col("__time").isNotNull(), F.concat_ws(" ", "__date", "__time")).otherwise(F.col("__date"))
+    layout = F.when(timed | F.col("__time").isNotNull(), F.concat_ws(" ", "__format", F.lit(time_format))).otherwise(F.col("__format"))
+    parsed = rows.withColumn("date", F.try_to_timestamp(text, layout))
+    status = (
+        F.when(F.col("__date").isNull() & F.col("__time").isNotNull(), "TIME_WITHOUT_DATE").when(F.col("__date").isNull(), "MISSING")
+        .when(F.col("date").isNull(), "BAD_DATE").otherwise("OK")
+    )
+    return parsed.select(record, "subject_id", "data_label", "column_number", F.when(F.col("__date").isNotNull(), F.col("date")).alias("date"), status.alias("status"))
+
+
+def enrol_dates(dated: DataFrame, label: str = "ENROLL_DATE") -> DataFrame:
+    """The enrol-date table: each subject's earliest date, with the number of different ones and of cells without a readable date."""
+    return dated.where(F.col("data_label") == label).groupBy("subject_id").agg(
+        F.min("date").alias("enrol_date"), F.count_distinct("date").alias("n_dates"), F.count_if(F.col("status") != "OK").alias("n_unreadable")
+    )
+
+
 def label_files_report(rows: DataFrame, label: str, file: str, subject: str) -> DataFrame:
     """A special label may come from one file only; counts files and subjects per label."""
     return rows.groupBy(label).agg(

@@ -2,7 +2,8 @@
 
 A number is (rows in earlier slices) + (rank inside the slice). Slices follow
 the sort order, so only the small per-slice counts are accumulated in one
-place; the rows of a hot key are spread over as many slices as they need.
+place; the rows of a hot key, and rows that tie, are spread over as many slices
+as they need.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from studyflow.session import cut
+from studyflow.session import staged
 
 # Leading hex digits of the key digest that slice surrogate ids.
 ID_SLICE_DIGITS = 3
@@ -26,29 +27,32 @@ def number_rows(
 ) -> DataFrame:
     """``row_number`` over ``order``, restarting per ``keys``.
 
-    ``slice_by`` is any coarse expression that never decreases along ``order``
-    (the day of a time, ``id div 1e6``); it must be fine enough that one key's
-    rows in one slice fit a task. Without it the rows are range partitioned on
-    (keys, order) and pinned by a checkpoint, so that the counts and the ranks
-    see the same ranges.
+    Rows and their ranks inside a slice are written once; the counts come from
+    what was written, so the input is computed once. ``slice_by`` is any coarse
+    expression that never decreases along ``order`` (the day of a time,
+    ``id div 1e6``); it must be fine enough that one key's rows in one slice
+    fit a task. Without it the rows are range partitioned on (keys, order) and
+    the place in which they were read: rows tied on the keys and the order are
+    dealt over as many ranges as they need, however many they are.
     """
     keys = keys or []
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     if slice_by is None:
-        ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-        rows = cut(ranged.withColumn("__slice", F.spark_partition_id()))
+        placed = staged(df.withColumn("__place", F.monotonically_increasing_id()), "placed-rows")
+        total = [*[F.col(k) for k in keys], *order, F.col("__place")]
+        ranged = placed.repartitionByRange(*total).sortWithinPartitions(*total)
+        # The id grows by one from row to row of a sorted range.
+        ranked = ranged.withColumns({"__slice": F.spark_partition_id(), "__rank": F.monotonically_increasing_id()}).drop("__place")
     else:
-        rows = df.withColumn("__slice", slice_by)
-    # one struct names the slice: never null itself, so ranking, counting and
-    # the join back share a single shuffle of the rows
-    rows = rows.withColumn("__unit", F.struct(*keys, "__slice"))
+        # one struct names the slice: never null itself
+        units = df.withColumn("__slice", slice_by).withColumn("__unit", F.struct(*keys, "__slice"))
+        ranked = units.withColumn("__rank", F.row_number().over(W.partitionBy("__unit").orderBy(*order)).cast("long")).drop("__unit")
+    rows = staged(ranked, "ranked-rows").withColumn("__unit", F.struct(*keys, "__slice"))
     earlier = W.partitionBy(*[F.col(f"__unit.{k}") for k in keys]).orderBy("__unit.__slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = rows.groupBy("__unit").agg(F.count(F.lit(1)).alias("__n")).select(
-        "__unit", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
-    )
-    ranked = rows.withColumn("__rank", F.row_number().over(W.partitionBy("__unit").orderBy(*order)))
+    counted = rows.groupBy("__unit").agg(F.count(F.lit(1)).alias("__n"), F.min("__rank").alias("__first"))
+    offsets = counted.select("__unit", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__before"))
     return (
-        ranked.join(offsets, "__unit")
+        rows.join(offsets, "__unit")
         .withColumn(out, (F.col("__before") + F.col("__rank")).cast("long"))
         .drop("__unit", "__slice", "__rank", "__before")
     )

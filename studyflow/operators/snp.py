@@ -7,13 +7,17 @@ one part whatever the number of patients or SNPs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from studyflow.functions import genome as G
-from studyflow.operators.numbering import number_rows
+from studyflow.functions import text as T
+from studyflow.functions.paths import split_list
+from studyflow.operators.numbering import number_rows, surrogate_ids
 from studyflow.operators.reshape import unpivot_matrix
+from studyflow.sources.files import file_name
+from studyflow.sources.headed import header_rows, placed_lines, section, text_after
 
 PART_SIZE = 1000
 
@@ -69,6 +73,66 @@ def matrix_calls(matrix: DataFrame, probe: str, calls: dict[str, str], samples:
     )
 
 
+def headed_calls(spark: SparkSession, paths: str | list[str], dictionary: str = "#Calls:", columns: str = "probeset_id", data: str = "SNP_A-", suffix: str = ".CEL") -> DataFrame:
+    """file_path, sample, snp_id, code and alleles of genotype matrices, each read by its own call dictionary and column header.
+
+    A file's two header lines are one small row, which its data lines join, wherever the file was split. A code that the dictionary does not
+    list, and a file without one, give null alleles.
+    """
+    lines = placed_lines(spark, paths)
+    starts = lambda mark: F.startswith("line", F.lit(mark))
+    heads = header_rows(lines, calls=starts(dictionary), header=starts(columns))
+    entry = lambda kv: F.struct(T.strip(F.substring_index(kv, "=", 1)).alias("code"), F.replace(T.strip(F.substring_index(kv, "=", -1)), F.lit("NN"), F.lit("00")).alias("pair"))
+    known = F.transform(F.filter(split_list(F.substring("calls", len(dictionary) + 1, 1 << 30), ","), lambda kv: F.contains(kv, F.lit("="))), entry)
+    heads = heads.select("file_path", known.alias("known"), F.transform(split_list("header", "\t"), lambda c: F.replace(c, F.lit(suffix), F.lit(""))).alias("samples"))
+    cells = lines.where(starts(data)).join(heads, "file_path", "left").withColumn("__cells", split_list("line", "\t"))
+    long = cells.select("file_path", "known", "samples", F.get("__cells", F.lit(0)).alias("snp_id"), F.posexplode("__cells").alias("at", "code")).where("at > 0")
+    pair = F.try_element_at(F.filter("known", lambda e: e["code"] == F.col("code")), F.lit(-1))["pair"]
+    return long.select("file_path", F.get("samples", F.col("at")).alias("sample"), "snp_id", "code", G.alleles(pair).alias("alleles"))
+
+
+def copy_number_sections(spark: SparkSession, paths: str | list[str], marker: str = "[Data]") -> tuple[DataFrame, DataFrame]:
+    """Rows of the data sections (file_path, sample, snp_id, chrom, position, copy_number) and the check of every file.
+
+    The check has the declared and the found number of rows, and whether the file's name begins with its sample; a file without a marker has
+    no rows, one without a declared number is not complete.
+    """
+    lines = placed_lines(spark, paths)
+    starts = lambda name: F.startswith("line", F.lit(name + "="))
+    heads = header_rows(lines, sample=starts("SampleName"), declared=starts("NumberDataRows"))
+    heads = heads.select("file_path", text_after("sample", "SampleName").alias("sample"), text_after("declared", "NumberDataRows").try_cast("long").alias("declared"))
+    cells = split_list("line", "\t")
+    cell = lambda k: T.strip(F.get(cells, F.lit(k)))
+    data = section(lines, marker)
+    # Places of the marker, chromosome, position and copy number in a data line.
+    rows = data.select("file_path", cell(0).alias("snp_id"), cell(1).alias("chrom"), cell(2).alias("position"), cell(5).alias("copy_number"))
+    files = lines.select("file_path").distinct().join(heads, "file_path", "left")
+    check = section_check(rows, files, ["file_path"]).withColumn("complete", F.coalesce("complete", F.lit(False)))
+    named = F.coalesce(F.startswith(file_name(F.col("file_path")), F.col("sample")), F.lit(False))
+    rows = rows.join(heads.select("file_path", "sample"), "file_path", "left").select("file_path", "sample", "snp_id", "chrom", "position", "copy_number")
+    return rows, check.withColumn("name_fits", named).select("file_path", "sample", "declared", "n_read", "complete", "name_fits")
+
+
+REGISTRY = ["dataset_id", "dataset_name", "patient_num", "platform", "trial", "position"]
+
+
+def register_datasets(registry: DataFrame, subjects: DataFrame, order: list[str]) -> DataFrame:
+    """The rows to append to a registry of subject datasets: new (dataset, patient) pairs of ``subjects`` with ids and vector positions.
+
+    ``subjects`` has ``trial, subject_id, sample, patient_num, platform``. A dataset is named by trial, subject and sample. Ids go on after the
+    greatest id, positions after the greatest of the platform and trial, in ``order``: what is registered keeps both over all reloads, and late
+    subjects come last.
+    """
+    sample = T.blank_to_null("sample")
+    named = subjects.withColumn("dataset_name", F.concat_ws("_", "trial", "subject_id", sample)).dropDuplicates(["dataset_name", "patient_num"])
+    fresh = named.join(registry.select("dataset_name", "patient_num"), ["dataset_name", "patient_num"], "left_anti")
+    ranked = number_rows(fresh, [*order, "dataset_name", "patient_num"], ["platform", "trial"], out="__n")
+    last = registry.groupBy("platform", "trial").agg(F.max("position").alias("__last"))
+    placed = ranked.join(last, ["platform", "trial"], "left").withColumn("position", F.coalesce("__last", F.lit(0)) + F.col("__n"))
+    top = registry.agg(F.coalesce(F.max("dataset_id"), F.lit(0)).alias("m")).select("m").scalar()
+    return surrogate_ids(placed, ["dataset_name", "patient_num"], "dataset_id", top).select(*REGISTRY)
+
+
 def lgen(calls: DataFrame, sample_patient: DataFrame, family: str = "0") -> DataFrame:
     """Long genotype rows: family, patient, SNP, alleles."""
     return calls.join(sample_patient, "sample").select(

@@ -264,6 +264,58 @@ def h43_platform_rows(spark, sf):
     return AL.platform_rows(rows, {"platforms": "platform", "vendors": "vendor"}, ["s_nationkey"])
 
 
+PROJECT_SQL = """
+p AS (SELECT CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE 'PRJ' || s_nationkey END AS accession, CASE WHEN s_suppkey % 7 <> 0 THEN 'A' || s_suppkey END AS analysis, 'D' || s_suppkey % 4 AS dataset, s_suppkey, s_nationkey FROM supplier),
+e AS (SELECT DISTINCT accession FROM p WHERE accession IS NOT NULL)"""
+
+
+def project(spark, sf):
+    key = lambda n: (F.col("s_suppkey") % n).cast("string")
+    rows = t(spark, sf, "supplier", "s_suppkey", "s_nationkey").select(
+        F.when(F.col("s_suppkey") % 10 != 0, F.concat(F.lit(" prj"), F.col("s_nationkey").cast("string"))).alias("accession"), F.lit("title").alias("title"),
+        F.when(F.col("s_suppkey") % 7 != 0, F.concat(F.lit("A"), F.col("s_suppkey").cast("string"))).alias("analysis"), F.concat(F.lit("D"), key(4)).alias("dataset"),
+        F.concat(F.lit("Drug"), key(3), F.lit("; drug"), key(5)).alias("compounds"), F.concat(F.lit("Ill"), key(2)).alias("diseases"),
+    )
+    known = {
+        "experiment": spark.createDataFrame([(5, "PRJ1", "old")], "experiment_id long, accession string, title string"),
+        "analysis": spark.createDataFrame([], "analysis_id long, experiment_id long, analysis string"), "dataset": spark.createDataFrame([], "dataset_id long, analysis_id long, dataset string"),
+        "compound": spark.createDataFrame([(1, "Drug0"), (1, "DRUG1"), (2, "drug2"), (3, "drug3")], "compound_id long, name string"),
+        "disease": spark.createDataFrame([(1, "ill0"), (2, "ill1")], "disease_id long, name string"),
+    }
+    return AL.load_project(rows, known)
+
+
+@query(rf"""WITH {PROJECT_SQL}
+SELECT 'experiment' AS entity, accession, accession AS value FROM e UNION ALL SELECT 'experiment', 'PRJ1', 'PRJ1' WHERE 'PRJ1' NOT IN (SELECT accession FROM e)
+UNION ALL SELECT DISTINCT 'analysis', accession, analysis FROM p WHERE accession IS NOT NULL AND analysis IS NOT NULL
+UNION ALL SELECT DISTINCT 'dataset', accession, analysis || ' ' || dataset FROM p WHERE accession IS NOT NULL AND analysis IS NOT NULL
+UNION ALL SELECT DISTINCT 'compound', accession, CASE x WHEN 0 THEN '1' WHEN 1 THEN '1' ELSE CAST(x AS VARCHAR) END FROM (SELECT accession, unnest([s_suppkey % 3, s_suppkey % 5]) AS x FROM p WHERE accession IS NOT NULL) WHERE x < 4
+UNION ALL SELECT DISTINCT 'disease', accession, CAST(s_suppkey % 2 + 1 AS VARCHAR) FROM p WHERE accession IS NOT NULL""")
+def h43_project_entities(spark, sf):
+    """All five tables, every row with the accession that its ids lead back to."""
+    out = project(spark, sf)
+    experiment = out["experiment"].select("experiment_id", "accession")
+    analysis = out["analysis"].join(experiment, "experiment_id")
+    rows = [
+        experiment.select(F.lit("experiment").alias("entity"), "accession", F.col("accession").alias("value")),
+        analysis.select(F.lit("analysis").alias("entity"), "accession", F.col("analysis").alias("value")),
+        out["dataset"].join(analysis, "analysis_id").select(F.lit("dataset").alias("entity"), "accession", F.concat_ws(" ", "analysis", "dataset").alias("value")),
+        *[out[f"experiment_{k}"].join(experiment, "experiment_id").select(F.lit(k).alias("entity"), "accession", F.col(f"{k}_id").cast("string").alias("value")) for k in ("compound", "disease")],
+    ]
+    whole = rows[0]
+    for more in rows[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+@query(rf"""WITH {PROJECT_SQL}
+SELECT DISTINCT 'experiment' AS step, accession, coalesce(analysis, 'title') AS value FROM p WHERE accession IS NULL
+UNION ALL SELECT DISTINCT 'dataset', accession, dataset FROM p WHERE accession IS NOT NULL AND analysis IS NULL
+UNION ALL SELECT DISTINCT 'compound', accession, 'drug4' FROM p WHERE accession IS NOT NULL AND s_suppkey % 5 = 4""")
+def h43_project_rejects(spark, sf):
+    return project(spark, sf)["rejects"]
+
+
 @query(f"""WITH {RAW_SQL} SELECT 'ORD' AS study_id, analysis_id, probeset, try_cast(preferred_pvalue AS DOUBLE) AS preferred_pvalue, try_cast(fold_change AS DOUBLE) AS fold_change FROM raw""")
 def h44_comparison_data(spark, sf):
     from studyflow.operators.routing import numeric_or_null, set_constants

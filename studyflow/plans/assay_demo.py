@@ -329,6 +329,17 @@ def h17_nested_gene_table(spark, sf):
     return AN.zip_by_position(ids, symbols, ["p_partkey"])
 
 
+@query("""SELECT 'GPL' || p_partkey % 2 AS platform, 'P' || p_partkey AS probe, p_brand AS gene_symbol, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS gene_id, CASE WHEN p_partkey % 2 = 1 THEN p_type END AS organism FROM part""")
+def h17_columns_by_number(spark, sf):
+    """Two platforms whose files place their columns differently, in one scan."""
+    part = t(spark, sf, "part", "p_partkey", "p_brand", "p_type", F.col("p_size").cast("string").alias("size"))
+    probe = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
+    line = F.when(F.col("p_partkey") % 2 == 0, F.concat_ws("\t", probe, "size", F.lit("x"), "p_brand")).otherwise(F.concat_ws("\t", "p_type", "p_brand", probe))
+    lines = part.select(F.concat(F.lit("GPL"), (F.col("p_partkey") % 2).cast("string")).alias("platform"), F.explode(F.array(F.lit("# note"), line)).alias("line"))
+    places = spark.createDataFrame([("GPL0", "probe", 1), ("GPL0", "gene_id", 2), ("GPL0", "gene_symbol", 4), ("GPL1", "organism", 1), ("GPL1", "gene_symbol", 2), ("GPL1", "probe", 3), ("GPL7", "probe", 1)], "platform string, field string, column_number int")
+    return AN.by_number(lines, places, ["probe", "gene_symbol", "gene_id", "organism"])
+
+
 @query("""SELECT 'GPL9' AS platform, p_name AS probeset, p_brand AS gene_symbol, CAST(p_size AS VARCHAR) AS gene_id, CASE WHEN p_size % 4 = 0 THEN 'Homo sapiens' ELSE p_type END AS organism FROM part WHERE p_size % 3 <> 0""")
 def h18_annotation_by_header(spark, sf):
     part = t(spark, sf, "part", "p_name", "p_brand", "p_size", "p_type").select(

@@ -387,6 +387,39 @@ def c35_parse_dates(spark, sf):
     return parsed.select("event_id", "visit_date_status", F.date_format("visit_date", "yyyy-MM-dd HH:mm").alias("visit_text"))
 
 
+DATES_SQL = """dates AS (SELECT event_id, CAST(user_id AS VARCHAR) AS subject,
+  CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 'unknown' WHEN event_id % 5 = 0 THEN strftime(ts, '%Y/%m/%d %H:%M') ELSE strftime(ts, '%Y/%m/%d') END AS visit,
+  CASE WHEN event_id % 3 = 0 THEN '07:30' END AS tm, strftime(ts, '%d-%m-%Y') AS enrol, ts FROM events),
+dated AS (SELECT event_id, subject AS subject_id, 'VISIT_DATE' AS data_label, 2 AS column_number,
+  CASE WHEN visit IS NULL OR visit = 'unknown' THEN NULL WHEN event_id % 5 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M') ELSE strftime(ts, '%Y-%m-%d') || ' ' || coalesce(tm, '00:00') END AS date,
+  CASE WHEN visit IS NULL AND tm IS NOT NULL THEN 'TIME_WITHOUT_DATE' WHEN visit IS NULL THEN 'MISSING' WHEN visit = 'unknown' THEN 'BAD_DATE' ELSE 'OK' END AS status FROM dates
+ UNION ALL SELECT event_id, subject, 'ENROLL_DATE', 4, strftime(ts, '%Y-%m-%d') || ' 00:00', 'OK' FROM dates)"""
+
+
+def dated(spark, sf):
+    e = F.col("event_id")
+    rows = t(spark, sf, "events", "event_id", "user_id", "ts").select(
+        "event_id", F.col("user_id").cast("string").alias("subject"),
+        F.when(e % 11 == 0, None).when(e % 7 == 0, "unknown").when(e % 5 == 0, F.date_format("ts", "yyyy/MM/dd HH:mm")).otherwise(F.date_format("ts", "yyyy/MM/dd")).alias("visit"),
+        F.when(e % 3 == 0, "07:30").alias("tm"), F.date_format("ts", "dd-MM-yyyy").alias("enrol"),
+    )
+    rules = spark.createDataFrame(
+        [("1", "SUBJ_ID", None, None), ("2", "VISIT_DATE", "yyyy/MM/dd", "3"), ("3", "OMIT", " ", None), ("4", "ENROLL_DATE", "dd-MM-yyyy", None)],
+        "column_number string, data_label string, date_format string, time_column string",
+    )
+    return ML.dates_by_mapping(rows, rules, "event_id", "subject", ["subject", "visit", "tm", "enrol"])
+
+
+@query(f"WITH {DATES_SQL} SELECT * FROM dated")
+def c35_dates_by_mapping(spark, sf):
+    return dated(spark, sf).withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm"))
+
+
+@query(f"WITH {DATES_SQL} SELECT subject_id, min(date) AS enrol_date, count(DISTINCT date) AS n_dates, CAST(0 AS BIGINT) AS n_unreadable FROM dated WHERE data_label = 'ENROLL_DATE' GROUP BY subject_id")
+def c35_enrol_dates(spark, sf):
+    return ML.enrol_dates(dated(spark, sf)).withColumn("enrol_date", F.date_format("enrol_date", "yyyy-MM-dd HH:mm"))
+
+
 @query(f"""WITH {WIDE_SQL} SELECT 'unmapped' AS problem, header AS column_name, n_values FROM (
   SELECT 'kind' AS header, count(kind) AS n_values FROM wide UNION ALL SELECT 'amount', count(amount) FROM wide)
 UNION ALL SELECT 'label column missing', 'status', count(status) FROM wide""")

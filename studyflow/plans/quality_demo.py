@@ -9,6 +9,7 @@ from studyflow.plans.data import money, t
 from studyflow.plans.registry import query
 from studyflow.session import work_path
 from studyflow.sources import files as FI
+from studyflow.sources import tables as TB
 from studyflow.streaming import folder_load
 
 
@@ -88,6 +89,33 @@ def j05_run_report(spark, sf):
     return Q.run_report(errors, terms, Q.step_counts({"read": orders}))
 
 
+@query("""SELECT o_orderstatus AS study_id, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'd2' ELSE 'd1' END AS delivery, CASE WHEN o_orderstatus = 'F' THEN 'all.txt' ELSE 'p' || o_orderkey % 3 || '.txt' END AS part
+FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0""")
+def c29_full_load_by_delivery(spark, sf):
+    """Parts of one delivery over two runs, one of them sent twice; then one study comes anew and replaces what it was."""
+    landing, history = work_path(spark, "delivered"), work_path(spark, "kept")
+    rows = t(spark, sf, "orders", "o_orderkey", F.col("o_orderstatus").alias("study_id"))
+    part = lambda k: rows.where(F.col("o_orderkey") % 3 == k)
+    runs = [[("d1", "p0", part(0)), ("d1", "p1", part(1).where("o_orderkey % 5 = 0"))], [("d1", "p2", part(2)), ("d1", "p1~2", part(1))], [("d2", "all", rows.where("study_id = 'F' and o_orderkey % 2 = 0"))]]
+    for files in runs:
+        for delivery, name, frame in files:
+            deliver(frame.select(F.col("o_orderkey").cast("string"), "study_id"), landing, delivery, name + ".txt")
+        folder_load.start(spark, landing, history, ["o_orderkey", "study_id"], name=landing.rsplit("-", 1)[1], incremental=False).awaitTermination()
+    return TB.current(spark, history, "study_id", folder_load.DELIVERY)
+
+
+def deliver(frame, landing, delivery, name):
+    """One file of a given name: written beside the landing folder, then moved into it whole."""
+    spark = frame.sparkSession
+    aside = work_path(spark, "aside")
+    frame.coalesce(1).write.option("sep", "\t").option("header", True).csv(aside)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    written = [f.getPath() for f in store.listStatus(path(aside)) if f.getPath().getName().startswith("part-")]
+    store.mkdirs(path(f"{landing}/{delivery}"))
+    store.rename(written[0], path(f"{landing}/{delivery}/{name}"))
+
+
 @query("SELECT o_orderstatus AS study_id, count(*) + count(*) FILTER (o_orderkey % 2 = 0) AS n_rows FROM orders GROUP BY 1")
 def c29_incremental_load(spark, sf):
     landing, history = work_path(spark, "arriving"), work_path(spark, "arrived")

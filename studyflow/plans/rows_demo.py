@@ -140,6 +140,50 @@ def a11_study_folders(spark, sf):
     return FI.folder_route(paths).groupBy("node", "kind").agg(F.count(F.lit(1)).alias("n_files"))
 
 
+STUDIES_SQL = r"""
+placed AS (SELECT n_regionkey AS r, CASE WHEN n_regionkey < 3 THEN 1 ELSE 2 END AS load, 'STUDY' || n_regionkey AS study, '\Node' || n_regionkey % 2 || '\STUDY' || n_regionkey || '\' AS node, * FROM nation),
+people AS (SELECT load, study, node, CAST(s_suppkey AS VARCHAR) AS id, n_name, printf('%.2f', s_acctbal) AS balance FROM supplier JOIN placed ON s_nationkey = n_nationkey)"""
+
+
+def study_files(spark, sf, root, regions):
+    """Text files of some regions as studies: patients with a header, a matrix, and a sample map without header."""
+    nation = t(spark, sf, "nation")
+    people = t(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    amount = F.format_string("%.2f", "s_acctbal")
+    for r in regions:
+        folder, mine = f"{root}/Node{r % 2}/STUDY{r}", people.where(F.col("n_regionkey") == r)
+        matrix = nation.where(F.col("n_regionkey") == r).select("n_nationkey", F.concat_ws("\t", F.concat(F.lit("P"), F.col("n_nationkey").cast("string")), F.col("n_nationkey").cast("string"), F.when(F.col("n_nationkey") % 2 == 0, "1.5").otherwise("null")).alias("line"))
+        rows = {
+            "ClinicalData": ("SUBJ_ID\tNATION\tBALANCE", mine.select("s_suppkey", F.concat_ws("\t", F.col("s_suppkey").cast("string"), "n_name", amount).alias("line"))),
+            "ExpressionDataToUpload": ("ID_REF\tGSM1\tGSM2", matrix.withColumnRenamed("n_nationkey", "s_suppkey")),
+            "SampleMap": (None, mine.select("s_suppkey", F.concat_ws("\t", F.lit(f"STUDY{r}"), F.lit(""), F.col("s_suppkey").cast("string"), F.concat(F.lit("GSM"), F.col("s_suppkey").cast("string")), F.lit("GPL1"), "n_name", F.lit(""), F.lit(""), F.lit("Samples+PLATFORM")).alias("line"))),
+        }
+        for kind, (header, lines) in rows.items():
+            if header:
+                lines = lines.unionByName(spark.createDataFrame([(-1, header)], "s_suppkey long, line string"))
+            lines.coalesce(1).sortWithinPartitions("s_suppkey").select("line").write.text(f"{folder}/{kind}")
+
+
+@query(rf"""WITH {STUDIES_SQL}
+SELECT load, 'clinical' AS kind, study, node, id AS item, 'NATION' AS column, n_name AS value FROM people UNION ALL SELECT load, 'clinical', study, node, id, 'BALANCE', balance FROM people
+UNION ALL SELECT load, 'expression', study, node, 'P' || n_nationkey, 'GSM1', CAST(n_nationkey AS VARCHAR) FROM placed
+UNION ALL SELECT load, 'expression', study, node, 'P' || n_nationkey, 'GSM2', '1.5' FROM placed WHERE n_nationkey % 2 = 0
+UNION ALL SELECT load, 'samples', study, node, 'GSM' || id, c, CASE c WHEN 'study_id' THEN study WHEN 'subject_id' THEN id WHEN 'sample_cd' THEN 'GSM' || id WHEN 'platform' THEN 'GPL1' WHEN 'tissue_type' THEN n_name ELSE 'Samples+PLATFORM' END
+  FROM people, (SELECT unnest(['study_id', 'subject_id', 'sample_cd', 'platform', 'tissue_type', 'category_cd']) AS c)""")
+def a11_folder_load(spark, sf):
+    """Two loads of one tree of folders: the second one finds two more studies and reads only those."""
+    from studyflow.sources import study_folder as SF
+
+    root, target = work_path(spark, "studies"), work_path(spark, "loaded")
+    study_files(spark, sf, root, (0, 1, 2))
+    SF.load(spark, root, target)
+    study_files(spark, sf, root, (3, 4))
+    SF.load(spark, root, target)
+    kinds = [SF.loaded_rows(spark, target, k).withColumn("kind", F.lit(k)) for k in ("clinical", "expression", "samples")]
+    rows = kinds[0].unionByName(kinds[1], allowMissingColumns=True).unionByName(kinds[2], allowMissingColumns=True)
+    return rows.select("load", "kind", "study", "node", "item", "column", "value")
+
+
 # --- B: projection, filter, routing ----------------------------------------
 
 

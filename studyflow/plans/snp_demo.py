@@ -100,6 +100,27 @@ def h24_matrix_calls(spark, sf):
     return SN.matrix_calls(matrix.withColumnRenamed("l_partkey", "snp_id"), "snp_id", CALL_CODES, samples)
 
 
+def write_files(rows, path):
+    """One text file for each ``file``, lines in the order of ``place``."""
+    rows.repartition("file").sortWithinPartitions("file", "place").select("file", "line").write.partitionBy("file").text(path)
+
+
+@query(r"""WITH m AS (SELECT l_partkey AS p, l_linenumber AS n, max(l_returnflag) AS code FROM lineitem GROUP BY ALL),
+grid AS (SELECT p, n, coalesce(code, '') AS code FROM (SELECT DISTINCT p FROM m) CROSS JOIN (SELECT unnest(generate_series(1, 7)) AS n) LEFT JOIN m USING (p, n))
+SELECT 'GSM' || (n + p % 2 * 10) AS sample, 'SNP_A-' || p AS snp_id, code, CASE WHEN p % 2 = 0 THEN CASE code WHEN 'A' THEN ' A A' WHEN 'N' THEN ' 0 0' WHEN 'R' THEN ' A B' END
+  ELSE CASE code WHEN 'A' THEN ' B B' WHEN 'N' THEN ' A B' END END AS alleles FROM grid""")
+def h24_headed_files(spark, sf):
+    """Two files, each with a dictionary and sample names of its own, in one scan."""
+    matrix, samples = genotype_matrix(spark, sf)
+    file = (F.col("l_partkey") % 2).cast("int").alias("file")
+    data = matrix.select(file, F.col("l_partkey").alias("place"), F.concat_ws("\t", F.concat(F.lit("SNP_A-"), F.col("l_partkey").cast("string")), *[F.coalesce(s, F.lit("")) for s in [F.col(f"`{x}`") for x in samples]]).alias("line"))
+    heads = [(f, -3 + k, line) for f, calls in ((0, "A=AA, N=NN, R=AB"), (1, "A=BB,N=AB")) for k, line in enumerate((
+        "# a comment", "#Calls: " + calls, "\t".join(["probeset_id", *(f"GSM{i + f * 10}.CEL" for i in range(1, 8))])))]
+    path = work_path(spark, "genotypes")
+    write_files(data.unionByName(spark.createDataFrame(heads, "file int, place long, line string")), path)
+    return SN.headed_calls(spark, path).drop("file_path")
+
+
 @query(f"WITH {MATRIX_SQL} SELECT '0' AS family, 'P' || n AS patient_id, snp_id, alleles FROM called WHERE n <= 5")
 def h25_lgen(spark, sf):
     pairs = spark.createDataFrame([(f"GSM{i}", f"P{i}") for i in range(1, 6)], "sample string, patient_id string")
@@ -127,6 +148,29 @@ def h26_declared_rows(spark, sf):
     return SN.section_check(rows, declared, ["s_suppkey"])
 
 
+def copy_number_files(spark, sf):
+    """A vendor file of every line number; each third one declares a row too many."""
+    lines = t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    text = lambda c: F.col(c).cast("string")
+    data = lines.select("l_linenumber", F.col("l_orderkey").alias("place"), F.concat_ws("\t", F.concat(F.lit("SNP_A-"), text("l_orderkey")), text("l_linenumber"), text("l_partkey"), F.lit("x"), F.lit("y"), text("l_suppkey")).alias("line"))
+    counts = lines.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+    declared = (F.col("n") + F.when(F.col("l_linenumber") % 3 == 0, 1).otherwise(0)).cast("string")
+    heads = counts.select("l_linenumber", F.posexplode(F.array(F.lit("[Header]"), F.concat(F.lit("SampleName=S"), text("l_linenumber")), F.concat(F.lit("NumberDataRows="), declared), F.lit("[Data]"))).alias("place", "line"))
+    path = work_path(spark, "copy-numbers")
+    write_files(data.unionByName(heads.withColumn("place", F.col("place").cast("long") - 4)).withColumn("file", F.col("l_linenumber").cast("int")).drop("l_linenumber"), path)
+    return SN.copy_number_sections(spark, path)
+
+
+@query("""SELECT 'S' || l_linenumber AS sample, 'SNP_A-' || l_orderkey AS snp_id, CAST(l_linenumber AS VARCHAR) AS chrom, CAST(l_partkey AS VARCHAR) AS position, CAST(l_suppkey AS VARCHAR) AS copy_number FROM lineitem""")
+def h26_data_sections(spark, sf):
+    return copy_number_files(spark, sf)[0].drop("file_path")
+
+
+@query("""SELECT 'S' || l_linenumber AS sample, count(*) + CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END AS declared, count(*) AS n_read, l_linenumber % 3 <> 0 AS complete FROM lineitem GROUP BY l_linenumber""")
+def h26_section_report(spark, sf):
+    return copy_number_files(spark, sf)[1].drop("file_path", "name_fits")
+
+
 @query("SELECT 'chrom=' || (l_partkey % 25 + 1) AS folder, count(*) AS n_rows FROM lineitem GROUP BY 1")
 def h26_files_by_chromosome(spark, sf):
     from studyflow.sources.files import read_lines
@@ -150,6 +194,23 @@ def h28_ordered_definition(spark, sf):
     return SN.ordered_definition(rows, ["o_orderdate", "o_orderkey"], ["o_custkey"], F.to_date("o_orderdate")).drop("o_orderdate")
 
 
+@query("""WITH s AS (SELECT c_custkey, 'T1_' || c_custkey || CASE WHEN c_nationkey % 2 = 0 THEN '_' || c_mktsegment ELSE '' END AS dataset_name, 'GPL' || c_nationkey % 3 AS platform, CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 1 END AS load FROM customer)
+SELECT load, dataset_name, c_custkey AS patient_num, platform, row_number() OVER (PARTITION BY platform ORDER BY load, c_custkey) AS position,
+  row_number() OVER (ORDER BY load, substr(md5(dataset_name || chr(1) || c_custkey), 1, 3), dataset_name, c_custkey) AS dataset_id FROM s""")
+def h28_dataset_registry(spark, sf):
+    """Three quarters of the subjects, then all of them: the late ones follow, the others keep id and position."""
+    customer = t(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    subjects = customer.select(
+        F.lit("T1").alias("trial"), F.col("c_custkey").cast("string").alias("subject_id"), F.when(F.col("c_nationkey") % 2 == 0, F.col("c_mktsegment")).alias("sample"), F.col("c_custkey").alias("patient_num"),
+        F.concat(F.lit("GPL"), (F.col("c_nationkey") % 3).cast("string")).alias("platform"),
+    )
+    path = work_path(spark, "registry")
+    none = spark.createDataFrame([], "dataset_id long, dataset_name string, patient_num long, platform string, trial string, position long")
+    for load, (known, rows) in enumerate(((lambda: none, subjects.where("patient_num % 4 <> 0")), (lambda: spark.read.parquet(path), subjects)), 1):
+        SN.register_datasets(known(), rows, ["patient_num"]).withColumn("load", F.lit(load)).write.mode("append").parquet(path)
+    return spark.read.parquet(path).drop("trial")
+
+
 @query("SELECT l_partkey AS sample, count(DISTINCT l_suppkey) AS n_patients FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
 def h29_conflicting_samples(spark, sf):
     return SN.conflicting_samples(t(spark, sf, "lineitem", F.col("l_partkey").alias("sample"), F.col("l_suppkey").alias("patient_id")))

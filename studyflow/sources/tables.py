@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -45,6 +46,29 @@ def load_history(df: DataFrame, path: str, study: str, incremental: bool = False
         replace_partitions(df, path, [study])
 
 
+def load_part(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Write one or more parts of deliveries (``keys``: study, delivery, part); a part that comes again replaces itself alone."""
+    replace_partitions(df, path, keys)
+
+
+def current(spark: SparkSession, path: str, study: str, delivery: str) -> DataFrame:
+    """The rows of each study's last delivery (the greatest), all its parts; what an earlier delivery brought is out of sight at once."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy(study).agg(F.max(delivery).alias(delivery))
+    return rows.join(last, [study, delivery], "left_semi")
+
+
+def drop_superseded(spark: SparkSession, path: str, study: str, delivery: str) -> int:
+    """Delete the folders of deliveries that a later one of their study replaced; the number of folders."""
+    last = W.partitionBy(study)
+    old = spark.read.parquet(path).select(study, delivery).distinct().withColumn("__last", F.max(delivery).over(last)).where(F.col(delivery) < F.col("__last"))
+    found = old.collect()
+    for row in found:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{study}={row[study]}/{delivery}={row[delivery]}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(found)
+
+
 def snapshot(tables: dict[str, DataFrame], folder: str) -> None:
     """Write a copy of every table under one snapshot folder."""
     for name, df in tables.items():
