@@ -16,6 +16,7 @@ from studyflow.session import staged
 # normalised p-values and the correlation types of the heat map.
 MIN_FOLD_CHANGE, MAX_PVALUE, MAX_NPV = 1.0, 0.1, 0.05
 UNSCORED_TYPE = "RBM"
+TERM_ALIASES = {("study_design", "Clinical"): "Clinical Trial"}
 GENE_CORRELATIONS = ["GENE", "HOMOLOGENE_GENE", "PROTEIN TO GENE"]
 # end of fixed values
 
@@ -174,8 +175,13 @@ def melt_terms(records: DataFrame, ids: list[str], columns: dict[str, str | None
 def tag_terms(
     records: DataFrame, ids: list[str], columns: dict[str, str | None], taxonomy: DataFrame, study: str = "study_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """Tags of matched terms (``ids``, term_id, source) and the report of unmatched ones."""
+    """Tags of matched terms (``ids``, term_id, source) and the report of unmatched ones.
+
+    Terms with an alias are looked up under it (``TERM_ALIASES``, by category); the source keeps the given text.
+    """
     terms = melt_terms(records, ids, columns).withColumn("__k", F.upper("term"))
+    for (category, alias), name in TERM_ALIASES.items():
+        terms = terms.withColumn("__k", F.when((F.col("category") == category) & (F.col("__k") == alias.upper()), name.upper()).otherwise(F.col("__k")))
     known = taxonomy.select(F.upper("term_name").alias("__k"), "term_id")
     tags = terms.join(known, "__k").select(
         *ids, "term_id", F.upper(F.concat_ws(":", "category", "term")).alias("source")
@@ -185,7 +191,7 @@ def tag_terms(
 
 
 def lineage(taxonomy: DataFrame, relations: DataFrame, tags: DataFrame) -> DataFrame:
-    """Tags of the terms and of all their ancestors.
+    """Tags of the terms and of all their ancestors, with the term's name and, where the taxonomy has one, its search keyword.
 
     Levels of the taxonomy are added until none brings a new (term, ancestor)
     pair, so a cycle ends too; each round runs as a job of its own. The tags
@@ -199,7 +205,8 @@ def lineage(taxonomy: DataFrame, relations: DataFrame, tags: DataFrame) -> DataF
         fresh = staged(above.join(pairs, ["term_id", "up"], "left_anti"), "lineage")
         pairs = pairs.unionByName(fresh)
     found = tags.join(pairs, "term_id").drop("term_id").withColumnRenamed("up", "term_id").select(*tags.columns).distinct()
-    return found.join(taxonomy.select("term_id", "term_name"), "term_id")
+    known = [c for c in ("term_name", "search_keyword_id") if c in taxonomy.columns]
+    return found.join(taxonomy.select("term_id", *known), "term_id")
 
 
 def refresh_entries(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from studyflow.functions import stats as S
 from studyflow.functions import text as T
 from studyflow.operators.grouping import exact_median
 from studyflow.operators.joins import null_safe
+from studyflow.operators.merge import diff, upsert
 from studyflow.operators.numbering import surrogate_ids
 
 # Template tokens of a sample category, in node-role order, the
@@ -83,6 +84,16 @@ def _fill(template: Column, top_node: str) -> Column:
     return P.collapse(F.concat(F.lit(top_node), T.category_path(template), F.lit("\\")))
 
 
+def with_platforms(samples: DataFrame, platforms: DataFrame, marker_type: str = GENE_EXPRESSION) -> DataFrame:
+    """Samples with the ``title`` of their platform; platforms of another marker type (without case) or without a title give no rows.
+
+    ``platforms``: platform, title, marker_type. A platform listed twice counts once, by its least title.
+    """
+    kind = F.upper("marker_type") == marker_type.upper()
+    titles = platforms.where(kind & T.blank_to_null("title").isNotNull()).groupBy("platform").agg(F.min("title").alias("title"))
+    return samples.drop("title").join(titles, "platform")
+
+
 def node_roles(samples: DataFrame, top_node: str) -> DataFrame:
     """One row per sample row and node role, with the node path of that role.
 
@@ -101,8 +112,11 @@ def node_roles(samples: DataFrame, top_node: str) -> DataFrame:
     return samples.select("*", F.inline(F.array(*variants))).where(F.col("node_path").isNotNull())
 
 
-def sample_nodes(samples: DataFrame, top_node: str) -> DataFrame:
-    """Distinct sample nodes by role (distinct template inputs first, then expansion)."""
+def sample_nodes(samples: DataFrame, top_node: str, platforms: DataFrame | None = None, marker_type: str = GENE_EXPRESSION) -> DataFrame:
+    """Distinct sample nodes by role (distinct template inputs first, then expansion); with ``platforms`` the titles come from there."""
+    if platforms is not None:
+        inputs = samples.select("category_cd", "platform", *[c for c in ROLE_TOKENS.values() if c != "title"]).distinct()
+        samples = with_platforms(inputs, platforms, marker_type)
     inputs = samples.select("category_cd", *ROLE_TOKENS.values()).distinct()
     nodes = node_roles(inputs, top_node).select("node_path", "role").distinct()
     return nodes.withColumn("name", P.leaf_name("node_path"))
@@ -132,6 +146,17 @@ def sample_mapping(
     )
 
 
+def refresh_mapping(known: DataFrame, delivered: DataFrame, keys: tuple[str, ...] = ("subject_key", "sample_cd", "platform")) -> DataFrame:
+    """The sample mapping after a reload: known samples take the delivered patient, concepts and attributes, new ones are added, others stay.
+
+    ``change`` says which: ``changed``, ``identical``, ``new`` or ``kept``.
+    """
+    values = [c for c in known.columns if c not in keys]
+    merged = upsert(known, delivered, list(keys), values)
+    state = diff(known, delivered, list(keys), values, "change").select(*keys, F.when(F.col("change") == "deleted", "kept").otherwise(F.col("change")).alias("change"))
+    return merged.join(state, list(keys))
+
+
 def all_loaded(samples: DataFrame, mapping: DataFrame) -> DataFrame:
     """Count check: every sample row must be mapped."""
     n_map = mapping.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()

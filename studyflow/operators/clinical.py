@@ -35,10 +35,16 @@ def clean_marks(rows: DataFrame) -> DataFrame:
 
 
 def drop_single_visits(rows: DataFrame) -> DataFrame:
-    """Null the visit where its category knows exactly one (case-insensitive)."""
+    """Null the visit where its category knows exactly one (case-insensitive).
+
+    The rows are written once for the count and the join. The counted side is
+    written too: its size is known when the join is planned, so a small one is
+    broadcast and the rows are not shuffled by their few categories.
+    """
     visit = F.upper("visit_name")
+    rows = staged(rows, "keyed-rows")
     single = rows.groupBy("category_cd").agg(F.min(visit).alias("__a"), F.max(visit).alias("__b"))
-    single = single.where(F.col("__a") == F.col("__b")).select("category_cd", F.lit(True).alias("__single"))
+    single = staged(single.where(F.col("__a") == F.col("__b")).select("category_cd", F.lit(True).alias("__single")), "single-visits")
     joined = rows.join(single, "category_cd", "left")
     return joined.withColumn("visit_name", F.when(F.col("__single").isNull(), F.col("visit_name"))).select(*rows.columns)
 
@@ -99,8 +105,13 @@ def numeric_variables(rows: DataFrame) -> DataFrame:
 
 
 def infer_types(rows: DataFrame) -> DataFrame:
-    """``data_type`` N where the whole variable is numeric, else T."""
-    numeric = numeric_variables(rows).withColumn("__n", F.lit("N"))
+    """``data_type`` N where the whole variable is numeric, else T.
+
+    The rows are written once; the numeric variables are written too, as a
+    side of known size (see ``drop_single_visits``).
+    """
+    rows = staged(rows, "clean-rows")
+    numeric = staged(numeric_variables(rows), "numeric-variables").withColumn("__n", F.lit("N"))
     return null_safe(rows, numeric, TYPE_KEYS, "left").withColumn("data_type", F.coalesce("__n", F.lit("T"))).drop("__n")
 
 
@@ -242,9 +253,9 @@ def load(
 ) -> dict[str, DataFrame]:
     """The whole clinical load: working rows, nodes, patients, concepts, facts and reports.
 
-    The cleaned rows feed six results, so they are written once to the shared folder.
+    The cleaned rows feed six results; ``infer_types`` has written them to the shared folder.
     """
-    typed = staged(infer_types(staged(standardise(landing), "clean-rows")), "working-rows")
+    typed = infer_types(standardise(landing))
     nodes = leaf_nodes(typed, top_node)
     people = merge_patients(patients, demographics(typed).withColumnRenamed("usubjid", "subject_key"), study)
     fresh = nodes.select(F.col("leaf_node").alias("concept_path"), F.col("node_name").alias("name")).distinct().join(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from studyflow.functions import text as T
 from studyflow.functions.paths import nth, split_list
+from studyflow.operators.merge import upsert
 from studyflow.operators.reshape import rows_to_columns
 
 # Record separators and field patterns of the vocabulary files,
@@ -180,6 +181,19 @@ def typed_metadata(landing: DataFrame, dates: list[str], numbers: list[str]) ->
     })
 
 
+def upsert_metadata(known: DataFrame, landing: DataFrame, key: str, dates: list[str], numbers: list[str], texts: dict[str, int | None]) -> DataFrame:
+    """Study metadata after a delivery: typed as in ``typed_metadata``, texts trimmed and cut to their length, known studies updated, new ones added.
+
+    A delivered null empties the field, as the delivery is the whole row. Of several rows of a study the greatest counts; rows without a key are left out.
+    """
+    cut = {c: T.strip(c) if n is None else F.substring(T.strip(c), 1, n) for c, n in texts.items()}
+    values = [*dates, *numbers, *texts]
+    typed = typed_metadata(landing.where(T.blank_to_null(key).isNotNull()), dates, numbers).withColumns(cut)
+    row = F.struct(*values)
+    single = typed.groupBy(key).agg(F.max(row).alias("__r")).select(key, "__r.*")
+    return upsert(known, single, [key], values)
+
+
 def dictionary_links(studies: DataFrame, column: str, known: DataFrame, sep: str = ";") -> tuple[DataFrame, DataFrame]:
     """(new dictionary names, study -> upper-case name links) of a list column, without case."""
     items = studies.select("study_id", F.explode(split_list(column, sep)).alias("name")).withColumn("name", T.strip("name")).where("name <> ''")

@@ -16,6 +16,7 @@ from studyflow.operators.numbering import surrogate_ids
 FOLDER, CONTAINER, LEAF, SAMPLE_LEAF = "FA", "CA", "LA", "LAH"
 PUBLIC_TOKEN = "EXP:PUBLIC"
 SECURITY_NODE = "SECURITY"
+STUB_TITLE = "Metadata not available"
 # end of fixed values
 
 
@@ -192,6 +193,26 @@ def secure_objects(tree: DataFrame, registered: DataFrame, source: str = "source
     return named.join(registered.select("object_id"), "object_id", "left_anti")
 
 
+def register_security(tree: DataFrame, studies: DataFrame, registered: DataFrame, experiments: DataFrame, source: str = "source") -> tuple[DataFrame, DataFrame]:
+    """(secure objects, experiments) after studies are secured or opened.
+
+    ``studies`` (source, secured) holds the studies of this run, ``registered`` (object_id, display_name, experiment_id) and ``experiments``
+    (experiment_id, accession, title) the tables so far. A study that becomes secured without an experiment gets a stub one; a study that is opened loses
+    its object and keeps its experiment; objects of other studies stay.
+    """
+    object_id = F.concat(F.lit("EXP:"), F.col(source))
+    secured_ = studies.where("secured").select(source).distinct()
+    opened = studies.where("not secured").select(object_id.alias("object_id"))
+    wanted = secure_objects(tree.join(secured_, source, "left_semi"), registered, source)
+    missing = wanted.select(F.col(source).alias("accession")).distinct().join(experiments.select("accession"), "accession", "left_anti")
+    top = experiments.agg(F.coalesce(F.max("experiment_id"), F.lit(0)).alias("m")).select("m").scalar()
+    stubs = surrogate_ids(missing, ["accession"], "experiment_id", top).withColumn("title", F.lit(STUB_TITLE))
+    after = experiments.select("experiment_id", "accession", "title").unionByName(stubs.select("experiment_id", "accession", "title"))
+    new = wanted.join(after.select(F.col("accession").alias(source), "experiment_id"), source).select("object_id", "display_name", "experiment_id")
+    kept = registered.select("object_id", "display_name", "experiment_id").join(opened, "object_id", "left_anti")
+    return kept.unionByName(new), after
+
+
 def counts_by_level(subjects: DataFrame, base: str, levels: list[str], member: str) -> DataFrame:
     """Counts of a base / platform / tissue template: one rollup instead of a loop. A level without a name has no node of its own."""
     rolled = subjects.rollup(*levels).agg(F.count(member).alias("patient_count"), *[F.grouping(c).alias(f"__g_{i}") for i, c in enumerate(levels)])

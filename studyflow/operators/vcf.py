@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from studyflow.functions.genome import info_attribute
 from studyflow.functions.paths import nth, split_list
+from studyflow.operators.numbering import surrogate_ids
+from studyflow.session import staged
 
 # Columns of a variant line and the separators of gene pairs.
 VCF_COLUMNS = ["chrom", "pos", "ids", "ref", "alt", "qual", "filter", "info"]
@@ -38,3 +40,28 @@ def catalogue(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Variants to add to the catalogue: one row per id that is not there."""
     fresh = rows.groupBy("rs_id").agg(F.min_by(F.struct("chrom", "pos", "ref", "alt", "variant_class"), F.struct("chrom", "pos", "ref", "alt")).alias("v"))
     return fresh.select("rs_id", "v.*").join(known.select("rs_id"), "rs_id", "left_anti")
+
+
+def load_catalogue(rows: DataFrame, info: DataFrame, gene_map: DataFrame, keywords: DataFrame, terms: DataFrame) -> dict[str, DataFrame]:
+    """What a variant file adds to the catalogue, in the order in which the tables need each other's ids; nothing that is there comes again.
+
+    ``info`` (snp_info_id, name, chrom, pos), ``gene_map`` (snp_info_id, name, gene_id), ``keywords`` (keyword_id, keyword, bio_data_id, unique_id, category)
+    and ``terms`` (term, keyword_id, rank, length) are the tables so far. Genes attach to every place of an id, known or new; every variant without
+    a keyword gets one, every keyword without a first-rank term its upper-case term.
+    """
+    def numbered(fresh: DataFrame, table: DataFrame, key: list[str], out: str) -> DataFrame:
+        top = table.agg(F.coalesce(F.max(out), F.lit(0)).alias("m")).select("m").scalar()
+        return staged(surrogate_ids(fresh, key, out, top).select(*table.columns), out)
+
+    place = ["name", "chrom", "pos"]
+    found = rows.select(F.col("rs_id").alias("name"), "chrom", "pos").where("name <> '' and pos is not null").distinct()
+    fresh = numbered(found.join(info.select(*place), place, "left_anti"), info, place, "snp_info_id")
+    variants_ = info.unionByName(fresh)
+    pairs = genes(rows).where("gene_id <> ''").select(F.col("rs_id").alias("name"), F.col("gene_id")).distinct()
+    mapped = variants_.select("snp_info_id", "name").join(pairs, "name").select(*gene_map.columns)
+    words = variants_.select(F.col("name").alias("keyword"), F.col("snp_info_id").alias("bio_data_id"), F.concat(F.lit("SNP:"), "name").alias("unique_id"), F.lit("SNP").alias("category"))
+    key = ["keyword", "bio_data_id", "unique_id", "category"]
+    new_words = numbered(words.join(keywords.select(*key), key, "left_anti"), keywords, key, "keyword_id")
+    ranked = terms.where("rank = 1").select("keyword_id")
+    new_terms = keywords.unionByName(new_words).join(ranked, "keyword_id", "left_anti").select(F.upper("keyword").alias("term"), "keyword_id", F.lit(1).alias("rank"), F.length("keyword").alias("length"))
+    return {"info": fresh, "gene_map": mapped.join(gene_map, gene_map.columns, "left_anti"), "keywords": new_words, "terms": new_terms}

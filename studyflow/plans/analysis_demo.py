@@ -248,6 +248,18 @@ def h41_term_lineage(spark, sf):
     return AL.lineage(taxonomy, relations, tags)
 
 
+@query("""WITH r AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'clinical' WHEN 1 THEN 'Clinical Trial' ELSE 'Survey' END AS design FROM customer)
+SELECT 'CUST' AS study_id, c_custkey, a.term_id, upper('study_design:' || design) AS source, a.term_name, a.search_keyword_id
+FROM r, (SELECT 7 AS term_id, 'Clinical Trial' AS term_name, 70 AS search_keyword_id UNION ALL SELECT 1, 'Design', 10) a WHERE c_custkey % 3 <> 2""")
+def h41_design_alias_and_keywords(spark, sf):
+    """A study design under its alias, tagged with its own term and the ancestor, both with their search keywords."""
+    design = F.when(F.col("c_custkey") % 3 == 0, "clinical").when(F.col("c_custkey") % 3 == 1, "Clinical Trial").otherwise("Survey")
+    records = t(spark, sf, "customer", F.lit("CUST").alias("study_id"), "c_custkey", design.alias("study_design"))
+    taxonomy = spark.createDataFrame([(7, "Clinical Trial", 70), (1, "Design", 10), (8, "Clinical", None)], "term_id int, term_name string, search_keyword_id int").where("term_id <> 8")
+    relations = spark.createDataFrame([(7, 1)], "child_id int, parent_id int")
+    return AL.lineage(taxonomy, relations, AL.tag_terms(records, ["study_id", "c_custkey"], {"study_design": None}, taxonomy)[0])
+
+
 @query("""SELECT n AS n_entries, n AS n_delivered, true AS complete FROM (SELECT count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0)""")
 def h42_entry_refresh(spark, sf):
     from studyflow.plans.sets_demo import old_and_new

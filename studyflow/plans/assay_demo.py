@@ -99,6 +99,14 @@ def h03_sample_nodes(spark, sf):
     return A.sample_nodes(samples(spark, sf), TOP)
 
 
+@query(rf"""WITH {SAMPLES_SQL.replace("'Chip ' || (o_orderkey % 3) AS title", "CASE o_orderkey % 3 WHEN 0 THEN 'Array A' WHEN 1 THEN 'Array B' END AS title").replace("FROM orders)", "FROM orders WHERE o_orderkey % 3 <> 2)")}{ROLES_SQL.removeprefix(SAMPLES_SQL)}
+SELECT DISTINCT node_path, role, string_split(node_path, '\')[-2] AS name FROM roles""")
+def h03_sample_nodes_by_platform(spark, sf):
+    """Titles and marker types from the platform table: one of the three platforms holds other markers."""
+    platforms = spark.createDataFrame([("GPL0", "Array A", "Gene Expression"), ("GPL1", "Array B", "GENE EXPRESSION"), ("GPL1", "Array C", "Gene Expression"), ("GPL2", "Chip", "SNP")], "platform string, title string, marker_type string")
+    return A.sample_nodes(samples(spark, sf), TOP, platforms)
+
+
 MAPPING_SQL = ROLES_SQL + f""",
 patients AS (SELECT subject_key, row_number() OVER (ORDER BY substr(md5(subject_key), 1, 3), subject_key) AS patient_num FROM (SELECT DISTINCT {SUBJECT_SQL} AS subject_key FROM samples)),
 concepts AS (SELECT node_path, row_number() OVER (ORDER BY substr(md5(node_path), 1, 3), node_path) AS concept_cd FROM (SELECT DISTINCT node_path FROM roles)),
@@ -122,6 +130,17 @@ def h04_sample_mapping(spark, sf):
     return mapped(spark, sf)
 
 
+@query(f"""WITH {MAPPING_SQL}, rows AS (SELECT m.*, patient_num, leaf_cd || '-' || patient_num AS data_uid, CAST(substr(sample_cd, 2) AS BIGINT) AS k FROM mapping m JOIN patients USING (subject_key))
+SELECT subject_key, sample_cd, platform, CASE WHEN k % 3 = 0 AND k % 5 = 0 THEN 'old' ELSE tissue_type END AS tissue_type, leaf_cd, patient_num, data_uid,
+  CASE WHEN k % 3 = 0 AND k % 5 = 0 THEN 'kept' WHEN k % 5 = 0 THEN 'changed' WHEN k % 2 = 0 THEN 'identical' WHEN k % 3 = 0 THEN NULL ELSE 'new' END AS change FROM rows WHERE k % 3 <> 0 OR k % 5 = 0 OR k % 2 = 0""".replace("WHEN k % 2 = 0 THEN 'identical' WHEN k % 3 = 0 THEN NULL", "WHEN k % 2 = 0 AND k % 3 <> 0 THEN 'identical' WHEN k % 2 = 0 THEN 'kept'"))
+def h04_mapping_reload(spark, sf):
+    """Known samples (every second as it is, every fifth with an old tissue) meet a delivery without each third sample."""
+    rows = mapped(spark, sf).select("subject_key", "sample_cd", "platform", "tissue_type", "leaf_cd", "patient_num", "data_uid")
+    key = F.substring("sample_cd", 2, 20).cast("long")
+    known = rows.where((key % 2 == 0) | (key % 5 == 0)).withColumn("tissue_type", F.when(key % 5 == 0, "old").otherwise(F.col("tissue_type")))
+    return A.refresh_mapping(known, rows.where(key % 3 != 0))
+
+
 @query("SELECT count(*) AS n_samples, count(*) AS n_mapped, true AS complete FROM orders")
 def h04_all_loaded(spark, sf):
     return A.all_loaded(samples(spark, sf), mapped(spark, sf))

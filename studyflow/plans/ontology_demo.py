@@ -59,6 +59,21 @@ def i02_typed_metadata(spark, sf):
     return O.typed_metadata(rows, ["start_date"], ["n_patients"])
 
 
+@query("""WITH n AS (SELECT o_orderkey, o_orderdate, o_custkey, o_orderpriority, o_orderkey % 2 = 0 AS known, o_orderkey % 3 <> 0 AS delivered FROM orders)
+SELECT 'S' || o_orderkey AS study_id, CASE WHEN NOT delivered THEN DATE '2000-01-01' WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS start_date, CASE WHEN NOT delivered THEN 1.0 WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS DOUBLE) END AS n_patients,
+  CASE WHEN NOT delivered THEN 'old' ELSE substr(o_orderpriority || ' design', 1, 8) END AS design FROM n WHERE known OR delivered""")
+def i02_metadata_upsert(spark, sf):
+    k = F.col("o_orderkey")
+    orders = t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    study = F.concat(F.lit("S"), text("o_orderkey")).alias("study_id")
+    known = orders.where(k % 2 == 0).select(study, F.lit("2000-01-01").cast("date").alias("start_date"), F.lit(1.0).alias("n_patients"), F.lit("old").alias("design"))
+    landing = orders.where(k % 3 != 0).select(
+        study, F.when(k % 5 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias("start_date"), F.when(k % 7 == 0, "many").otherwise(text("o_custkey")).alias("n_patients"),
+        F.concat(F.lit("  "), "o_orderpriority", F.lit(" design ")).alias("design"),
+    )
+    return O.upsert_metadata(known, landing, "study_id", ["start_date"], ["n_patients"], {"design": 8})
+
+
 COMPOUND_SQL = """items AS (SELECT p_brand AS study_id, trim(unnest(string_split(p_name, ' '))) AS name FROM part)"""
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from studyflow.functions import genome as GN
 from studyflow.operators import snp as SN
 from studyflow.operators import vcf as V
+from studyflow.operators.numbering import surrogate_ids
 from studyflow.plans.data import t
 from studyflow.plans.registry import query
 from studyflow.session import work_path
@@ -253,6 +254,24 @@ def h31_variant_catalogue(spark, sf):
     return V.catalogue(rows, rows.where("rs_id like '%0'").select("rs_id").distinct())
 
 
+@query(f"""WITH {VCF_SQL}, places AS (SELECT DISTINCT rs_id, chrom, pos FROM vars),
+pairs AS (SELECT DISTINCT rs_id, CAST(s AS VARCHAR) AS gene_id FROM vars WHERE s % 5 <> 0 UNION SELECT rs_id, '7' FROM vars WHERE s % 5 <> 0 AND s % 2 = 0)
+SELECT 'info' AS added, rs_id AS name, chrom AS value FROM places WHERE rs_id NOT LIKE '%0' UNION ALL SELECT 'gene_map', rs_id, gene_id FROM places JOIN pairs USING (rs_id)
+UNION ALL SELECT 'keywords', 'SNP:' || rs_id, 'SNP' FROM places UNION ALL SELECT 'terms', upper(rs_id), CAST(length(rs_id) AS VARCHAR) FROM places""")
+def h31_catalogue_load(spark, sf):
+    """Variants, gene map, keywords and terms that a file adds to a catalogue which knows every tenth id or so."""
+    rows = V.variants(vcf_lines(spark, sf), [])
+    known = rows.where("rs_id like '%0'").select(F.col("rs_id").alias("name"), "chrom", "pos").distinct()
+    tables = {
+        "gene_map": "snp_info_id long, name string, gene_id string", "keywords": "keyword_id long, keyword string, bio_data_id long, unique_id string, category string",
+        "terms": "term string, keyword_id long, rank int, length int",
+    }
+    info = surrogate_ids(known, ["name", "chrom", "pos"], "snp_info_id").select("snp_info_id", "name", "chrom", "pos")
+    out = V.load_catalogue(rows, info, **{k: spark.createDataFrame([], s) for k, s in tables.items()})
+    cell = lambda table, name, value: out[table].select(F.lit(table).alias("added"), F.col(name).alias("name"), F.col(value).cast("string").alias("value"))
+    return cell("info", "name", "chrom").unionByName(cell("gene_map", "name", "gene_id")).unionByName(cell("keywords", "unique_id", "category")).unionByName(cell("terms", "term", "length"))
+
+
 @query(f"WITH {MATRIX_SQL} SELECT sample, CASE WHEN n <= 5 THEN 'P' || n END AS patient_id, snp_id, alleles AS call FROM called")
 def h46_calls_by_sample(spark, sf):
     pairs = spark.createDataFrame([(f"GSM{i}", f"P{i}") for i in range(1, 6)], "sample string, patient_id string")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from studyflow.functions import paths as P
 from studyflow.operators import merge as M
 from studyflow.operators import tree as TR
+from studyflow.operators.numbering import surrogate_ids
 from studyflow.plans.data import FULL_TREE_SQL, PATHS_SQL, TREE_SQL, customer_paths, region_tree, t
 from studyflow.plans.registry import query
 
@@ -195,6 +196,20 @@ def d18_secure_objects(spark, sf):
     return TR.secure_objects(region_tree(spark, sf), registered)
 
 
+@query("""SELECT 'EXP:' || n_name AS object_id, r_name || ' - ' || n_name AS display_name, n_name AS accession, CASE r_regionkey WHEN 0 THEN 'known' ELSE 'Metadata not available' END AS title
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey IN (0, 2) AND n_nationkey IN (SELECT c_nationkey FROM customer)
+UNION ALL SELECT 'EXP:' || n_name, 'before', n_name, 'known' FROM nation WHERE n_regionkey = 3""")
+def d18_security_registration(spark, sf):
+    """Two regions' studies become secured (one without experiments), one region is opened, another's objects stay."""
+    nation = t(spark, sf, "nation", "n_name", "n_regionkey")
+    registered = nation.where("n_regionkey in (1, 3)").select(F.concat(F.lit("EXP:"), "n_name").alias("object_id"), F.lit("before").alias("display_name"), F.col("n_name"))
+    known = surrogate_ids(nation.where("n_regionkey in (0, 1, 3)").select(F.col("n_name").alias("accession")), ["accession"], "experiment_id").withColumn("title", F.lit("known"))
+    objects = registered.join(known, F.col("n_name") == F.col("accession")).select("object_id", "display_name", "experiment_id")
+    studies = nation.where("n_regionkey in (0, 1, 2)").select(F.col("n_name").alias("source"), (F.col("n_regionkey") != 1).alias("secured"))
+    after, experiments = TR.register_security(region_tree(spark, sf), studies, objects, known)
+    return after.join(experiments, "experiment_id").drop("experiment_id")
+
+
 @query("""SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders WHERE o_orderstatus <> 'F'
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
 def d19_study_backout(spark, sf):

@@ -7,9 +7,13 @@ from frame_rows import rows
 from studyflow.functions import paths as P
 from studyflow.operators import analysis as AL
 from studyflow.operators import annotation as AN
+from studyflow.operators import assay as A
 from studyflow.operators import melt as ML
 from studyflow.operators import numbering
+from studyflow.operators import ontology as O
 from studyflow.operators import snp as SN
+from studyflow.operators import tree as TR
+from studyflow.operators import vcf as V
 from studyflow.operators.numbering import number_rows
 from studyflow.sources import headed as H
 from studyflow.sources import study_folder as SF
@@ -210,3 +214,48 @@ def test_occurrences_by_repeated_search(spark):
         for start in (1, 2, -1, -2):
             for n in (1, 2, 3):
                 assert [r[0] for r in df.select(P.instr("s", piece, start, n)).collect()] == [brute(x, piece, start, n) for x in texts]
+
+
+def test_platform_titles_and_kinds_decide_the_sample_nodes(spark):
+    samples = spark.createDataFrame([("P1", "blood", None, None, "Bio+PLATFORM+TISSUETYPE"), ("P2", "blood", None, None, "Bio+PLATFORM"), ("P3", "skin", None, None, "Bio+PLATFORM")],
+                                    "platform string, tissue_type string, attribute_1 string, attribute_2 string, category_cd string")
+    platforms = spark.createDataFrame([("P1", "Chip", "GENE expression"), ("P2", "Other", "SNP"), ("P3", " ", "Gene Expression")], "platform string, title string, marker_type string")
+    assert {r["node_path"] for r in A.sample_nodes(samples, "\\T\\", platforms).collect()} == {"\\T\\Bio\\Chip\\", "\\T\\Bio\\Chip\\blood\\"}
+
+
+def test_mapping_reload_changes_and_adds(spark):
+    schema = "subject_key string, sample_cd string, platform string, leaf_cd long, tissue_type string"
+    known = spark.createDataFrame([("s1", "a", "P", 1, "old"), ("s2", "b", "P", 2, "same"), ("s3", "c", "P", 3, "gone")], schema)
+    fresh = spark.createDataFrame([("s1", "a", "P", 7, None), ("s2", "b", "P", 2, "same"), ("s4", "d", "P", 4, "new")], schema)
+    got = A.refresh_mapping(known, fresh).select("sample_cd", "leaf_cd", "tissue_type", "change")
+    assert rows(got) == [("a", 7, None, "changed"), ("b", 2, "same", "identical"), ("c", 3, "gone", "kept"), ("d", 4, "new", "new")]
+
+
+def test_metadata_upsert_types_and_cuts(spark):
+    known = spark.createDataFrame([("A", None, 1.0, "old"), ("B", None, 2.0, "stays")], "study string, started date, n double, design string")
+    landing = spark.createDataFrame([("A", "20240131", "x", " " + "d" * 30), ("C", "soon", "3", None), (" ", "20240131", "1", "no key")], "study string, started string, n string, design string")
+    got = O.upsert_metadata(known, landing, "study", ["started"], ["n"], {"design": 20}).withColumn("started", F.col("started").cast("string"))
+    assert rows(got) == [("A", "2024-01-31", None, "d" * 20), ("B", None, 2.0, "stays"), ("C", None, 3.0, None)]
+
+
+def test_variant_catalogue_adds_each_thing_once(spark):
+    lines = spark.createDataFrame([("1\t10\trs1;rs2\tA\tC\t.\tPASS\tGENEINFO=TP53:7157|X:9;VC=SNV",), ("2\t20\trs3\tG\tT\t.\tPASS\tVC=SNV",), ("1\t10\trs1\tA\tC\t.\tPASS\tGENEINFO=TP53:7157",)], "line string")
+    schemas = {"info": "snp_info_id long, name string, chrom string, pos long", "gene_map": "snp_info_id long, name string, gene_id string",
+               "keywords": "keyword_id long, keyword string, bio_data_id long, unique_id string, category string", "terms": "term string, keyword_id long, rank int, length int"}
+    tables = {k: spark.createDataFrame([(4, "rs3", "2", 20)] if k == "info" else [], s) for k, s in schemas.items()}
+    out = V.load_catalogue(V.variants(lines, []), **tables)
+    assert rows(out["info"].select("name", "chrom", "pos")) == [("rs1", "1", 10), ("rs2", "1", 10)]
+    assert rows(out["gene_map"].select("name", "gene_id")) == [("rs1", "7157"), ("rs1", "9"), ("rs2", "7157"), ("rs2", "9")]
+    assert rows(out["keywords"].select("unique_id")) == [("SNP:rs1",), ("SNP:rs2",), ("SNP:rs3",)] and rows(out["terms"].select("term", "length")) == [("RS1", 3), ("RS2", 3), ("RS3", 3)]
+    again = V.load_catalogue(V.variants(lines, []), **{k: tables[k].unionByName(out[k]) for k in schemas})
+    assert all(df.count() == 0 for df in again.values())
+
+
+def test_secured_studies_get_stubs_and_opened_ones_lose_their_object(spark):
+    tree = spark.createDataFrame([("\\Top\\S1\\", 1, "S1", "S1"), ("\\Top\\S1\\x\\", 2, "x", "S1"), ("\\Top\\S2\\", 1, "S2", "S2"), ("\\Top\\S3\\", 1, "S3", "S3")], "path string, level int, name string, source string")
+    studies = spark.createDataFrame([("S1", True), ("S2", False)], "source string, secured boolean")
+    registered = spark.createDataFrame([("EXP:S2", "Top - S2", 1), ("EXP:S9", "other", 2)], "object_id string, display_name string, experiment_id long")
+    experiments = spark.createDataFrame([(1, "S2", "t2"), (2, "S9", "t9")], "experiment_id long, accession string, title string")
+    objects, after = TR.register_security(tree, studies, registered, experiments)
+    assert rows(objects) == [("EXP:S1", "Top - S1", 3), ("EXP:S9", "other", 2)]
+    assert rows(after) == [(1, "S2", "t2"), (2, "S9", "t9"), (3, "S1", "Metadata not available")]
