@@ -12,13 +12,15 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Pages of the fit, on average (chosen by a hash of the address).
+# Pages of the fit, on average (chosen by a hash of the page), and classes that get a weight of their own: the most frequent ones, by the sums of all tasks.
 SAMPLE = 4_000
+NAMES = 500
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "object", "canvas", "select", "button", "option")
@@ -27,13 +29,26 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 # Elements and names that are page furniture wherever they stand.
 FURNITURE = {"nav", "footer", "aside", "form", "menu", "dialog", "head"}
-NAMED = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|newsletter|subscribe|popup|modal|menu|nav\w*|breadcrumbs?|sidebar|side-?bar|footer|site-?header|masthead|topbar|comments?|disqus|respond|replies|related|share|sharing|social|widget|pagination|pager|search|login|signup|skip\w*|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+NAMED = re.compile(r"ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|newsletter|subscribe|popup|modal|menu|nav\w*|breadcrumbs?|sidebar|footer|siteheader|masthead|topbar|comments?|disqus|respond|replies|related|share|sharing|social|widget|pagination|pager|search|login|signup|skip\w*|copyright|legal|disclaimer")
+# A class of several parts is furniture by its last part (site-footer), or by its first when the last only names a container (share-buttons); never
+# when the first part says that something is there or not (has-sidebar), or when it names a state (comments-open).
+CONTAINERS = {"area", "bar", "block", "box", "button", "buttons", "container", "content", "form", "group", "inner", "item", "items", "link", "links", "list", "panel", "posts", "section", "slot", "top", "bottom", "unit", "wrap", "wrapper"}
+STATES = {"has", "with", "no", "without", "not", "is", "hide", "show", "single"}
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog", "toolbar"}
 MAIN = {"article", "main"}
+PARAGRAPH_ENDS = {"p", "li", "ul", "ol", "div", "article", "section", "body", "main", "td"}
 CLOSES_P = {"p", "div", "article", "section", "ul", "ol", "dl", "table", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "nav", "aside", "footer", "header", "main", "form", "figure", "hr"}
 
 
+def named(token: str) -> bool:
+    """Whether one class (or id) names page furniture."""
+    parts = [p for p in re.split("[-_]+", token) if p]
+    if not parts or (len(parts) > 1 and parts[0] in STATES):
+        return False
+    return bool(NAMED.fullmatch("".join(parts)) or NAMED.fullmatch(parts[-1]) or (parts[-1] in CONTAINERS and NAMED.fullmatch(parts[0])))
+
+
 def furniture(name: str, attributes: str, inside_main: bool) -> bool:
     if name in FURNITURE or (name == "header" and not inside_main):
         return True
@@ -42,7 +57,7 @@ def furniture(name: str, attributes: str, inside_main: bool) -> bool:
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         value = a or b or c
         key = key.lower()
-        if key in ("class", "id") and NAMED.search(value):
+        if key in ("class", "id") and any(named(token) for token in value.lower().split()):
             return True
         if key == "role" and value.lower() in ROLES:
             return True
@@ -55,12 +70,19 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     """(class of weight, kind, text): kind is "word" for text between tags, "break" where a block begins or ends, "tag" for other tags.
 
     The class is furniture for all that stands in such an element; else tags are classes of their own, and text is in a link, an item or plain.
-    Unclosed elements end with what holds them.
+    Unclosed elements end with what holds them. An element that is furniture by its name alone and turns out to hold the page's first article
+    or main element is none. Places of open elements are kept by name, so a page of stray tags takes time in proportion to its length.
     """
     out: list[tuple[str, str, str]] = []
     open_: list[tuple[str, bool]] = []
+    # Places in open_: of each name, of elements that are not inline, of those at which a paragraph ends, and of furniture.
+    of_name: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    anchors: list[int] = []
+    marked: list[int] = []
     bad = links = 0
     main = 0
+    seen_main = False
     at = 0
 
     def text(piece: str) -> None:
@@ -73,6 +95,11 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
         nonlocal bad, links, main
         while len(open_) > depth:
             name, was_bad = open_.pop()
+            if name:
+                of_name[name].pop()
+            for places in (blocks, anchors, marked):
+                if places and places[-1] == len(open_):
+                    places.pop()
             bad -= was_bad
             links -= name == "a"
             main -= name in MAIN
@@ -90,14 +117,22 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
         closing, attributes = bool(found[1]), found[3]
         kind = "tag" if name in INLINE else "break"
         is_bad = not closing and furniture(name, attributes, main > 0)
+        if name in MAIN and not closing:
+            if bad and not seen_main and not any(open_[k][0] in FURNITURE or open_[k][0] == "header" for k in marked):
+                for k in marked:
+                    open_[k] = (open_[k][0], False)
+                marked.clear()
+                bad = 0
+            seen_main |= not bad
         out.append(("furniture" if bad or is_bad else f"</{name}>" if closing else f"<{name}>", kind, " " if name == "br" and not bad else ""))
         if closing:
-            depth = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None)
+            depth = of_name[name][-1] if of_name.get(name) else None
             # An inline element's end does not close the blocks around it.
-            if depth is not None and not (name in INLINE and any(x[0] not in INLINE for x in open_[depth:])):
+            if depth is not None and not (name in INLINE and blocks and blocks[-1] > depth):
                 leave(depth)
             elif depth is not None:
-                links -= open_[depth][0] == "a"
+                links -= name == "a"
+                of_name[name].pop()
                 open_[depth] = ("", open_[depth][1])
             continue
         if name in RAW:
@@ -107,9 +142,16 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
         if name in VOID or attributes.endswith("/"):
             continue
         if name in CLOSES_P or name == "li":
-            last = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] in ("p", "li", "ul", "ol", "div", "article", "section", "body", "main", "td")), None)
+            last = anchors[-1] if anchors else None
             if last is not None and (open_[last][0] == "p" or (name == "li" and open_[last][0] == "li")):
                 leave(last)
+        of_name.setdefault(name, []).append(len(open_))
+        if name not in INLINE:
+            blocks.append(len(open_))
+        if name in PARAGRAPH_ENDS:
+            anchors.append(len(open_))
+        if is_bad:
+            marked.append(len(open_))
         open_.append((name, is_bad))
         bad += is_bad
         links += name == "a"
@@ -172,7 +214,7 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
     low, high = best_run(scores)
     if low == high:
         return ""
-    # The run grows to the ends of the article or main element that holds all of it, so that short blocks at its edges stay.
+    # The run grows to the ends of the article or main element that holds most of it, so that short blocks at its edges stay; it never shrinks.
     low, high = grown(found, low, high)
     blocks, part = [], []
     for name, kind, piece in found[low:high]:
@@ -187,6 +229,8 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
 
 
 def grown(found: list[tuple[str, str, str]], low: int, high: int) -> tuple[int, int]:
+    """The run and the smallest article or main element that holds over half of its words, as one run."""
+    words = list(accumulate((0 if t[0] == "furniture" else len(t[2].split()) for t in found), initial=0))
     open_: list[tuple[str, int]] = []
     spans = []
     for k, (name, kind, _) in enumerate(found):
@@ -199,8 +243,9 @@ def grown(found: list[tuple[str, str, str]], low: int, high: int) -> tuple[int,
                 if n == f"<{name[2:]}":
                     break
     spans += [(start, len(found)) for _, start in open_]
-    held = [(b - a, a, b) for a, b in spans if a < high and b > low and sum(len(t[2].split()) for t in found[max(a, low) : min(b, high)] if t[0] != "furniture") * 2 > sum(len(t[2].split()) for t in found[low:high] if t[0] != "furniture")]
-    return min(held)[1:] if held else (low, high)
+    held = [(b - a, a, b) for a, b in spans if a < high and b > low and 2 * (words[min(b, high)] - words[max(a, low)]) > words[high] - words[low]]
+    _, a, b = min(held) if held else (0, low, high)
+    return min(low, a), max(high, b)
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE, html_col: str = "html") -> dict[str, float]:
@@ -215,11 +260,10 @@ def learn(pages: DataFrame, sample: int = SAMPLE, html_col: str = "html") -> dic
                 if counts := labelled(page.as_py() or ""):
                     inside += counts[0]
                     outside += counts[1]
-        # Tag names are a task's own; the rarest are left to the plain weight, so that few rows leave a task.
-        names = sorted({*inside, *outside}, key=lambda n: (-inside[n] - outside[n], n))[:500]
+        names = sorted({*inside, *outside})
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([inside[n] for n in names], pa.int64()), pa.array([outside[n] for n in names], pa.int64())], ["name", "inside", "outside"])
 
-    rows = chosen.mapInArrow(run, "name string, inside long, outside long").groupBy("name").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).orderBy((F.col("inside") + F.col("outside")).desc(), "name").limit(500).collect()
+    rows = chosen.mapInArrow(run, "name string, inside long, outside long").groupBy("name").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).orderBy((F.col("inside") + F.col("outside")).desc(), "name").limit(NAMES).collect()
     return weights({r["name"]: r["inside"] for r in rows if r["inside"]}, {r["name"]: r["outside"] for r in rows if r["outside"]})
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studyflow.llm.shared import documents
+from studyflow.session import staged
 
 # Known licence texts and notices.
 KNOWN = {
@@ -105,22 +106,54 @@ def file_digests(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame
     return rows.groupBy(F.sha2(file_form(F.col("text")), 256).alias("digest")).agg(F.min("licence").alias("licence"))
 
 
+def first_words(known: list[str]) -> list[str]:
+    """Words of the raw text of which one must come first in a line whose canonical form is one of ``known``.
+
+    The first word of a canonical text is the raw text's first one, in one of its spellings, unless a phrase was joined or left out there.
+    """
+    firsts = {k.split(" ")[0] for k in known}
+    joined = {a.split("-")[0] for a, b in PHRASES if b in firsts}
+    return sorted(firsts | {a for a, b in SPELLINGS.items() if b in firsts} | joined | {a.split(" ")[0] for a, b in PHRASES if not b.strip()})
+
+
+def marks(files: list[str], least: int = 6) -> list[str]:
+    """Words that all licence files hold, the longest first: a raw text without one of them is no such file."""
+    changed = {*SPELLINGS.values(), *(w for _, b in PHRASES for w in b.split())}
+    common = set.intersection(*(set(f.split(" ")) for f in files)) - changed if files else set()
+    return sorted(common, key=lambda w: (-len(w), w))[:least]
+
+
 def scan(docs: DataFrame, known: dict[str, str] = KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_sha256 of the canonical whole text, whole_licence (null if the text is none), n_lines that are licences and licences (sorted, comma-joined).
 
     A text that is empty in its canonical form is no licence. Rows that share an id share the findings of both. No rows give none.
+
+    The texts are read once. The canonical form is made of every whole text, of the lines that begin as a known one does, and, as a licence file,
+    of the texts that hold the words of all such files; their digests are written and meet the known ones in one join.
     """
     spark = docs.sparkSession
-    table = F.broadcast(known_digests(spark, known))
+    texts = known_digests(spark, known).withColumn("form", F.lit("text"))
+    files = file_digests(spark, published()).withColumn("form", F.lit("file"))
+    canon = [r[0] for r in spark.createDataFrame([(v,) for v in known.values()], "text string").select(canonical(F.col("text"))).collect()]
+    shapes = [r[0] for r in spark.createDataFrame([(v,) for _, v in published()], "text string").select(file_form(F.col("text"))).collect()]
+    table = F.broadcast(texts.unionByName(files))
+    low = F.lower("text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    whole = rows.select("doc_id", digest(F.col("text")).alias("text_sha256"))
-    lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).select("doc_id", digest(F.col("line")).alias("digest")).join(table, "digest")
-    entire = whole.withColumnRenamed("text_sha256", "digest").join(table, "digest").select("doc_id", "licence", F.lit(0).alias("is_line"))
-    files = rows.where(F.lower("text").rlike(FILE_WORDS)).select("doc_id", F.sha2(file_form(F.col("text")), 256).alias("digest")).join(F.broadcast(file_digests(spark, published())), "digest")
-    found = lines.select("doc_id", "licence", F.lit(1).alias("is_line")).unionByName(entire).unionByName(files.select("doc_id", "licence", F.lit(0).alias("is_line")))
-    found = found.groupBy(F.col("doc_id").alias("found_id")).agg(
+    held = F.lit(True)
+    for mark in marks(shapes):
+        held = held & F.contains(low, F.lit(mark))
+    lines = F.filter(F.split(low, "\n"), lambda line: F.regexp_extract(line, r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)", 1).isin(first_words(canon)))
+    forms = rows.select("doc_id", digest(F.col("text")).alias("text_sha256"), lines.alias("lines"), F.when(held & low.rlike(FILE_WORDS), F.sha2(file_form(F.col("text")), 256)).alias("file"))
+    forms = forms.withColumn("lines", F.transform("lines", digest))
+    read = staged(forms, "licence-digests")
+    asked = read.select("doc_id", F.inline(F.concat(
+        F.array(F.struct(F.lit("text").alias("form"), F.col("text_sha256").alias("digest"), F.lit(0).alias("is_line")), F.struct(F.lit("file").alias("form"), F.col("file").alias("digest"), F.lit(0).alias("is_line"))),
+        F.transform("lines", lambda d: F.struct(F.lit("text").alias("form"), d.alias("digest"), F.lit(1).alias("is_line"))),
+    )))
+    found = asked.join(table, ["form", "digest"]).groupBy(F.col("doc_id").alias("found_id")).agg(
         F.min(F.when(F.col("is_line") == 0, F.col("licence"))).alias("whole_licence"), F.sum("is_line").cast("long").alias("n_lines"), F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences")
     )
+    whole = read.select("doc_id", "text_sha256")
     return whole.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select("doc_id", "text_sha256", "whole_licence", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"), F.coalesce("licences", F.lit("")).alias("licences"))
 
 

@@ -41,10 +41,13 @@ FEATURES = ["kind", "length", "digits", "letters", "separators", "dots", "plus",
 # Distinct feature rows of a kind that the trees are fitted to, on average; a kind with fewer gives all.
 SAMPLE = 2_000
 RIGHT = 0.99
-LEAST_RIGHT = 8
+# Wrong candidates that every threshold counts beside those it saw: a kind with few right ones stays with its own check.
+DOUBT = 0.08
 # Thresholds lie on a grid of the log-odds: GRID steps to one, up to FAR on both sides.
 GRID, FAR = 64, 30
 CHUNK = 256
+# Code points of the pieces that a text is cut into for its redaction.
+PIECE = 1024
 
 
 def located(steps: Column) -> Column:
@@ -199,7 +202,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
 
 
 def thresholds(rows: DataFrame, selector: Selector) -> dict[str, float]:
-    """For each kind the least log-odds above which RIGHT of the candidates counted in ``rows`` (x, y, n) are right, and LEAST_RIGHT of them at least.
+    """For each kind the least log-odds above which RIGHT of the candidates counted in ``rows`` (x, y, n) and of DOUBT more are right.
 
     Counts for each step of the grid reach the driver, a bounded number whatever the number of rows.
     """
@@ -210,7 +213,7 @@ def thresholds(rows: DataFrame, selector: Selector) -> dict[str, float]:
         right = total = 0
         for r in sorted((r for r in counts if r["kind"] == k), key=lambda r: -r["step"]):
             right, total = right + r["right"], total + r["n"]
-            if right >= RIGHT * total and right >= LEAST_RIGHT:
+            if right and right >= RIGHT * (total + DOUBT):
                 least[kind] = r["step"] / GRID if r["step"] > -FAR * GRID else float("-inf")
     return least
 
@@ -258,18 +261,43 @@ def report(docs: DataFrame, selector: Selector) -> DataFrame:
     return df.select("doc_id", *counts, F.sha2(joined("__base"), 256).alias("base_sha256"), joined("__spans").alias("spans"))
 
 
+def reached(spans: Column) -> Column:
+    """For each span the greatest end of the earlier ones (0 for the first), put together from CHUNK spans at a time as in ``located``."""
+    chunks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int"))
+    part = lambda c: F.slice(spans, c * CHUNK + 1, F.lit(CHUNK))
+    ends = F.transform(chunks, lambda c: F.array_max(F.transform(part(c), lambda s: s["end"])))
+    empty = F.expr("cast(array() as array<int>)")
+    grow = lambda acc, end: F.struct(F.greatest(acc["at"], end).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+    begins = F.aggregate(ends, F.struct(F.lit(0).alias("at"), empty.alias("out")), grow, lambda acc: acc["out"])
+    parts = F.transform(begins, lambda at, c: F.aggregate(part(c), F.struct(at.alias("at"), empty.alias("out")), lambda acc, s: grow(acc, s["end"]), lambda acc: acc["out"]))
+    return F.when(F.size(spans) > 0, F.flatten(parts)).otherwise(empty)
+
+
+def between(pieces: Column, low: Column, high: Column) -> Column:
+    """The code points from ``low`` up to ``high`` of a text that was cut into pieces of PIECE."""
+    first, last = F.floor(low / PIECE).cast("int"), F.floor((high - 1) / PIECE).cast("int")
+    piece = lambda k: F.get(pieces, k)
+    one = F.substring(piece(first), low - first * PIECE + 1, high - low)
+    several = F.concat(F.substring(piece(first), low - first * PIECE + 1, F.lit(PIECE)), F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substring(piece(last), F.lit(1), high - last * PIECE))
+    return F.when(high <= low, "").when(first == last, one).otherwise(several)
+
+
 def redacted(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; spans that overlap become one, of the first one's kind. Null texts stay null. n_chars, if there, follows."""
     text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
-
-    whole = F.aggregate("__spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))))
     df = with_spans(docs, selector, text_col)
-    df = df.withColumn("__text", F.when(text.isNull() | (F.size("__spans") == 0), text).otherwise(whole))
+    found = F.size("__spans") > 0
+    # The text is cut into pieces once, so that a span in the middle is not looked up from the beginning.
+    pieces = F.when(found, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+    df = df.withColumns({"__pieces": pieces, "__reached": reached(F.col("__spans"))})
+
+    def part(s: Column, i: Column) -> Column:
+        before = F.get("__reached", i)
+        return F.when(s["start"] >= before, F.concat(between(F.col("__pieces"), before, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+
+    last = F.array_max(F.transform("__spans", lambda s: s["end"]))
+    whole = F.concat(F.array_join(F.transform("__spans", part), ""), between(F.col("__pieces"), last, F.char_length(text)))
+    df = df.withColumn("__text", F.when(text.isNull() | ~found, text).otherwise(whole))
     new = {text_col: F.col("__text")} | ({"n_chars": F.char_length("__text").cast("long")} if "n_chars" in docs.columns else {})
     return df.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyflow.session import staged
+from studyflow.session import discard, work_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,20 +79,28 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     return tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node in ``edges`` (a, b): the least id that it reaches.
 
-    Steps of large and small stars until nothing changes; each round is written to the shared folder, and only a count and a checksum reach the driver.
+    Steps of large and small stars until nothing changes; each round is written to the shared folder, where it replaces the one before, and only
+    a count and a checksum reach the driver.
     """
-    now = staged(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), "stars")
+    spark, old = edges.sparkSession, None
+
+    def written(rows: DataFrame) -> tuple[DataFrame, str]:
+        path = work_path(spark, "stars")
+        rows.write.parquet(path)
+        return spark.read.parquet(path), path
+
+    now, path = written(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct())
     before = None
-    for _ in range(rounds):
-        now = staged(star(star(now, True), False), "stars")
+    while True:
+        old, (now, path) = path, written(star(star(now, True), False))
+        discard(spark, old)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
         before = state
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 # A-Z become a-z; digits, a-z and all bytes of letters beyond ASCII stay; every other byte parts words.

@@ -321,3 +321,61 @@ def test_pieces_come_back_whole(docs, texts, coder):
 
 def test_pieces_of_no_rows(none):
     assert pieces.encoded(none, pieces.public_pieces()).count() == 0
+
+
+def brute_redaction(text, spans):
+    if text is None:
+        return None
+    out, at = [], 0
+    for kind, a, b in spans:
+        if a >= at:
+            out.append(text[at:a] + f"[{kind.upper()}]")
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_equals_its_spans_in_texts_of_many_pieces(spark, docs):
+    selector = pii.train(docs)
+    wide = "\U0001F600 é " * 700
+    long = [(5_000_001, wide.join(f"mail{k}@host.example.org 10.0.{k}.1" for k in range(30))), (5_000_002, "a@b.cd" + "x" * 5000 + " 4111 1111 1111 1111"), (5_000_003, " ".join(f"u{k}@h.org" for k in range(3000))), (5_000_004, "\n".join(["one@two.three"] * 400) + "\n")]
+    df = docs.unionByName(spark.createDataFrame(long, "doc_id long, text string"), allowMissingColumns=True)
+    spans = {r["doc_id"]: sorted(((int(a), int(b), k) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)), key=lambda s: (s[0], pii.KINDS.index(s[2]), s[1])) for r in pii.report(df, selector).collect()}
+    texts = {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}
+    assert sum(len(s) for s in spans.values()) > 3400
+    for r in pii.redacted(df, selector).select("doc_id", "text").collect():
+        assert r["text"] == brute_redaction(texts[r["doc_id"]], [(k, a, b) for a, b, k in spans[r["doc_id"]]])
+
+
+def test_redaction_of_very_many_spans_takes_linear_time(spark):
+    import time
+
+    selector = pii.Selector(boosting.fit(np.zeros((0, len(pii.FEATURES))), np.zeros(0)), {})
+    times = []
+    for n in (10_000, 40_000):
+        df = spark.createDataFrame([(1, " and ".join(f"name{k}@host{k}.example.org" for k in range(n)))], "doc_id long, text string")
+        began = time.time()
+        assert pii.redacted(df, selector).first()["text"].count("[EMAIL]") == n
+        times.append(time.time() - began)
+    assert times[1] < 8 * times[0] + 4
+
+
+PARAGRAPHS = "".join(f"<p>paragraph {k} with a good number of plain words in it, as articles have them</p>" for k in range(10))
+
+
+@pytest.mark.parametrize("page, blocks", [
+    (f'<div class="content has-sidebar">{PARAGRAPHS}</div>', 10), (f'<div class="with-sidebar"><article>{PARAGRAPHS}</article></div>', 10),
+    (f'<div class="single-post comments-open"><article>{PARAGRAPHS}</article></div>', 10), (f'<div class="sidebar"><main>{PARAGRAPHS}</main></div><div class="comments"><article>{PARAGRAPHS}</article></div>', 10),
+    (f"<main><article>{PARAGRAPHS}</article><section>{PARAGRAPHS}</section></main>", 20), (f'<div id="site-footer">{PARAGRAPHS}</div><div class=share-buttons>{PARAGRAPHS}</div>{PARAGRAPHS}', 10),
+    (f'<div class="main-nav"><a href="x">no text</a></div><div class="post">{PARAGRAPHS}</div>', 10), (f"<nav><article>{PARAGRAPHS}</article></nav>{PARAGRAPHS}", 10),
+])
+def test_layouts_keep_their_whole_article(page, blocks):
+    assert len(html_main.main_text(page, dict(html_main.PLAIN)).split("\n")) == blocks
+
+
+def test_stray_tags_and_many_articles_take_linear_time():
+    import time
+
+    for page in ("<div>" * 16_000 + "</b>" * 16_000 + "</i></em>" * 16_000, "<article><p>some words here</p></article>" * 4_000, "<span>" * 16_000 + "<p>x" * 16_000, "<b><div>" * 8_000 + "</b>" * 8_000):
+        began = time.time()
+        html_main.main_text(page, dict(html_main.PLAIN))
+        assert time.time() - began < 3
