@@ -2,8 +2,10 @@
 
 Tasks tokenize whole texts and cut what is longer than a sequence. Only the number of pieces of each length reaches the driver (at most as many
 rows as a sequence has tokens). There, bin completion works on these counts: around the longest piece left it searches the undominated fillings
-(fewest and longest pieces first), takes the one with the least waste as often as the counts allow, and ends with a branch and bound over the
-last pieces, pruned by the waste that the lower bound leaves; best-fit decreasing is the incumbent. The plan is a list of runs "the pieces of
+(fewest and longest pieces first), takes the one with the least waste as often as the counts allow, and ends with a branch and bound over all
+undominated fillings of the last pieces, pruned by the waste that the lower bound leaves. Best-fit decreasing is the incumbent; while a plan
+misses the lower bound, further descents set the longest pieces apart. Up to ``LAST_PIECES`` pieces the search is the whole plan, and exact
+unless its nodes run out. The plan is a list of runs "the pieces of
 this length with ranks from .. to .. go to the sequences from .. at offset ..", at most a few for each length and filling, whatever the number
 of documents. Ranks are counted per (length, bucket), so no length is one task's work.
 """
@@ -31,6 +33,10 @@ SLICE = 2_000_000
 # Nodes of one search for a filling and of the last branch and bound; beyond, the best found so far is taken.
 NODES = 20_000
 LAST_PIECES = 40
+# Pieces up to which every undominated filling is tried.
+EVERY_FILLING = 24
+# Cuts of the first row of descents that set the longest pieces apart.
+DESCENTS = 16
 # Rows that one (length, bucket) holds on average at most, if a single length has them all.
 BUCKET_ROWS = 50_000
 
@@ -147,17 +153,24 @@ def best_fit(counts: np.ndarray, size: int) -> list[tuple[Filling, int]]:
 
 
 def fewest(counts: np.ndarray, size: int) -> int:
-    """Lower bound of the number of sequences: the tokens, or the pieces over a half with those that fit beside none of them (for every cut)."""
+    """Lower bound of the number of sequences: the best of three.
+
+    The tokens; the pieces over a half with those that fit beside none of them (for every cut); and rounded lengths: of pieces over j / (k + 1)
+    of a sequence each k / j fit at most, so they weigh j / k.
+    """
     lengths = np.arange(size + 1)
-    bound = -(-int((counts * lengths).sum()) // size)
-    over = int(counts[size // 2 + 1 :].sum())
     tokens = np.cumsum(counts * lengths)
-    for low in range(0, size // 2 + 1):
-        big = int(counts[size - low + 1 :].sum())
-        middle = int(tokens[size - low] - tokens[size // 2])
-        small = int(tokens[size // 2] - (tokens[low - 1] if low else 0))
-        room = (over - big) * size - middle
-        bound = max(bound, over + max(0, -(-(small - room) // size)))
+    half, upto = size // 2, np.cumsum(counts)
+    low = np.arange(0, half + 1)
+    over, big = int(upto[size] - upto[half]), upto[size] - upto[size - low]
+    small = tokens[half] - np.where(low > 0, tokens[np.maximum(low, 1) - 1], 0)
+    room = (over - big) * size - (tokens[size - low] - tokens[half])
+    bound = max(-(-int(tokens[size]) // size), over + max(0, int((-((room - small) // size)).max())))
+    there = np.flatnonzero(counts)
+    for k in range(2, 21):
+        parts = there * (k + 1)
+        weights = np.where(parts % size == 0, parts // size * k, parts // size * (k + 1))
+        bound = max(bound, -(-int((weights * counts[there]).sum()) // (k * (k + 1))))
     return bound
 
 
@@ -214,25 +227,64 @@ def fillings(counts: np.ndarray, gap: int, nodes: int = NODES, most: int = 4) ->
     return sorted(grown, key=lambda t: (grown[t], len(t), tuple(-x for x in t)))
 
 
+def undominated(left: dict[int, int], gap: int) -> list[Filling]:
+    """All fillings of ``gap`` that no other is at least as good as, least waste first.
+
+    Dominated is a filling beside which a further piece fits, or in which a longer piece fits in the place of one or of two of its pieces:
+    what it would set free goes to where that piece would be.
+    """
+    there = sorted((x for x, n in left.items() if n and x <= gap), reverse=True)
+    after = [sum(x * left[x] for x in there[k:]) for k in range(len(there) + 1)]
+    found: list[tuple[int, Filling]] = []
+
+    def closed(taken: Filling, waste: int) -> bool:
+        pairs = {a + b for k, a in enumerate(taken) for b in taken[k + 1 :]}
+        spare = [x for x in there if left[x] > taken.count(x)]
+        return not any(any(y < x <= y + waste for y in taken) or any(y <= x <= y + waste for y in pairs) for x in spare)
+
+    def go(taken: Filling, waste: int, k: int, skipped: int) -> None:
+        if waste - after[k] >= skipped:
+            return
+        if k == len(there):
+            if closed(taken, waste):
+                found.append((waste, taken))
+            return
+        x = there[k]
+        most = min(left[x], waste // x)
+        for n in range(most, -1, -1):
+            go(taken + (x,) * n, waste - n * x, k + 1, x if n < left[x] else skipped)
+
+    go((), gap, 0, gap + 1)
+    return [t for _, t in sorted(found, key=lambda f: (f[0], len(f[1]), tuple(-x for x in f[1])))]
+
+
 def last_pieces(counts: np.ndarray, size: int, nodes: int = NODES) -> list[tuple[Filling, int]]:
-    """Branch and bound over few pieces; a branch ends when its waste exceeds what a better result may waste."""
+    """Branch and bound over few pieces: a branch ends when the bound of what is left leaves nothing to gain; what was left before is not tried anew."""
     best = best_fit(counts, size)
     fewest_found, bound, visited = sum(n for _, n in best), fewest(counts, size), 0
-    lengths = np.arange(size + 1)
+    seen: dict[tuple, int] = {}
 
     def go(left: np.ndarray, made: list[Filling]) -> bool:
+        """True ends the search: the bound is met, or the nodes are used up."""
         nonlocal best, fewest_found, visited
         visited += 1
-        if not left.any():
+        there = np.flatnonzero(left)
+        if not len(there):
             if len(made) < fewest_found:
                 best, fewest_found = [(f, 1) for f in made], len(made)
             return fewest_found == bound
-        if visited > nodes // 20 or len(made) + -(-int((left * lengths).sum()) // size) >= fewest_found:
+        if visited > nodes:
+            return True
+        state = (*there.tolist(), *left[there].tolist())
+        if seen.get(state, size * len(counts)) <= len(made) or len(made) + fewest(left, size) >= fewest_found:
             return False
-        top = int(np.flatnonzero(left)[-1])
+        seen[state] = len(made)
+        top = int(there[-1])
         rest = left.copy()
         rest[top] -= 1
-        for filling in fillings(rest, size - top, 2000):
+        few = int(rest.sum()) <= EVERY_FILLING
+        tried = undominated({x: int(rest[x]) for x in there.tolist()}, size - top) if few else fillings(rest, size - top, 2000)
+        for filling in tried:
             after = rest.copy()
             np.subtract.at(after, list(filling), 1)
             if go(after, [*made, (top, *filling)]):
@@ -240,24 +292,74 @@ def last_pieces(counts: np.ndarray, size: int, nodes: int = NODES) -> list[tuple
         return False
 
     if fewest_found > bound:
-        go(counts.copy(), [])
+        go(counts.astype(np.int64), [])
     return best
 
 
-def complete(counts: np.ndarray, size: int) -> list[tuple[Filling, int]]:
-    """(lengths of a sequence, number of such sequences) for ``counts`` pieces by length."""
-    incumbent, left, plan = best_fit(counts, size), counts.astype(np.int64).copy(), []
+def completed(counts: np.ndarray, size: int, apart: int) -> list[tuple[Filling, int]]:
+    """One descent: around the longest piece left, the undominated filling with the least waste, as often as the counts allow.
+
+    Pieces over ``apart`` take each other first, and only then what fits beside them: the short pieces, which fill sequences of more pieces, are
+    not spent on them.
+    """
+    left, plan = counts.astype(np.int64).copy(), []
     while int(left.sum()) > LAST_PIECES:
-        top = int(np.flatnonzero(left)[-1])
-        left[top] -= 1
-        filling = (top, *fillings(left, size - top)[0])
-        left[top] += 1
+        rest = left.copy()
+        filling, gap = (), size
+        while gap > apart or not filling:
+            fit = np.flatnonzero(rest[apart + 1 if filling else 0 : gap + 1])
+            if not len(fit):
+                break
+            filling += (int(fit[-1]) + (apart + 1 if filling else 0),)
+            rest[filling[-1]] -= 1
+            gap -= filling[-1]
+            if filling[0] <= apart:
+                break
+        if gap:
+            filling += fillings(rest, gap)[0]
         kinds, each = np.unique(filling, return_counts=True)
         times = int((left[kinds] // each).min())
         left[kinds] -= each * times
         plan.append((filling, times))
-    plan += last_pieces(left, size)
-    return min(plan, incumbent, key=lambda p: sum(n for _, n in p))
+    return plan + last_pieces(left, size, NODES if not plan else NODES // 20)
+
+
+def sequences(plan: list[tuple[Filling, int]]) -> int:
+    return sum(n for _, n in plan)
+
+
+def complete(counts: np.ndarray, size: int) -> list[tuple[Filling, int]]:
+    """(lengths of a sequence, number of such sequences) for ``counts`` pieces by length.
+
+    The incumbents are best-fit decreasing and the plain descent. While they miss the lower bound, further descents set the longest pieces apart:
+    first from cuts at every ``1 / DESCENTS`` of the pieces, then from cuts around the best one.
+    """
+    bound = fewest(counts, size)
+    best = best_fit(counts, size)
+    upto = np.cumsum(counts)
+
+    def better(apart: int) -> int:
+        nonlocal best
+        plan = completed(counts, size, apart)
+        best = min(best, plan, key=sequences)
+        return sequences(plan)
+
+    if sequences(best) > bound:
+        better(size)
+    tried: dict[int, int] = {}
+    step = DESCENTS
+    cuts = [k / step for k in range(1, step)]
+    for _ in range(3):
+        for share in cuts:
+            apart = int(np.searchsorted(upto, share * int(upto[-1])))
+            if sequences(best) > bound and apart not in tried and apart > 0:
+                tried[apart] = better(apart)
+        if sequences(best) == bound or not tried:
+            break
+        middle = int(upto[min(tried, key=tried.get)]) / max(1, int(upto[-1]))
+        step *= 4
+        cuts = [middle + k / step for k in (-3, -2, -1, 1, 2, 3)]
+    return best
 
 
 def runs(plan: list[tuple[Filling, int]], size: int) -> dict[str, np.ndarray]:
@@ -275,7 +377,7 @@ def runs(plan: list[tuple[Filling, int]], size: int) -> dict[str, np.ndarray]:
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece.
+    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece; the plan's sequences and their lower bound.
 
     A null or empty text is the id 0 alone. Repeated rows are packed each. A null id stays null. No rows give none.
     """
@@ -284,7 +386,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, id_col: str = "d
     counts = np.zeros(size + 1, np.int64)
     for row in found:
         counts[row["length"]] = row["count"]
-    plan = runs(complete(counts, size), size)
+    made = complete(counts, size)
+    plan, n_sequences, bound = runs(made, size), sequences(made), fewest(counts, size)
     buckets = max(16, int(counts.sum()) // BUCKET_ROWS)
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
     before = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -297,9 +400,9 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, id_col: str = "d
         for pdf in batches:
             rank = pdf.pop("rank").to_numpy()
             at = np.searchsorted(key, pdf["length"].to_numpy() << 44 | rank, side="right") - 1
-            yield pdf.assign(sequence_id=plan["sequence"][at] + rank - plan["rank"][at], offset=plan["offset"][at])
+            yield pdf.assign(sequence_id=plan["sequence"][at] + rank - plan["rank"][at], offset=plan["offset"][at], n_sequences=n_sequences, least_sequences=bound)
 
-    return ranked.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, n_sequences long, least_sequences long")
 
 
 def public_tokenizer() -> str:

@@ -254,35 +254,41 @@ def test_packing(docs, texts):
     assert max(sequences.values()) <= 2048 and len(sequences) <= packing.fewest(counts, 2048) + 1
 
 
+def fewest_bins(items, size):
+    """Over all subsets: the fewest bins, and the least of the last one."""
+    best = [(1, 0)] + [(99, 0)] * (2 ** len(items) - 1)
+    for some in range(1, len(best)):
+        for k, x in enumerate(items):
+            if some >> k & 1:
+                n, full = best[some ^ 1 << k]
+                best[some] = min(best[some], (n, full + x) if full + x <= size else (n + 1, x))
+    return best[-1][0]
+
+
 def test_bin_completion_reaches_the_fewest_bins():
     rng = np.random.default_rng(7)
-    from functools import cache
-
-    @cache
-    def fewest(items, size):
-        best = len(items)
-
-        def go(k, bins):
-            nonlocal best
-            if len(bins) >= best:
-                return
-            if k == len(items):
-                best = len(bins)
-                return
-            for b in sorted({x for x in bins if x + items[k] <= size}):
-                rest = list(bins)
-                rest.remove(b)
-                go(k + 1, tuple(sorted([*rest, b + items[k]])))
-            go(k + 1, tuple(sorted([*bins, items[k]])))
-
-        go(0, ())
-        return best
-
-    for _ in range(60):
-        items = tuple(sorted(rng.integers(1, 31, rng.integers(1, 11)).tolist(), reverse=True))
+    for n, least in [(rng.integers(1, 11), 1) for _ in range(60)] + [(rng.integers(12, 15), rng.integers(1, 12)) for _ in range(20)] + [(18, 7)]:
+        items = rng.integers(least, 31, n).tolist()
         plan = packing.complete(np.bincount(items, minlength=31), 30)
         assert Counter(x for f, n in plan for x in f * n) == Counter(items) and all(sum(f) <= 30 for f, _ in plan)
-        assert sum(n for _, n in plan) == fewest(items, 30)
+        assert packing.sequences(plan) == fewest_bins(items, 30) >= packing.fewest(np.bincount(items, minlength=31), 30)
+
+
+@pytest.mark.parametrize("seed, known", [(0, 114), (1, 112), (2, 112)])
+def test_pieces_around_a_third_of_a_sequence(seed, known):
+    counts = np.bincount(np.random.default_rng(seed).integers(600, 800, 300), minlength=2049)
+    plan = packing.complete(counts, 2048)
+    made = np.zeros(2049, np.int64)
+    for filling, times in plan:
+        assert sum(filling) <= 2048
+        np.add.at(made, list(filling), times)
+    assert (made == counts).all() and packing.sequences(plan) <= known < packing.sequences(packing.best_fit(counts, 2048))
+
+
+def test_fillings_that_others_dominate_are_left_out():
+    assert packing.undominated({5: 1, 4: 1, 3: 1, 2: 1}, 7) == [(5, 2), (4, 3)]
+    assert packing.undominated({6: 1, 3: 2, 1: 1}, 6) == [(6,)]
+    assert packing.undominated({2: 3, 1: 1}, 9) == [(2, 2, 2, 1)] and packing.undominated({9: 1}, 4) == [()]
 
 
 def test_packing_of_no_rows(none):
