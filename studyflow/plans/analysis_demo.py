@@ -114,12 +114,12 @@ def h35_clean_vendor_file(spark, sf):
     return AL.clean_vendor(rows, ["estimate"])
 
 
-@query(f"""WITH {NPV_SQL} SELECT 'results' AS filter, analysis_id, probeset, count(*) AS n_rows FROM scored WHERE abs(fold_change) >= 1 AND (pvalue IS NULL OR pvalue <= 0.1) GROUP BY ALL
-UNION ALL SELECT 'tea', analysis_id, probeset, count(*) FROM scored WHERE npv <= 0.05 GROUP BY ALL""")
+@query(f"""WITH {NPV_SQL} SELECT 'results' AS filter, analysis_id, probeset, l_orderkey, l_linenumber, fold_change, pvalue FROM scored WHERE abs(fold_change) >= 1 AND (pvalue IS NULL OR pvalue <= 0.1)
+UNION ALL SELECT 'tea', analysis_id, probeset, l_orderkey, l_linenumber, fold_change, pvalue FROM scored WHERE npv <= 0.05""")
 def h36_result_filters(spark, sf):
     scored = AL.add_npv(results(spark, sf), ["analysis_id"])
     both = AL.significant_results(scored).withColumn("filter", F.lit("results")).unionByName(AL.tea_results(scored).withColumn("filter", F.lit("tea")))
-    return both.groupBy("filter", "analysis_id", "probeset").agg(F.count(F.lit(1)).alias("n_rows"))
+    return both.select("filter", "analysis_id", "probeset", "l_orderkey", "l_linenumber", "fold_change", "pvalue")
 
 
 @query(f"""WITH {NPV_SQL}, m AS (SELECT p_partkey AS probeset, p_brand || p_type AS marker_id FROM part)

@@ -65,22 +65,26 @@ def c02_flatten_special_columns(spark, sf):
     return ML.record_columns(cells, mapping(spark), "rec", {"SITE_ID": "site_id", "SUBJ_ID": "subject_id", "VISIT_NAME": "visit_name"})
 
 
-@query(f"""WITH {WIDE_SQL} SELECT rec, 'kind' AS label, kind AS value FROM wide UNION ALL SELECT rec, 'amount', amount FROM wide
-UNION ALL SELECT rec, 'status', status FROM wide""")
+# One row per record and column of the wide table.
+CELLS_SQL = WIDE_SQL + ",\ncells AS (" + " UNION ALL ".join(f"SELECT rec, {i + 1} AS column_number, '{c}' AS header, {c} AS value FROM wide" for i, c in enumerate(WIDE)) + ")"
+
+
+@query(f"WITH {CELLS_SQL} SELECT rec, header AS label, value FROM cells")
 def c03_label_from_header(spark, sf):
-    cells = ML.to_cells(wide(spark, sf), "rec", WIDE).where("column_number >= 4")
+    cells = ML.to_cells(wide(spark, sf), "rec", WIDE)
     return cells.join(ML.header_labels(WIDE, spark), "column_number").select("rec", F.col("header").alias("label"), "value")
 
 
-@query(f"""WITH {WIDE_SQL} SELECT rec, kind AS label, 'Orders+' || CASE WHEN rec % 2 = 0 THEN 'DATALABEL+Amount' ELSE 'Amount+DATALABEL' END AS category_cd,
-  amount AS value FROM wide""")
+@query(f"""WITH {CELLS_SQL} SELECT rec, kind AS label, 'Orders+' || CASE WHEN rec % 2 = 0 THEN 'DATALABEL+' || header ELSE header || '+DATALABEL' END AS category_cd,
+  value FROM cells JOIN wide USING (rec) WHERE header <> 'kind'""")
 def c04_label_from_column(spark, sf):
     rows = wide(spark, sf)
     cells = ML.to_cells(rows, "rec", WIDE)
     labels = cells.where("column_number = 4").select("rec", F.col("value").alias("label"))
     side = F.when(F.col("rec") % 2 == 0, "A").otherwise("B")
-    return cells.where("column_number = 5").join(labels, "rec").select(
-        "rec", "label", T.insert_label_token(F.lit("Orders+Amount"), side).alias("category_cd"), "value"
+    valued = cells.where("column_number <> 4").join(ML.header_labels(WIDE, spark), "column_number")
+    return valued.join(labels, "rec").select(
+        "rec", "label", T.insert_label_token(F.concat(F.lit("Orders+"), "header"), side).alias("category_cd"), "value"
     )
 
 
@@ -94,13 +98,13 @@ def c05_multi_source_parts(spark, sf):
     return ML.joined_parts(cells, sources, "rec")
 
 
-@query(f"""WITH {WIDE_SQL} SELECT rec, 6 AS column_number, CASE status WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE status END AS value FROM wide
-UNION ALL SELECT rec, 3, CASE visit WHEN '1-URGENT' THEN 'Baseline' ELSE visit END FROM wide""")
+@query(f"""WITH {CELLS_SQL} SELECT rec, column_number, CASE WHEN header = 'status' AND value = 'F' THEN 'Filled' WHEN header = 'status' AND value = 'O' THEN 'Open'
+  WHEN header = 'visit' AND value = '1-URGENT' THEN 'Baseline' ELSE value END AS value FROM cells""")
 def c06_word_map(spark, sf):
     words = spark.createDataFrame(
         [(6, "F", "Filled"), (6, "O", "Open"), (3, "1-URGENT", "Baseline")], "column_number int, from_value string, to_value string"
     )
-    return ML.word_map(ML.to_cells(wide(spark, sf), "rec", WIDE).where("column_number in (3, 6)"), words)
+    return ML.word_map(ML.to_cells(wide(spark, sf), "rec", WIDE), words)
 
 
 
@@ -129,10 +133,9 @@ def c08_drop_duplicate_rows(spark, sf):
     return t(spark, sf, "lineitem", "l_partkey", "l_returnflag", "l_linestatus", "l_linenumber").dropDuplicates()
 
 
-@query(f"""WITH {WIDE_SQL} SELECT rec, 5 AS column_number, amount AS value FROM wide WHERE amount <> '.'
-UNION ALL SELECT rec, 3, visit FROM wide WHERE visit IS NOT NULL""")
+@query(f"WITH {CELLS_SQL} SELECT rec, column_number, value FROM cells WHERE value IS NOT NULL AND value <> '.'")
 def c09_drop_missing(spark, sf):
-    return ML.drop_missing(ML.to_cells(wide(spark, sf), "rec", WIDE).where("column_number in (3, 5)"))
+    return ML.drop_missing(ML.to_cells(wide(spark, sf), "rec", WIDE))
 
 
 @query(rf"""WITH {WIDE_SQL} SELECT rec, CASE WHEN visit IS NULL AND status = 'P' THEN NULL WHEN visit IS NULL THEN status

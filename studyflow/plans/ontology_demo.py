@@ -308,19 +308,20 @@ def i16_sample_categories(spark, sf):
     return O.sample_categories(ML.to_cells(rows, "rec", ["o_orderpriority", "o_orderstatus"]), mapping, "rec", study_level=whole, studies=studies)
 
 
-@query("""SELECT flag, count(*) AS n_rows FROM (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'new' WHEN o_orderkey % 6 = 1 THEN 'deleted' WHEN o_orderkey % 10 = 3 THEN 'changed' ELSE 'identical' END AS flag FROM orders) GROUP BY 1""")
+@query("""SELECT o_orderkey, CASE WHEN flag IN ('new', 'changed') AND o_orderkey % 10 = 3 THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus, o_orderpriority, flag
+FROM (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN 'new' WHEN o_orderkey % 6 = 1 THEN 'deleted' WHEN o_orderkey % 10 = 3 THEN 'changed' ELSE 'identical' END AS flag FROM orders)""")
 def i17_metadata_refresh(spark, sf):
     k = F.col("o_orderkey")
     rows = t(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
     new = rows.where(~((k % 4 != 0) & (k % 6 == 1))).withColumn("o_orderstatus", F.when(k % 10 == 3, F.lower("o_orderstatus")).otherwise(F.col("o_orderstatus")))
-    return M.diff(rows.where(k % 4 != 0), new, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"]).groupBy("flag").agg(F.count(F.lit(1)).alias("n_rows"))
+    return M.diff(rows.where(k % 4 != 0), new, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
 
 
 @query("SELECT page_id AS pathway_id, 'http://pathways/' || url AS location FROM pages WHERE page_id % 5 <> 0")
 def i18_content_links(spark, sf):
     pages = t(spark, sf, "pages", F.col("page_id").alias("pathway_id"), F.col("url").alias("external_id"))
     known = pages.where("pathway_id % 5 = 0").select(F.concat(F.lit("http://pathways/"), "external_id").alias("location"))
-    return SE.content_links(pages.where("pathway_id >= 0"), "http://pathways/", known)
+    return SE.content_links(pages, "http://pathways/", known)
 
 
 @query("""SELECT s_name AS study_id, CASE WHEN s_suppkey % 5 <> 0 THEN 'Study of ' || s_name END AS title, CASE WHEN s_suppkey % 5 <> 0 THEN 'loaded' ELSE 'reject' END AS outcome FROM supplier""")

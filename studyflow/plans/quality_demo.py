@@ -80,11 +80,11 @@ def j04_audit_trail(spark, sf):
     return trail.report().drop("seconds")
 
 
-@query("""SELECT 'AUDIT' AS section, 'read ' || count(*) AS line FROM orders UNION ALL SELECT 'ERROR', 'duplicate order of subject ' || o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 18
+@query("""SELECT 'AUDIT' AS section, 'read ' || count(*) AS line FROM orders UNION ALL SELECT 'ERROR', 'duplicate order of subject ' || o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1
 UNION ALL SELECT 'INVALID_TERM', 'platform: ' || p_type FROM (SELECT DISTINCT p_type FROM part)""")
 def j05_run_report(spark, sf):
     orders = t(spark, sf, "orders", "o_custkey")
-    errors = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).where("n > 18").select(F.concat(F.lit("duplicate order of subject "), F.col("o_custkey").cast("string")).alias("message"))
+    errors = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.concat(F.lit("duplicate order of subject "), F.col("o_custkey").cast("string")).alias("message"))
     terms = t(spark, sf, "part", F.lit("platform").alias("category"), F.col("p_type").alias("term")).distinct()
     return Q.run_report(errors, terms, Q.step_counts({"read": orders}))
 

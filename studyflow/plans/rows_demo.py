@@ -129,15 +129,15 @@ def a10_snapshot(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@query(r"""SELECT '\' || r_name || '\' || n_name || '\' AS node, CASE WHEN c_custkey % 2 = 0 THEN 'ClinicalData' ELSE 'ExpressionData' END AS kind, count(*) AS n_files
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
+@query(r"""SELECT 'file:/load/' || r_name || '/' || n_name || '/' || kind || '/' || c_custkey AS file_path, '\' || r_name || '\' || n_name || '\' AS node, kind
+FROM (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN 'ClinicalData' ELSE 'ExpressionData' END AS kind FROM customer) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def a11_study_folders(spark, sf):
     customer = t(spark, sf, "customer", "c_custkey", "c_nationkey")
     nation, region = t(spark, sf, "nation"), t(spark, sf, "region")
     named = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     kind = F.when(F.col("c_custkey") % 2 == 0, "ClinicalData").otherwise("ExpressionData")
     paths = named.select(F.concat_ws("/", F.lit("file:/load"), "r_name", "n_name", kind, F.col("c_custkey").cast("string")).alias("file_path"))
-    return FI.folder_route(paths).groupBy("node", "kind").agg(F.count(F.lit(1)).alias("n_files"))
+    return FI.folder_route(paths).select("file_path", "node", "kind")
 
 
 STUDIES_SQL = r"""
