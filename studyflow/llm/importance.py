@@ -1,8 +1,8 @@
 """Quality rules: plain counts and a hashed n-gram log-likelihood ratio between trusted and raw text.
 
-Words and word pairs are hashed into ``BUCKETS`` buckets. The raw multinomial counts all documents; the trusted one counts a bounded sample of
-documents labelled good. A document's score is the mean, over its n-grams, of the log ratio of the two; it is held against one fixed threshold,
-which leaves all but ``LOST`` of the trusted documents in. No document is drawn by chance.
+Words and word pairs are hashed into ``BUCKETS`` buckets. The raw multinomial counts all documents; the trusted one counts all that are labelled
+good. A document's score is the mean, over its n-grams, of the log ratio of the two; it is held against one fixed threshold, which leaves all but
+``LOST`` of the trusted documents in. No document is drawn by chance, and no count stops growing with the input: scores are counted on a grid.
 """
 
 from __future__ import annotations
@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studyflow.llm.shared import documents, mix64, window_hashes, word_hashes
+from studyflow.session import staged
 
 BUCKETS = 2**14
-# Documents labelled good that make the trusted sample, on average (chosen by a hash of the id).
-TRUSTED = 20_000
 # Of the trusted documents, the share that may score below the threshold.
 LOST = 0.001
 # How far below the lowest trusted scores the threshold lies, in log odds for each n-gram.
 MARGIN = 0.05
+# Width of a step of the grid on which the trusted scores are counted. Scores are means of log ratios, so the grid has some ten thousand steps at most.
+STEP = 0.001
 # N-grams of ratio 0 added to each document, so that a few odd words do not decide about a short one.
 PRIOR = 20
 SYMBOLS = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>"])
@@ -84,22 +85,18 @@ def score(hashes: np.ndarray, ratio: np.ndarray) -> float:
     return float(found.sum() / (len(found) + PRIOR))
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, sample: int = TRUSTED) -> DataFrame:
-    good = labels.where("quality = 1").select("doc_id")
-    share = min(1.0, sample / max(1, labels.count()))
-    chosen = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**20)) < round(share * 2**20)).distinct()
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text")
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the documents labelled good."""
+    return labels.where("quality = 1").select("doc_id").distinct()
 
 
-def threshold_of(trusted: DataFrame, ratio: np.ndarray) -> float:
-    """Score below which a document goes; with no trusted text, none does."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([score(word_hashes(words_of(t.as_py())[1]), ratio) for t in batch.column(0)], pa.float64())], ["score"])
-
-    found = trusted.mapInArrow(run, "score double").toArrow()["score"].to_numpy()
-    return float(np.quantile(found, LOST) - MARGIN) if len(found) else -np.inf
+def threshold_of(scores: DataFrame) -> float:
+    """Score below which a document goes, from all trusted scores; with none, no document does."""
+    found = scores.groupBy(F.floor(F.col("score") / STEP).cast("long").alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy("step").toArrow()
+    if not found.num_rows:
+        return -np.inf
+    upto = np.cumsum(found["n"].to_numpy())
+    return float(found["step"].to_numpy()[np.searchsorted(upto, LOST * upto[-1], side="right")] * STEP - MARGIN)
 
 
 def judged(docs: DataFrame, ratio: np.ndarray, threshold: float) -> DataFrame:
@@ -122,8 +119,18 @@ def judged(docs: DataFrame, ratio: np.ndarray, threshold: float) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double")
 
 
+def ruled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``judged`` with the ratios and the threshold of all documents that ``labels`` (doc_id, quality) calls good.
+
+    Without such documents every ratio is 0 and the base rules alone decide. Labels of unknown documents count nowhere; rows without an id are
+    judged, but never trusted.
+    """
+    texts, good = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), trusted_ids(labels)
+    ratio = ratios(bucket_counts(texts.join(good, "doc_id", "left_semi").select("text")), bucket_counts(texts.select("text")))
+    rows = staged(judged(texts, ratio, -np.inf), "scores")
+    least = threshold_of(rows.join(good, "doc_id", "left_semi").select("score"))
+    return rows.withColumn("kept", F.col("kept") & (F.col("score") >= F.lit(least)))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    trusted = trusted_texts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    ratio = ratios(bucket_counts(trusted), bucket_counts(docs.select("text")))
-    return judged(docs, ratio, threshold_of(trusted, ratio))
+    return ruled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from studyflow.llm import boosting, html_main, importance, licences, merges, packing, pieces, pii, quality
 
@@ -131,9 +132,7 @@ def test_quality_without_labels(none, docs, spark):
 
 def test_rule_counts(spark, docs, texts):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
-    trusted = importance.trusted_texts(docs, labels)
-    ratio = importance.ratios(importance.bucket_counts(trusted), importance.bucket_counts(docs.select("text")))
-    got = importance.judged(docs, ratio, importance.threshold_of(trusted, ratio)).collect()
+    got = importance.ruled(docs, labels).collect()
     want = []
     for doc, text in texts:
         text = text or ""
@@ -150,11 +149,28 @@ def test_rule_counts(spark, docs, texts):
     assert sum(r["kept"] for r in judged) >= 0.99 * len(judged)
 
 
+def test_rules_send_bad_documents_away(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = importance.ruled(docs, labels).where("not base_failed").join(labels.select("doc_id", "quality"), "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    share = {r["quality"]: r["kept"] for r in got}
+    assert share[1] >= 0.99 and share[0] <= 0.1
+
+
+def test_threshold_counts_every_trusted_score(spark):
+    values = np.round(np.random.default_rng(3).normal(0, 1, 20_000), 6)
+    scores = spark.createDataFrame([(float(v),) for v in values], "score double")
+    found = importance.threshold_of(scores) + importance.MARGIN
+    assert np.mean(values < found) <= importance.LOST < np.mean(values < found + importance.STEP + 1e-9)
+    assert importance.threshold_of(scores.where("score > 100")) == -np.inf
+
+
 def test_rules_without_trusted_text(none, docs, spark):
     empty = np.zeros(importance.BUCKETS)
     got = importance.judged(docs, importance.ratios(empty, empty), -np.inf).collect()
     assert all(r["kept"] != r["base_failed"] for r in got)
     assert importance.judged(none, importance.ratios(empty, empty), -np.inf).count() == 0
+    labels = spark.createDataFrame([(1, 0), (7_000_000, 1)], "doc_id long, quality int")
+    assert all(r["kept"] != r["base_failed"] for r in importance.ruled(docs, labels).collect()) and importance.ruled(none, labels).count() == 0
 
 
 PAGE = (
