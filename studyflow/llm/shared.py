@@ -66,17 +66,34 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step over edges (a, b): the neighbours of a node are tied to the least of them.
+# A key with more rows than this, and than a thousandth of all rows, is dealt over several tasks.
+EVEN_SHARE = 256
+
+
+def joined_evenly(rows: DataFrame, counted: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``counted``, which has one row a key and the number ``n`` of its rows, of ``total`` in all.
+
+    The rows of a heavy key are dealt over salted copies of its counted row. At most a thousand keys are heavy, so their list is broadcast.
+    """
+    share = max(EVEN_SHARE, total // 1000)
+    pieces = F.ceil(F.col("n") / share).cast("int")
+    heavy = F.broadcast(counted.where(F.col("n") > share).select(key, pieces.alias("__pieces")))
+    dealt = rows.join(heavy, key, "left").withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.coalesce("__pieces", F.lit(1))).cast("int"))
+    copies = counted.withColumn("__salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return dealt.join(copies, [key, "__salt"]).drop("__salt", "__pieces")
+
+
+def star(edges: DataFrame, large: bool, total: int) -> DataFrame:
+    """One step over at most ``total`` edges (a, b): the neighbours of a node are tied to the least of them.
 
     The large step moves the greater neighbours, the small step the lesser ones and the node itself.
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-    tied = both.join(least, both["a"] == least["n"])
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+    tied = joined_evenly(both, least, "a", total)
     if large:
         return tied.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    return tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+    return tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -93,14 +110,14 @@ def components(edges: DataFrame) -> DataFrame:
         return spark.read.parquet(path), path
 
     now, path = written(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct())
-    before = None
+    before, total = None, now.count()
     while True:
-        old, (now, path) = path, written(star(star(now, True), False))
+        old, (now, path) = path, written(star(star(now, True, 2 * total), False, total))
         discard(spark, old)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-        before = state
+        before, total = state, state[0]
 
 
 # A-Z become a-z; digits, a-z and all bytes of letters beyond ASCII stay; every other byte parts words.

@@ -104,6 +104,38 @@ def test_clusters_over_several_blocks(spark, monkeypatch):
     assert got == brute_near(rows, 3, 85)
 
 
+def test_members_of_a_split_group_that_only_tie_with_each_other(spark, monkeypatch):
+    """Chains away from the centre: pairs under the threshold to the centre, tied to one another, in groups over many blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    rng = np.random.default_rng(3)
+    rows, base = [], [f"w{i}" for i in range(200)]
+    for family in range(6):
+        words = list(base)
+        for j in rng.choice(200, 8, replace=False):
+            words[j] = f"f{family}_{j}"
+        for member in range(9):
+            own = list(words)
+            own[int(rng.integers(200))] = f"m{family}_{member}"
+            rows.append((1000 - len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_copies(df, 3, 85).collect()}
+    want = brute_near(rows, 3, 85)
+    assert got == want and len({c for _, c, _ in want.values()}) == 6
+
+
+def test_half_alike_documents_are_not_linked(spark):
+    """Boilerplate: many documents at a similarity of 0.3 to 0.5 share bands by chance, and none is linked."""
+    rng = np.random.default_rng(4)
+    shared = [f"s{i}" for i in range(100)]
+    rows = []
+    for k in range(1500):
+        own = [f"o{k}_{i}" for i in range(int(rng.integers(50, 110)))]
+        rows.append((k, " ".join(shared + own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_copies(df, 3, 85)
+    assert got.where("kept").count() == 1500
+
+
 def test_circulant_signatures_estimate_the_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 2000, dtype=np.uint64)
