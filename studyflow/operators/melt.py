@@ -33,8 +33,13 @@ def header_labels(columns: list[str], spark) -> DataFrame:
 
 
 def record_columns(cells: DataFrame, mapping: DataFrame, record: str, names: dict[str, str]) -> DataFrame:
-    """Flatten the reserved columns (subject, site, visit …) to one row per record."""
-    reserved = cells.join(mapping.where(F.col("data_label").isin(list(names))).select("column_number", "data_label"), "column_number")
+    """Flatten the reserved columns (subject, site, visit …) to one row per record.
+
+    The mapping has a row per column of a file, so it is broadcast: shuffled by their
+    few column numbers, the cells of a column would be one task's work.
+    """
+    held = mapping.where(F.col("data_label").isin(list(names))).select("column_number", "data_label")
+    reserved = cells.join(F.broadcast(held), "column_number")
     return reserved.groupBy(record).agg(
         *[F.max(F.when(F.col("data_label") == k, T.clean_column("value"))).alias(v) for k, v in names.items()]
     )

@@ -61,7 +61,7 @@ def c01_melt_by_mapping(spark, sf):
 
 @query(f"WITH {MELT_SQL} SELECT rec, coalesce(site_id, '') AS site_id, subject_id, coalesce(visit_name, '') AS visit_name FROM who")
 def c02_flatten_special_columns(spark, sf):
-    cells = ML.to_cells(wide(spark, sf), "rec", WIDE)
+    cells = ML.to_cells(wide(spark, sf).repartition("rec"), "rec", WIDE)  # a record's cells meet where it lies
     return ML.record_columns(cells, mapping(spark), "rec", {"SITE_ID": "site_id", "SUBJ_ID": "subject_id", "VISIT_NAME": "visit_name"})
 
 
