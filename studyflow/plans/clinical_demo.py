@@ -72,7 +72,7 @@ CELLS_SQL = WIDE_SQL + ",\ncells AS (" + " UNION ALL ".join(f"SELECT rec, {i + 1
 @query(f"WITH {CELLS_SQL} SELECT rec, header AS label, value FROM cells")
 def c03_label_from_header(spark, sf):
     cells = ML.to_cells(wide(spark, sf), "rec", WIDE)
-    return cells.join(ML.header_labels(WIDE, spark), "column_number").select("rec", F.col("header").alias("label"), "value")
+    return cells.join(F.broadcast(ML.header_labels(WIDE, spark)), "column_number").select("rec", F.col("header").alias("label"), "value")
 
 
 @query(f"""WITH {CELLS_SQL} SELECT rec, kind AS label, 'Orders+' || CASE WHEN rec % 2 = 0 THEN 'DATALABEL+' || header ELSE header || '+DATALABEL' END AS category_cd,
