@@ -175,8 +175,8 @@ def by_mapping(
 
 
 def joined_parts(cells: DataFrame, sources: DataFrame, record: str, sep: str = " ", out: str = "label") -> DataFrame:
-    """Labels or values made of several columns of a record, in the mapped order."""
-    picked = cells.join(sources.select("column_number", "target", "seq"), "column_number")
+    """Labels or values made of several columns of a record, in the mapped order (the mapping is broadcast, see ``record_columns``)."""
+    picked = cells.join(F.broadcast(sources.select("column_number", "target", "seq")), "column_number")
     return record_concat(picked, [record, "target"], F.col("value"), F.col("seq"), sep, out)
 
 

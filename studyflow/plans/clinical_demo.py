@@ -91,7 +91,7 @@ def c04_label_from_column(spark, sf):
 @query(f"""WITH {WIDE_SQL} SELECT rec, 'label' AS target, kind || ' ' || status AS label FROM wide
 UNION ALL SELECT rec, 'value', concat_ws(' ', status, visit, subject) FROM wide""")
 def c05_multi_source_parts(spark, sf):
-    cells = ML.to_cells(wide(spark, sf), "rec", WIDE)
+    cells = ML.to_cells(wide(spark, sf).repartition("rec"), "rec", WIDE)
     sources = spark.createDataFrame(
         [(4, "label", 1), (6, "label", 2), (6, "value", 1), (3, "value", 2), (2, "value", 3)], "column_number int, target string, seq int"
     )
