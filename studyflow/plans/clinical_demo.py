@@ -82,7 +82,7 @@ def c04_label_from_column(spark, sf):
     cells = ML.to_cells(rows, "rec", WIDE)
     labels = cells.where("column_number = 4").select("rec", F.col("value").alias("label"))
     side = F.when(F.col("rec") % 2 == 0, "A").otherwise("B")
-    valued = cells.where("column_number <> 4").join(ML.header_labels(WIDE, spark), "column_number")
+    valued = cells.where("column_number <> 4").join(F.broadcast(ML.header_labels(WIDE, spark)), "column_number")
     return valued.join(labels, "rec").select(
         "rec", "label", T.insert_label_token(F.concat(F.lit("Orders+"), "header"), side).alias("category_cd"), "value"
     )
