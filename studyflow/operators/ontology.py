@@ -231,11 +231,12 @@ def sample_categories(
     """Sample categories (upper-case category, value) per record, with subject or study-level values.
 
     ``study_level`` has a value for each study and category; ``studies`` names the study of each record.
+    The mapping and the study values are broadcast: shuffled by column or by study, the records of one would be one task's work.
     """
-    rows = cells.join(mapping.select("column_number", "category"), "column_number").where(T.strip("value") != "").select(
+    rows = cells.join(F.broadcast(mapping.select("column_number", "category")), "column_number").where(T.strip("value") != "").select(
         record, F.upper("category").alias("category"), T.strip("value").alias("category_value")
     )
     if study_level is not None:
         held = study_level.select(study, F.upper("category").alias("category"), "category_value").distinct()
-        rows = rows.unionByName(studies.select(record, study).distinct().join(held, study).select(record, "category", "category_value"))
+        rows = rows.unionByName(studies.select(record, study).distinct().join(F.broadcast(held), study).select(record, "category", "category_value"))
     return rows if subject is None else rows.withColumn("subject_id", subject)
