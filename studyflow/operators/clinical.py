@@ -34,6 +34,11 @@ def clean_marks(rows: DataFrame) -> DataFrame:
     return opened.withColumn("data_value", T.drop_broken("data_value", ")", "("))
 
 
+def single_visits(rows: DataFrame) -> DataFrame:
+    """Categories with exactly one visit (case-insensitive); counted, as the least and the greatest text would sort all rows."""
+    return rows.groupBy("category_cd").agg(F.count_distinct(F.upper("visit_name")).alias("__n")).where("__n = 1").select("category_cd")
+
+
 def drop_single_visits(rows: DataFrame) -> DataFrame:
     """Null the visit where its category knows exactly one (case-insensitive).
 
@@ -41,10 +46,8 @@ def drop_single_visits(rows: DataFrame) -> DataFrame:
     written too: its size is known when the join is planned, so a small one is
     broadcast and the rows are not shuffled by their few categories.
     """
-    visit = F.upper("visit_name")
     rows = staged(rows, "keyed-rows")
-    single = rows.groupBy("category_cd").agg(F.min(visit).alias("__a"), F.max(visit).alias("__b"))
-    single = staged(single.where(F.col("__a") == F.col("__b")).select("category_cd", F.lit(True).alias("__single")), "single-visits")
+    single = staged(single_visits(rows).withColumn("__single", F.lit(True)), "single-visits")
     joined = rows.join(single, "category_cd", "left")
     return joined.withColumn("visit_name", F.when(F.col("__single").isNull(), F.col("visit_name"))).select(*rows.columns)
 

@@ -164,7 +164,9 @@ def _step(last, *columns):
             rows = step(rows)
             if step is last:
                 break
-        return rows.groupBy("site_id", "usubjid", *columns).agg(F.count(F.lit(1)).alias("n_rows"))
+        # Groups are hardly larger than a row, and none larger than a subject: combined after the shuffle only.
+        keys = ["site_id", "usubjid", *columns]
+        return rows.repartition(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
 
     return run
 

@@ -135,3 +135,54 @@ def test_parent_leaf_conflict(spark):
 def test_pedigree_patients(spark):
     ped = spark.createDataFrame([("G12T", "1"), ("NA13_2", "2"), ("14", "9")], "individual_id string, sex_code string")
     assert rows(C.pedigree_patients(ped, "F")) == [("F:12", "Male"), ("F:13", "Female"), ("F:14", "Unknown")]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_are_not_dealt_by_their_few_columns(spark):
+    cells = ML.to_cells(raw(spark), "rec", COLUMNS)
+    records = ML.record_columns(cells, mapping(spark), "rec", {"SITE_ID": "site", "SUBJ_ID": "subj"})
+    assert "hashpartitioning(column_number" not in plan_of(records)
+    assert rows(records) == [(1, "S1", "1"), (2, "S1", "2"), (3, "", "3")]
+    parts = ML.joined_parts(cells, spark.createDataFrame([(4, "label", 2), (1, "label", 1)], "column_number int, target string, seq int"), "rec")
+    assert "hashpartitioning(column_number" not in plan_of(parts)
+    assert rows(parts.select("rec", "label"))[0] == (1, "S1 Height")
+
+
+@pytest.mark.parametrize("name", ["c02_flatten_special_columns", "c03_label_from_header", "c04_label_from_column", "c05_multi_source_parts"])
+def test_wide_queries_deal_by_record_only(spark, name, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(1, 7, "O", 1.5, "5-LOW"), (2, 8, "P", 2.5, "1-URGENT")], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, "A"), (8, "B")], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    out = entry.queries()[name](spark, str(tmp_path))
+    assert "hashpartitioning(column_number" not in plan_of(out)
+    assert {r["rec"] for r in out.collect()} == {1, 2}
+
+
+def landing_tables(spark, path):
+    from datetime import date
+
+    spark.createDataFrame([(k, k % 3, "OFP"[k % 3], 1.5 * k, date(2020 + k % 2, 1, 1), "5-LOW") for k in range(12)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame([(k, k, "BUILDING") for k in range(3)], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame([(k, f"N{k}") for k in range(3)], "n_nationkey int, n_name string").write.parquet(f"{path}/nation.parquet")
+
+
+@pytest.mark.parametrize("name", ["c12_paths_and_keys", "c13_c14_pipes_and_parens", "c15_single_visits", "c16_trim_repeated_label", "c17_repeated_visits", "c18_c19_symbols_and_spaces"])
+def test_near_unique_groups_are_combined_after_the_shuffle(spark, name, tmp_path):
+    import __spark_entry__ as entry
+
+    landing_tables(spark, tmp_path)
+    out = entry.queries()[name](spark, str(tmp_path))
+    plan = plan_of(out)
+    shuffled = plan[plan.index("hashpartitioning(site_id") :]
+    assert "HashAggregate" not in shuffled
+    assert sum(r["n_rows"] for r in out.collect()) == 12 * 4 + 8
+
+
+def test_single_visits_are_counted_not_sorted_for(spark):
+    landing = spark.createDataFrame([("A", "Visit 1"), ("A", "VISIT 1"), ("B", "x"), ("B", "y"), ("C", None), (None, "z")] * 2, "category_cd string, visit_name string")
+    assert "SortAggregate" not in plan_of(C.single_visits(landing))
+    assert rows(C.drop_single_visits(landing)) == rows(spark.createDataFrame([("A", None), ("A", None), ("B", "x"), ("B", "y"), ("C", None), (None, "z")] * 2, "category_cd string, visit_name string"))
