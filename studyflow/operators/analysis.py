@@ -178,14 +178,17 @@ def tag_terms(
     """Tags of matched terms (``ids``, term_id, source) and the report of unmatched ones.
 
     Terms with an alias are looked up under it (``TERM_ALIASES``, by category); the source keeps the given text.
+    The vocabulary is broadcast, never the terms, whose number grows with the records. Equal tags are those of one record, so they are combined after the
+    shuffle only.
     """
     terms = melt_terms(records, ids, columns).withColumn("__k", F.upper("term"))
     for (category, alias), name in TERM_ALIASES.items():
         terms = terms.withColumn("__k", F.when((F.col("category") == category) & (F.col("__k") == alias.upper()), name.upper()).otherwise(F.col("__k")))
-    known = taxonomy.select(F.upper("term_name").alias("__k"), "term_id")
+    known = F.broadcast(taxonomy.select(F.upper("term_name").alias("__k"), "term_id"))
     tags = terms.join(known, "__k").select(
         *ids, "term_id", F.upper(F.concat_ws(":", "category", "term")).alias("source")
-    ).distinct()
+    )
+    tags = tags.repartition(*tags.columns).distinct()
     invalid = terms.join(known, "__k", "left_anti").select(F.upper(study).alias("study_id"), "category", "term").distinct()
     return tags, invalid
 

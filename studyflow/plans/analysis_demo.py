@@ -9,6 +9,7 @@ from studyflow.operators import assay as A
 from studyflow.plans.data import money, t
 from studyflow.plans.registry import query
 from studyflow.plans.rows_demo import ERF_SQL
+from studyflow.sources.tables import spread
 
 # --- import and validation -------------------------------------------------------
 
@@ -215,7 +216,7 @@ tax AS (SELECT term_name, row_number() OVER (ORDER BY term_name) AS term_id FROM
 
 def tag_inputs(spark, sf):
     part = t(spark, sf, "part", "p_partkey", "p_brand", "p_type", "p_name", "p_size")
-    records = part.select(
+    records = spread(part, "p_partkey").select(
         F.col("p_brand").alias("study_id"), "p_partkey", F.col("p_type").alias("platform"), F.replace("p_name", F.lit(" "), F.lit("; ")).alias("treatment"), F.col("p_brand").alias("organism")
     )
     names = part.where("p_size > 2").select(F.lower("p_type").alias("term_name")).union(spark.createDataFrame([("red",), ("blue",), ("widget",)], "term_name string")).distinct()

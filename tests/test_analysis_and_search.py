@@ -135,3 +135,13 @@ def test_levels_without_a_name_have_no_node(spark):
 def test_counts_by_level(spark):
     df = spark.createDataFrame([("G1", "Blood", 1), ("G1", "Liver", 2), ("G1", "Blood", 3)], "platform string, tissue string, sample int")
     assert rows(TR.counts_by_level(df, "/b/".replace("/", "\\"), ["platform", "tissue"], "sample")) == [("\\b\\", 3), ("\\b\\G1\\", 3), ("\\b\\G1\\Blood\\", 2), ("\\b\\G1\\Liver\\", 1)]
+
+
+def test_terms_are_never_the_broadcast_side(spark):
+    records = spark.createDataFrame([("s", k, "red") for k in (1, 1, 2)], "study_id string, k int, platform string")
+    taxonomy = spark.createDataFrame([("Red", 7)], "term_name string, term_id int")
+    tags = AL.tag_terms(records, ["study_id", "k"], {"platform": None}, taxonomy)[0]
+    plan = tags._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert "HashAggregate" not in plan[plan.index("REPARTITION_BY_COL") :]
+    assert sorted(tuple(r) for r in tags.collect()) == [("s", 1, 7, "PLATFORM:RED"), ("s", 2, 7, "PLATFORM:RED")]
