@@ -159,7 +159,8 @@ heat AS (SELECT 'ORD' AS study_id, o.analysis_id, 'C' || c.cohort AS cohort_id,
 
 def heat(spark, sf):
     scored = AL.add_npv(results(spark, sf), ["analysis_id"])
-    one = scored.groupBy("analysis_id", "probeset").agg(
+    # An analysis has few results of a probe: combined after the shuffle only.
+    one = scored.repartition("analysis_id", "probeset").groupBy("analysis_id", "probeset").agg(
         F.avg("fold_change").alias("fold_change"), F.min("pvalue").alias("pvalue"), F.min("npv").alias("npv"), F.min("min_lsmean").alias("min_lsmean"), F.max("max_lsmean").alias("max_lsmean")
     )
     cohort = F.concat(F.lit("C"), (F.col("s_nationkey") % 5).cast("string")).alias("cohort_id")
