@@ -28,7 +28,9 @@ def number_rows(
     """``row_number`` over ``order``, restarting per ``keys``.
 
     Rows and their ranks inside a slice are written once; the counts come from
-    what was written, so the input is computed once. ``slice_by`` is any coarse
+    what was written, so the input is computed once. The counts are written
+    too: their size is known when the join is planned, so a few slices are
+    broadcast and the rows are not shuffled again. ``slice_by`` is any coarse
     expression that never decreases along ``order`` (the day of a time,
     ``id div 1e6``); it must be fine enough that one key's rows in one slice
     fit a task. Without it the rows are range partitioned on (keys, order) and
@@ -52,7 +54,7 @@ def number_rows(
     counted = rows.groupBy("__unit").agg(F.count(F.lit(1)).alias("__n"), F.min("__rank").alias("__first"))
     offsets = counted.select("__unit", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__before"))
     return (
-        rows.join(offsets, "__unit")
+        rows.join(staged(offsets, "slice-offsets"), "__unit")
         .withColumn(out, (F.col("__before") + F.col("__rank")).cast("long"))
         .drop("__unit", "__slice", "__rank", "__before")
     )

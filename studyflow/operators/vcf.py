@@ -28,11 +28,11 @@ def variants(lines: DataFrame, info: list[str], line: str = "line") -> DataFrame
     )
 
 
-def genes(rows: DataFrame) -> DataFrame:
-    """(variant, gene symbol, gene id) pairs."""
-    pairs = rows.where("gene_info <> ''").select("chrom", "pos", "rs_id", F.explode(split_list("gene_info", PAIR_SEP)).alias("__p"))
+def genes(rows: DataFrame, place: tuple[str, ...] = ("chrom", "pos", "rs_id")) -> DataFrame:
+    """(variant, gene symbol, gene id) pairs; a variant is named by ``place``."""
+    pairs = rows.where("gene_info <> ''").select(*place, F.explode(split_list("gene_info", PAIR_SEP)).alias("__p"))
     return pairs.select(
-        "chrom", "pos", "rs_id", nth("__p", 1, SYMBOL_SEP).alias("gene_symbol"), nth("__p", 2, SYMBOL_SEP).alias("gene_id")
+        *place, nth("__p", 1, SYMBOL_SEP).alias("gene_symbol"), nth("__p", 2, SYMBOL_SEP).alias("gene_id")
     ).distinct()
 
 
@@ -47,7 +47,7 @@ def load_catalogue(rows: DataFrame, info: DataFrame, gene_map: DataFrame, keywor
 
     ``info`` (snp_info_id, name, chrom, pos), ``gene_map`` (snp_info_id, name, gene_id), ``keywords`` (keyword_id, keyword, bio_data_id, unique_id, category)
     and ``terms`` (term, keyword_id, rank, length) are the tables so far. Genes attach to every place of an id, known or new; every variant without
-    a keyword gets one, every keyword without a first-rank term its upper-case term.
+    a keyword gets one, every keyword without a first-rank term its upper-case term. ``rows`` and ``info`` are read several times: give written ones.
     """
     def numbered(fresh: DataFrame, table: DataFrame, key: list[str], out: str) -> DataFrame:
         top = table.agg(F.coalesce(F.max(out), F.lit(0)).alias("m")).select("m").scalar()
@@ -57,7 +57,7 @@ def load_catalogue(rows: DataFrame, info: DataFrame, gene_map: DataFrame, keywor
     found = rows.select(F.col("rs_id").alias("name"), "chrom", "pos").where("name <> '' and pos is not null").distinct()
     fresh = numbered(found.join(info.select(*place), place, "left_anti"), info, place, "snp_info_id")
     variants_ = info.unionByName(fresh)
-    pairs = genes(rows).where("gene_id <> ''").select(F.col("rs_id").alias("name"), F.col("gene_id")).distinct()
+    pairs = genes(rows, ("rs_id",)).where("gene_id <> ''").select(F.col("rs_id").alias("name"), F.col("gene_id")).distinct()
     mapped = variants_.select("snp_info_id", "name").join(pairs, "name").select(*gene_map.columns)
     words = variants_.select(F.col("name").alias("keyword"), F.col("snp_info_id").alias("bio_data_id"), F.concat(F.lit("SNP:"), "name").alias("unique_id"), F.lit("SNP").alias("category"))
     key = ["keyword", "bio_data_id", "unique_id", "category"]

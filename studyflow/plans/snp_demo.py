@@ -10,7 +10,7 @@ from studyflow.operators import vcf as V
 from studyflow.operators.numbering import surrogate_ids
 from studyflow.plans.data import t
 from studyflow.plans.registry import query
-from studyflow.session import work_path
+from studyflow.session import staged, work_path
 
 # One call per (patient, SNP): alleles from the flags of the last such order line.
 CALLS_SQL = """
@@ -218,7 +218,8 @@ def h29_conflicting_samples(spark, sf):
 
 
 def vcf_lines(spark, sf):
-    lines = t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice").groupBy("l_orderkey", "l_linenumber").agg(
+    # Groups are hardly larger than a row: combined (here, sorted) after the shuffle only.
+    lines = t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice").repartition("l_orderkey", "l_linenumber").groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_partkey").alias("p"), F.max("l_suppkey").alias("s"), F.max("l_returnflag").alias("r"), F.max("l_linestatus").alias("a")
     )
     ids = F.when(F.col("p") % 3 == 0, F.concat(F.lit("rs"), F.col("p").cast("string"), F.lit(";rs9"), F.col("p").cast("string"))).otherwise(F.concat(F.lit("rs"), F.col("p").cast("string")))
@@ -260,13 +261,13 @@ SELECT 'info' AS added, rs_id AS name, chrom AS value FROM places WHERE rs_id NO
 UNION ALL SELECT 'keywords', 'SNP:' || rs_id, 'SNP' FROM places UNION ALL SELECT 'terms', upper(rs_id), CAST(length(rs_id) AS VARCHAR) FROM places""")
 def h31_catalogue_load(spark, sf):
     """Variants, gene map, keywords and terms that a file adds to a catalogue which knows every tenth id or so."""
-    rows = V.variants(vcf_lines(spark, sf), [])
+    rows = staged(V.variants(vcf_lines(spark, sf), []).select("rs_id", "chrom", "pos", "gene_info"), "variants")
     known = rows.where("rs_id like '%0'").select(F.col("rs_id").alias("name"), "chrom", "pos").distinct()
     tables = {
         "gene_map": "snp_info_id long, name string, gene_id string", "keywords": "keyword_id long, keyword string, bio_data_id long, unique_id string, category string",
         "terms": "term string, keyword_id long, rank int, length int",
     }
-    info = surrogate_ids(known, ["name", "chrom", "pos"], "snp_info_id").select("snp_info_id", "name", "chrom", "pos")
+    info = staged(surrogate_ids(known, ["name", "chrom", "pos"], "snp_info_id").select("snp_info_id", "name", "chrom", "pos"), "snp-info")
     out = V.load_catalogue(rows, info, **{k: spark.createDataFrame([], s) for k, s in tables.items()})
     cell = lambda table, name, value: out[table].select(F.lit(table).alias("added"), F.col(name).alias("name"), F.col(value).cast("string").alias("value"))
     return cell("info", "name", "chrom").unionByName(cell("gene_map", "name", "gene_id")).unionByName(cell("keywords", "unique_id", "category")).unionByName(cell("terms", "term", "length"))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from frame_rows import rows
 from studyflow.operators import snp as SN
 from studyflow.operators import vcf as V
@@ -56,3 +58,22 @@ def test_variants_and_genes(spark):
     assert rows(V.genes(out).select("rs_id", "gene_symbol", "gene_id")) == [("rs1", "TP53", "7157"), ("rs1", "WRAP53", "55135"), ("rs2", "TP53", "7157"), ("rs2", "WRAP53", "55135")]
     known = spark.createDataFrame([("rs1",)], "rs_id string")
     assert rows(V.catalogue(out, known).select("rs_id")) == [("rs2",), ("rs3",)]
+
+
+def test_a_variant_file_is_read_once(spark, tmp_path, monkeypatch):
+    from studyflow.plans import snp_demo
+
+    data = [(k, 1 + k % 3, k % 4, k % 5, "N" if k % 2 else "R", "O", 1.0) for k in range(30)]
+    spark.createDataFrame(data, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, lines = spark.sparkContext.accumulator(0), snp_demo.vcf_lines
+
+    def mark(line):
+        seen.add(1)
+        return line
+
+    monkeypatch.setattr(snp_demo, "vcf_lines", lambda s, d: lines(s, d).withColumn("line", F.udf(mark, "string").asNondeterministic()("line")))
+    out = snp_demo.h31_catalogue_load(spark, str(tmp_path))
+    added = {r["added"]: r["count"] for r in out.groupBy("added").count().collect()}
+    assert seen.value == 30
+    # ids 0 and 3 stand for two variants each; the known ones are those that end in 0
+    assert added["keywords"] == added["terms"] == 45 and added["info"] < 45
