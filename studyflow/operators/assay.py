@@ -12,6 +12,7 @@ from studyflow.operators.grouping import exact_median
 from studyflow.operators.joins import null_safe
 from studyflow.operators.merge import diff, upsert
 from studyflow.operators.numbering import surrogate_ids
+from studyflow.session import staged
 
 # Template tokens of a sample category, in node-role order, the
 # marker type of expression platforms and the defaults of a sample map.
@@ -210,7 +211,8 @@ def log_transform(df: DataFrame, value: str, data_type: str = "R", base: float =
 def zscore(
     df: DataFrame, group: list[str], value: str = "log_intensity", clamp: float = S.Z_CLAMP, out: str = "zscore",
 ) -> DataFrame:
-    """Median-centred z-score per group, clamped."""
+    """Median-centred z-score per group, clamped. The rows are written once for the median, the spread and the join."""
+    df = staged(df, "values")
     spread = {"__sd": F.stddev_samp(value)}
     stats = exact_median(df, group, value, "__median", spread)
     joined = df.join(stats, group)
@@ -240,7 +242,7 @@ def process(
 
 
 def append_samples(existing: DataFrame, incoming: DataFrame, keys: list[str], group: list[str], **options) -> DataFrame:
-    """Incremental matrix load: add the new samples, then score the whole study again."""
+    """Incremental matrix load: add the new samples, then score the whole study again; ``existing`` is read twice: give written rows."""
     fresh = incoming.join(existing.select(*keys), keys, "left_anti")
     columns = [c for c in existing.columns if c != "zscore"]
     return zscore(existing.select(*columns).unionByName(fresh.select(*columns)), group, **options)

@@ -14,6 +14,7 @@ from studyflow.operators.numbering import surrogate_ids
 from studyflow.operators.routing import numeric_only, strip_and_map_samples
 from studyflow.plans.data import t
 from studyflow.plans.registry import query
+from studyflow.session import staged
 from studyflow.sources.tables import spread
 
 TOP = "\\Public Studies\\Ord\\"
@@ -273,8 +274,8 @@ def h13_load_sample_map(spark, sf):
 
 @query(f"WITH {SCORED_SQL} SELECT * EXCLUDE (raw_intensity) FROM scored")
 def h45_incremental_matrix(spark, sf):
-    logged = A.log_transform(collapsed(spark, sf), "intensity").drop("intensity")
-    existing = A.zscore(logged.where("l_suppkey % 3 <> 0"), ["l_partkey"])
+    logged = staged(A.log_transform(collapsed(spark, sf), "intensity").drop("intensity"), "logged")
+    existing = staged(A.zscore(logged.where("l_suppkey % 3 <> 0"), ["l_partkey"]), "matrix")
     return rounded(A.append_samples(existing, logged, ["l_partkey", "l_suppkey"], ["l_partkey"])).drop("raw_intensity")
 
 
