@@ -59,7 +59,9 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     low, high = F.expr("(__all + 1) div 2"), F.expr("__all div 2 + 1")
     wanted = totals.where((F.col("__before") < high) & (F.col("__before") + F.col("__in") >= low)).drop("__in")
     inside = W.partitionBy("__key", "__slice").orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
-    running = slices.join(wanted, ["__key", "__slice"]).withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
+    # The window comes first: its order is that of the join too, so a task sorts its values once.
+    running = slices.withColumn("__in_slice", F.sum("__n").over(inside)).join(wanted, ["__key", "__slice"])
+    running = running.withColumn("__upto", F.col("__before") + F.col("__in_slice"))
     middle = running.where((F.col("__upto") >= low) & (F.col("__upto") - F.col("__n") < high))
     ends = middle.groupBy("__key").agg(F.min("__v").cast("double").alias("__low"), F.max("__v").cast("double").alias("__high"))
     result = ends.withColumn(out, F.when(F.col("__low") == F.col("__high"), F.col("__low")).otherwise(F.col("__low") * 0.5 + F.col("__high") * 0.5))

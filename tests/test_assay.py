@@ -115,3 +115,35 @@ def test_gap_fill_uses_the_smallest_id(spark):
     ann = spark.createDataFrame([("p", "A", None, "homo sapiens"), ("q", None, 7, "Homo sapiens"), ("r", None, None, "x")], "probe string, gene_symbol string, gene_id int, organism string")
     markers = spark.createDataFrame([("A", 9, "Homo sapiens"), ("A", 3, "Homo sapiens"), ("Z", 7, "Homo sapiens"), ("B", 7, "Homo sapiens")], "symbol string, gene_id int, organism string")
     assert rows(AN.fill_genes(ann, markers)) == [("p", "A", 3, "homo sapiens"), ("q", "B", 7, "Homo sapiens"), ("r", None, None, "x")]
+
+
+def test_a_matrix_is_scored_from_one_reading(spark, tmp_path, monkeypatch):
+    from studyflow.plans import assay_demo
+
+    data = [(k % 4, k, 2000.0 + (k + 1) ** 2) for k in range(24)]
+    spark.createDataFrame(data, "l_partkey long, l_suppkey long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, collapsed = spark.sparkContext.accumulator(0), assay_demo.collapsed
+
+    def mark(x):
+        seen.add(1)
+        return x
+
+    monkeypatch.setattr(assay_demo, "collapsed", lambda s, d: collapsed(s, d).withColumn("intensity", F.udf(mark, "double").asNondeterministic()("intensity")))
+    for name in ("h10_zscore", "h45_incremental_matrix"):
+        seen.value = 0
+        out = {r["l_suppkey"]: r["log_intensity"] for r in getattr(assay_demo, name)(spark, str(tmp_path)).collect()}
+        assert out == {k: round(2 * math.log2(k + 1), 4) for k in range(24)}
+        assert seen.value == 24
+
+
+def test_the_median_sorts_its_values_once(spark):
+    from studyflow.operators.grouping import exact_median
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = exact_median(spark.createDataFrame([("a", 1.0), ("a", 4.0), ("b", 3.0), (None, 5.0), (None, 6.0), ("c", None)], "k string, v double"), ["k"], "v")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = rows(out)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the running count lies under the join, in its order
+    assert plan.index("SortMergeJoin") < plan.index("Window")
+    assert sorted(got, key=str) == sorted([("a", 2.5), ("b", 3.0), (None, 5.5)], key=str)
