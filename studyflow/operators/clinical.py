@@ -243,12 +243,14 @@ def facts(typed: DataFrame, patients: DataFrame, nodes: DataFrame, concepts: Dat
         concepts.select(F.col("concept_path").alias("leaf_node"), "concept_cd"), "leaf_node"
     )
     text = F.col("value_type") == "T"
-    return readings.join(leaves, "leaf_node").join(
+    found = readings.join(leaves, "leaf_node").join(
         patients.select("patient_num", F.col("subject_key").alias("usubjid")), "usubjid"
     ).select(
         "patient_num", "concept_cd", "study_id", "value_type", F.when(text, F.col("data_value")).otherwise("E").alias("text_value"),
         F.when(~text, T.to_number("data_value")).alias("number_value"),
-    ).distinct()
+    )
+    # Hardly a fact comes twice here: combined after the shuffle, so that a task holds the join or the groups, not both.
+    return found.repartition(*found.columns).distinct()
 
 
 def load(

@@ -6,6 +6,7 @@ from studyflow.operators import clinical as C
 from studyflow.operators import melt as ML
 
 COLUMNS = ["site", "subj", "visit", "test", "result", "sex"]
+TOP_NODE = "\\P\\S\\"
 MAPPING = "category_cd string, column_number int, data_label string, label_source string"
 
 
@@ -186,3 +187,17 @@ def test_single_visits_are_counted_not_sorted_for(spark):
     landing = spark.createDataFrame([("A", "Visit 1"), ("A", "VISIT 1"), ("B", "x"), ("B", "y"), ("C", None), (None, "z")] * 2, "category_cd string, visit_name string")
     assert "SortAggregate" not in plan_of(C.single_visits(landing))
     assert rows(C.drop_single_visits(landing)) == rows(spark.createDataFrame([("A", None), ("A", None), ("B", "x"), ("B", "y"), ("C", None), (None, "z")] * 2, "category_cd string, visit_name string"))
+
+
+def test_facts_are_combined_after_the_shuffle(spark):
+    typed = spark.createDataFrame(
+        [("S:1", "S", "A", "Lab", None, "N", "1"), ("S:1", "S", "A", "Lab", None, "N", "1.0"), ("S:1", "S", "A", "Lab", None, "N", "1"), ("S:2", "S", "A", "Kind", None, "T", "x")],
+        "usubjid string, study_id string, category_path string, data_label string, visit_name string, data_type string, data_value string",
+    ).withColumn("category_cd", F.col("category_path"))
+    nodes = C.leaf_nodes(typed, TOP_NODE)
+    concepts = spark.createDataFrame([(1, f"{TOP_NODE}A\\Lab\\"), (2, f"{TOP_NODE}A\\Kind\\x\\")], "concept_cd long, concept_path string")
+    patients = spark.createDataFrame([(7, "S:1"), (8, "S:2")], "patient_num long, subject_key string")
+    out = C.facts(typed, patients, nodes, concepts, TOP_NODE)
+    plan = plan_of(out)
+    assert plan[: plan.index("Exchange")].count("HashAggregate") == 2
+    assert sorted(rows(out)) == [(7, 1, "S", "N", "E", 1.0), (8, 2, "S", "T", "x", None)]
