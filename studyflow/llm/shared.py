@@ -5,32 +5,18 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studyflow.session import discard, work_path
+from studyflow.session import discard, settings, work_path  # noqa: F401 (settings: for the operators)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-@contextmanager
-def settings(spark: SparkSession, conf: dict[str, str]):
-    """Session settings for the jobs that run inside."""
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def held_in_worker(key: str, make):
     """An object made once for each Python worker and kept for its later tasks (a tokenizer, a cache of bounded size)."""
     held = sys.modules.setdefault("_held_in_worker", types.ModuleType("_held_in_worker")).__dict__

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from studyflow.session import settings
+
+# Files that a task keeps open, so that it need not sort its rows by partition value; it sorts what comes after more values than these.
+OPEN_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
+
 
 def read_table(spark: SparkSession, base: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{base}/{name}.parquet")
@@ -27,15 +32,17 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     writer = (df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df).write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with settings(df.sparkSession, OPEN_FILES):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str], rows_per_file: int = 5_000_000) -> None:
     """Replace only the partitions present in ``df`` (delete-and-insert by study)."""
-    (
-        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(path)
-    )
+    with settings(df.sparkSession, OPEN_FILES):
+        (
+            df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(path)
+        )
 
 
 def load_history(df: DataFrame, path: str, study: str, incremental: bool = False) -> None:

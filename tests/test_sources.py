@@ -60,3 +60,23 @@ def test_folder_load_takes_new_files_once(spark, tmp_path):
 def test_spread_leaves_wide_scans_alone(spark):
     wide = spark.range(0, 100, 1, 50)
     assert TB.spread(wide) is wide and TB.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_partitions_are_written_without_sorting(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        seen.append(int(spark.conf.get(name)))
+        return write(self, path, *args, **options)
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    df = spark.range(400).select(F.when(F.col("id") % 40 > 0, F.col("id") % 40).alias("study_id"), "id")
+    TB.replace_partitions(df, str(tmp_path / "h"), ["study_id"], 3)
+    TB.append(df.where("study_id = 1"), str(tmp_path / "h"), ["study_id"])
+    assert min(seen) > 0 and spark.conf.get(name) == before
+    # more studies than open files
+    got = spark.read.parquet(str(tmp_path / "h")).groupBy("study_id").count().collect()
+    assert {r["study_id"]: r["count"] for r in got} == {**{k: 10 for k in range(2, 40)}, 1: 20, None: 10}
