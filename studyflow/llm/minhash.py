@@ -8,7 +8,8 @@ rounds, and only confirmed links tie documents:
 
 1. Each set meets the least member of its band groups, the centre, and the others that chose it, in blocks of bounded size.
 2. Of the band groups that still hold several components, the members outside the greatest component meet all others, block by block. Pairs that a
-   confirmed path already ties need no comparison, so a large group of near-copies is compared once with its centre and not within itself.
+   confirmed path already ties need no comparison, so a large group of near-copies is compared once with its centre and not within itself. Groups
+   with the same greatest component, which mostly hold the same sets, meet as one where that takes fewer rows.
 
 A task returns only the edges of a spanning forest. The number of bands follows from the threshold: a pair at the threshold is missed with a chance
 of 1e-8 at most, and a pair at 0.4 shares a band in 4 of 100 cases at 0.85 (7 at 0.8), one at 0.3 in 1 of 100 or fewer.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from studyflow.llm.shared import components, documents, joined_evenly, mix64, settings, window_hashes, word_hashes
@@ -151,6 +152,8 @@ def links(texts: DataFrame, meetings: DataFrame, words: int, percent: int) -> Da
         np.fill_diagonal(joined, False)
         return pd.DataFrame(forest(ids, joined), columns=["a", "b"], dtype="int64")
 
+    # Both the filter and the join read them.
+    meetings = staged(meetings, "meetings")
     with settings(texts.sparkSession, FILTER_CONF):
         found = texts.join(meetings.where("id is not null"), "id").groupBy("cluster", "low", "high").applyInPandas(compare, "a long, b long")
         return staged(found, "links")
@@ -174,10 +177,34 @@ def with_centres(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.withColumn("low", F.col("own")).withColumn("high", F.col("own")), met
 
 
+def meeting_rows(n_rest: str, n_main: str) -> Column:
+    """Rows of the meetings of n_rest sets with each other and with n_main more."""
+    return F.col(n_rest) * (blocks(n_rest) + blocks(n_main)) + F.col(n_main) * blocks(n_rest)
+
+
+def met_as_one(several: DataFrame, members: DataFrame) -> DataFrame:
+    """One row for each main component: main, its rows ``n`` in ``members``, and the level from which on its band groups meet as one cluster.
+
+    The band groups of a large group of near-copies hold the same sets again and again. Taken together from the largest down (a level is a power
+    of two of their size), each set is there once; the level is the one with the fewest rows in all meetings, and 64 if all stay apart.
+    """
+    apart = several.groupBy("main", "level").agg(F.sum(meeting_rows("n_rest", "n_main")).alias("rows"), F.sum("n").alias("n"))
+    first = members.groupBy("main", "rep", "rest").agg(F.max("level").alias("level"))
+    held = first.groupBy("main", "level").agg(F.count_if("rest").alias("all_rest"), F.count_if(~F.col("rest")).alias("all_main"))
+    down = Window.partitionBy("main").orderBy(F.desc("level"))
+    levels = apart.join(held, ["main", "level"], "left").fillna(0).select(
+        "main", "level", "n", "rows", F.sum("all_rest").over(down).alias("all_rest"), F.sum("all_main").over(down).alias("all_main"), (F.sum("rows").over(Window.partitionBy("main")) - F.sum("rows").over(down)).alias("below")
+    )
+    best = F.min(F.struct((meeting_rows("all_rest", "all_main") + F.col("below")).alias("rows"), "level", "all_rest", "all_main"))
+    found = levels.groupBy("main").agg(best.alias("best"), F.sum("n").alias("n"), F.sum("rows").alias("rows"))
+    return found.select("main", "n", F.when(F.col("best.rows") < F.col("rows"), F.col("best.level")).otherwise(64).alias("least"), "best.all_rest", "best.all_main")
+
+
 def between_components(groups: DataFrame, met: DataFrame, tied: DataFrame) -> DataFrame:
     """Second round: meetings of the sets of band groups that hold several components (id, component) of ``tied`` after the first.
 
-    Groups whose sets all met in the first round are done; groups of the same sets are compared once.
+    Groups whose sets all met in the first round are done; groups of the same sets are compared once, and groups with the same greatest component
+    meet as one cluster where that takes fewer rows. Two clusters with the same number would only compare more.
     """
     now = groups.join(met, "rep", "left").join(tied.withColumnRenamed("id", "rep"), "rep", "left")
     now = now.select("key", "rep", F.coalesce("component", "rep").alias("component"), ((F.col("rep") == F.col("centre")) | F.coalesce(F.col("met") == F.col("centre"), F.lit(False))).alias("done"))
@@ -185,11 +212,16 @@ def between_components(groups: DataFrame, met: DataFrame, tied: DataFrame) -> Da
     parts = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("part"), F.bool_and("done").alias("done"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
     several = parts.groupBy("key").agg(F.max(F.struct("part", "component")).alias("top"), F.sum("part").alias("n"), F.count(F.lit(1)).alias("parts"), F.bool_and("done").alias("done"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
     several = several.where("parts > 1 and not done").groupBy("x", "y", "n").agg(F.min(F.struct("key", "top")).alias("one")).select("one.key", "n", F.col("one.top.component").alias("main"), F.col("one.top.part").alias("n_main"))
-    several = staged(several.withColumn("n_rest", F.col("n") - F.col("n_main")), "several")
-    rest = F.col("component") != F.col("main")
-    own = F.when(rest, dealt("rep", blocks("n_rest"))).otherwise(blocks("n_rest") + dealt("rep", blocks("n_main")))
-    others = F.when(rest, blocks("n_rest") + blocks("n_main")).otherwise(blocks("n_rest"))
-    meet = joined_evenly(now.select("key", "rep", "component"), several, "key", now.count()).select(F.col("rep").alias("id"), F.col("key").alias("cluster"), own.alias("own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
+    several = staged(several.withColumn("n_rest", F.col("n") - F.col("n_main")).withColumn("level", F.floor(F.log2("n")).cast("int")), "several")
+    members = joined_evenly(now.select("key", "rep", "component"), several, "key", now.count())
+    members = staged(members.select("key", "rep", (F.col("component") != F.col("main")).alias("rest"), "main", "level", "n_rest", "n_main"), "members")
+    whole = F.col("level") >= F.col("least")
+    met_in = joined_evenly(members, staged(met_as_one(several, members), "whole"), "main", members.count()).select(
+        "rep", "rest", F.when(whole, F.col("main")).otherwise(F.col("key")).alias("cluster"), *(F.when(whole, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("all_rest", "n_rest"), ("all_main", "n_main")))
+    )
+    own = F.when(F.col("rest"), dealt("rep", blocks("n_rest"))).otherwise(blocks("n_rest") + dealt("rep", blocks("n_main")))
+    others = F.when(F.col("rest"), blocks("n_rest") + blocks("n_main")).otherwise(blocks("n_rest"))
+    meet = met_in.distinct().select(F.col("rep").alias("id"), "cluster", own.alias("own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
     return meet.select("id", "cluster", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
 
 

@@ -136,6 +136,29 @@ def test_half_alike_documents_are_not_linked(spark):
     assert got.where("kept").count() == 1500
 
 
+def test_band_groups_of_the_same_sets_meet_once(spark, monkeypatch):
+    """Twelve groups drawn from one large group, and a large component with an outsider in each of forty small groups, which stay apart."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = np.random.default_rng(5)
+    component = {r: 0 if r < 60 else 500 if 500 <= r < 700 else r for r in (*range(100), *range(500, 700), *range(1000, 1040))}
+    keys = {k: sorted(rng.choice(100, 60, replace=False).tolist()) for k in range(12)}
+    keys |= {100 + k: [500 + 5 * k, 501 + 5 * k, 1000 + k] for k in range(40)}
+    groups = spark.createDataFrame([(k, r, reps[0]) for k, reps in keys.items() for r in reps], "key long, rep long, centre long")
+    tied = spark.createDataFrame([(r, c) for r, c in component.items() if c in (0, 500)], "id long, component long")
+    got = minhash.between_components(groups, spark.createDataFrame([], "rep long, met long"), tied).collect()
+    at = defaultdict(dict)
+    for r in got:
+        assert r["id"] not in at[r["cluster"], r["low"], r["high"]]
+        at[r["cluster"], r["low"], r["high"]][r["id"]] = r["own"]
+    meet = {(a, b) for (_, low, high), own in at.items() for a, b in combinations(sorted(own), 2) if low == high or own[a] != own[b]}
+    for reps in keys.values():
+        assert {(a, b) for a, b in combinations(reps, 2) if component[a] != component[b]} <= meet
+    rows = lambda rest, main: rest * (-(-rest // 4) + -(-main // 4)) + main * -(-rest // 4)
+    apart = sum(rows(sum(r >= 60 for r in keys[k]), sum(r < 60 for r in keys[k])) for k in range(12))
+    assert sum(r["id"] < 100 for r in got) == rows(40, 60) < apart / 4
+    assert sum(r["id"] >= 500 for r in got) == 40 * (2 + 2)
+
+
 def test_circulant_signatures_estimate_the_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 2000, dtype=np.uint64)
