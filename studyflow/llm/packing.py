@@ -26,8 +26,10 @@ from studyflow.llm.shared import documents, held_in_worker
 from studyflow.session import staged
 
 SEQUENCE = 2048
-# Chunks of text whose ids a worker remembers; it starts anew when full.
+# Chunks of text whose ids a worker remembers; when full, it keeps those it has just met.
 REMEMBERED = 250_000
+# Marks that close a word; the tokenizer parts them from its letters, and none of them is in a special token or a contraction.
+CLOSING = ".,;:!?%&$#*)-\""
 # Characters of text that are split at a time.
 SLICE = 2_000_000
 # Nodes of one search for a filling and of the last branch and bound; beyond, the best found so far is taken.
@@ -44,7 +46,7 @@ BUCKET_ROWS = 50_000
 class ChunkIds:
     """Token ids of texts, by chunks between blanks (the tokenizer drops white space and never joins across it).
 
-    A chunk of letters with closing stops or commas is looked up by its lower-case letters and its marks, which the tokenizer splits apart too.
+    A chunk of letters with closing marks is looked up by its lower-case letters and its marks, which the tokenizer splits apart too.
     """
 
     def __init__(self, path: str):
@@ -67,32 +69,36 @@ class ChunkIds:
     def learn(self, chunks: set[str]) -> None:
         from unicodedata import is_normalized
 
-        if len(self.letters) > REMEMBERED:
-            self.letters = {}
-        parts, asked = [], set()
+        plain, cores = [], []
         for chunk in chunks:
-            core = chunk.rstrip(".,")
+            core = chunk.rstrip(CLOSING)
             if core.isalpha() and (core.isascii() or (is_normalized("NFC", core) and "Σ" not in core and "İ" not in core)):
-                core, marks = core.lower(), chunk[len(core) :]
-                parts.append((chunk, core, marks))
-                asked.add(core)
-                if marks and marks not in self.letters:
-                    self.letters[marks] = self.whole(marks)
+                plain.append(chunk)
+                cores.append(core.lower())
             else:
                 self.chunks[chunk] = self.whole(chunk)
-        self.learn_letters([w for w in asked if w not in self.letters])
-        for chunk, core, marks in parts:
-            self.chunks[chunk] = self.letters[core] + (self.letters[marks] if marks else b"")
+        asked = set(cores)
+        new = asked.difference(self.letters)
+        if len(self.letters) + len(new) > REMEMBERED:
+            self.letters = {w: self.letters[w] for w in asked.difference(new)}
+        self.learn_letters(list(new))
+        for chunk, core in zip(plain, cores):
+            raw = self.letters[core]
+            if len(chunk) > len(core):
+                marks = chunk[len(core) :]
+                if marks not in self.letters:
+                    self.letters[marks] = self.whole(marks)
+                raw += self.letters[marks]
+            self.chunks[chunk] = raw
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         distinct = set().union(*split)
         new = distinct.difference(self.chunks)
-        # Texts with more chunks than are remembered are learned whole; the cache starts anew with the next ones.
+        # Texts with more chunks than are remembered are learned whole; of the others, those of these texts stay.
         if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks = {"": b""}
-            new = distinct.difference(self.chunks)
+            self.chunks = {"": b""} | {c: self.chunks[c] for c in distinct.difference(new)}
         if new:
             self.learn(new)
         look = self.chunks.__getitem__

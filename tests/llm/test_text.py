@@ -253,6 +253,23 @@ def test_texts_of_more_chunks_than_are_remembered(monkeypatch):
         assert list(coder.ids(every)) == [coder.whole(t) for t in every]
 
 
+def test_words_with_closing_marks_are_looked_up(monkeypatch):
+    """The tokenizer itself runs once for each run of marks, and a full cache keeps what the texts at hand hold."""
+    monkeypatch.setattr(packing, "REMEMBERED", 120)
+    coder = packing.ChunkIds(packing.public_tokenizer())
+    marks = ["!!", "%%%", ",###", "***", ".", ',"', "--", "$)"]
+    one = " ".join(f"Wórd{chr(97 + i % 26)}{chr(97 + i // 26)}{m}" for i in range(10) for m in marks)
+    odd = "it's!! <|endoftext|>!! x<|endoftext|> x| ΣΑΣ!! e\u0301!! a1%% '?s d.s"
+    want = [coder.whole(t) for t in (one, odd, one)]
+    asked, learned, whole, learn = [], [], coder.whole, coder.learn
+    monkeypatch.setattr(coder, "whole", lambda t: asked.append(t) or whole(t))
+    monkeypatch.setattr(coder, "learn", lambda chunks: learned.append(len(chunks)) or learn(chunks))
+    assert list(coder.ids([one])) == want[:1] and sorted(asked) == sorted(marks)
+    more = one + " " + " ".join(f"new{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    assert list(coder.ids([more])) == [whole(more)] and learned == [80, 60]
+    assert list(coder.ids([odd, one])) == want[1:]
+
+
 def test_packing(docs, texts):
     coder = packing.ChunkIds(packing.public_tokenizer())
     got = packing.pack(docs, packing.public_tokenizer()).collect()
