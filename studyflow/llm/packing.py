@@ -13,11 +13,12 @@ of documents. Ranks are counted per (length, bucket), so no length is one task's
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,12 +27,12 @@ from studyflow.llm.shared import documents, held_in_worker
 from studyflow.session import staged
 
 SEQUENCE = 2048
-# Chunks of text whose ids a worker remembers; when full, it keeps those it has just met.
+# Chunks of text, and words without their marks, whose ids a worker remembers; when full, it keeps those it has just met.
 REMEMBERED = 250_000
 # Marks that close a word; the tokenizer parts them from its letters, and none of them is in a special token or a contraction.
 CLOSING = ".,;:!?%&$#*)-\""
 # Characters of text that are split at a time.
-SLICE = 2_000_000
+SLICE = 4_000_000
 # Nodes of one search for a filling and of the last branch and bound; beyond, the best found so far is taken.
 NODES = 20_000
 LAST_PIECES = 40
@@ -43,6 +44,30 @@ DESCENTS = 16
 BUCKET_ROWS = 50_000
 
 
+class Known:
+    """Token ids of strings, as two columns. When full, it keeps those it was just asked for."""
+
+    def __init__(self):
+        self.keys, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def of(self, words: pa.Array, learn: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of each word; ``learn`` gives those of distinct unknown ones."""
+        coded = words.dictionary_encode()
+        at = pc.index_in(coded.dictionary, value_set=self.keys)
+        new, held = coded.dictionary.filter(at.is_null()), at.drop_null()
+        place = at.fill_null(-1).to_numpy().copy()
+        unknown = place < 0
+        # Texts with more words than are remembered are learned whole; of the others, those of these texts stay.
+        if len(self.keys) + len(new) > REMEMBERED:
+            self.keys, self.ids = self.keys.take(held), self.ids.take(held)
+            place[~unknown] = np.arange(len(held))
+        if len(new):
+            place[unknown] = len(self.keys) + np.arange(len(new))
+            self.ids = pa.concat_arrays([self.ids, learn(new)])
+            self.keys = pa.concat_arrays([self.keys, new])
+        return self.ids.take(pa.array(place)).take(coded.indices)
+
+
 class ChunkIds:
     """Token ids of texts, by chunks between blanks (the tokenizer drops white space and never joins across it).
 
@@ -54,56 +79,56 @@ class ChunkIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Merges(path)
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.letters: dict[str, bytes] = {}
+        self.chunks, self.letters, self.marks = Known(), Known(), Known()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn_letters(self, words: list[str]) -> None:
-        raw = [w.encode() for w in words]
-        short = [(w, r) for w, r in zip(words, raw) if len(r) <= LONGEST]
-        self.letters.update(zip([w for w, _ in short], self.merges.encode([r for _, r in short])))
-        self.letters.update((w, self.whole(w)) for w, r in zip(words, raw) if len(r) > LONGEST)
+    def wholes(self, texts: pa.Array) -> pa.Array:
+        return pa.array([self.whole(t) for t in texts.to_pylist()], pa.large_binary())
+
+    def learn_letters(self, words: pa.Array) -> pa.Array:
+        short = pc.less_equal(pc.binary_length(words), LONGEST)
+        ids = [pa.array(self.merges.encode(words.filter(short).cast(pa.large_binary()).to_pylist()), pa.large_binary()), self.wholes(words.filter(pc.invert(short)))]
+        return in_order(ids, [short.to_numpy(zero_copy_only=False)])
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: pa.Array) -> pa.Array:
         from unicodedata import is_normalized
 
-        plain, cores = [], []
-        for chunk in chunks:
-            core = chunk.rstrip(CLOSING)
-            if core.isalpha() and (core.isascii() or (is_normalized("NFC", core) and "Σ" not in core and "İ" not in core)):
-                plain.append(chunk)
-                cores.append(core.lower())
-            else:
-                self.chunks[chunk] = self.whole(chunk)
-        asked = set(cores)
-        new = asked.difference(self.letters)
-        if len(self.letters) + len(new) > REMEMBERED:
-            self.letters = {w: self.letters[w] for w in asked.difference(new)}
-        self.learn_letters(list(new))
-        for chunk, core in zip(plain, cores):
-            raw = self.letters[core]
-            if len(chunk) > len(core):
-                marks = chunk[len(core) :]
-                if marks not in self.letters:
-                    self.letters[marks] = self.whole(marks)
-                raw += self.letters[marks]
-            self.chunks[chunk] = raw
+        cores = pc.ascii_rtrim(chunks, characters=CLOSING)
+        plain = pc.ascii_is_alpha(cores).to_numpy(zero_copy_only=False)
+        letters, at = [pc.ascii_lower(cores.filter(pa.array(plain)))], np.flatnonzero(~plain)
+        more = []
+        for core in cores.take(pa.array(at)).to_pylist():
+            wide = core.isalpha() and not core.isascii() and is_normalized("NFC", core) and "Σ" not in core and "İ" not in core
+            more.append(core.lower() if wide else None)
+        letters.append(pa.array(more, pa.large_string()).drop_null())
+        wide = np.zeros(len(chunks), bool)
+        wide[at] = [core is not None for core in more]
+        known = in_order([self.letters.of(pa.concat_arrays(letters), self.learn_letters), self.wholes(chunks.filter(pa.array(~plain & ~wide)))], [plain, wide])
+        # The marks of what was looked up by its letters.
+        closed = (plain | wide) & pc.not_equal(pc.binary_length(chunks), pc.binary_length(cores)).to_numpy(zero_copy_only=False)
+        marked = pa.array(closed)
+        ends = [c[n:] for c, n in zip(chunks.filter(marked).to_pylist(), pc.utf8_length(cores.filter(marked)).to_pylist())]
+        ends = self.marks.of(pa.array(ends, pa.large_string()), self.wholes)
+        joined = pc.binary_join_element_wise(known.filter(marked), ends, pa.scalar(b"", pa.large_binary()))
+        return in_order([joined, known.filter(pc.invert(marked))], [closed])
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        distinct = set().union(*split)
-        new = distinct.difference(self.chunks)
-        # Texts with more chunks than are remembered are learned whole; of the others, those of these texts stay.
-        if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks = {"": b""} | {c: self.chunks[c] for c in distinct.difference(new)}
-        if new:
-            self.learn(new)
-        look = self.chunks.__getitem__
-        for words in split:
-            yield b"".join(map(look, words))
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        found = self.chunks.of(split.flatten(), self.learn)
+        data = found.buffers()[2] or pa.py_buffer(b"")
+        cuts = np.frombuffer(found.buffers()[1], np.int64)[found.offset :][split.offsets.to_numpy()].tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield data[a:b].to_pybytes()
+
+
+def in_order(parts: list[pa.Array], masks: list[np.ndarray]) -> pa.Array:
+    """One column of ``parts``: first the rows of each mask, then those of none."""
+    places = [np.flatnonzero(m) for m in masks]
+    order = np.concatenate([*places, np.flatnonzero(~np.logical_or.reduce(masks))])
+    return pa.concat_arrays(parts).take(pa.array(np.argsort(order)))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import html
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -270,6 +271,26 @@ def test_words_with_closing_marks_are_looked_up(monkeypatch):
     assert list(coder.ids([odd, one])) == want[1:]
 
 
+def test_learning_chunks_calls_nothing_for_each_of_them():
+    """5,000 new chunks of 200 words: Python meets the words and the runs of marks, not the chunks."""
+    coder = packing.ChunkIds(packing.public_tokenizer())
+    words = [chr(97 + i % 26) + chr(97 + i // 26) for i in range(200)]
+    text = "\n".join(f"{w}{a}{b}" for w in words for a in ".,;!?" for b in ".,;!?")
+    calls = [0]
+    sys.setprofile(lambda *_: calls.__setitem__(0, calls[0] + 1))
+    got = list(coder.ids([text]))
+    sys.setprofile(None)
+    assert calls[0] < 5_000 and got == [coder.whole(text)]
+
+
+def test_ids_of_awkward_chunks():
+    coder = packing.ChunkIds(packing.public_tokenizer())
+    odd = ["", " ", "\n\n", "h\u0331 H\u0331", "E\u0301t\u00e9, \u00c9T\u00c9!", "\u1e9e \u01c5 \u212a\u2126. \ufb01n\u00aa", "x\0y \0.", "a" * 60 + ". " + "\u00e9" * 30 + ",,", ". .. a. .a", "\u1100\u1161 \uac00!"]
+    for _ in range(2):
+        assert list(coder.ids(odd)) == [coder.whole(t) for t in odd]
+    assert list(coder.ids([])) == [] and list(coder.ids(["", ""])) == [b"", b""]
+
+
 def test_packing(docs, texts):
     coder = packing.ChunkIds(packing.public_tokenizer())
     got = packing.pack(docs, packing.public_tokenizer()).collect()
