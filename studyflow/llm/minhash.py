@@ -43,6 +43,13 @@ FILTER_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
+# Bits of that filter for each member (Spark takes at most 2^26 in all; a fuller one only lets more texts through to the join).
+FILTER_BITS = 16
+
+
+def filter_conf(members: int) -> dict[str, str]:
+    sized = {"expectedNumItems": min(max(members, 1), 2**22), "numBits": min(max(members, 64) * FILTER_BITS, 2**26)}
+    return FILTER_CONF | {f"spark.sql.optimizer.runtime.bloomFilter.{k}": str(v) for k, v in sized.items()}
 
 
 def bands_for(percent: int, rows: int = ROWS_PER_BAND, miss: float = MISS) -> int:
@@ -152,10 +159,10 @@ def links(texts: DataFrame, meetings: DataFrame, words: int, percent: int) -> Da
         np.fill_diagonal(joined, False)
         return pd.DataFrame(forest(ids, joined), columns=["a", "b"], dtype="int64")
 
-    # Both the filter and the join read them.
+    # Both the filter and the join read them. Spark makes the filter only of a side that a comparison selects from; every block has a number from 0.
     meetings = staged(meetings, "meetings")
-    with settings(texts.sparkSession, FILTER_CONF):
-        found = texts.join(meetings.where("id is not null"), "id").groupBy("cluster", "low", "high").applyInPandas(compare, "a long, b long")
+    with settings(texts.sparkSession, filter_conf(meetings.count())):
+        found = texts.join(meetings.where("id is not null and own >= 0"), "id").groupBy("cluster", "low", "high").applyInPandas(compare, "a long, b long")
         return staged(found, "links")
 
 

@@ -7,6 +7,7 @@ import pytest
 
 from studyflow.llm import exact_dedup, minhash, suffix_dedup
 from studyflow.llm.shared import components
+from studyflow.session import settings
 
 
 def test_components_of_chains_and_cycles(spark):
@@ -159,6 +160,21 @@ def test_band_groups_of_the_same_sets_meet_once(spark, monkeypatch):
     assert sum(r["id"] >= 500 for r in got) == 40 * (2 + 2)
 
 
+def test_only_texts_that_meet_are_shuffled(spark, monkeypatch, tmp_path):
+    """The join of the texts with their meetings puts a Bloom filter on the scan of the texts, with bits by the number of members."""
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(map(str, rng.integers(0, 10**6, 200)))) for k in range(2000)] + [(5000 + k, f"the same text here {'again ' * 30}{k % 2}") for k in range(8)]
+    spark.createDataFrame(rows, "id long, text string").coalesce(1).write.parquet(f"{tmp_path}/texts")
+    meetings = spark.createDataFrame([(5000 + k, 5000, 0, 0, 0) for k in range(8)] + [(None, 5000, 0, 0, 0)], "id long, cluster long, own int, low int, high int")
+    plans, staged = [], minhash.staged
+    monkeypatch.setattr(minhash, "staged", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or staged(df, name))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        edges = minhash.links(spark.read.parquet(f"{tmp_path}/texts"), meetings, 3, 85)
+    assert "might_contain" in plans[-1] and "bloom_filter_agg" in plans[-1]
+    assert {r["id"]: r["component"] for r in components(edges).collect()} == {5000 + k: 5000 + k % 2 for k in range(8)}
+    assert minhash.filter_conf(10**9)["spark.sql.optimizer.runtime.bloomFilter.numBits"] == str(2**26)
+
+
 def test_circulant_signatures_estimate_the_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 2000, dtype=np.uint64)
